@@ -10,6 +10,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all documents takes from each, sources weighing 5, 2, 1."""
+    from .mixing import taken
+
+    return taken(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards whose row counts are at most one apart."""
     from .sharding import interleaved
@@ -56,9 +63,37 @@ FROM f JOIN r ON f.source IS NOT DISTINCT FROM r.source
 """
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back."""
+    from .warc import archived
+
+    return archived(_table(spark, sf_dir, "pages")).drop("url")
+
+
+#: SHA-1 as base32: 40 hex digits are 160 bits, read five at a time.
+OP10_SQL = r"""
+WITH p AS (SELECT row_number() OVER () AS rid, page_id, encode(coalesce(html, '')) AS payload FROM pages),
+hexed AS (SELECT rid, page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex FROM p),
+bits AS (
+  SELECT rid, page_id, payload_bytes, hex,
+         array_to_string(list_transform(range(1, 41), lambda k: right('0000' || bin(strpos('0123456789abcdef', hex[k]) - 1), 4)), '') AS b
+  FROM hexed),
+dig AS (
+  SELECT rid, page_id, payload_bytes,
+         array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + list_sum(list_transform(range(1, 6), lambda j: CAST(substr(b, CAST(5 * k + j AS INT), 1) AS INT) * CAST(2 ** (5 - j) AS INT)))::INT, 1)), '') AS payload_digest
+  FROM bits),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS last FROM dig)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN last IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN last IS DISTINCT FROM page_id THEN last END AS refers_to
+FROM g
+"""
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_host_rules": OP6_SQL}
+    return {"op6_host_rules": OP6_SQL, "op10_warc": OP10_SQL}
