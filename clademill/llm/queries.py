@@ -63,6 +63,15 @@ FROM f JOIN r ON f.source IS NOT DISTINCT FROM r.source
 """
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from those whose id's CRC-32 mod 4 is not 2."""
+    from .langid import identified
+
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out.alias("held_out"))
+    return identified(docs.drop("lang"), docs.filter(~F.col("held_out")))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC records and read back."""
     from .warc import archived
