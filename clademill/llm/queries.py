@@ -17,6 +17,16 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from labels of those whose id's CRC-32 mod 5 is not 0."""
+    from .toxicity import scored, trained
+
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held_out)
+    return scored(docs.withColumn("held_out", held_out), trained(docs, labels))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards whose row counts are at most one apart."""
     from .sharding import interleaved
