@@ -82,6 +82,15 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identified(docs.drop("lang"), docs.filter(~F.col("held_out")))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by two co-trained views."""
+    from .cotrain import scored, trained
+
+    docs = _table(spark, sf_dir, "documents")
+    model = trained(docs, _table(spark, sf_dir, "labels"))
+    return scored(docs, model).select("doc_id", *[F.round(c, 9).alias(c) for c in ("text_score", "meta_score", "score")], "kept")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC records and read back."""
     from .warc import archived
