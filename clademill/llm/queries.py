@@ -27,6 +27,13 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(docs.withColumn("held_out", held_out), trained(docs, labels))
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents by three-word shingles at 85 %."""
+    from .minhash import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards whose row counts are at most one apart."""
     from .sharding import interleaved
