@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .store import importable
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -80,6 +83,29 @@ FROM f JOIN r ON f.source IS NOT DISTINCT FROM r.source
 """
 
 
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and classes of all embeddings at a cosine of 0.98 within their label."""
+    from .covertree import near_vectors
+
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+OP7_SQL = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS rid, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.rid AS a, b.rid AS b, b.vec_id AS to_id FROM ok a JOIN ok b
+  ON a.label = b.label AND a.rid <> b.rid AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (
+  SELECT rid AS a, rid AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT v.vec_id, (SELECT count(*) FROM links l WHERE l.a = v.rid) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v JOIN (SELECT r.a, min(t.vec_id) AS component_id FROM reach r JOIN v t ON t.rid = r.b GROUP BY r.a) c ON c.a = v.rid
+"""
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned from those whose id's CRC-32 mod 4 is not 2."""
     from .langid import identified
@@ -131,4 +157,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_host_rules": OP6_SQL, "op10_warc": OP10_SQL}
+    return {"op6_host_rules": OP6_SQL, "op7_embeddings": OP7_SQL, "op10_warc": OP10_SQL}

@@ -7,15 +7,24 @@ shared storage, never from one executor's disk.
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package wherever the driver was started; a cluster ships it (--py-files)."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in (paths := env.get("PYTHONPATH", "").split(os.pathsep)):
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir. Only a local session without one gets a temporary folder."""
     sc = spark.sparkContext
