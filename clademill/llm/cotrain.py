@@ -186,3 +186,9 @@ def scored(docs: DataFrame, model: tuple[View, View, float] | float, least: floa
     both = F.col("a") + F.col("b") - float(np.log(good / (1 - good)))
     out = z.select(*own, p(F.col("a")).alias("text_score"), p(F.col("b")).alias("meta_score"), p(both).alias("score"))
     return out.withColumn("kept", F.col("score") >= least)
+
+
+def filtered(docs: DataFrame, model: tuple[View, View, float] | float, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of docs that are kept, all columns as they were."""
+    rows = docs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
+    return scored(rows, model, least).filter("kept").select("__row.*")

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import saved
 from .text import WORD
 
 #: Bounds of the rules: least words, most % of repeated words, most % symbols to words, most % of repeated lines.
@@ -22,11 +23,16 @@ MIN_WORDS, MAX_REPEAT, MAX_SYMBOLS, MAX_DUP_LINES = 50, 50, 10, 30
 MAX_HOST_RATE = 0.6
 
 
-def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """(doc_id, host, host_null, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, failed)."""
+def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", rows: bool = False) -> DataFrame:
+    """(doc_id, host, host_null, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, failed).
+
+    With rows, whole documents come along as the column row.
+    """
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if rows else []
     text = F.coalesce(F.col(text_col), F.lit(""))
     # w and s each have several references, so the optimizer keeps them as columns of their own projections.
     base = docs.select(
+        *row,
         F.col(id_col).alias("doc_id"),
         F.coalesce(F.col(host_col), F.lit("")).alias("host"),
         F.col(host_col).isNull().alias("host_null"),
@@ -37,7 +43,7 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     )
     # Three-word windows as (hash, place), sorted: equal windows are neighbours.
     base = base.select(
-        "doc_id", "host", "host_null", "word_chars", "n_symbols",
+        *(["row"] if rows else []), "doc_id", "host", "host_null", "word_chars", "n_symbols",
         F.size("w").cast("long").alias("n_words"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.sort_array(
@@ -84,8 +90,11 @@ def host_rates(docs: DataFrame) -> DataFrame:
 
 def judged(docs: DataFrame, max_host_rate: float = MAX_HOST_RATE, **columns) -> DataFrame:
     """measured() with host_rate and kept for every document."""
-    from .store import saved
-
     m = saved(measured(docs, **columns), "rule-counts")
     rates = host_rates(m).select("host", "host_null", F.col("rate").alias("host_rate"))
     return m.join(rates, ["host", "host_null"], "left").withColumn("kept", ~F.col("failed") & (F.col("host_rate") <= max_host_rate))
+
+
+def filtered(docs: DataFrame, max_host_rate: float = MAX_HOST_RATE, **columns) -> DataFrame:
+    """The rows of docs that are kept, all columns as they were."""
+    return judged(docs, max_host_rate, rows=True, **columns).filter("kept").select("row.*")

@@ -1,18 +1,18 @@
 """Near-duplicate documents by fast similarity sketches, banding and exact verification.
 
-A document's set holds the distinct runs of `size` words. Its sketch has BANDS * ROWS coordinates, filled in rounds: in round i each
+A document's set holds the distinct runs of `size` words. Its sketch has BINS coordinates, filled in rounds: in round i each
 element falls into a hashed bin with value i plus a fraction, and a bin keeps its least value; after as many rounds as bins, round
 t + k gives an element to bin k outright, so every coordinate fills, each agrees with the probability of the sets' similarity, and the agreements
 are concentrated about their mean.
 
 1. Equal sets become one class with the smallest id as its representative; all further steps see representatives only.
-2. Bands of ROWS coordinates are hashed. In a bucket, every member is paired with one pivot, not with every other member.
+2. Bands of coordinates are hashed, as long as banding() allows. In a bucket, every member is paired with one pivot, not with every other member.
 3. Pairs whose sketches agree well enough are verified on the full sets; verified links are merged into components.
 4. Members of a bucket whose component is not the pivot's are compared with the bucket's members in other components, in
    blocks and by sketches; what agrees is verified on full sets, and the components are merged again.
 
-Two texts that are linked but never compared are in one component already, or share no band: at the threshold, 0.85, a band agrees with probability 0.32 and
-no band with 2e-7; a linked pair's sketches agree in less than LEAST_AGREEMENT of the coordinates with 1e-6.
+Two texts that are linked but never compared are in one component already, or share no band, with a probability of at most MISS; a linked pair's
+sketches agree in so few coordinates that full sets are not looked at with 1e-6.
 
 Cases: null texts, texts without words and rows with a null id are linked with nothing (component: their own id); a text of fewer words than `size` is
 one run; repeated ids are one node of the graph; an empty table gives no rows; extra columns are not carried.
@@ -28,10 +28,10 @@ from .graph import components
 from .store import drop_saved, saved
 from .text import words
 
-BANDS, ROWS = 40, 7
-BINS = BANDS * ROWS
-#: Least share of agreeing coordinates that is worth a look at the full sets, below a threshold of 0.85 by 5 standard deviations.
-LEAST_AGREEMENT = 0.74
+#: Coordinates of a sketch; how likely a pair at the threshold may share no band.
+BINS, MISS = 280, 1e-6
+#: So far below the threshold may sketches agree for a look at the full sets: 5 standard deviations.
+MARGIN = 0.11
 #: Members of a bucket that are compared in one block; bytes of ids that are broadcast at most, more are joined by a shuffle.
 BLOCK, BROADCAST_BYTES = 512, 32 << 20
 
@@ -39,6 +39,12 @@ _GOLDEN, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and coordinates of a band: the longest bands of which a pair at the threshold shares one but for MISS."""
+    fits = [r for r in range(1, 20) if (1 - (percent / 100) ** r) ** (BINS // r) <= MISS]
+    return BINS // max(fits, default=1), max(fits, default=1)
+
+
 def shingles(text: Column, size: int) -> Column:
     """Distinct runs of `size` words, A-Z in lower case, as 64-bit hashes; the whole text if it has fewer words.
 
@@ -79,23 +85,23 @@ def sketch(elements: np.ndarray, bins: int = BINS) -> np.ndarray:
     return out
 
 
-def _sketches(batches):
+def _sketches(batches, bands: int, rows: int):
     import pyarrow as pa
 
-    odd = _mixed(np.arange(1, ROWS + 1, dtype=np.uint64)) | np.uint64(1)
-    band = _mixed(np.arange(1, BANDS + 1, dtype=np.uint64) * _GOLDEN)
+    odd = _mixed(np.arange(1, rows + 1, dtype=np.uint64)) | np.uint64(1)
+    band = _mixed(np.arange(1, bands + 1, dtype=np.uint64) * _GOLDEN)
     with np.errstate(over="ignore"):
         for batch in batches:
             ids, sets = batch.column("id"), batch.column("set")
             flat, ends = sets.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.cumsum(np.diff(sets.offsets.to_numpy()))
             n = len(ids)
-            small, keys = np.zeros((n, BINS), np.uint8), np.zeros((n, BANDS), np.uint64)
+            small, keys = np.zeros((n, BINS), np.uint8), np.zeros((n, bands), np.uint64)
             marks = np.zeros((2, n), np.uint64)
             for k in range(n):
                 e = flat[(ends[k - 1] if k else 0) : ends[k]]
                 s = sketch(e)
                 small[k] = (_mixed(s) >> np.uint64(56)).astype(np.uint8)
-                keys[k] = _mixed((s.reshape(BANDS, ROWS) * odd).sum(1) ^ band)
+                keys[k] = _mixed((s[: bands * rows].reshape(bands, rows) * odd).sum(1) ^ band)
                 marks[0, k], marks[1, k] = _mixed(e ^ _M1).sum(), np.bitwise_xor.reduce(_mixed(e + _M2))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -104,7 +110,7 @@ def _sketches(batches):
                     pa.array(marks[0].view(np.int64)),
                     pa.array(marks[1].view(np.int64)),
                     pa.array([r.tobytes() for r in small], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(keys.view(np.int64).ravel())),
+                    pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * bands, pa.int32()), pa.array(keys.view(np.int64).ravel())),
                 ],
                 names=["id", "n", "f1", "f2", "sketch", "bands"],
             )
@@ -146,7 +152,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     return linked
 
 
-def _unresolved_pairs(members: DataFrame, least: float, percent: int) -> DataFrame:
+def _unresolved_pairs(members: DataFrame, least: float, percent: int, bands: int, size: int) -> DataFrame:
     """Pairs across components from members (key, band, c, id, component, main, n, sketch) of buckets.
 
     Members of other components than the bucket's main one are the left side, all members the right one; both are dealt
@@ -171,7 +177,7 @@ def _unresolved_pairs(members: DataFrame, least: float, percent: int) -> DataFra
             if len(y):
                 same = s[y] == s[x]
                 y, same = y[(same.mean(1) - 1 / 256) / (1 - 1 / 256) >= least], same[(same.mean(1) - 1 / 256) / (1 - 1 / 256) >= least]
-                first = same.reshape(len(y), BANDS, ROWS).all(2).argmax(1)
+                first = same[:, : bands * size].reshape(len(y), bands, size).all(2).argmax(1)
                 for z in ids[y[first == band]]:
                     yield min(ids[x], z), max(ids[x], z)
 
@@ -194,15 +200,16 @@ def _unresolved_pairs(members: DataFrame, least: float, percent: int) -> DataFra
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, least: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): documents linked at percent similarity or more, directly or by others.
 
-    component_id is the smallest id reachable; kept is true for it. least (LEAST_AGREEMENT for 85, else 0.11 below
-    the threshold) is the agreement of sketches below which full sets are not looked at.
+    component_id is the smallest id reachable; kept is true for it. least (MARGIN below the threshold) is the
+    agreement of sketches below which full sets are not looked at.
     """
-    least = (percent / 100 - 0.11) if least is None else least
+    least = percent / 100 - MARGIN if least is None else least
+    bands, rows = banding(percent)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # Filtered by the text, not by the set: a filter on the set would be pushed below the column of words and split them anew for each.
     has_word = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     sets = with_shingles(docs.filter(F.col("id").isNotNull() & has_word), size)
-    all_rows = saved(sets.mapInArrow(_sketches, "id long, n long, f1 long, f2 long, sketch binary, bands array<long>"), "minhash-sketches")
+    all_rows = saved(sets.mapInArrow(lambda batches: _sketches(batches, bands, rows), "id long, n long, f1 long, f2 long, sketch binary, bands array<long>"), "minhash-sketches")
     same = ["f1", "f2", "n"]
     reps = saved(all_rows.groupBy(*same).agg(F.min("id").alias("id"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "minhash-reps")
     banded = reps.select("id", F.posexplode("bands").alias("band", "key"))
@@ -217,7 +224,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, least: fl
     label = members.filter("c > 2").join(found, "id", "left").select("key", "band", "c", "id", "pivot", own("component").alias("component"))
     split = label.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.max(F.when(F.col("id") == F.col("pivot"), F.col("component"))).alias("main"))
     open_rows = label.join(split.filter("least <> most").select("key", "main"), "key").join(reps.select("id", "n", "sketch"), "id")
-    more = saved(_unresolved_pairs(open_rows, least, percent), "minhash-pairs")
+    more = saved(_unresolved_pairs(open_rows, least, percent, bands, rows), "minhash-pairs")
     more = _verified(more, docs, size, percent)
     up = found.select(F.col("id").alias("a"), F.col("component").alias("x"))
     ends = more.join(up, "a", "left").select("b", F.coalesce("x", "a").alias("x"))
@@ -230,3 +237,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, least: fl
     rest = docs.filter(F.col("id").isNull() | ~has_word)
     alone = with_shingles(rest, size).select(F.col("id").alias("doc_id"), F.size("set").cast("long").alias("n_shingles"), F.col("id").alias("component_id"))
     return some.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80, **options) -> DataFrame:
+    """One row of docs for each class of near_duplicates(), all columns as they were; rows with a null id all stay."""
+    key = options.get("id_col", "doc_id")
+    kept = near_duplicates(docs, size, percent, **options).filter("kept").select(F.col("doc_id").alias(key)).filter(F.col(key).isNotNull()).distinct()
+    return docs.join(kept, key, "left_semi").dropDuplicates([key]).unionByName(docs.filter(F.col(key).isNull()))

@@ -121,3 +121,14 @@ def taken(docs: DataFrame, **options) -> DataFrame:
     return out.select(
         "doc_id", F.when(~F.col("src_null"), F.col("src")).alias("source"), "size", F.col("source_size").cast("long").alias("source_size"), F.coalesce("target", F.lit(0.0)).alias("target"), F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
     )
+
+
+def resampled(docs: DataFrame, **options) -> DataFrame:
+    """docs as the mix has them: each as often as the mix takes its words, rounded; documents of which it takes under half go.
+
+    Repeated ids share what was taken of them.
+    """
+    key = options.get("id_col", "doc_id")
+    counts = taken(docs, **options).groupBy(F.col("doc_id").alias("__id")).agg(F.try_divide(F.sum("taken"), F.sum("size")).alias("__share")).filter("__share >= 0.5")
+    out = docs.join(counts, docs[key].eqNullSafe(counts["__id"]))
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.round("__share").cast("int")))).select(*[docs[c] for c in docs.columns])

@@ -30,6 +30,13 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(docs.withColumn("held_out", held_out), trained(docs, labels))
 
 
+def op3_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sampled segmentations of every document, and whether they decode to its text."""
+    from .segment import digested
+
+    return digested(_table(spark, sf_dir, "documents"), k=2)
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents by three-word shingles at 85 %."""
     from .minhash import near_duplicates
