@@ -257,7 +257,7 @@ place AS (SELECT node, row_number() OVER (PARTITION BY CASE WHEN parent_id <> t_
     mean = "(" + " + ".join(f'"{y}"' for y in _YEARS) + f")::DOUBLE / {len(_YEARS)}"
     median = "list_sort([" + ", ".join(f'"{y}"' for y in _YEARS) + f"])[{len(_YEARS) // 2 + 1}]::DOUBLE"
     corr = """
-rk AS (SELECT *, count(*) OVER (PARTITION BY t_id) AS n, row_number() OVER (PARTITION BY t_id ORDER BY mm_obs_cov DESC NULLS LAST, sample_id) AS place FROM mm3),
+rk AS (SELECT * REPLACE (CASE WHEN mm_obs_cov IS NOT NULL THEN mm_exp_cov END AS mm_exp_cov), count(*) OVER (PARTITION BY t_id) AS n, row_number() OVER (PARTITION BY t_id ORDER BY mm_obs_cov DESC NULLS LAST, sample_id) AS place FROM mm3),
 fl AS (SELECT *, place > round(greatest(n * 1 / 100, 3)) AND mm_obs_cov IS NOT NULL AS inside FROM rk),
 co AS (
   SELECT t_id, max(n) AS n, count(*) FILTER (WHERE inside) AS nf,
