@@ -7,7 +7,7 @@ Cases: unknown extensions and missing columns are errors; lists become strings i
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
@@ -28,13 +28,21 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     raise ValueError(f"can't tell the format of {path}: .parquet, .csv or .tsv")
 
 
+def _as_text(x: Column) -> Column:
+    return x.cast("string")
+
+
+def _rounded(x: Column) -> Column:
+    return F.round(x, 4).cast("string")
+
+
 def plain_lists(df: DataFrame) -> DataFrame:
     """Lists joined by semicolons, numbers with a fraction rounded to 4 places."""
     out = {}
     for f in df.schema.fields:
         if isinstance(f.dataType, ArrayType):
             double = isinstance(f.dataType.elementType, DoubleType)
-            out[f.name] = F.array_join(F.transform(f"`{f.name}`", lambda x, d=double: (F.round(x, 4) if d else x).cast("string")), ";")
+            out[f.name] = F.array_join(F.transform(f"`{f.name}`", _rounded if double else _as_text), ";")
     return df.withColumns(out) if out else df
 
 
