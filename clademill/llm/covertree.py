@@ -45,10 +45,10 @@ def _net(x: np.ndarray, apart: float) -> list[int]:
 
 def _split(members: DataFrame, nodes: DataFrame, apart: float) -> tuple[DataFrame, DataFrame]:
     """Members and nodes one level further down: nodes of over LEAF points are split, the others are their own child."""
-    large = nodes.filter(F.col("points") > LEAF).select("node", "points")
+    large = nodes.filter(F.col("points") > LEAF).select("node", F.col("points").alias("size"))
     h = F.pmod(F.xxhash64(F.lit(5), "id", "node"), F.lit(1 << 40)) / float(1 << 40)
     # About 2 * FANOUT points of a node by a threshold on the hash: the sample is bounded whatever the node's size.
-    sample = members.join(large, "node").withColumn("h", h).filter(F.col("h") < 2 * FANOUT / F.col("points"))
+    sample = members.join(large, "node").withColumn("h", h).filter(F.col("h") < 2 * FANOUT / F.col("size"))
     pivots = sample.groupBy("node").agg(F.slice(F.array_sort(F.collect_list(F.struct("h", "vec"))), 1, FANOUT)["vec"].alias("pivots"))
     rows = members.join(pivots, "node", "left")
 

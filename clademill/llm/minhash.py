@@ -9,7 +9,8 @@ are concentrated about their mean.
 2. Bands of coordinates are hashed, as long as banding() allows. In a bucket, every member is paired with one pivot, not with every other member.
 3. Pairs whose sketches agree well enough are verified on the full sets; verified links are merged into components.
 4. Members of a bucket whose component is not the pivot's are compared with the bucket's members in other components, in
-   blocks and by sketches; what agrees is verified on full sets, and the components are merged again.
+   blocks and by sketches; those that agree, directly or by others, are a family. Inside a family, full sets are compared in pairs of
+   blocks, each of which gives no more links than it takes to connect its components, and the components are merged again.
 
 Two texts that are linked but never compared are in one component already, or share no band, with a probability of at most MISS; a linked pair's
 sketches agree in so few coordinates that full sets are not looked at with 1e-6.
@@ -32,8 +33,8 @@ from .text import words
 BINS, MISS = 280, 1e-6
 #: So far below the threshold may sketches agree for a look at the full sets: 5 standard deviations.
 MARGIN = 0.11
-#: Members of a bucket that are compared in one block; bytes of ids that are broadcast at most, more are joined by a shuffle.
-BLOCK, BROADCAST_BYTES = 512, 32 << 20
+#: Members and elements of their sets in one block, about; bytes of ids that are broadcast at most, more are joined by a shuffle.
+BLOCK, ELEMENTS, BROADCAST_BYTES = 512, 2_000_000, 32 << 20
 
 _GOLDEN, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -137,13 +138,18 @@ def _agreeing(pairs: DataFrame, reps: DataFrame, least: float, percent: int) ->
     return rows.select("a", "b", "s_a", "s_b").mapInArrow(keep, "a long, b long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those of pairs (a, b) whose full sets are linked: percent of the union is shared."""
-    ids = saved(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "minhash-ids")
+def _sets_of(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(id, set) of the ids in a saved table."""
     # The ids' size is checked: beyond the bound the documents are shuffled to them.
     known = F.broadcast(ids) if ids.count() * 8 <= BROADCAST_BYTES else ids
     sets = with_shingles(docs.join(known, "id", "left_semi"), size)
-    sets = saved(sets.groupBy("id").agg(F.first("set").alias("set")), "minhash-sets")
+    return saved(sets.groupBy("id").agg(F.first("set").alias("set")), "minhash-sets")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Those of pairs (a, b) whose full sets are linked: percent of the union is shared."""
+    ids = saved(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "minhash-ids")
+    sets = _sets_of(ids, docs, size)
     rows = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
     rows = rows.select("a", "b", shared.alias("i"), (F.size("x") + F.size("y")).alias("all"))
@@ -152,49 +158,118 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     return linked
 
 
-def _unresolved_pairs(members: DataFrame, least: float, percent: int, bands: int, size: int) -> DataFrame:
-    """Pairs across components from members (key, band, c, id, component, main, n, sketch) of buckets.
+def _blocked(members: DataFrame, group: str, extra: list[str]) -> DataFrame:
+    """members (group, id, component, main, c, e, n, sketch and extra) dealt to pairs of blocks (group, i, j) with the sides left and right.
 
-    Members of other components than the bucket's main one are the left side, all members the right one; both are dealt
-    to blocks and each pair of blocks is one group. A pair is given by the first band that it shares only.
+    Members of other components than the group's main one are the left side, all members the right one. A block holds
+    about BLOCK members and ELEMENTS elements of sets at most; c and e are the group's members and elements.
     """
-    parts = F.ceil(F.col("c") / BLOCK).cast("int")
+    parts = F.greatest(F.ceil(F.col("c") / BLOCK), F.ceil(F.col("e") / ELEMENTS)).cast("int")
     m = members.withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).withColumn("minor", F.col("component") != F.col("main"))
     each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    one = m.filter("parts = 1").withColumn("i", F.lit(0)).withColumn("j", F.lit(0)).withColumn("left", F.col("minor")).withColumn("right", F.lit(True))
+    columns = [group, "i", "j", "id", "component", "n", "sketch", *extra, "left", "right"]
+    one = m.filter("parts = 1").withColumn("i", F.lit(0)).withColumn("j", F.lit(0)).withColumn("left", F.col("minor")).withColumn("right", F.lit(True)).select(columns)
     many = m.filter("parts > 1")
     left = many.filter("minor").withColumn("j", each).withColumn("i", F.col("block")).withColumn("left", F.lit(True)).withColumn("right", F.lit(False))
     right = many.withColumn("i", each).withColumn("j", F.col("block")).withColumn("left", F.lit(False)).withColumn("right", F.lit(True))
-    rows = one.unionByName(left.select(one.columns)).unionByName(right.select(one.columns)).select("key", "i", "j", "band", "id", "component", "n", "sketch", "left", "right")
-    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-
-    def compare(group):
-        s = np.stack(group["sketch"].map(lambda b: np.frombuffer(b, np.uint8)).to_numpy())
-        ids, comp, n = (group[c].to_numpy() for c in ("id", "component", "n"))
-        band, right = int(group["band"].iat[0]), np.flatnonzero(group["right"].to_numpy())
-        for x in np.flatnonzero(group["left"].to_numpy()):
-            y = right[(comp[right] != comp[x]) & (100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x]))]
-            if len(y):
-                same = s[y] == s[x]
-                y, same = y[(same.mean(1) - 1 / 256) / (1 - 1 / 256) >= least], same[(same.mean(1) - 1 / 256) / (1 - 1 / 256) >= least]
-                first = same[:, : bands * size].reshape(len(y), bands, size).all(2).argmax(1)
-                for z in ids[y[first == band]]:
-                    yield min(ids[x], z), max(ids[x], z)
+    rows = one.unionByName(left.select(columns)).unionByName(right.select(columns))
+    return rows.repartition(group, "i", "j").sortWithinPartitions(group, "i", "j")
+
+
+def _compared(rows: DataFrame, group: str, compare) -> DataFrame:
+    """Pairs (a, b) that compare() yields for each pair of blocks; frames are bounded, and so is what is kept between them."""
 
     def pairs(frames):
         import pandas as pd
 
+        made = lambda g: pd.DataFrame(list(compare(g)), columns=["a", "b"], dtype="int64")
         rest = None
         for frame in frames:
             frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            start = np.flatnonzero((frame[["key", "i", "j"]].diff() != 0).any(axis=1).to_numpy())
+            start = np.flatnonzero((frame[[group, "i", "j"]].diff() != 0).any(axis=1).to_numpy())
             for a, b in zip(start[:-1], start[1:], strict=True):
-                yield pd.DataFrame(list(compare(frame.iloc[a:b])), columns=["a", "b"], dtype="int64")
+                yield made(frame.iloc[a:b])
             rest = frame.iloc[start[-1] :] if len(start) else None
         if rest is not None and len(rest):
-            yield pd.DataFrame(list(compare(rest)), columns=["a", "b"], dtype="int64")
+            yield made(rest)
+
+    return rows.mapInPandas(pairs, "a long, b long")
+
+
+class _Merged:
+    """Classes of 0 .. n - 1, merged one pair at a time."""
+
+    def __init__(self, n: int):
+        self.of = np.arange(n)
+
+    def merge(self, a: int, b: int) -> None:
+        self.of[self.of == self.of[b]] = self.of[a]
+
+
+def _candidates(s: np.ndarray, n: np.ndarray, x: int, y: np.ndarray, least: float, percent: int) -> np.ndarray:
+    """Those of the rows y that sizes and sketches allow to be linked with row x, likeliest first."""
+    y = y[100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x])]
+    if not len(y):
+        return y
+    likely = agreement(s[y], s[x])
+    order = np.argsort(-likely, kind="stable")
+    return y[order[: int((likely >= least).sum())]]
+
+
+def _columns(group) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    s = np.stack(group["sketch"].map(lambda b: np.frombuffer(b, np.uint8)).to_numpy())
+    return s, group["id"].to_numpy(), group["component"].to_numpy(), group["n"].to_numpy(), np.flatnonzero(group["left"].to_numpy()), np.flatnonzero(group["right"].to_numpy())
+
+
+def _families(members: DataFrame, least: float, percent: int) -> DataFrame:
+    """(id, family): members of buckets that sketches allow to be linked across components, directly or by others.
+
+    Of the pairs in two blocks, only as many are given as it takes to connect what they connect.
+    """
+
+    def connect(group):
+        s, ids, comp, n, left, right = _columns(group)
+        _, who = np.unique(ids, return_inverse=True)  # a member can be on both sides
+        seen = _Merged(who.max() + 1)
+        for x in left:
+            y = right[(comp[right] != comp[x]) & (seen.of[who[right]] != seen.of[who[x]])]
+            for z in _candidates(s, n, x, y, least, percent):
+                if seen.of[who[z]] != seen.of[who[x]]:
+                    seen.merge(who[x], who[z])
+                    yield min(ids[x], ids[z]), max(ids[x], ids[z])
+
+    edges = _compared(_blocked(members, "key", []), "key", connect).distinct()
+    return components(saved(edges, "minhash-edges")).withColumnRenamed("component", "family")
+
+
+def _links_of_families(families: DataFrame, least: float, percent: int) -> DataFrame:
+    """Links (a, b) from members (family, id, component, main, c, e, n, sketch, set): full sets are compared inside pairs of blocks.
+
+    A pair is skipped if links found in the blocks connect it already.
+    """
+
+    def link(group):
+        s, ids, comp, n, left, right = _columns(group)
+        sets = [np.asarray(x, np.int64) for x in group["set"]]
+        ends = np.cumsum([len(x) for x in sets])
+        _, at = np.unique(np.concatenate(sets), return_inverse=True)
+        own = lambda k: at[ends[k] - len(sets[k]) : ends[k]]
+        mark = np.zeros(at.max() + 1, bool)
+        _, who = np.unique(comp, return_inverse=True)
+        seen = _Merged(who.max() + 1)
+        for x in left:
+            y = _candidates(s, n, x, right[seen.of[who[right]] != seen.of[who[x]]], least, percent)
+            if len(y):
+                mark[own(x)] = True
+                for z in y:
+                    if seen.of[who[z]] != seen.of[who[x]]:
+                        both = int(mark[own(z)].sum())
+                        if 100 * both >= percent * (len(sets[x]) + len(sets[z]) - both):
+                            seen.merge(who[x], who[z])
+                            yield min(ids[x], ids[z]), max(ids[x], ids[z])
+                mark[own(x)] = False
 
-    return rows.mapInPandas(pairs, "a long, b long").distinct()
+    return _compared(_blocked(families, "family", ["set"]), "family", link).distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, least: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -212,7 +287,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, least: fl
     all_rows = saved(sets.mapInArrow(lambda batches: _sketches(batches, bands, rows), "id long, n long, f1 long, f2 long, sketch binary, bands array<long>"), "minhash-sketches")
     same = ["f1", "f2", "n"]
     reps = saved(all_rows.groupBy(*same).agg(F.min("id").alias("id"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "minhash-reps")
-    banded = reps.select("id", F.posexplode("bands").alias("band", "key"))
+    banded = reps.select("id", "n", F.explode("bands").alias("key"))
     pivot = F.min_by("id", F.struct(F.xxhash64("id"), "id"))
     buckets = saved(banded.groupBy("key").agg(F.count(F.lit(1)).alias("c"), pivot.alias("pivot")).filter("c > 1"), "minhash-buckets")
     members = saved(banded.join(buckets, "key"), "minhash-members")
@@ -221,11 +296,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, least: fl
     found = components(links)
     # Buckets of three or more whose members are not all in one component.
     own = lambda x: F.coalesce(F.col(x), F.col("id"))
-    label = members.filter("c > 2").join(found, "id", "left").select("key", "band", "c", "id", "pivot", own("component").alias("component"))
+    label = members.filter("c > 2").join(found, "id", "left").select("key", "c", "id", "n", "pivot", own("component").alias("component"))
     split = label.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.max(F.when(F.col("id") == F.col("pivot"), F.col("component"))).alias("main"))
-    open_rows = label.join(split.filter("least <> most").select("key", "main"), "key").join(reps.select("id", "n", "sketch"), "id")
-    more = saved(_unresolved_pairs(open_rows, least, percent, bands, rows), "minhash-pairs")
-    more = _verified(more, docs, size, percent)
+    open_rows = label.join(split.filter("least <> most").select("key", "main"), "key").join(reps.select("id", "sketch"), "id").withColumn("e", F.lit(0))
+    families = saved(_families(open_rows, least, percent), "minhash-families")
+    inside = families.join(found, "id", "left").select("id", "family", own("component").alias("component")).join(reps.select("id", "n", "sketch"), "id")
+    per = inside.groupBy("family", "component").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("e"))
+    per = per.groupBy("family").agg(F.sum("k").alias("c"), F.sum("e").alias("e"), F.max_by("component", F.struct("k", "component")).alias("main"))
+    inside = inside.join(per, "family").join(_sets_of(families.select("id"), docs, size), "id")
+    more = saved(_links_of_families(inside, least, percent), "minhash-links")
     up = found.select(F.col("id").alias("a"), F.col("component").alias("x"))
     ends = more.join(up, "a", "left").select("b", F.coalesce("x", "a").alias("x"))
     ends = ends.join(up.select(F.col("a").alias("b"), F.col("x").alias("y")), "b", "left").select("x", F.coalesce("y", "b").alias("y"))
