@@ -39,24 +39,24 @@ def measures(docs: DataFrame) -> DataFrame:
     own = [c for c in docs.columns if c not in ("text", "lang", "source", "n_chars", *TEXT_VIEW, *META_NUMBERS)]
     names = [(F.col(c) if c in docs.columns else F.lit(None)).cast("string").alias(c) for c in META_NAMES]
     length = F.col("n_chars") if "n_chars" in docs.columns else F.length(text)
-    at_first = docs.select(*own, *names, text.alias("t"), F.length(text).alias("n"), F.coalesce(length, F.lit(0)).alias("length"), F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("w"))
-    n, words = F.greatest("n", F.lit(1)), F.greatest(F.size("w"), F.lit(1))
-    share = lambda chars: (F.col("n") - F.length(F.translate("t", chars, ""))) / n
-    lines = F.col("n") - F.length(F.translate("t", "\n", "")) + 1
-    next_same = F.zip_with("w", F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))), lambda a, b: a == b)
+    at_first = docs.select(*[F.col(f"`{c}`") for c in own], *names, text.alias("__t"), F.length(text).alias("__n"), F.coalesce(length, F.lit(0)).alias("length"), F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("__w"))
+    n, words = F.greatest("__n", F.lit(1)), F.greatest(F.size("__w"), F.lit(1))
+    share = lambda chars: (F.col("__n") - F.length(F.translate("__t", chars, ""))) / n
+    lines = F.col("__n") - F.length(F.translate("__t", "\n", "")) + 1
+    next_same = F.zip_with("__w", F.slice("__w", 2, F.greatest(F.size("__w"), F.lit(1))), lambda a, b: a == b)
     return at_first.select(
-        *own, *META_NAMES,
+        *[F.col(f"`{c}`") for c in own], *META_NAMES,
         share("#*$%&<>^~=@").alias("symbols"),
-        (F.length(F.regexp_replace("t", r"\P{Lu}+", "")) / n).alias("capitals"),
+        (F.length(F.regexp_replace("__t", r"\P{Lu}+", "")) / n).alias("capitals"),
         share("0123456789").alias("digits"),
         share("!?").alias("marks"),
-        (F.size(F.array_distinct("w")) / words / (F.lit(1) / F.sqrt(words))).alias("distinct"),
+        (F.size(F.array_distinct("__w")) / words / (F.lit(1) / F.sqrt(words))).alias("distinct"),
         (F.size(F.filter(next_same, lambda x: x)) / words).alias("same_next"),
-        (F.length(F.translate("t", " \t\n\x0b\x0c\r", "")) / words).alias("word_length"),
+        (F.length(F.translate("__t", " \t\n\x0b\x0c\r", "")) / words).alias("word_length"),
         share("|").alias("bars"),
         F.log1p(F.col("length").cast("double")).alias("length"),
         F.log1p(lines.cast("double")).alias("lines"),
-        (F.col("n") / lines).alias("line_length"),
+        (F.col("__n") / lines).alias("line_length"),
     )
 
 
@@ -119,6 +119,11 @@ class View:
         return total * float(self.slope) + float(self.shift)
 
 
+def _needed(docs: DataFrame) -> DataFrame:
+    """The columns that measures() reads, and the id."""
+    return docs.select(*[c for c in ("doc_id", "text", *META_NAMES, "n_chars") if c in docs.columns])
+
+
 def _bounded(df: DataFrame, most: int, seed: int) -> list:
     """Rows of smallest hash, at most `most`; the text must be gone by now."""
     return df.orderBy(F.xxhash64(F.lit(seed), "doc_id"), *[c for c in df.columns if c != "doc_id"]).limit(most).collect()
@@ -126,6 +131,7 @@ def _bounded(df: DataFrame, most: int, seed: int) -> list:
 
 def trained(docs: DataFrame, labels: DataFrame, seed: int = 17, labelled: int = LABELLED, pool: int = POOL, rounds: int = ROUNDS) -> tuple[View, View, float] | float:
     """Both views and the share of good labels, or the share alone if there is nothing to tell apart."""
+    docs = _needed(docs)
     labels = labels.select("doc_id", F.col("quality").cast("int").alias("y")).filter("doc_id IS NOT NULL AND quality IN (0, 1)")
     counts = {r["y"]: r["n"] for r in labels.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = counts.get(0, 0), counts.get(1, 0)
@@ -190,5 +196,5 @@ def scored(docs: DataFrame, model: tuple[View, View, float] | float, least: floa
 
 def filtered(docs: DataFrame, model: tuple[View, View, float] | float, least: float = LEAST_SCORE) -> DataFrame:
     """The rows of docs that are kept, all columns as they were."""
-    rows = docs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *_needed(docs).columns)
     return scored(rows, model, least).filter("kept").select("__row.*")

@@ -54,7 +54,7 @@ class Automata:
         table = np.array(rows, np.int32)
         self.bits = np.array(bits)
         start = table[self.roots]  # after a failed step a phrase begins with the character itself
-        self.cost = np.where(start == 0, 2, 1).astype(np.int32)
+        self.unknown = (start == 0).astype(np.int32)
         self.start = np.where(start == 0, np.array(self.roots, np.int32)[:, None], start).astype(np.int32)
         self.next = table.ravel()
 
@@ -124,17 +124,20 @@ class Automata:
         order = np.argsort(-lengths, kind="stable")
         owner, lengths, begins = owner[order], lengths[order], begins[order]
         active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
-        state = np.repeat(np.array(self.roots, np.int32)[:, None], len(lengths), 1)
+        roots = np.array(self.roots, np.int32)[:, None]
+        state = np.repeat(roots, len(lengths), 1)
         count = np.zeros(state.shape, np.int32)
         for j in range(lengths[0]):
             n = active[j]
             c = flat[begins[:n] + j]
             to = self.next.take(state[:, :n] * self.width + c)
             lost = to == 0
-            count[:, :n] += lost * self.cost[:, c]
+            # The phrase so far ends, if there is one; a character that the language lacks is a phrase of its own.
+            count[:, :n] += lost * (self.unknown[:, c] + (state[:, :n] != roots))
             state[:, :n] = np.where(lost, self.start[:, c], to)
+        count += state != roots
         for k in range(len(self.langs)):
-            total[:, k] = np.bincount(owner, weights=count[k] + 1, minlength=len(texts))
+            total[:, k] = np.bincount(owner, weights=count[k], minlength=len(texts))
         return total, np.bincount(owner, weights=lengths, minlength=len(texts)).astype(np.int64)
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
@@ -208,4 +211,4 @@ def identified(docs: DataFrame, learn_from: DataFrame, seed: int = 17) -> DataFr
 
     predict.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     found = F.pandas_udf(predict, "lang_pred string, score double")
-    return rows.withColumn("found", found("text")).select(*keep, "found.lang_pred", "found.score")
+    return rows.withColumn("__found", found("text")).select(*keep, "__found.lang_pred", "__found.score")

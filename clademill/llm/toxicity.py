@@ -66,7 +66,7 @@ def _exploded_features(rows: DataFrame) -> DataFrame:
         for b in batches:
             for text, toxic in zip(b["text"], b["toxic"], strict=True):
                 f = sorted(features(text))
-                yield pd.DataFrame({"feature": f, "toxic": np.full(len(f), toxic, np.int32)})
+                yield pd.DataFrame({"feature": pd.Series(f, dtype=object), "toxic": np.full(len(f), toxic, np.int32)})
 
     return rows.select("text", F.col("toxic").cast("int")).mapInPandas(split, "feature string, toxic int")
 
