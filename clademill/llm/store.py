@@ -1,21 +1,15 @@
-"""Tables in the folder that driver and executors share.
-
-Cutting lineage with a written table survives lost executors: every later read comes from
-shared storage, never from one executor's disk.
-"""
+"""Tables in the shared folder, and Python workers that can import the package."""
 
 from __future__ import annotations
 
-import atexit
 import os
-import shutil
-import tempfile
-import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
+
+from ..shared import drop_saved, fresh_path, saved
 
-_own: dict[str, str] = {}
+__all__ = ["drop_saved", "fresh_path", "importable", "saved"]
 
 
 def importable(spark: SparkSession) -> None:
@@ -23,39 +17,3 @@ def importable(spark: SparkSession) -> None:
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in (paths := env.get("PYTHONPATH", "").split(os.pathsep)):
         env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir. Only a local session without one gets a temporary folder."""
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir")
-    if configured:
-        return configured.rstrip("/")
-    if not sc.master.startswith("local[") and sc.master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if sc.applicationId not in _own:
-        path = tempfile.mkdtemp(prefix="clademill-")
-        atexit.register(shutil.rmtree, path, True)
-        _own[sc.applicationId] = path
-    return _own[sc.applicationId]
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write df once as Parquet in the shared folder and read it back."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_saved(df: DataFrame) -> None:
-    """Delete the files behind a frame that saved() returned, once nothing reads it any more."""
-    jvm = df.sparkSession._jvm
-    conf = df.sparkSession._jsc.hadoopConfiguration()
-    for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(parent)
-        path.getFileSystem(conf).delete(path, True)
