@@ -58,7 +58,7 @@ if __name__ == "__main__":
 
     import __spark_entry__ as entry
 
-    spark = SparkSession.builder.master("local[3]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    spark = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     con = connection(sys.argv[1])
     for name in sys.argv[2:] or entry.oracle_sql():
