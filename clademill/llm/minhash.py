@@ -22,7 +22,7 @@ one run; repeated ids are one node of the graph; an empty table gives no rows; e
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import components
@@ -224,21 +224,26 @@ def _columns(group) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.
 def _families(members: DataFrame, least: float, percent: int) -> DataFrame:
     """(id, family): members of buckets that sketches allow to be linked across components, directly or by others.
 
-    Of the pairs in two blocks, only as many are given as it takes to connect what they connect.
+    Two blocks give no pairs but each member with the least one that it is connected to there; of the least ones that a member has
+    in several buckets, the least stands for all.
     """
 
     def connect(group):
         s, ids, comp, n, left, right = _columns(group)
-        _, who = np.unique(ids, return_inverse=True)  # a member can be on both sides
-        seen = _Merged(who.max() + 1)
+        names, who = np.unique(ids, return_inverse=True)  # a member can be on both sides
+        seen = _Merged(len(names))
         for x in left:
             y = right[(comp[right] != comp[x]) & (seen.of[who[right]] != seen.of[who[x]])]
             for z in _candidates(s, n, x, y, least, percent):
                 if seen.of[who[z]] != seen.of[who[x]]:
                     seen.merge(who[x], who[z])
-                    yield min(ids[x], ids[z]), max(ids[x], ids[z])
+        lowest: dict[int, int] = {}
+        for k, c in enumerate(seen.of):
+            if lowest.setdefault(c, k) != k:
+                yield names[lowest[c]], names[k]
 
-    edges = _compared(_blocked(members, "key", []), "key", connect).distinct()
+    stars = _compared(_blocked(members, "key", []), "key", connect).distinct().withColumn("m", F.min("a").over(Window.partitionBy("b")))
+    edges = stars.select(F.explode(F.array(F.struct("m", "b"), F.struct("m", F.col("a").alias("b")))).alias("e")).select(F.col("e.m").alias("a"), F.col("e.b").alias("b")).filter("a <> b").distinct()
     return components(saved(edges, "minhash-edges")).withColumnRenamed("component", "family")
 
 
