@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .logistic import Sparse, fit, sigmoid
+from .store import saved
 from .text import WORD
 
 #: Bounds of the learned samples: labelled rows of either class, rows of the unlabelled pool.
@@ -197,4 +198,5 @@ def scored(docs: DataFrame, model: tuple[View, View, float] | float, least: floa
 def filtered(docs: DataFrame, model: tuple[View, View, float] | float, least: float = LEAST_SCORE) -> DataFrame:
     """The rows of docs that are kept, all columns as they were."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *_needed(docs).columns)
-    return scored(rows, model, least).filter("kept").select("__row.*")
+    # Written out first: a filter on the score would be pushed below the measures and compute them anew for every bin.
+    return saved(scored(rows, model, least).select("__row", "kept"), "quality-scores").filter("kept").select("__row.*")
