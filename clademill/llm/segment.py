@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of a unit at most; characters of texts that are worked on together.
-UNIT, CHUNK = 48, 2_000_000
+UNIT, CHUNK = 48, 500_000
 #: Masses of other segmentations below this are rounding errors.
 LEAST_MASS = 1e-9
 _BLANK, _LITERAL = 0x2581, 0x110000
