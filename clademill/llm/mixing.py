@@ -69,6 +69,8 @@ def schedule(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     chunked = quota.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / _CHUNK).cast("long")))).repartition("src_null", "src", "chunk")
     cells = chunked.withColumn("cell", F.explode(F.sequence(F.col("first") + F.col("chunk") * _CHUNK, F.col("first") + F.least((F.col("chunk") + 1) * _CHUNK, F.col("slots")) - 1)))
     steps = cells.select("src_null", "src", "source_size", "blocks", "full", "rest", _bit_reversed(F.col("cell"), bits).alias("step"))
+    # Written out, as the optimizer takes exploded rows to be as few as their sources and would broadcast them.
+    steps = saved(steps, "mix-steps")
     # Steps lie below 2^bits: equal ranges of steps are the buckets.
     per_bucket = max(1, (1 << bits) // bucket_count(n))
     steps = ranked(steps.withColumn("bucket", F.floor(F.col("step") / per_bucket)), ["src_null", "src"], "bucket", [F.col("step")], "rank")
