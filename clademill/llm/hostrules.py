@@ -21,6 +21,8 @@ from .text import WORD
 MIN_WORDS, MAX_REPEAT, MAX_SYMBOLS, MAX_DUP_LINES = 50, 50, 10, 30
 #: A host goes if its shrunk failure rate is above this.
 MAX_HOST_RATE = 0.6
+#: Bytes of host rates that are broadcast at most.
+BROADCAST_BYTES = 8 << 20
 
 
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", rows: bool = False) -> DataFrame:
@@ -91,7 +93,10 @@ def host_rates(docs: DataFrame) -> DataFrame:
 def judged(docs: DataFrame, max_host_rate: float = MAX_HOST_RATE, **columns) -> DataFrame:
     """measured() with host_rate and kept for every document."""
     m = saved(measured(docs, **columns), "rule-counts")
-    rates = host_rates(m).select("host", "host_null", F.col("rate").alias("host_rate"))
+    rates = saved(host_rates(m).select("host", "host_null", F.col("rate").alias("host_rate")), "rule-hosts")
+    # The hosts' size is checked: beyond the bound documents are shuffled to them, where Spark splits large hosts.
+    if (rates.agg(F.sum(F.octet_length("host") + 32)).first()[0] or 0) <= BROADCAST_BYTES:
+        rates = F.broadcast(rates)
     return m.join(rates, ["host", "host_null"], "left").withColumn("kept", ~F.col("failed") & (F.col("host_rate") <= max_host_rate))
 
 
