@@ -116,10 +116,7 @@ def rank_totals(spark, sf_dir):
 def wide_table(spark, sf_dir):
     years = w.bare_reads(spark, sf_dir).withColumn("sample_id", F.left("sample_id", F.lit(4)))
     cells = tables.abundance_table(kmers.read_counts(years), w.taxa(spark, sf_dir), "clade", MIN_READS, MIN_OBSERVED, keep_unclassified=True)
-    return tables.wide(cells, _YEARS)
-
-
-_YEARS = [str(y) for y in range(1992, 1999)]
+    return tables.wide(cells)
 
 
 def species_rollup(spark, sf_dir):
