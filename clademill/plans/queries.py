@@ -169,11 +169,17 @@ def readlen_sample(spark, sf_dir):
     return _rounded(features.read_length_features(read_length_aggregate(spark, sf_dir), "sample"))
 
 
+def _halves(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the first and of the second half of the samples that there are."""
+    samples = sorted(r[0] for r in rows.select("sample_id").distinct().collect())
+    cut = F.lit(samples[len(samples) // 2] if samples else None).cast("string")
+    return rows.filter(F.col("sample_id") < cut), rows.filter(F.col("sample_id") >= cut)
+
+
 def chunk_union(spark, sf_dir):
     """Read length features of all samples from two halves that were counted apart."""
-    lengths = read_length_aggregate(spark, sf_dir)
-    halves = [features.read_length_features(lengths.filter(c), "sample") for c in ("sample_id < '1995'", "sample_id >= '1995'")]
-    return _rounded(halves[0].unionByName(halves[1]))
+    first, second = (features.read_length_features(half, "sample") for half in _halves(read_length_aggregate(spark, sf_dir)))
+    return _rounded(first.unionByName(second))
 
 
 def _dense(spark, sf_dir) -> DataFrame:
