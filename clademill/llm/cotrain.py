@@ -1,14 +1,16 @@
 """Quality classifier by co-training on two views.
 
 The text view sees what the text is like (symbols, capitals, repetition, word lengths), the metadata view what is known
-about the document (language, source, length, layout). Both start from labelled rows; in each round each view labels the
-rows of an unlabelled pool that it is surest of, for the other view to learn from. Each view is calibrated on
+about the document (language, source, length, layout). Both start from labelled rows; in each round each view scores all unlabelled
+rows, and the other view learns from those it is sure of: weights of bins from the surest rows of the whole table, more of them each round, weights of
+languages and sources from the counts of all sure rows by name. Each view is calibrated on
 labelled rows that neither has learned from, and the calibrated views are multiplied as independent evidence.
 
-Measures are built-in functions cut into bins learned from the sample, and a score is a sum of looked-up weights, so
-scoring all documents is one scan without Python.
+Measures are built-in functions cut into bins learned from all rows, and a score is a sum of looked-up weights, so
+scoring all documents is one scan without Python. Measures of all rows are written once for the rounds. The driver holds every distinct language and
+source with a weight, and counts by name and up to 41 steps of the logit; names are joined to rows as a broadcast table.
 
-Cases: null and empty texts have zero for every measure; null languages and sources are values of their own; labels
+Cases: null and empty texts have zero for every measure; null languages and sources are values of their own, names that were in no row learned from weigh nothing; labels
 of null and rows with a null id are not learned from; with labels of one class only, or none, every score is the share of good labels (1/2 without
 labels); an empty table gives no rows; repeated rows score alike; extra columns are not carried.
 """
@@ -23,10 +25,12 @@ from .logistic import Sparse, fit, sigmoid
 from .store import saved
 from .text import WORD
 
-#: Bounds of the learned samples: labelled rows of either class, rows of the unlabelled pool.
-LABELLED, POOL = 2000, 4000
-#: Rounds, pool rows of either class that a view labels a round, and how sure it must be.
+#: Bound of the learned sample: labelled rows of either class.
+LABELLED = 2000
+#: Rounds, surest rows of either class that are added a round, and how sure a view must be.
 ROUNDS, PER_ROUND, SURE = 5, 200, 0.95
+#: Rows of weight 1 that a name's prior counts as; logits are counted in steps of 1/2 up to this.
+PRIOR, MOST = 1.0, 10
 #: Bins of a measure; documents scoring below are rejected.
 BINS, LEAST_SCORE = 8, 0.15
 
@@ -62,35 +66,66 @@ def measures(docs: DataFrame) -> DataFrame:
 
 
 class View:
-    """One view: bins of its numbers, values of its names, weights, calibration."""
+    """One view: bins of its numbers, values of its names, weights, calibration. A name's slots: unknown, each value, null."""
 
-    def __init__(self, numbers: tuple[str, ...], names: tuple[str, ...], rows: list):
+    def __init__(self, numbers: tuple[str, ...], names: tuple[str, ...], rows: DataFrame):
         self.numbers, self.names = numbers, names
-        self.edges = {c: self._edges(np.array([float(r[c]) for r in rows])) for c in numbers}
-        self.values = {c: {v: i for i, v in enumerate(sorted({r[c] for r in rows if r[c] is not None}))} for c in names}
+        self.edges = self._edges(rows, numbers)
+        self.values = {c: {v: i for i, v in enumerate(sorted(r[0] for r in rows.filter(F.col(c).isNotNull()).select(c).distinct().toLocalIterator()))} for c in names}
         self.offset, at = {}, 0
         for c in numbers:
             self.offset[c], at = at, at + len(self.edges[c]) + 1
         for c in names:
-            self.offset[c], at = at, at + len(self.values[c]) + 1
+            self.offset[c], at = at, at + len(self.values[c]) + 2
         self.width = at
         self.slope, self.shift = 1.0, 0.0
 
     @staticmethod
-    def _edges(x: np.ndarray) -> list[float]:
+    def _edges(rows: DataFrame, numbers: tuple[str, ...]) -> dict[str, list[float]]:
         """Quantiles of the values above the least one, which has a bin of its own, so that rare marks are not lost."""
-        more = x[x > x.min()]
-        return sorted({float(more.min()), *np.quantile(more, np.arange(1, BINS) / BINS).tolist()}) if len(more) else []
+        least = rows.agg(*[F.min(c).alias(c) for c in numbers]).first()
+        if least is None or least[numbers[0]] is None:
+            return {c: [] for c in numbers}
+        more = {c: F.when(F.col(c) > least[c], F.col(c)) for c in numbers}
+        cuts = F.array(*[F.lit(i / BINS) for i in range(1, BINS)])
+        found = rows.agg(*[F.struct(F.min(x).alias("least"), F.percentile_approx(x, cuts, 10_000).alias("cuts")).alias(c) for c, x in more.items()]).first()
+        return {c: sorted({found[c]["least"], *found[c]["cuts"]}) if found[c]["least"] is not None else [] for c in numbers}
+
+    def slot(self, name: str, value: str | None) -> int:
+        values = self.values[name]
+        return self.offset[name] + (len(values) + 1 if value is None else values.get(value, -1) + 1)
 
     def rows(self, rows: list) -> Sparse:
-        """Features of sampled rows: the bin of each number, the place of each name (0 if unknown)."""
-        ids = [[self.offset[c] + int(np.searchsorted(self.edges[c], float(r[c]), side="right")) for c in self.numbers] + [self.offset[c] + self.values[c].get(r[c], -1) + 1 for c in self.names] for r in rows]
+        """Features of sampled rows: the bin of each number, the slot of each name."""
+        ids = [[self.offset[c] + int(np.searchsorted(self.edges[c], float(r[c]), side="right")) for c in self.numbers] + [self.slot(c, r[c]) for c in self.names] for r in rows]
         return Sparse(ids, self.width)
 
     def learn(self, rows: list, y: np.ndarray, l2: float = 3e-4) -> None:
         counts = np.maximum(np.bincount(y.astype(int), minlength=2), 1)
         self.weights, self.bias = fit(self.rows(rows), y, 1 / counts[y.astype(int)], l2=l2, steps=300)
 
+    def learn_names(self, told: DataFrame) -> None:
+        """Weights of each name's slots from all rows (measures, y), beside the other features' logits: Newton's steps for every slot by itself.
+
+        Classes weigh the same in all; rows are counted by name and step of the logit.
+        """
+        for c in self.names:
+            rest = self.placed(told).withColumn("__o", self.column(calibrated=False, without=c))
+            step = F.round(F.greatest(F.least(F.col("__o"), F.lit(float(MOST))), F.lit(float(-MOST))) * 2)
+            cells = rest.groupBy(F.col(c).alias("name"), step.alias("step")).agg(F.avg("__o").alias("o"), F.sum("y").alias("n1"), F.sum(1 - F.col("y")).alias("n0")).toArrow()
+            n1, n0 = (cells.column(k).to_numpy().astype(float) for k in ("n1", "n0"))
+            if not n1.sum() or not n0.sum():
+                continue
+            o, slot = cells.column("o").to_numpy(), np.array([self.slot(c, v) for v in cells.column("name").to_pylist()])
+            own, at = np.unique(slot, return_inverse=True)
+            n1, n0 = n1 * (n1.sum() + n0.sum()) / (2 * n1.sum()), n0 * (n1.sum() + n0.sum()) / (2 * n0.sum())
+            w = np.zeros(len(own))
+            for _ in range(50):
+                p = sigmoid(o + w[at])
+                slope = np.bincount(at, weights=n1 - (n1 + n0) * p, minlength=len(own)) - PRIOR * w
+                w += np.clip(slope / (np.bincount(at, weights=(n1 + n0) * p * (1 - p), minlength=len(own)) + PRIOR), -1, 1)
+            self.weights[own] = w
+
     def logits(self, rows: list) -> np.ndarray:
         return self.rows(rows).dot(self.weights) + self.bias
 
@@ -104,8 +139,16 @@ class View:
             a, b = a - 0.05 * ((r * z).mean() + 1e-3 * (a - 1)), b - 0.5 * r.mean()
         self.slope, self.shift = max(a, 0.0), b
 
-    def column(self) -> Column:
-        """The calibrated logit as an expression."""
+    def placed(self, df: DataFrame) -> DataFrame:
+        """df with the weights of its names as columns."""
+        for c in self.names:
+            known = [(v, float(self.weights[self.slot(c, v)])) for v in self.values[c]]
+            table = df.sparkSession.createDataFrame(known, f"__name_{c} string, __weight_{c} double")
+            df = df.drop(f"__weight_{c}").join(F.broadcast(table), F.col(c) == F.col(f"__name_{c}"), "left").drop(f"__name_{c}")
+        return df
+
+    def column(self, calibrated: bool = True, without: str | None = None) -> Column:
+        """The logit over rows of placed() as an expression."""
         total = F.lit(float(self.bias))
         w = [float(x) for x in self.weights]
         for c in self.numbers:
@@ -114,10 +157,9 @@ class View:
                 part = F.when(F.col(c) >= edge, F.lit(w[self.offset[c] + i + 1])).otherwise(part)
             total = total + part
         for c in self.names:
-            table = {v: w[self.offset[c] + i + 1] for v, i in self.values[c].items()}
-            known = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])[F.col(c)] if table else F.lit(None).cast("double")
-            total = total + F.coalesce(known, F.lit(w[self.offset[c]]))
-        return total * float(self.slope) + float(self.shift)
+            if c != without:
+                total = total + F.when(F.col(c).isNull(), F.lit(w[self.slot(c, None)])).otherwise(F.coalesce(f"__weight_{c}", F.lit(w[self.offset[c]])))
+        return total * float(self.slope) + float(self.shift) if calibrated else total
 
 
 def _needed(docs: DataFrame) -> DataFrame:
@@ -130,9 +172,15 @@ def _bounded(df: DataFrame, most: int, seed: int) -> list:
     return df.orderBy(F.xxhash64(F.lit(seed), "doc_id"), *[c for c in df.columns if c != "doc_id"]).limit(most).collect()
 
 
-def trained(docs: DataFrame, labels: DataFrame, seed: int = 17, labelled: int = LABELLED, pool: int = POOL, rounds: int = ROUNDS) -> tuple[View, View, float] | float:
+def _surest(scored: DataFrame, view: int, good: int, most: int, seed: int) -> list:
+    """Rows of a class that a view is surest of and sure enough, at most `most`; rows as sure come in order of a hash."""
+    z = F.col(f"__z{view}") if good else -F.col(f"__z{view}")
+    rows = scored.filter(z >= float(np.log(SURE / (1 - SURE))))
+    return rows.orderBy(z.desc(), F.xxhash64(F.lit(seed), "doc_id"), "doc_id", *TEXT_VIEW, *META_NUMBERS, *META_NAMES).limit(most).collect()
+
+
+def trained(docs: DataFrame, labels: DataFrame, seed: int = 17, labelled: int = LABELLED, rounds: int = ROUNDS) -> tuple[View, View, float] | float:
     """Both views and the share of good labels, or the share alone if there is nothing to tell apart."""
-    docs = _needed(docs)
     labels = labels.select("doc_id", F.col("quality").cast("int").alias("y")).filter("doc_id IS NOT NULL AND quality IN (0, 1)")
     counts = {r["y"]: r["n"] for r in labels.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = counts.get(0, 0), counts.get(1, 0)
@@ -140,40 +188,35 @@ def trained(docs: DataFrame, labels: DataFrame, seed: int = 17, labelled: int =
         return n1 / (n0 + n1) if n0 + n1 else 0.5
     h = F.xxhash64(F.lit(seed), "doc_id")
     picked = labels.filter("y = 0").orderBy(h, "doc_id").limit(labelled).union(labels.filter("y = 1").orderBy(h, "doc_id").limit(labelled))
-    # At most 2 * labelled rows: the bound of the broadcast.
-    known = docs.join(F.broadcast(picked), "doc_id")
-    rows = _bounded(measures(known), 4 * labelled, seed)
-    unlabelled = docs.filter(F.col("doc_id").isNotNull())
-    share = min(1.0, 2.0 * pool / max(1, unlabelled.count()))
-    unlabelled = unlabelled.filter(F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
-    known_ids = {r["doc_id"] for r in rows}
-    spare = [r for r in _bounded(measures(unlabelled), pool, seed + 1) if r["doc_id"] not in known_ids]
+    measured = saved(measures(_needed(docs).filter(F.col("doc_id").isNotNull())), "quality-measures")
+    # At most 2 * labelled rows: the bound of the broadcasts.
+    rows = _bounded(measured.join(F.broadcast(picked), "doc_id"), 4 * labelled, seed)
     y = np.array([r["y"] for r in rows], float)
     if len(set(y.tolist())) < 2:
         return n1 / (n0 + n1)
+    spare = measured.join(F.broadcast(picked.select("doc_id")), "doc_id", "left_anti")
     held = np.arange(len(rows)) % 4 == 3  # rows come in order of a hash
     if len(set(y[held].tolist())) < 2 or len(set(y[~held].tolist())) < 2:
         held = np.zeros(len(rows), bool)
     train = [r for r, k in zip(rows, held, strict=True) if not k]
-    text, meta = View(TEXT_VIEW, (), train + spare), View(META_NUMBERS, META_NAMES, train + spare)
-    extra = {0: ([], []), 1: ([], [])}  # pseudo-labelled rows by the view that learns from them
-    views = (text, meta)
+    text, meta = View(TEXT_VIEW, (), measured), View(META_NUMBERS, META_NAMES, measured)
+    columns = [*TEXT_VIEW, *META_NUMBERS, *META_NAMES]
+    kinds = ", ".join([f"{c} double" for c in (*TEXT_VIEW, *META_NUMBERS)] + [f"{c} string" for c in META_NAMES] + ["y int"])
+    own = docs.sparkSession.createDataFrame([(*[r[c] for c in columns], r["y"]) for r in train], kinds)
+    extra = {0: ([], []), 1: ([], [])}  # surest rows and their classes by the view that learns from them
+    views, sure = (text, meta), F.lit(float(np.log(SURE / (1 - SURE))))
     for k in range(rounds + 1):
         for v, view in enumerate(views):
             view.learn(train + extra[v][0], np.append(y[~held], extra[v][1]))
-        if k == rounds or not spare:
-            break
-        told = set()
-        for v, view in enumerate(views):
-            p = sigmoid(view.logits(spare))
-            for good, order in ((1, np.argsort(-p, kind="stable")), (0, np.argsort(p, kind="stable"))):
-                for i in order[:PER_ROUND]:
-                    if (p[i] if good else 1 - p[i]) >= SURE and i not in told:
-                        told.add(i)
-                        extra[1 - v][0].append(spare[i]), extra[1 - v][1].append(good)
-        if not told:
+        if k:  # labelled rows and all unlabelled ones that the text view was sure of
+            meta.learn_names(told.unionByName(own))
+        if k == rounds:
             break
-        spare = [r for i, r in enumerate(spare) if i not in told]
+        scored_rows = meta.placed(spare).withColumns({"__z0": text.column(calibrated=False), "__z1": meta.column(calibrated=False)})
+        told = spare.withColumn("__z0", text.column(calibrated=False)).filter(F.abs("__z0") >= sure).select(*columns, (F.col("__z0") > 0).cast("int").alias("y"))
+        for v in range(2):
+            found = [(r, good) for good in (1, 0) for r in _surest(scored_rows, v, good, PER_ROUND * (k + 1), seed + 1)]
+            extra[1 - v] = ([r for r, _ in found], [good for _, good in found])
     test = [r for r, k in zip(rows, held, strict=True) if k] or train
     for view in views:
         view.calibrate(test, y[held] if held.any() else y)
@@ -189,7 +232,7 @@ def scored(docs: DataFrame, model: tuple[View, View, float] | float, least: floa
         share = F.lit(float(model))
         return m.select(*own, share.alias("text_score"), share.alias("meta_score"), share.alias("score"), F.lit(True).alias("kept"))
     text, meta, good = model
-    z = m.select(*own, text.column().alias("a"), meta.column().alias("b"))
+    z = meta.placed(m).select(*own, text.column().alias("a"), meta.column().alias("b"))
     both = F.col("a") + F.col("b") - float(np.log(good / (1 - good)))
     out = z.select(*own, p(F.col("a")).alias("text_score"), p(F.col("b")).alias("meta_score"), p(both).alias("score"))
     return out.withColumn("kept", F.col("score") >= least)

@@ -177,3 +177,20 @@ def test_sampling_without_replacement_follows_the_lattice():
         p = math.exp(seen[k])
         assert abs(n / 4000 - p) < 4 * math.sqrt(p * (1 - p) / 4000) + 1e-3
     assert sum(math.exp(x) for x in seen.values()) < 1 + 1e-9
+
+
+def test_every_source_is_learned(spark):
+    """More sources than any sample holds; good ones and bad ones are told apart by the text view, and null is none of them."""
+    n = 12_000
+    rows = [(i, ("### $$$ " if i % 2 or i % 12 == 0 else "plain words ") * 10, None, None if i % 12 == 0 else f"s{i % 6000}", 100) for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    lab = spark.createDataFrame([(i, int(not (i % 2 or i % 12 == 0))) for i in range(60)], "doc_id long, quality int")
+    model = cotrain.trained(df, lab)
+    meta = model[1]
+    w = {s: meta.weights[meta.slot("source", s)] for s in {r[3] for r in rows}}
+    assert len(meta.values["source"]) == 5500 and w[None] < 0
+    assert all((v > 0) == (int(s[1:]) % 2 == 0) for s, v in w.items() if s)
+    # A source that was in no row has no weight of another's.
+    new = spark.createDataFrame([(1, "plain words " * 10, None, "new", 100), (2, "plain words " * 10, None, None, 100)], df.schema)
+    got = {r.doc_id: r.meta_score for r in cotrain.scored(new, model).collect()}
+    assert got[1] > got[2] and meta.weights[meta.offset["source"]] == 0
