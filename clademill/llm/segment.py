@@ -9,7 +9,7 @@ the k largest perturbed log-probabilities, all distinct. With kappa, the next pe
 is 1 - exp(-exp(log_prob - kappa)). All random numbers are hashes of the row's key and places in the text.
 
 Cases: a null text has no samples; an empty text has one, empty; a text with fewer segmentations than k has them all; characters that are not pieces
-become their UTF-8 bytes; units of over UNIT characters are cut there; rows that repeat a key and text repeat its samples; a null key is a
+become their UTF-8 bytes; units of over UNIT characters are parted where no piece crosses, which changes no segmentation; rows that repeat a key and text repeat its samples; a null key is a
 key like any other; an empty table gives no rows; extra columns are not carried. Texts are not normalised: decoding gives the text back.
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Characters of a unit at most; characters of texts that are worked on together.
+#: Longer units are parted where no piece crosses; characters of texts that are worked on together.
 UNIT, CHUNK = 48, 500_000
 #: Masses of other segmentations below this are rounding errors.
 LEAST_MASS = 1e-9
@@ -146,8 +146,8 @@ class Lattice:
         self.first = np.searchsorted(self.froms, np.arange(n + 1))
         w = np.where(self.ids >= 0, model.weight[np.maximum(self.ids, 0)], 0)
         w[w == 0] = model.fallback
-        # Backward sums, all units in step by the distance from their end.
-        beta = np.zeros(n + 1)
+        # Logs of backward sums, all units in step by the distance from their end: long units have sums below any double.
+        logw, beta = np.log(w), np.zeros(n + 1)
         by = np.argsort(left[self.froms], kind="stable")
         cuts = np.searchsorted(left[self.froms][by], np.arange(1, (lengths.max() if len(lengths) else 0) + 2))
         ends = self.froms + self.lens
@@ -155,12 +155,14 @@ class Lattice:
         mass = np.empty(len(w))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             e = by[a:b]
-            mass[e] = w[e] * np.where(final[e], 1.0, beta[ends[e]])
-            beta += np.bincount(self.froms[e], weights=mass[e], minlength=n + 1) if len(e) * 4 > n else 0
-            if len(e) * 4 <= n:
-                np.add.at(beta, self.froms[e], mass[e])
-        self.p = mass / beta[self.froms]
-        self.logp = np.log(self.p)
+            m = logw[e] + np.where(final[e], 0.0, beta[ends[e]])
+            f = self.froms[e]  # edges of a start are side by side
+            at = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]]))
+            most = np.maximum.reduceat(m, at)
+            beta[f[at]] = most + np.log(np.add.reduceat(np.exp(m - np.repeat(most, np.diff(np.append(at, len(m))))), at))
+            mass[e] = m
+        self.logp = np.minimum(mass - beta[self.froms], 0.0)
+        self.p = np.exp(self.logp)
         total = np.cumsum(self.p)
         before = np.concatenate([[0.0], total])[self.first[self.froms]]
         self.cdf = total - before
@@ -214,7 +216,27 @@ class Lattice:
             pos, k = int(self.next[e]), k + 1
 
 
-def _units(text: str) -> tuple[np.ndarray, np.ndarray]:
+def _uncrossed(model: Pieces, chars: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Places inside units that no piece crosses."""
+    n = int(lengths.sum())
+    at = np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(n)
+    left = np.repeat(starts + lengths, lengths) - at
+    first, node, reach, l = np.arange(n), np.zeros(n, np.int64), np.ones(n, np.int64), 0
+    while len(first):
+        node = model.step(node, chars[at[first] + l])
+        l += 1
+        on = node >= 0
+        first, node = first[on], node[on]
+        reach[first[model.end[node] >= 0]] = l
+        more = left[first] > l
+        first, node = first[more], node[more]
+    # A unit's pieces end in it, so that one running maximum serves all units.
+    ends = np.maximum.accumulate(np.arange(n) + reach)
+    free = np.flatnonzero(ends[:-1] <= np.arange(1, n)) + 1
+    return at[free]
+
+
+def _units(text: str, model: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """Code points with a blank put first, and the starts of units."""
     c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
     c = np.concatenate([[0x20], c])
@@ -225,7 +247,8 @@ def _units(text: str) -> tuple[np.ndarray, np.ndarray]:
     starts = np.flatnonzero(first)
     gaps = np.diff(np.append(starts, len(c)))
     if len(gaps) and gaps.max() > UNIT:
-        starts = np.concatenate([np.arange(s, s + g, UNIT) for s, g in zip(starts, gaps, strict=True)])
+        long = gaps > UNIT
+        starts = np.union1d(starts, _uncrossed(model, c, starts[long], gaps[long]))
     return c, starts
 
 
@@ -258,12 +281,12 @@ def sampled_ids(model: Pieces, texts: list[str], keys: list[int], k: int) -> lis
     chars, starts, owner = [], [], []
     base = 0
     for i, t in enumerate(texts):
-        c, s = _units(t)
+        c, s = _units(t, model)
         chars.append(c), starts.append(s + base), owner.append(np.full(len(s), i))
         base += len(c)
     flat, starts, owner = np.concatenate(chars), np.concatenate(starts), np.concatenate(owner)
     lengths = np.diff(np.append(starts, len(flat)))
-    power = np.cumprod(np.full(UNIT, 0x100000001B3, _U))
+    power = np.cumprod(np.full(lengths.max(), 0x100000001B3, _U))
     inside = np.arange(len(flat)) - np.repeat(starts, lengths)
     hashes = np.add.reduceat(_mixed(flat.astype(_U)) * power[inside], starts)
     _, one, kind = np.unique(hashes, return_index=True, return_inverse=True)

@@ -194,3 +194,42 @@ def test_every_source_is_learned(spark):
     new = spark.createDataFrame([(1, "plain words " * 10, None, "new", 100), (2, "plain words " * 10, None, None, 100)], df.schema)
     got = {r.doc_id: r.meta_score for r in cotrain.scored(new, model).collect()}
     assert got[1] > got[2] and meta.weights[meta.offset["source"]] == 0
+
+
+def _all_segmentations(model, text):
+    """Log-weights of all segmentations of a text whose characters are all pieces, by ids; units as in the docstring of segment."""
+    import math
+
+    c = "▁" + text.replace(" ", "▁")
+    known = {t: i for i, t in enumerate(model.text) if model.byte_of[i] < 0 and (model.weight[i] > 0)}
+    starts = {i for i in range(1, len(c)) if c[i] == "▁" and c[i - 1] != "▁"}
+    done = {0: {(): 0.0}}
+    for i in range(len(c)):
+        for j in range(i + 1, min(i + 17, len(c) + 1)):
+            if c[i:j] in known and not any(i < s < j for s in starts):
+                k = known[c[i:j]]
+                done.setdefault(j, {}).update({(*ids, k): lw + math.log(model.weight[k]) for ids, lw in done.get(i, {}).items()})
+    return done[len(c)]
+
+
+def test_long_runs_are_not_cut():
+    """Pieces may cross any place of a run without blanks, and the sums of long runs stay finite."""
+    import numpy as np
+
+    with open(segment.MODEL, "rb") as f:
+        model = segment.pieces(f.read())
+    with np.errstate(over="ignore", divide="ignore"):
+        run = "q" * 43 + "other"  # with the blank put first, 48 characters end in the middle of a word
+        ids = {r[0].size and tuple(r[0].tolist()) for rows in segment.sampled_ids(model, [run] * 400, list(range(400)), 2) for r in rows}
+        crossing = [x for x in ids if 47 not in np.cumsum([len(model.plain[i]) for i in x]) - 1]
+        assert crossing
+        for text in ("a" * 5000, "".join(chr(0x4E00 + i % 500) for i in range(3000)), "line\tword\n" * 300):
+            for rows in segment.sampled_ids(model, [text], [7], 2):
+                assert rows and all(np.isfinite(r[1]) and model.decode(r[0]) == text for r in rows)
+    # Parting where no piece crosses leaves every probability as it is.
+    text = "hello"
+    want = _all_segmentations(model, text)
+    whole = np.logaddexp.reduce(list(want.values()))
+    with np.errstate(over="ignore", divide="ignore"):
+        for rows in segment.sampled_ids(model, [text] * 50, list(range(50)), 2):
+            assert all(abs(r[1] - (want[tuple(r[0].tolist())] - whole)) < 1e-9 for r in rows)
