@@ -24,12 +24,13 @@ from pyspark.sql import functions as F
 SAMPLE_DOCS, DOC_CHARS, SAMPLE_CHARS = 200, 400, 24_000
 #: Characters between restarts of the parse; raw characters in memory as code points at a time.
 SEGMENT, CHUNK = 1024, 2_000_000
-#: Letters that have a code of their own, at most; codes of a letter without one, of a space, and between sampled documents.
+#: Letters, the most frequent ones, whose transitions are a dense table (those of all others are sorted keys); codes of a letter in no sample, of a space,
+#: and between sampled documents.
 LETTERS, OTHER, SPACE, BREAK = 250, 0, 1, 2
 
 
 class Automata:
-    """Suffix automata of all languages in one transition table; state 0 is no state."""
+    """Suffix automata of all languages in one transition table, dense for common letters and sparse for rare ones; state 0 is no state."""
 
     def __init__(self, texts: tuple[tuple[str, str], ...]):
         counts: dict[str, int] = {}
@@ -37,36 +38,50 @@ class Automata:
             for c in text.lower():
                 if c.isalpha():
                     counts[c] = counts.get(c, 0) + 1
-        letters = sorted(sorted(counts, key=lambda c: (-counts[c], c))[:LETTERS])
-        self.width = len(letters) + 3
-        self.code = np.full(0x110000, SPACE, np.uint8)
+        ranked = sorted(counts, key=lambda c: (-counts[c], c))
+        letters = sorted(ranked[:LETTERS]) + sorted(ranked[LETTERS:])
+        self.width, codes_in_all = min(len(letters), LETTERS) + 3, len(letters) + 3
+        self.code = np.full(0x110000, SPACE, np.uint8 if codes_in_all <= 256 else np.int32)
         self.code[[i for i in range(0x110000) if chr(i).isalpha()]] = OTHER
         for k, c in enumerate(letters):
             self.code[[ord(x) for x in (c, c.upper()) if len(x) == 1]] = k + 3
         self.code[0x1E] = BREAK
         self.langs = [lang for lang, _ in texts]
-        rows, self.roots, bits = [[0] * self.width], [], []
+        rows, self.roots, bits = [{}], [], []
         for _, text in texts:
             self.roots.append(len(rows))
             codes = self.codes(text)
             self._add(rows, codes.tolist())
             bits.append(np.log2(max(2, len(codes))))
-        table = np.array(rows, np.int32)
+        table = np.zeros((len(rows), self.width), np.int32)
+        keys, goals = [], []
+        for state, row in enumerate(rows):
+            for c, to in row.items():
+                if c < self.width:
+                    table[state, c] = to
+                else:
+                    keys.append((state << 21) | c), goals.append(to)
+        order = np.argsort(np.array(keys, np.int64))
+        self.keys, self.goals = np.array(keys, np.int64)[order], np.array(goals, np.int32)[order]
         self.bits = np.array(bits)
-        start = table[self.roots]  # after a failed step a phrase begins with the character itself
+        start = np.zeros((len(self.roots), codes_in_all), np.int32)
+        for k, root in enumerate(self.roots):
+            for c, to in rows[root].items():
+                start[k, c] = to
+        # after a failed step a phrase begins with the character itself
         self.unknown = (start == 0).astype(np.int32)
         self.start = np.where(start == 0, np.array(self.roots, np.int32)[:, None], start).astype(np.int32)
         self.next = table.ravel()
 
-    def _add(self, rows: list[list[int]], codes: list[int]) -> None:
+    def _add(self, rows: list[dict[int, int]], codes: list[int]) -> None:
         root = last = len(rows)
-        rows.append([0] * self.width)
+        rows.append({})
         link, length = {root: 0}, {root: 0}
         for c in codes:
             if c <= OTHER or c == BREAK:  # nothing matches across documents or an uncoded letter
                 last = root
                 continue
-            if rows[last][c]:
+            if c in rows[last]:
                 p, q = last, rows[last][c]
                 if length[q] == length[p] + 1:
                     last = q
@@ -74,10 +89,10 @@ class Automata:
                 last = self._split(rows, link, length, p, q, c)
                 continue
             cur = len(rows)
-            rows.append([0] * self.width)
+            rows.append({})
             length[cur] = length[last] + 1
             p = last
-            while p and not rows[p][c]:
+            while p and c not in rows[p]:
                 rows[p][c] = cur
                 p = link[p]
             if not p:
@@ -90,14 +105,20 @@ class Automata:
     @staticmethod
     def _split(rows, link, length, p, q, c) -> int:
         clone = len(rows)
-        rows.append(rows[q][:])
+        rows.append(dict(rows[q]))
         length[clone], link[clone] = length[p] + 1, link[q]
         link[q] = clone
-        while p and rows[p][c] == q:
+        while p and rows[p].get(c) == q:
             rows[p][c] = clone
             p = link[p]
         return clone
 
+    def _rare(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """Transitions by letters that the dense table lacks."""
+        key = (state.astype(np.int64) << 21) | c
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.goals[at], 0)
+
     def codes(self, text: str) -> np.ndarray:
         c = self.code[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
         space = c == SPACE
@@ -127,10 +148,14 @@ class Automata:
         roots = np.array(self.roots, np.int32)[:, None]
         state = np.repeat(roots, len(lengths), 1)
         count = np.zeros(state.shape, np.int32)
+        some_rare = len(self.keys) and flat.max(initial=0) >= self.width
         for j in range(lengths[0]):
             n = active[j]
             c = flat[begins[:n] + j]
-            to = self.next.take(state[:, :n] * self.width + c)
+            rare = np.flatnonzero(c >= self.width) if some_rare else ()
+            to = self.next.take(state[:, :n] * self.width + (np.where(c < self.width, c, OTHER) if len(rare) else c))
+            if len(rare):
+                to[:, rare] = self._rare(state[:, rare], c[rare])
             lost = to == 0
             # The phrase so far ends, if there is one; a character that the language lacks is a phrase of its own.
             count[:, :n] += lost * (self.unknown[:, c] + (state[:, :n] != roots))

@@ -233,3 +233,21 @@ def test_long_runs_are_not_cut():
     with np.errstate(over="ignore", divide="ignore"):
         for rows in segment.sampled_ids(model, [text] * 50, list(range(50)), 2):
             assert all(abs(r[1] - (want[tuple(r[0].tolist())] - whole)) < 1e-9 for r in rows)
+
+
+def test_letters_of_large_alphabets_match():
+    """More letters than the dense table holds, and a language with little text in a script of its own."""
+    han = "".join(chr(0x4E00 + i) for i in range(600)) * 3
+    texts = (("ka", "საქართველო ლამაზია"), ("zh", han), ("hy", "հայերեն լեզու"))
+    model = langid.Automata(texts)
+    assert model.width < 600
+    for text in ("საქართველო", "հայ ლამაზია", han[500:560], han[590:610], "latin"):
+        for k, (_, known) in enumerate(texts):
+            at = n = 0
+            while at < len(text):
+                m = 1
+                while at + m < len(text) and text[at : at + m + 1] in known:
+                    m += 1
+                at, n = at + m, n + 1
+            assert model.phrases([text])[0][0, k] == n
+    assert model.predict(["საქართველო", han[500:560], "հայերեն"])[0] == ["ka", "zh", "hy"]
