@@ -3,19 +3,22 @@
 A piece's weight falls with its rank (Zipf's law; a BPE model's scores are ranks), a segmentation's probability is proportional to the product of its
 pieces' weights. Pieces never cross the start of a run of blanks, so a text is a row of units (blanks and what follows them) with a
 lattice each. Segmentations of the whole text are drawn by Gumbel top-k: the most likely region of all segmentations is
-split first, by its perturbed log-mass. Regions are "these units as in a sample already drawn, the next one different, the
-rest free"; backward sums over the unit lattices give their exact masses, so that the first k samples popped from the queue are
-the k largest perturbed log-probabilities, all distinct. With kappa, the next perturbed value, a sample's inclusion probability
-is 1 - exp(-exp(log_prob - kappa)). All random numbers are hashes of the row's key and places in the text.
+split first, by its perturbed log-mass. Regions are "these units as in a sample already drawn, the next one none of those drawn there, the
+rest free"; their masses are sums over the unit lattices, never differences, so a region is given up only if it is empty. The first k samples
+popped from the queue are the k largest perturbed log-probabilities, all distinct. With kappa, the next perturbed value, a sample's inclusion
+probability is 1 - exp(-exp(log_prob - kappa)). All random numbers are hashes of the row's key and places in the text.
 
 Cases: a null text has no samples; an empty text has one, empty; a text with fewer segmentations than k has them all; characters that are not pieces
-become their UTF-8 bytes; units of over UNIT characters are parted where no piece crosses, which changes no segmentation; rows that repeat a key and text repeat its samples; a null key is a
-key like any other; an empty table gives no rows; extra columns are not carried. Texts are not normalised: decoding gives the text back.
+become their UTF-8 bytes; units of over UNIT characters are parted where no piece crosses, which changes no segmentation; very long texts are worked on
+whole, one at a time; rows that repeat a key and text repeat its samples; a null key is a key like any other; an empty table gives no rows; extra
+columns are not carried. Texts are not normalised: decoding gives the text back.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+import zlib
 from functools import lru_cache
 
 import numpy as np
@@ -23,11 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Longer units are parted where no piece crosses; characters of texts that are worked on together.
-UNIT, CHUNK = 48, 500_000
-#: Masses of other segmentations below this are rounding errors.
-LEAST_MASS = 1e-9
-_BLANK, _LITERAL = 0x2581, 0x110000
+#: Longer units are parted where no piece crosses; bytes of texts that are worked on together (a longer text by itself).
+UNIT, CHUNK = 48, 1_000_000
+_BLANK, _SPACE = 0x2581, 0x20
 
 _U = np.uint64
 _GOLDEN, _M1, _M2 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
@@ -48,13 +49,14 @@ class Pieces:
     """Pieces of a model: a trie in a hash table, log-weights, and texts for decoding."""
 
     def __init__(self, proto: bytes):
+        import pyarrow as pa
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_proto=proto)
         n = sp.get_piece_size()
         self.text = [sp.id_to_piece(i) for i in range(n)]
-        self.byte_ids = np.zeros(256, np.int64)
-        self.byte_of = np.full(n, -1, np.int64)
+        self.byte_ids = np.zeros(256, np.int32)
+        self.byte_of = np.full(n, -1, np.int32)
         ranks, usable = np.zeros(n), np.zeros(n, bool)
         for i, p in enumerate(self.text):
             if sp.is_byte(i):
@@ -63,42 +65,75 @@ class Pieces:
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 inner = p.lstrip("▁")
                 usable[i], ranks[i] = "▁" not in inner, -sp.get_score(i)
-        #: Text of a piece by itself; bytes of 128 and more have none.
-        self.plain = [chr(b) if 0 <= b < 128 else p.replace("▁", " ") for p, b in zip(self.text, self.byte_of.tolist(), strict=True)]
+        #: Text of a piece by itself, then the same without its first character; bytes of 128 and more have none.
+        plain = [chr(b) if 0 <= b < 128 else p.replace("▁", " ") for p, b in zip(self.text, self.byte_of.tolist(), strict=True)]
+        self.plain = pa.array([*plain, *(p[1:] for p in plain)], pa.string())
         weight = np.where(usable, 1 / np.maximum(ranks - ranks[usable].min() + 2, 1), 0)
         self.weight = weight / weight.sum()
         self.fallback = float(self.weight[usable].min())
-        edges: dict[tuple[int, int], int] = {}
-        ends = {0: -1}
+        self.logw = np.log(np.where(self.weight > 0, self.weight, self.fallback))
+        letters = sorted({c for i in np.flatnonzero(usable) for c in self.text[i]})
+        codes = {c: k + 1 for k, c in enumerate(letters)}
+        #: Code of a character; 0 is in no piece. A blank stands for its mark, and a mark in the text is no piece.
+        self.code = np.zeros(0x110000, np.int32)
+        self.code[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.code[_SPACE], self.code[_BLANK] = codes["▁"], 0
+        self.width = len(letters) + 1
+        edges: dict[int, int] = {}
+        ends = {}
         for i in np.flatnonzero(usable):
             node = 0
             for c in self.text[i]:
-                node = edges.setdefault((node, ord(c)), len(edges) + 1)
+                node = edges.setdefault(node * self.width + codes[c], len(edges) + 1)
             ends[node] = int(i)
-        self.end = np.array([ends.get(i, -1) for i in range(len(edges) + 1)], np.int64)
-        size = 1 << max(8, (len(edges) * 8).bit_length())
-        self.mask = _U(size - 1)
-        self.keys, self.kids, self.probes = np.full(size, -1, np.int64), np.full(size, -1, np.int64), 1
-        for (node, c), kid in edges.items():
-            key, k = (node << 21) | c, 1
-            slot = int(_mixed(np.array([key], _U))[0] & self.mask)
+        self.end = np.full(len(edges) + 1, -1, np.int32)
+        self.end[list(ends)] = list(ends.values())
+        bits = max(8, (len(edges) * 8).bit_length())
+        self.shift, self.mask = _U(64 - bits), (1 << bits) - 1
+        self.keys, self.kids = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+        slots = self._slot(np.array(list(edges), np.int64)).tolist()
+        for slot, (key, kid) in zip(slots, edges.items(), strict=True):
             while self.keys[slot] != -1:
-                slot, k = (slot + 1) & (size - 1), k + 1
-            self.keys[slot], self.kids[slot], self.probes = key, kid, max(self.probes, k)
-
-    def step(self, node: np.ndarray, c: np.ndarray) -> np.ndarray:
-        """Trie nodes one character on; -1 for none."""
-        key = (node << 21) | c
-        slot = (_mixed(key.astype(_U)) & self.mask).astype(np.int64)
-        out = np.where(self.keys[slot] == key, self.kids[slot], -1)
-        for k in range(1, self.probes):
-            s = (slot + k) & int(self.mask)
-            out = np.where(self.keys[s] == key, self.kids[s], out)
+                slot = (slot + 1) & self.mask
+            self.keys[slot], self.kids[slot] = key, kid
+        self.top = self.step(np.zeros(self.width, np.int32), np.arange(self.width))
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(_U) * _GOLDEN) >> self.shift).astype(np.int64)
+
+    def step(self, node: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Trie nodes one character on; 0 for none."""
+        key = node.astype(np.int64) * self.width + code
+        slot = self._slot(key)
+        there = self.keys[slot]
+        out = np.where(there == key, self.kids[slot], 0)
+        open_ = np.flatnonzero((there != key) & (there != -1))
+        while len(open_):
+            slot[open_] = s = (slot[open_] + 1) & self.mask
+            there = self.keys[s]
+            hit = there == key[open_]
+            out[open_[hit]] = self.kids[s[hit]]
+            open_ = open_[~hit & (there != -1)]
+        return out
+
+    def decode(self, flat: np.ndarray, ends: np.ndarray):
+        """Texts of lists of ids, as an Arrow array."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        starts, raw = ends[:-1], self.byte_of[flat] >= 128
+        at = flat.astype(np.int64)
+        at[starts[starts < ends[1:]]] += len(self.text)  # without the blank put first
+        words = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), self.plain.take(pa.array(at)))
+        out = pc.binary_join(words, "")
+        if raw.any():
+            owner = np.unique(np.searchsorted(ends, np.flatnonzero(raw), side="right") - 1)
+            mask = np.zeros(len(starts), bool)
+            mask[owner] = True
+            out = pc.replace_with_mask(out, pa.array(mask), pa.array([self._decode(flat[ends[k] : ends[k + 1]]) for k in owner], pa.string()))
         return out
 
-    def decode(self, ids: np.ndarray) -> str:
-        if not (self.byte_of[ids] >= 128).any():
-            return "".join(map(self.plain.__getitem__, ids.tolist()))[1:]  # without the blank put first
+    def _decode(self, ids: np.ndarray) -> str:
         parts, raw = [], bytearray()
         for i, b in zip(ids.tolist(), self.byte_of[ids].tolist(), strict=True):
             if b >= 0:
@@ -118,102 +153,152 @@ def pieces(proto: bytes) -> Pieces:
 
 
 class Lattice:
-    """Lattices of distinct units, one after another: edges by start, longest first, with cumulative probabilities."""
-
-    def __init__(self, model: Pieces, chars: np.ndarray, lengths: np.ndarray):
-        n = len(chars)
-        self.start = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
-        left = np.repeat(self.start + lengths, lengths) - np.arange(n)  # characters to the unit's end
-        at, node, l = np.arange(n), np.zeros(n, np.int64), 0
-        froms, lens, ids = [], [], []
-        while len(at):
-            node = model.step(node, chars[at + l])
-            l += 1
-            on = node >= 0
-            at, node = at[on], node[on]
-            hit = model.end[node] >= 0
-            froms.append(at[hit]), lens.append(np.full(hit.sum(), l)), ids.append(model.end[node[hit]])
-            more = left[at] > l
-            at, node = at[more], node[more]
-        single = np.zeros(n, bool)
-        single[froms[0]] = True
-        lost = np.flatnonzero(~single)  # not a piece: its bytes, given as -1 - code point
-        froms.append(lost), lens.append(np.ones(len(lost), np.int64))
-        ids.append(np.where(chars[lost] < 128, model.byte_ids[np.minimum(chars[lost], 127)], -1 - chars[lost]))
-        froms, lens, ids = (np.concatenate(x).astype(np.int64) for x in (froms, lens, ids))
-        order = np.lexsort((-lens, froms))
-        self.froms, self.lens, self.ids = froms[order], lens[order], ids[order]
-        self.first = np.searchsorted(self.froms, np.arange(n + 1))
-        w = np.where(self.ids >= 0, model.weight[np.maximum(self.ids, 0)], 0)
-        w[w == 0] = model.fallback
-        # Logs of backward sums, all units in step by the distance from their end: long units have sums below any double.
-        logw, beta = np.log(w), np.zeros(n + 1)
-        by = np.argsort(left[self.froms], kind="stable")
-        cuts = np.searchsorted(left[self.froms][by], np.arange(1, (lengths.max() if len(lengths) else 0) + 2))
-        ends = self.froms + self.lens
-        final = self.lens == left[self.froms]
-        mass = np.empty(len(w))
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            e = by[a:b]
-            m = logw[e] + np.where(final[e], 0.0, beta[ends[e]])
-            f = self.froms[e]  # edges of a start are side by side
-            at = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]]))
-            most = np.maximum.reduceat(m, at)
-            beta[f[at]] = most + np.log(np.add.reduceat(np.exp(m - np.repeat(most, np.diff(np.append(at, len(m))))), at))
-            mass[e] = m
-        self.logp = np.minimum(mass - beta[self.froms], 0.0)
-        self.p = np.exp(self.logp)
-        total = np.cumsum(self.p)
-        before = np.concatenate([[0.0], total])[self.first[self.froms]]
-        self.cdf = total - before
-        self.last = np.zeros(len(w), bool)
-        self.last[self.first[1:] - 1] = True
-        self.final = final
-        self.next = ends
-
-    def draw(self, units: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """A segmentation for each unit from its 64-bit key: edges in order, number of edges and log-probability by unit."""
-        m = len(units)
-        counts, logp = np.zeros(m, np.int64), np.zeros(m)
-        who, pos, steps = np.arange(m), self.start[units], []
-        k = 0
+    """Lattices of distinct units. Places of all units stand by their distance from the unit's end, so that each distance is a slice; edges by place, longest first."""
+
+    def __init__(self, model: Pieces, chars: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
+        order = np.argsort(-lengths, kind="stable")
+        starts, lengths = starts[order], lengths[order]
+        count = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left").astype(np.int32)  # units with so many characters after a place
+        offset = np.concatenate([[0], np.cumsum(count)])
+        n = int(offset[-1])
+        after = np.repeat(np.arange(len(count), dtype=np.int32), count)
+        unit = np.arange(n, dtype=np.int32) - offset[after].astype(np.int32)
+        raw = chars[(starts + lengths - 1)[unit] - after]
+        code = model.code[raw]
+        self.start = np.empty(len(order), np.int32)
+        self.start[order] = offset[lengths - 1] + np.arange(len(order))
+        self.end = n
+        at, node, hits, degree, single = np.arange(n, dtype=np.int32), model.top[code], [], np.zeros(n, np.int32), np.zeros(n, bool)
+        cur = at
+        while True:
+            on = np.flatnonzero(node)
+            at, cur, after, node = at[on], cur[on], after[on], node[on]
+            beyond = np.where(after > 0, cur - count[np.maximum(after, 1) - 1], n).astype(np.int32)
+            piece = model.end[node]
+            hit = np.flatnonzero(piece >= 0)
+            hits.append((at[hit], piece[hit], beyond[hit]))
+            degree[at[hit]] += 1
+            if len(hits) == 1:
+                single[at[hit]] = True
+            more = np.flatnonzero(after)
+            if not len(more):
+                break
+            at, cur, after = at[more], beyond[more], after[more] - 1
+            node = model.step(node[more], code[cur])
+        lost = np.flatnonzero(~single).astype(np.int32)  # not a piece: its bytes, given as -1 - code point
+        if len(lost):
+            tail = np.searchsorted(offset, lost, side="right") - 1
+            known = raw[lost] < 128
+            hits.append((lost, np.where(known, model.byte_ids[np.where(known, raw[lost], 0)], -1 - raw[lost].astype(np.int64)).astype(np.int32), np.where(tail > 0, lost - count[np.maximum(tail, 1) - 1], n).astype(np.int32)))
+            hits = [hits[-1], *hits[:-1]]
+            degree[lost] += 1
+        self.degree = degree
+        self.first = np.concatenate([[0], np.cumsum(degree)])
+        self.ids, self.next = np.empty(self.first[-1], np.int32), np.empty(self.first[-1], np.int32)
+        put = self.first[1:].copy()
+        for at, piece, beyond in hits:
+            put[at] -= 1
+            self.ids[put[at]], self.next[put[at]] = piece, beyond
+        del hits
+        self.logw = np.where(self.ids >= 0, model.logw[np.maximum(self.ids, 0)], np.log(model.fallback))
+        # Backward sums in logs, as those of long units lie below any double.
+        self.beta, self.p = np.zeros(n + 1), np.empty(len(self.ids))
+        for k in range(len(count)):
+            a, b = offset[k], offset[k + 1]
+            i, j = self.first[a], self.first[b]
+            m, cut, times = self.logw[i:j] + self.beta[self.next[i:j]], self.first[a:b] - i, degree[a:b]
+            most = np.maximum.reduceat(m, cut)
+            x = np.exp(m - np.repeat(most, times))
+            total = np.add.reduceat(x, cut)
+            self.beta[a:b] = most + np.log(total)
+            self.p[i:j] = x / np.repeat(total, times)
+        #: Mass of a place's edges beside one of over 1/2.
+        self.others = np.add.reduceat(np.where(self.p > 0.5, 0, self.p), self.first[:-1])
+
+    def draw(self, pos: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """A segmentation from each place on by its 64-bit key: edges in order, number of edges, log-probability and log-mass of all others."""
+        m = len(pos)
+        counts, logp, before, other, whole = np.zeros(m, np.int32), -self.beta[pos], np.ones(m), np.zeros(m), pos
+        choice = np.zeros(m, bool)
+        who, steps, k = np.arange(m), [], 0
         while len(who):
-            u = _uniform(keys[who] + _U(k) * _M1)
-            e = self.first[pos]
-            more = np.flatnonzero((self.cdf[e] < u) & ~self.last[e])
+            u = _uniform(keys + _U(k) * _M1)
+            e, more_edges = self.first[pos], self.degree[pos] - 1
+            choice[who[more_edges > 0]] = True
+            p = self.p[e]
+            more = np.flatnonzero((u > p) & (more_edges > 0))
             while len(more):
+                u[more] -= p[more]
                 e[more] += 1
-                more = more[(self.cdf[e[more]] < u[more]) & ~self.last[e[more]]]
+                more_edges[more] -= 1
+                p[more] = self.p[e[more]]
+                more = more[(u[more] > p[more]) & (more_edges[more] > 0)]
             steps.append((who, e))
+            q = before[who]
+            other[who] += q * np.where(p > 0.5, self.others[pos], 1 - p)
+            before[who] = q * p
+            logp[who] += self.logw[e]
             counts[who] += 1
-            logp[who] += self.logp[e]
-            on = ~self.final[e]
-            who, pos = who[on], self.next[e[on]]
-            k += 1
+            pos = self.next[e]
+            on = np.flatnonzero(pos < self.end)
+            who, pos, keys, k = who[on], pos[on], keys[on], k + 1
         begin = np.cumsum(counts) - counts
-        edges = np.empty(counts.sum(), np.int64)
+        edges = np.empty(int(counts.sum()), np.int64)
         for j, (w, e) in enumerate(steps):
             edges[begin[w] + j] = e
-        return edges, counts, logp
-
-
-    def draw_other(self, unit: int, key: np.ndarray, seen: list[np.ndarray]) -> tuple[np.ndarray, float]:
-        """A segmentation of a unit that is none of seen: an edge counts with what is left of it beside seen ones."""
-        pos, k, path, logp = int(self.start[unit]), 0, [], 0.0
-        while True:
-            a, b = int(self.first[pos]), int(self.first[pos + 1])
-            w = self.p[a:b].copy()
-            for s in seen:
-                w[s[k] - a] -= self.p[s[k:]].prod()
-            w = np.maximum(w, 0)
-            total = np.cumsum(w)
-            e = a + min(int(np.searchsorted(total, float(_uniform(key + _U(k) * _M1)[0]) * total[-1])), b - a - 1)
-            path.append(e)
-            logp += self.logp[e]
-            if self.final[e]:
-                return np.array(path), float(logp)
-            seen = [s for s in seen if s[k] == e]
-            pos, k = int(self.next[e]), k + 1
+        left = np.log(other)
+        for w in np.flatnonzero(choice & (other < 1e-290)):  # too small for a double
+            left[w] = self.beside(int(whole[w]), [edges[begin[w] : begin[w] + counts[w]].tolist()])[1][0]
+        return edges, counts, np.minimum(logp, 0.0), left
+
+    def _logs(self, pos: int) -> tuple[int, list[float]]:
+        """A place's first edge and the log-probabilities of its edges."""
+        a, b, whole = int(self.first[pos]), int(self.first[pos + 1]), float(self.beta[pos])
+        return a, [x + y - whole for x, y in zip(self.logw[a:b].tolist(), self.beta[self.next[a:b]].tolist(), strict=True)]
+
+    def beside(self, start: int, seen: list[list[int]]) -> tuple[list[tuple[int, dict[int, int]]], list[float]]:
+        """The tree of seen segmentations, as (place, child by edge), and at each of its nodes the log-mass of what is not seen from there."""
+        nodes: list[tuple[int, dict[int, int]]] = [(start, {})]
+        for path in seen:
+            k = 0
+            for e in path:
+                if e not in nodes[k][1]:
+                    nodes[k][1][e] = len(nodes)
+                    nodes.append((int(self.next[e]), {}))
+                k = nodes[k][1][e]
+        mass = [-math.inf] * len(nodes)
+        for k in range(len(nodes) - 1, -1, -1):  # children stand after their parents
+            pos, kids = nodes[k]
+            if pos < self.end:
+                first, lw = self._logs(pos)
+                for e, kid in kids.items():
+                    lw[e - first] += mass[kid]
+                most = max(lw)
+                if most > -math.inf:
+                    mass[k] = most + math.log(sum(math.exp(x - most) for x in lw))
+        return nodes, mass
+
+    def draw_beside(self, start: int, key: np.ndarray, seen: list[list[int]]) -> tuple[list[int], float, float]:
+        """A segmentation that is none of seen, its log-probability and the log-mass of all that is neither."""
+        nodes, mass = self.beside(start, seen)
+        pos, node, path, logp = start, 0, [], -float(self.beta[start])
+        while pos < self.end:
+            e, lw = self._logs(pos)
+            if node is not None:
+                for x, kid in nodes[node][1].items():
+                    lw[x - e] += mass[kid]
+            most = max(lw)
+            weight = [math.exp(x - most) for x in lw]
+            u = float(_uniform(key + _U(len(path)) * _M1)[0]) * sum(weight)
+            k = 0
+            while k + 1 < len(weight) and (u > weight[k] or not weight[k]):
+                u, k = u - weight[k], k + 1
+            while not weight[k]:  # rounding at the last edge
+                k -= 1
+            path.append(e + k)
+            logp += float(self.logw[e + k])
+            pos, node = int(self.next[e + k]), nodes[node][1].get(e + k) if node is not None else None
+        return path, min(logp, 0.0), self.beside(start, [*seen, path])[1][0]
 
 
 def _uncrossed(model: Pieces, chars: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -221,11 +306,11 @@ def _uncrossed(model: Pieces, chars: np.ndarray, starts: np.ndarray, lengths: np
     n = int(lengths.sum())
     at = np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(n)
     left = np.repeat(starts + lengths, lengths) - at
-    first, node, reach, l = np.arange(n), np.zeros(n, np.int64), np.ones(n, np.int64), 0
+    first, node, reach, l = np.arange(n), np.zeros(n, np.int32), np.ones(n, np.int64), 0
     while len(first):
-        node = model.step(node, chars[at[first] + l])
+        node = model.step(node, model.code[chars[at[first] + l]])
         l += 1
-        on = node >= 0
+        on = node > 0
         first, node = first[on], node[on]
         reach[first[model.end[node] >= 0]] = l
         more = left[first] > l
@@ -236,202 +321,221 @@ def _uncrossed(model: Pieces, chars: np.ndarray, starts: np.ndarray, lengths: np
     return at[free]
 
 
-def _units(text: str, model: Pieces) -> tuple[np.ndarray, np.ndarray]:
-    """Code points with a blank put first, and the starts of units."""
-    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    c = np.concatenate([[0x20], c])
-    c = np.where(c == _BLANK, _LITERAL, np.where(c == 0x20, _BLANK, c))
-    blank = c == _BLANK
+def _units(texts: list[str], model: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of all texts with a blank put before each, starts of units, and the number of the first unit of each text."""
+    chars = np.frombuffer("".join(f" {t}" for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    begins = np.cumsum([0, *(len(t) + 1 for t in texts)])[:-1]
+    blank = chars == _SPACE
     first = blank.copy()
     first[1:] &= ~blank[:-1]
+    first[begins] = True
     starts = np.flatnonzero(first)
-    gaps = np.diff(np.append(starts, len(c)))
-    if len(gaps) and gaps.max() > UNIT:
+    gaps = np.diff(np.append(starts, len(chars)))
+    if gaps.max() > UNIT:
         long = gaps > UNIT
-        starts = np.union1d(starts, _uncrossed(model, c, starts[long], gaps[long]))
-    return c, starts
+        starts = np.union1d(starts, _uncrossed(model, chars, starts[long], gaps[long]))
+    return chars, starts, np.searchsorted(starts, begins)
 
 
-def _logmass_other(taken: np.ndarray) -> np.ndarray:
-    """Log of 1 - taken, -inf for rounding errors."""
-    rest = 1 - taken
-    return np.where(rest > LEAST_MASS, np.log(np.maximum(rest, LEAST_MASS)), -np.inf)
+def _distinct(chars: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of one of each kind of unit, and the kind of every unit."""
+    x = (chars.astype(_U) + _U(1)) * _GOLDEN
+    x ^= x >> _U(32)
+    inside = np.arange(len(chars), dtype=np.int32) - np.repeat(starts, lengths).astype(np.int32)
+    x *= (_mixed(np.arange(1, int(lengths.max()) + 1, dtype=_U)) | _U(1))[inside]
+    _, one, kind = np.unique(np.add.reduceat(x, starts), return_index=True, return_inverse=True)
+    return one, kind
 
 
 def _below(phi, bound, u):
     """Gumbel variables of location phi, cut at bound."""
-    with np.errstate(over="ignore"):
-        return np.where(np.isfinite(phi), phi - np.log(np.exp(np.minimum(phi - bound, 700)) - np.log(u)), -np.inf)
+    return np.where(np.isfinite(phi), phi - np.log(np.exp(np.minimum(phi - bound, 700)) - np.log(u)), -np.inf)
 
 
 class _Text:
     """Queue of regions and samples of one text."""
 
-    def __init__(self, key: int, units: np.ndarray):
-        self.key, self.units, self.heap, self.out, self.tie = _U(key), units, [], [], 0
+    def __init__(self):
+        self.heap, self.out, self.tie = [], [], 0
 
     def push(self, g: float, path, at: int, seen: list) -> None:
-        if g > -np.inf:
-            self.tie += 1
-            heapq.heappush(self.heap, (-g, self.tie, path, at, seen))
+        self.tie += 1
+        heapq.heappush(self.heap, (-g, self.tie, path, at, seen))
 
 
 def sampled_ids(model: Pieces, texts: list[str], keys: list[int], k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
     """For each text, up to k samples (ids, log_prob, perturbed, log_inclusion) in falling order of the perturbed value."""
-    chars, starts, owner = [], [], []
-    base = 0
-    for i, t in enumerate(texts):
-        c, s = _units(t, model)
-        chars.append(c), starts.append(s + base), owner.append(np.full(len(s), i))
-        base += len(c)
-    flat, starts, owner = np.concatenate(chars), np.concatenate(starts), np.concatenate(owner)
-    lengths = np.diff(np.append(starts, len(flat)))
-    power = np.cumprod(np.full(lengths.max(), 0x100000001B3, _U))
-    inside = np.arange(len(flat)) - np.repeat(starts, lengths)
-    hashes = np.add.reduceat(_mixed(flat.astype(_U)) * power[inside], starts)
-    _, one, kind = np.unique(hashes, return_index=True, return_inverse=True)
-    span = lengths[one]
-    where = np.repeat(starts[one], span) + np.arange(span.sum()) - np.repeat(np.cumsum(span) - span, span)
-    lattice = Lattice(model, flat[where], span)
-    cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
-    states = [_Text(key, kind[a:b]) for key, a, b in zip(keys, cuts[:-1], cuts[1:], strict=True)]
-
-    def place(key, path: int, at: np.ndarray, attempt: int = 0) -> np.ndarray:
-        return _mixed(_mixed(key + _U(path + 1) * _GOLDEN) + at.astype(_U) * _M2 + _U(attempt) * _M1)
-
-    def grow(todo: list[tuple[_Text, float, tuple | None, int, list]], number: int) -> None:
-        """Draw the rest of a text from a unit on for every region, and push what is left of the region."""
-        ranges = [np.arange(at, len(s.units)) for s, _, _, at, _ in todo]
-        sizes = np.array([len(r) for r in ranges])
-        which = [place(s.key, number, r) for (s, *_), r in zip(todo, ranges, strict=True)]
-        edges, counts, logp = lattice.draw(np.concatenate([s.units[at:] for s, _, _, at, _ in todo]), np.concatenate(which))
-        eb, ub = np.concatenate([[0], np.cumsum(counts)]), np.concatenate([[0], np.cumsum(sizes)])
-        for i, (s, g, path, at, seen) in enumerate(todo):
-            a, b = ub[i], ub[i + 1]
-            e, n, lp = edges[eb[a] : eb[b]], counts[a:b], logp[a:b]
-            taken = sum(p for _, p in seen)
-            if seen:  # the first unit must differ from the ones seen there
-                head, lp0 = lattice.draw_other(int(s.units[at]), place(s.key, number, np.array([at])), [x for x, _ in seen])
-                e, n, lp = np.concatenate([head, e[n[0] :]]), np.append(len(head), n[1:]), np.append(lp0, lp[1:])
+    chars, starts, first_unit = _units(texts, model)
+    lengths = np.diff(np.append(starts, len(chars)))
+    one, kind = _distinct(chars, starts, lengths)
+    lattice = Lattice(model, chars, starts[one], lengths[one])
+    place, n_units = lattice.start[kind], np.diff(np.append(first_unit, len(starts)))
+    del chars, starts, lengths, one, kind
+    row_key, states = np.array(keys, _U), [_Text() for _ in texts]
+
+    def hashed(which: np.ndarray, number: int, owner: np.ndarray, at: np.ndarray, purpose: int) -> np.ndarray:
+        return _mixed(_mixed(row_key[which] + _U(number + 1) * _GOLDEN)[owner] + at.astype(_U) * _M2 + _U(purpose) * _M1)
+
+    def grow(todo: list[tuple], number: int) -> None:
+        """Draw the rest of a text from a unit on for every region (text, perturbed value, sample, unit, seen there), and push what is left of the region."""
+        which, from_unit = np.array([t[0] for t in todo]), np.array([t[3] for t in todo])
+        sizes = n_units[which] - from_unit
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        owner = np.repeat(np.arange(len(todo)), sizes)
+        at = np.arange(ends[-1]) - (ends[:-1] - from_unit)[owner]
+        pos = place[first_unit[which][owner] + at]
+        draws = hashed(which, number, owner, at, 0)
+        edges, counts, logp, left = lattice.draw(pos, draws)
+        edge_ends, heads, kept = np.concatenate([[0], np.cumsum(counts)]), {}, np.zeros(len(todo))
+        for i, (_, _, path, unit, seen) in enumerate(todo):
+            if seen:
+                a = ends[i]
+                heads[i], logp[a], left[a] = lattice.draw_beside(int(pos[a]), draws[a : a + 1], seen)
             if path is not None:
-                pe, pn, pl = path
-                keep = pn[:at].sum()
-                e, n, lp = np.concatenate([pe[:keep], e]), np.concatenate([pn[:at], n]), np.concatenate([pl[:at], lp])
-            new = (e, n, lp)
-            total = float(lp.sum())
-            s.out.append((e, total, g))
-            if not len(lp):
-                continue
-            before = np.cumsum(lp) - lp
-            own = (lattice_slice(e, n, at), float(np.exp(lp[at])))
-            r = np.arange(at, len(lp))
-            other = _logmass_other(np.exp(lp[r]))
-            other[0] = _logmass_other(np.array(taken + own[1]))
-            left = _below(before[r] + other, g, _uniform(place(s.key, number, r, 1 << 20)))
-            most = k + 1 - len(s.out) + 1  # more of them can't become samples
-            best = np.argpartition(-left, most)[:most] if len(left) > most else np.arange(len(left))
-            for j in best:
-                t = int(r[j])
-                s.push(float(left[j]), new, t, [*seen, own] if t == at else [(lattice_slice(e, n, t), float(np.exp(lp[t])))])
-
-    def lattice_slice(e, n, t):
-        a = int(n[:t].sum())
-        return e[a : a + int(n[t])]
-
-    gumbel = [-np.log(-np.log(_uniform(place(s.key, 0, np.array([0]), 1 << 21))))[0] for s in states]
-    todo = [(s, float(g), None, 0, []) for s, g in zip(states, gumbel, strict=True)]
+                kept[i] = path[2][:unit].sum()
+        before = np.cumsum(logp) - logp
+        before += (kept - before[np.minimum(ends[:-1], len(before) - 1)])[owner]
+        bound = np.array([t[1] for t in todo])[owner]
+        value = _below(before + left, bound, _uniform(hashed(which, number, owner, at, 1 << 20)))
+        for i, (t, g, path, unit, seen) in enumerate(todo):
+            a, b = int(ends[i]), int(ends[i + 1])
+            e, n, lp = edges[edge_ends[a] : edge_ends[b]], counts[a:b], logp[a:b]
+            if seen:
+                e, n = np.concatenate([heads[i], e[n[0] :]]).astype(np.int64), np.append(len(heads[i]), n[1:])
+            if path is not None:
+                e, n, lp = np.concatenate([path[0][: int(path[1][:unit].sum())], e]), np.concatenate([path[1][:unit], n]), np.concatenate([path[2][:unit], lp])
+            state = states[t]
+            state.out.append((e, float(lp.sum()), g))
+            v, most = value[a:b], k + 1 - len(state.out)  # more of them can't become samples or kappa
+            best = np.argpartition(-v, most)[:most] if len(v) > most else np.arange(len(v))
+            for j in best[v[best] > -np.inf].tolist():
+                x = unit + j
+                begin = int(n[:x].sum())
+                own = e[begin : begin + int(n[x])].tolist()
+                state.push(float(v[j]), (e, n, lp), x, [*seen, own] if j == 0 else [own])
+
+    everyone = np.arange(len(texts))
+    gumbel = -np.log(-np.log(_uniform(hashed(everyone, 0, everyone, np.zeros(len(texts)), 1 << 21))))
+    todo = [(t, float(g), None, 0, []) for t, g in enumerate(gumbel)]
     for number in range(k):
-        if todo:
-            grow(todo, number)
+        if not todo:
+            break
+        grow(todo, number)
         todo = []
         if number + 1 < k:
-            for s in states:
+            for t, s in enumerate(states):
                 if s.heap:
                     g, _, path, at, seen = heapq.heappop(s.heap)
-                    todo.append((s, -g, path, at, seen))
+                    todo.append((t, -g, path, at, seen))
     results = []
     for s in states:
         kappa = -s.heap[0][0] if s.heap else -np.inf
         rows = []
         for e, total, g in s.out:
             ids = lattice.ids[e]
-            if len(ids) and ids.min() < 0:
+            if ids.min() < 0:
                 lost = np.flatnonzero(ids < 0)
-                put = [model.byte_ids[list((chr(_BLANK) if -1 - i == _LITERAL else chr(-1 - i)).encode("utf-8", "surrogatepass"))] for i in ids[lost].tolist()]
+                put = [model.byte_ids[list(chr(-1 - i).encode("utf-8", "surrogatepass"))] for i in ids[lost].tolist()]
                 sizes = np.ones(len(ids), np.int64)
                 sizes[lost] = [len(x) for x in put]
                 ids = np.repeat(ids, sizes)
                 ids[ids < 0] = np.concatenate(put)
             x = total - kappa
-            rows.append((ids.astype(np.int32), total, g, 0.0 if kappa == -np.inf else float(x if x < -18 else np.log(-np.expm1(-np.exp(min(x, 50)))))))
+            rows.append((ids, total, g, 0.0 if kappa == -np.inf else float(x if x < -18 else np.log(-np.expm1(-np.exp(min(x, 50)))))))
         results.append(rows)
     return results
 
 
+def _proto(model_path: str) -> bytes:
+    """The model's bytes, read on the driver; the tasks get them."""
+    with open(model_path, "rb") as f:
+        return f.read()
+
+
+def _sample(batches, proto: bytes, k: int):
+    """Arrow batches (doc_id, key, text) as batches (doc_id, rank, ids, log_prob, perturbed, log_inclusion, text), CHUNK bytes of text at a time."""
+    import pyarrow as pa
+
+    model = pieces(proto)
+    with np.errstate(over="ignore", divide="ignore"):
+        for batch in batches:
+            keys, texts = batch.column("key").to_numpy().view(np.uint64), batch.column("text")
+            sizes = np.diff(np.asarray(texts.buffers()[1]).view(np.int32)[texts.offset : texts.offset + len(texts) + 1])
+            at = 0
+            while at < len(texts):
+                to, size = at, 0
+                while to < len(texts) and (to == at or size + sizes[to] <= CHUNK):
+                    size, to = size + sizes[to], to + 1
+                found = sampled_ids(model, texts.slice(at, to - at).to_pylist(), keys[at:to], k)
+                flat = [x for f in found for x in f]
+                back = pa.array(np.repeat(np.arange(at, to), [len(f) for f in found]))
+                ends = np.concatenate([[0], np.cumsum([len(x[0]) for x in flat])]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").take(back),
+                        pa.array([r for f in found for r in range(len(f))], pa.int32()),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([x[0] for x in flat]), pa.int32())),
+                        *[pa.array([x[c] for x in flat], pa.float64()) for c in (1, 2, 3)],
+                        texts.take(back),
+                    ],
+                    names=["doc_id", "rank", "ids", "log_prob", "perturbed", "log_inclusion", "text"],
+                )
+                at = to
+
+
+def _keyed(docs: DataFrame, seed: int, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("key"), F.col(text_col).alias("text"))
+
+
 def sampled(docs: DataFrame, k: int = 2, seed: int = 17, model_path: str = MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, rank, ids, log_prob, perturbed, log_inclusion): up to k segmentations of every whole text."""
-    with open(model_path, "rb") as f:  # on the driver; the tasks get its bytes
-        proto = f.read()
+    proto, rows = _proto(model_path), _keyed(docs, seed, id_col, text_col)
 
     def sample(batches):
-        import pyarrow as pa
+        for batch in _sample(batches, proto, k):
+            yield batch.drop_columns(["text"])
 
-        model = pieces(proto)
-        with np.errstate(over="ignore", divide="ignore"):
-            for batch in batches:
-                keys, texts = batch.column("key").to_pylist(), batch.column("text")
-                valid, sizes = np.flatnonzero(np.array(texts.is_valid())), np.diff(np.asarray(texts.buffers()[1]).view(np.int32)[texts.offset : texts.offset + len(texts) + 1])
-                at = 0
-                while at < len(valid):
-                    to, size = at, 0
-                    while to < len(valid) and (to == at or size + sizes[valid[to]] <= CHUNK):
-                        size, to = size + sizes[valid[to]], to + 1
-                    rows = valid[at:to]
-                    found = sampled_ids(model, [texts[int(i)].as_py() for i in rows], [keys[i] & 0xFFFFFFFFFFFFFFFF for i in rows], k)
-                    flat = [x for f in found for x in f]
-                    back = np.repeat(rows, [len(f) for f in found])
-                    ends = np.concatenate([[0], np.cumsum([len(x[0]) for x in flat])]).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            batch.column("doc_id").take(pa.array(back)),
-                            pa.array([r for f in found for r in range(len(f))], pa.int32()),
-                            pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([x[0] for x in flat]), pa.int32())),
-                            *[pa.array([x[c] for x in flat], pa.float64()) for c in (1, 2, 3)],
-                            batch.column("text_crc32").take(pa.array(back)),
-                        ],
-                        names=["doc_id", "rank", "ids", "log_prob", "perturbed", "log_inclusion", "text_crc32"],
-                    )
-                    at = to
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("key"), F.col(text_col).alias("text"), F.crc32(F.col(text_col).cast("binary")).alias("text_crc32"))
     # Empty texts have one segmentation, without pieces.
-    none = rows.filter("text = ''").select("doc_id", F.lit(0).alias("rank"), F.array().cast("array<int>").alias("ids"), *[F.lit(0.0).alias(c) for c in ("log_prob", "perturbed", "log_inclusion")], "text_crc32")
-    return rows.filter("text <> ''").mapInArrow(sample, "doc_id long, rank int, ids array<int>, log_prob double, perturbed double, log_inclusion double, text_crc32 long").unionByName(none)
+    none = rows.filter("text = ''").select("doc_id", F.lit(0).alias("rank"), F.array().cast("array<int>").alias("ids"), *[F.lit(0.0).alias(c) for c in ("log_prob", "perturbed", "log_inclusion")])
+    return rows.filter("text <> ''").mapInArrow(sample, "doc_id long, rank int, ids array<int>, log_prob double, perturbed double, log_inclusion double").unionByName(none)
 
 
 def decoded(samples: DataFrame, model_path: str = MODEL, ids_col: str = "ids") -> DataFrame:
-    """samples with the column text in the place of ids."""
-    with open(model_path, "rb") as f:
-        proto = f.read()
+    """samples with the column text in the place of ids; null ids give a null text."""
+    proto = _proto(model_path)
 
     def decode(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         model = pieces(proto)
         for batch in batches:
             lists = batch.column(ids_col)
-            ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-            texts = [model.decode(flat[a:b]) if b > a else "" for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())]).astype(np.int32)
+            texts = pc.if_else(pc.is_valid(lists), model.decode(lists.flatten().to_numpy(), ends), pa.scalar(None, pa.string()))
             rest = [c for c in batch.schema.names if c != ids_col]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], pa.array(texts, pa.string())], names=[*rest, "text"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], texts], names=[*rest, "text"])
 
     rest = [f for f in samples.schema.fields if f.name not in (ids_col, "text")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest) + ", text string"
-    return samples.select(*[f.name for f in rest], ids_col).mapInArrow(decode, schema)
+    return samples.select(*[F.col(f"`{f.name}`") for f in rest], ids_col).mapInArrow(decode, schema)
+
 
+def digested(docs: DataFrame, k: int = 2, seed: int = 17, model_path: str = MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, rank, n_pieces, ids_hash, log_prob, perturbed, log_inclusion, round_trip): sampled() and decoded() in one pass, whose pieces need not leave their task."""
+    proto, rows = _proto(model_path), _keyed(docs, seed, id_col, text_col)
 
-def digested(docs: DataFrame, **options) -> DataFrame:
-    """(doc_id, rank, n_pieces, ids_hash, log_prob, perturbed, log_inclusion, round_trip) of sampled()."""
-    s = sampled(docs, **options).withColumn("n_pieces", F.size("ids")).withColumn("ids_hash", F.xxhash64("ids"))
-    t = decoded(s).withColumn("round_trip", F.crc32(F.col("text").cast("binary")) == F.col("text_crc32"))
-    return t.select("doc_id", "rank", "n_pieces", "ids_hash", "log_prob", "perturbed", "log_inclusion", "round_trip")
+    def digest(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        model = pieces(proto)
+        for b in _sample(batches, proto, k):
+            ends, flat = b.column("ids").offsets.to_numpy(), b.column("ids").values.to_numpy()
+            same = pc.equal(model.decode(flat, ends), b.column("text"))
+            crc = [zlib.crc32(flat[i:j]) for i, j in zip(ends[:-1], ends[1:], strict=True)]
+            columns = [b.column("doc_id"), b.column("rank"), pa.array(np.diff(ends), pa.int32()), pa.array(crc, pa.int64()), *[b.column(c) for c in ("log_prob", "perturbed", "log_inclusion")], same]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "rank", "n_pieces", "ids_hash", "log_prob", "perturbed", "log_inclusion", "round_trip"])
+
+    none = rows.filter("text = ''").select("doc_id", F.lit(0).alias("rank"), F.lit(0).alias("n_pieces"), F.lit(0).cast("long").alias("ids_hash"), *[F.lit(0.0).alias(c) for c in ("log_prob", "perturbed", "log_inclusion")], F.lit(True).alias("round_trip"))
+    return rows.filter("text <> ''").mapInArrow(digest, "doc_id long, rank int, n_pieces int, ids_hash long, log_prob double, perturbed double, log_inclusion double, round_trip boolean").unionByName(none)

@@ -221,11 +221,11 @@ def test_long_runs_are_not_cut():
     with np.errstate(over="ignore", divide="ignore"):
         run = "q" * 43 + "other"  # with the blank put first, 48 characters end in the middle of a word
         ids = {r[0].size and tuple(r[0].tolist()) for rows in segment.sampled_ids(model, [run] * 400, list(range(400)), 2) for r in rows}
-        crossing = [x for x in ids if 47 not in np.cumsum([len(model.plain[i]) for i in x]) - 1]
+        crossing = [x for x in ids if 47 not in np.cumsum([len(model.text[i]) for i in x]) - 1]
         assert crossing
         for text in ("a" * 5000, "".join(chr(0x4E00 + i % 500) for i in range(3000)), "line\tword\n" * 300):
             for rows in segment.sampled_ids(model, [text], [7], 2):
-                assert rows and all(np.isfinite(r[1]) and model.decode(r[0]) == text for r in rows)
+                assert rows and all(np.isfinite(r[1]) and model.decode(r[0], np.array([0, len(r[0])])).to_pylist() == [text] for r in rows)
     # Parting where no piece crosses leaves every probability as it is.
     text = "hello"
     want = _all_segmentations(model, text)
@@ -251,3 +251,48 @@ def test_letters_of_large_alphabets_match():
                 at, n = at + m, n + 1
             assert model.phrases([text])[0][0, k] == n
     assert model.predict(["საქართველო", han[500:560], "հայերեն"])[0] == ["ka", "zh", "hy"]
+
+
+def test_all_segmentations_come_for_large_k():
+    """Every segmentation of a short text is drawn once, however unlikely; log-probabilities and inclusion are the brute-force ones."""
+    import numpy as np
+
+    with open(segment.MODEL, "rb") as f:
+        model = segment.pieces(f.read())
+    few = "აბ" * 14 + "the" + "აბ" * 14 + "a"  # 60 letters without a blank; Georgian ones are pieces by themselves only
+    assert len(few) == 60
+    with np.errstate(over="ignore", divide="ignore"):
+        for text in ("x", "a b", "the", "it is", few):
+            want = _all_segmentations(model, text)
+            whole = np.logaddexp.reduce(list(want.values()))
+            for k in (2, len(want) // 2 + 1, len(want) + 50):
+                (rows,) = segment.sampled_ids(model, [text], [11], k)
+                got = [tuple(r[0].tolist()) for r in rows]
+                assert len(set(got)) == len(got) == min(k, len(want)) and set(got) <= set(want)
+                assert all(abs(r[1] - (want[x] - whole)) < 1e-9 for x, r in zip(got, rows, strict=True))
+                assert all(a[2] >= b[2] for a, b in zip(rows, rows[1:], strict=False))
+                if k >= len(want):
+                    assert {r[3] for r in rows} == {0.0}
+                else:  # the inclusion follows from kappa, which is one perturbed value further down
+                    (more,) = segment.sampled_ids(model, [text], [11], k + 1)
+                    assert [tuple(r[0].tolist()) for r in more[:k]] == got
+                    inclusion = [np.log(-np.expm1(-np.exp(r[1] - more[k][2]))) for r in rows]
+                    assert np.allclose([r[3] for r in rows], inclusion, rtol=1e-6, atol=1e-12)
+
+
+def test_perturbed_values_are_gumbel():
+    """Second samples come as often as without-replacement sampling says: p2 = sum over first ones of p1 * p / (1 - p1)."""
+    import numpy as np
+
+    with open(segment.MODEL, "rb") as f:
+        model = segment.pieces(f.read())
+    want = _all_segmentations(model, "as")
+    whole = np.logaddexp.reduce(list(want.values()))
+    p = {x: float(np.exp(v - whole)) for x, v in want.items()}
+    n = 6000
+    with np.errstate(over="ignore", divide="ignore"):
+        found = segment.sampled_ids(model, ["as"] * n, list(range(n)), 2)
+    for x in p:
+        second = sum(q * p[x] / (1 - q) for y, q in p.items() if y != x)
+        seen = sum(tuple(rows[1][0].tolist()) == x for rows in found) / n
+        assert abs(seen - second) < 4.5 * np.sqrt(second * (1 - second) / n) + 1e-3
