@@ -1,13 +1,17 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
-Each source's share of the word budget becomes a number of slots for blocks of block_words words. Slot quotas are
-laid side by side over the cells of the unit interval cut in 2^m; the van der Corput sequence visits the cells in
-bit-reversed order, so the slot of cell c is served at step bitrev(c) and any stretch of steps holds every source
-close to its share. Slots are ranked per source in order of their steps, documents of a source are shuffled by a seeded hash into
-one stream of words and cut into equal blocks, and slot r takes block r of the stream, wrapping round for repeats.
+Point i of the base-2 van der Corput sequence is i with its bits reversed, as a fraction. The sources' shares of the word budget lie side by side on the
+unit interval, and step i of the schedule serves the source whose stretch holds point i: the sequence alone decides how many slots a source has got
+after any number of steps, within log2(steps) + 1 of its share. Slots are ranked per source in order of their steps, documents of a source are
+shuffled by a seeded hash into one stream of words, and slot r takes the r-th block of equally many words of that stream, which is read again from its start
+when it ends, max_repeats times at most; slots beyond that stay empty. Points are generated from the sources' stretches: the points in a stretch are the cells between
+its ends, and a cell's step is its number with the bits reversed.
+
+A block holds 2^-20 of all words, at least 8 and at most 1024, unless block_words is given. Sources are sorted in one task, one row each.
 
 Cases: a null source is a source of its own, last in order; documents without words (null and empty texts) are
-never taken; repeated rows are separate documents; an empty table gives no rows; extra columns are not carried.
+never taken; repeated rows are separate documents; rows of equal hash (they repeat id and text) are interchangeable; very long texts are taken block by block like others;
+an empty table gives no rows; extra columns are not carried by taken(), and carried as they are, whatever their names, by resampled().
 """
 
 from __future__ import annotations
@@ -19,8 +23,8 @@ from .ranks import bucket_count, ranked
 from .store import saved
 from .text import n_words
 
-#: Words of a block.
-BLOCK_WORDS = 1024
+#: Bounds of a block's words, and the number of blocks (as a power of 2) that all words are cut into between those.
+LEAST_BLOCK, MOST_BLOCK, BLOCKS_LOG2 = 8, 1024, 20
 #: Slots that one row is expanded to at once.
 _CHUNK = 65536
 
@@ -46,91 +50,120 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max
 
 
 def _bit_reversed(cell: Column, bits: int) -> Column:
-    if not bits:
-        return F.lit(0).cast("long")
-    return F.conv(F.reverse(F.lpad(F.bin(cell), bits, "0")), 2, 10).cast("long")
-
-
-def schedule(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Slots of source_targets(): (step, src_null, src, rank, block, epoch, from_word, to_word) in a source's stream."""
-    size, take, b = F.col("source_size"), F.col("take"), F.lit(block_words)
-    quota = (
-        sources.filter((F.col("source_size") > 0) & (F.col("target") > 0))
-        .withColumn("take", F.round("target").cast("long"))
-        .withColumn("blocks", F.ceil(size / b).cast("long"))
-        .withColumn("full", F.floor(take / size).cast("long"))
-        .withColumn("rest", take - F.col("full") * size)
-        .withColumn("slots", F.col("full") * F.col("blocks") + F.ceil(F.col("rest") / b).cast("long"))
-    )
-    first = Window.orderBy("src_null", "src").rowsBetween(Window.unboundedPreceding, -1)
-    quota = saved(quota.withColumn("first", F.coalesce(F.sum("slots").over(first), F.lit(0)).cast("long")), "mix-quotas")
-    n = quota.agg(F.sum("slots")).first()[0] or 0
-    bits = max(0, int(n - 1).bit_length()) if n else 0
-    chunked = quota.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / _CHUNK).cast("long")))).repartition("src_null", "src", "chunk")
-    cells = chunked.withColumn("cell", F.explode(F.sequence(F.col("first") + F.col("chunk") * _CHUNK, F.col("first") + F.least((F.col("chunk") + 1) * _CHUNK, F.col("slots")) - 1)))
-    steps = cells.select("src_null", "src", "source_size", "blocks", "full", "rest", _bit_reversed(F.col("cell"), bits).alias("step"))
+    """The lowest `bits` bits of cell in reverse order."""
+    x = cell
+    for shift, mask in ((1, 0x5555555555555555), (2, 0x3333333333333333), (4, 0x0F0F0F0F0F0F0F0F), (8, 0x00FF00FF00FF00FF), (16, 0x0000FFFF0000FFFF)):
+        x = F.shiftrightunsigned(x, shift).bitwiseAND(mask).bitwiseOR(F.shiftleft(x.bitwiseAND(mask), shift))
+    x = F.shiftrightunsigned(x, 32).bitwiseOR(F.shiftleft(x, 32))
+    return F.shiftrightunsigned(x, 64 - bits) if bits else F.lit(0).cast("long")
+
+
+def block_size(n_words: int) -> int:
+    return min(max(n_words >> BLOCKS_LOG2, LEAST_BLOCK), MOST_BLOCK)
+
+
+def schedule(sources: DataFrame, block_words: int, max_repeats: int = 3) -> tuple[DataFrame, DataFrame]:
+    """Slots of source_targets(), and how evenly they come.
+
+    slots: (step, src_null, src, source_size, rank, from_word, to_word) in a source's endless stream; evenness: (src_null, src, slots, deviation), slots
+    being those of the whole schedule and deviation the largest difference from the source's share of the steps so far.
+    """
+    n = -(-int(round(sources.agg(F.sum("target")).first()[0] or 0)) // block_words)
+    bits = max(0, (n - 1).bit_length()) if n else 0
+    order = Window.orderBy("src_null", "src")
+    ends = sources.filter("target > 0").withColumn("to", F.sum("target").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    whole = F.max("to").over(Window.partitionBy())
+    ends = ends.select("*", F.coalesce(F.lag("to").over(order), F.lit(0.0)).alias("from"), whole.alias("whole"))
+    cell = lambda x: F.ceil(F.col(x) / F.col("whole") * float(1 << bits)).cast("long")
+    ends = ends.select("src_null", "src", "source_size", (F.col("target") / F.col("whole")).alias("share"), cell("from").alias("first"), cell("to").alias("end")).filter("end > first")
+    ends = saved(ends if n else ends.limit(0), "mix-stretches")
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("end") - F.col("first") - 1) / _CHUNK).cast("long")))
+    chunked = ends.withColumn("chunk", chunk).repartition("src_null", "src", "chunk")
+    start = F.col("first") + F.col("chunk") * _CHUNK
+    cells = chunked.withColumn("cell", F.explode(F.sequence(start, F.least(start + _CHUNK, F.col("end")) - 1)))
+    steps = cells.select("src_null", "src", "source_size", "share", _bit_reversed(F.col("cell"), bits).alias("step")).filter(F.col("step") < n)
     # Written out, as the optimizer takes exploded rows to be as few as their sources and would broadcast them.
     steps = saved(steps, "mix-steps")
-    # Steps lie below 2^bits: equal ranges of steps are the buckets.
-    per_bucket = max(1, (1 << bits) // bucket_count(n))
-    steps = ranked(steps.withColumn("bucket", F.floor(F.col("step") / per_bucket)), ["src_null", "src"], "bucket", [F.col("step")], "rank")
-    steps = steps.withColumn("block", F.col("rank") % F.col("blocks")).withColumn("epoch", F.floor(F.col("rank") / F.col("blocks")))
-    start = F.col("block") * b
-    end = F.least(start + b, F.when(F.col("epoch") == F.col("full"), F.col("rest")).otherwise(size))
-    return steps.select("step", "src_null", "src", "rank", "block", "epoch", start.alias("from_word"), end.alias("to_word"))
+    # Equal ranges of steps are the buckets.
+    per_bucket = max(1, n // bucket_count(n))
+    slots = ranked(steps.withColumn("bucket", F.floor(F.col("step") / per_bucket)), ["src_null", "src"], "bucket", [F.col("step")], "rank")
+    slots = saved(slots.drop("bucket"), "mix-slots")
+    off = F.greatest(F.abs(F.col("rank") - F.col("step") * F.col("share")), F.abs(F.col("rank") + 1 - (F.col("step") + 1) * F.col("share")))
+    evenness = slots.groupBy("src_null", "src").agg(F.count(F.lit(1)).alias("slots"), F.max(off).alias("deviation"))
+    b, most = F.lit(block_words), F.col("source_size") * max_repeats
+    words = slots.select("step", "src_null", "src", "source_size", "rank", (F.col("rank") * b).alias("from_word"), F.least((F.col("rank") + 1) * b, most).alias("to_word"))
+    return words.filter(F.col("from_word") < F.col("to_word")), evenness
+
+
+def _passes(slots: DataFrame, block_words: int) -> DataFrame:
+    """slots cut where a stream begins anew and at its blocks' edges: (step, src_null, src, rank, epoch, block, from_word, to_word) in the stream."""
+    size, b = F.col("source_size"), F.lit(block_words)
+    rows = slots.withColumn("epoch", F.explode(F.sequence(F.floor(F.col("from_word") / size), F.floor((F.col("to_word") - 1) / size))))
+    skipped = F.col("epoch") * size
+    rows = rows.withColumns({"from_word": F.greatest(F.col("from_word") - skipped, F.lit(0)), "to_word": F.least(F.col("to_word") - skipped, size)})
+    rows = rows.withColumn("block", F.explode(F.sequence(F.floor(F.col("from_word") / b), F.floor((F.col("to_word") - 1) / b))))
+    return rows.select("step", "src_null", "src", "rank", "epoch", "block", F.greatest("from_word", F.col("block") * b).alias("from_word"), F.least("to_word", (F.col("block") + 1) * b).alias("to_word"))
+
+
+def _row_hash(key: Column, text: Column, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), key, text)
 
 
 def placed(docs: DataFrame, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, src_null, src, size, start): where each document's words start in its source's shuffled stream."""
+    """(doc_id, src_null, src, size, h, start): where each document's words start in its source's shuffled stream."""
     slim = docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).isNull().alias("src_null"),
         F.coalesce(F.col(source_col), F.lit("")).alias("src"),
         n_words(F.col(text_col)).alias("size"),
-        F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("h"),
+        _row_hash(F.col(id_col), F.col(text_col), seed).alias("h"),
     )
     slim = saved(slim, "mix-sizes")
     cells = bucket_count(slim.count())
     return ranked(slim.withColumn("bucket", F.pmod("h", F.lit(cells))), ["src_null", "src"], "bucket", [F.col("h"), F.col("doc_id"), F.col("size")], "start", weight="size")
 
 
-def mixed(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_repeats: int = 3, block_words: int = BLOCK_WORDS, seed: int = 17, **columns) -> tuple[DataFrame, DataFrame, DataFrame]:
+def mixed(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_repeats: int = 3, block_words: int | None = None, seed: int = 17, **columns) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The mix, its documents and its sources.
 
-    mix: (step, src_null, src, epoch, block, start, doc_id, from_word, words), one row for each stretch of a document in a slot;
-    documents: placed(); sources: source_targets().
+    mix: (step, src_null, src, rank, epoch, start, doc_id, from_word, words), one row for each stretch of a document in a slot;
+    documents: placed(); sources: source_targets() with slots and deviation of schedule().
     """
-    where = saved(placed(docs, seed, **columns), "mix-places").select("doc_id", "src_null", "src", "size", "start")
+    where = saved(placed(docs, seed, **columns), "mix-places").select("doc_id", "src_null", "src", "size", "h", "start")
     sizes = where.groupBy("src_null", "src").agg(F.sum("size").alias("source_size"))
     sources = saved(source_targets(sizes, weights, max_repeats), "mix-targets")
-    slots = schedule(sources, block_words)
-    b = F.lit(block_words)
+    n_words = sources.agg(F.sum("source_size")).first()[0] or 0
+    block = block_words or block_size(n_words)
+    slots, evenness = schedule(sources, block, max_repeats)
+    b = F.lit(block)
     pieces = where.filter(F.col("size") > 0).withColumn("end", F.col("start") + F.col("size"))
     pieces = pieces.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / b), F.floor((F.col("end") - 1) / b))))
-    joined = slots.join(pieces, ["src_null", "src", "block"])
+    joined = _passes(slots, block).join(pieces, ["src_null", "src", "block"])
     lo, hi = F.greatest("start", "from_word"), F.least("end", "to_word")
-    mix = joined.filter(hi > lo).select("step", "src_null", "src", "epoch", "block", "start", "doc_id", (lo - F.col("start")).alias("from_word"), (hi - lo).alias("words"))
-    return mix, where, sources
+    mix = joined.filter(hi > lo).select("step", "src_null", "src", "rank", "epoch", "start", "doc_id", (lo - F.col("start")).alias("from_word"), (hi - lo).alias("words"))
+    return mix, where, sources.join(evenness, ["src_null", "src"], "left")
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) of every document."""
+    """(doc_id, source, size, source_size, target, taken, slots, deviation, h) of every document; h is its row's hash."""
     mix, where, sources = mixed(docs, **options)
     used = mix.groupBy("src_null", "src", "start").agg(F.sum("words").alias("taken"))
     some = where.filter(F.col("size") > 0).join(used, ["src_null", "src", "start"], "left")
     none = where.filter(F.col("size") == 0).withColumn("taken", F.lit(None).cast("long"))
     out = some.unionByName(none).join(sources, ["src_null", "src"], "left")
+    zero = lambda c, kind: F.coalesce(c, F.lit(0)).cast(kind).alias(c)
     return out.select(
-        "doc_id", F.when(~F.col("src_null"), F.col("src")).alias("source"), "size", F.col("source_size").cast("long").alias("source_size"), F.coalesce("target", F.lit(0.0)).alias("target"), F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
-    )
+        "doc_id", F.when(~F.col("src_null"), F.col("src")).alias("source"), "size", F.col("source_size").cast("long").alias("source_size"),
+        zero("target", "double"), zero("taken", "long"), zero("slots", "long"), zero("deviation", "double"), "h",
+    )
 
 
-def resampled(docs: DataFrame, **options) -> DataFrame:
+def resampled(docs: DataFrame, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """docs as the mix has them: each as often as the mix takes its words, rounded; documents of which it takes under half go.
 
-    Repeated ids share what was taken of them.
+    Rows that repeat id and text share what was taken of them.
     """
-    key = options.get("id_col", "doc_id")
-    counts = taken(docs, **options).groupBy(F.col("doc_id").alias("__id")).agg(F.try_divide(F.sum("taken"), F.sum("size")).alias("__share")).filter("__share >= 0.5")
-    out = docs.join(counts, docs[key].eqNullSafe(counts["__id"]))
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.round("__share").cast("int")))).select(*[docs[c] for c in docs.columns])
+    shares = taken(docs, seed=seed, id_col=id_col, text_col=text_col, **options).groupBy("h").agg(F.try_divide(F.sum("taken"), F.sum("size")).alias("share")).filter("share >= 0.5")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _row_hash(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), seed).alias("h"))
+    out = rows.join(shares, "h").withColumn("copy", F.explode(F.sequence(F.lit(1), F.round("share").cast("int"))))
+    return out.select("row.*")

@@ -17,7 +17,7 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all documents takes from each, sources weighing 5, 2, 1."""
     from .mixing import taken
 
-    return taken(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return taken(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "slots", F.round("deviation", 6).alias("deviation"))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

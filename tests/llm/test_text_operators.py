@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from clademill.llm import cotrain, hostrules, langid, mixing, segment, sharding, toxicity
 
@@ -31,9 +33,68 @@ def test_mixing(spark, odd):
     for x in r:
         total[x.source] = total.get(x.source, 0) + x.taken
         sizes[x.source] = x.target
-    assert all(abs(total[s] - sizes[s]) <= 1 for s in total)
+    words = sum(x["size"] for x in r)
+    assert all(abs(total[s] - sizes[s]) <= 8 * (math.log2(words / 8) + 2) for s in total)
     assert mixing.taken(odd.limit(0)).count() == 0 and mixing.resampled(odd.limit(0)).count() == 0
     assert mixing.resampled(odd).columns == odd.columns
+    clash = odd.withColumns({"share": F.lit(1), "row": F.lit("r"), "copy": F.lit(2), "__share": F.lit(3), "a.b": F.lit(4)})
+    assert mixing.resampled(clash).columns == clash.columns and mixing.resampled(clash).count() == mixing.resampled(odd).count()
+
+
+def _walked(rows, block, seed, spark, repeats=3):
+    """Words that a plain walk of the schedule takes from each row (id, text, source): point by point, slot by slot, word by word."""
+    key = {r.doc_id: (r.h, r.bucket) for r in spark.createDataFrame(rows, "doc_id long, text string, source string").select("doc_id", F.xxhash64(F.lit(seed), "doc_id", "text").alias("h"))
+           .withColumn("bucket", F.pmod("h", F.lit(math.isqrt(len(rows))))).collect()}
+    size = {i: len((t or "").split()) for i, t, _ in rows}
+    names = sorted({s for *_, s in rows}, key=lambda s: (s is None, s or ""))
+    stream = {s: [i for i in sorted((i for i, _, x in rows if x == s), key=lambda i: (key[i][1], key[i][0], i)) for _ in range(size[i])] for s in names}
+    weight, left, target, open_ = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}, sum(size.values()), {}, set(names)
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if level * weight[s] > repeats * len(stream[s])}
+        target |= {s: repeats * len(stream[s]) for s in full} if full else {s: level * weight[s] for s in open_}
+        left, open_ = left - sum(target[s] for s in full), open_ - full if full else set()
+    whole, n = sum(target.values()), -(-round(sum(target.values())) // block)
+    bits, at, got, worst = (n - 1).bit_length(), dict.fromkeys(names, 0), dict.fromkeys(size, 0), dict.fromkeys(names, 0.0)
+    slots = dict.fromkeys(names, 0)
+    for i in range(n):
+        u, edge = int(f"{i:0{bits}b}"[::-1], 2) / 2**bits, 0.0
+        for s in names:
+            edge += target[s]
+            if u < edge / whole:
+                break
+        for s2 in names:
+            worst[s2] = max(worst[s2], abs(slots[s2] + (s2 == s) - (i + 1) * target[s2] / whole)) if s2 == s else worst[s2]
+        slots[s] += 1
+        for w in range(at[s], min(at[s] + block, repeats * len(stream[s]))):
+            got[stream[s][w % len(stream[s])]] += 1
+        at[s] += block
+    return got, slots, target
+
+
+def test_mixing_against_a_walk(spark):
+    """Same words taken as by walking the schedule, also with sources smaller than a block, capped ones, null ones and empty texts."""
+    rows, k = [], 0
+    for source, n, words in (("a", 30, 40), ("b", 3, 2), ("c", 40, 33), (None, 9, 25), ("d", 1, 1), ("e", 2, 0), ("f", 60, 20)):
+        for _ in range(n):
+            rows.append((k, " ".join(f"w{j}" for j in range(max(0, words + k % 7 - 3 if words > 3 else words))), source))
+            k += 1
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    for block in (8, 13, 50):
+        got, slots, target = _walked(rows, block, 17, spark)
+        r = mixing.taken(df, block_words=block).collect()
+        assert {x.doc_id: x.taken for x in r} == got
+        assert {x.source: x.slots for x in r} == slots and all(abs(x.target - target[x.source]) < 1e-6 for x in r)
+        assert all(x.taken <= 3 * x["size"] for x in r)
+        n = sum(slots.values())
+        assert all(x.deviation <= math.log2(n) + 1 for x in r)
+
+
+def test_bits_are_reversed(spark):
+    for bits in (0, 1, 5, 20, 40):
+        top = (1 << bits) - 1
+        rows = spark.createDataFrame([(x,) for x in (0, 1, 2, 3, 11, top, top // 3) if x <= top], "c long").select("c", mixing._bit_reversed(F.col("c"), bits).alias("r")).collect()
+        assert all(x.r == int((f"{x.c:0{bits}b}" if bits else "0")[::-1], 2) for x in rows)
 
 
 def test_schedule_keeps_to_shares(spark):
@@ -160,8 +221,6 @@ def test_sampling_without_replacement_follows_the_lattice():
     """Short texts: first samples come as often as their probabilities say, all samples of a text differ."""
     with open(segment.MODEL, "rb") as f:
         model = segment.pieces(f.read())
-    import math
-
     import numpy as np
 
     with np.errstate(over="ignore", divide="ignore"):
@@ -198,8 +257,6 @@ def test_every_source_is_learned(spark):
 
 def _all_segmentations(model, text):
     """Log-weights of all segmentations of a text whose characters are all pieces, by ids; units as in the docstring of segment."""
-    import math
-
     c = "▁" + text.replace(" ", "▁")
     known = {t: i for i, t in enumerate(model.text) if model.byte_of[i] < 0 and (model.weight[i] > 0)}
     starts = {i for i in range(1, len(c)) if c[i] == "▁" and c[i - 1] != "▁"}
