@@ -1,19 +1,23 @@
 """Toxicity by a counterfactually regularised classifier.
 
-Features are the distinct words of a text and their beginnings, the ones that tell labelled toxic texts from others;
-words for groups of people are always among them. Sentences of labelled texts that mention a group are copied with the
-mention swapped for another group's, and training penalises the squared change of the score's logit. A
-neutral mention of a group then can't raise the score, however often labelled toxic texts name it.
+Features are the distinct words of a text and their beginnings, the ones that tell labelled toxic texts from others, and the swap terms.
+Swap terms are words that may be mentioned neutrally and must not raise the score by themselves: words for groups of people, given by kind, and
+words that the labelled texts of whatever language show to be like them, more common in toxic texts but no strangers to others
+(mention_terms()). Sentences of labelled texts that hold a term are copied with the term swapped for a counterpart (another group of the kind, or the
+words of other texts that stand beside the same words most), and training penalises the squared change of the score's logit. A neutral mention then
+can't raise the score, however often labelled toxic texts hold it. If no sentence holds a term, trained() warns: the regulariser had no pairs.
 
 Cases: null and empty texts have no features and get the bias as their score; labels of null are not learned
-from; repeated labels count each; without toxic labels, or without others, all scores are the share of toxic labels; rows with a null id are
-scored and not held out; an empty table gives no rows; extra columns are not carried.
+from; repeated labels count each; repeated rows score alike; equal evidence goes by the word; very long texts are read whole; without toxic labels, or
+without others, all scores are the share of toxic labels; rows with a null id are scored and not held out; an empty table gives no rows; columns beside text
+are carried, those named score and predicted are replaced.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import warnings
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -25,6 +29,10 @@ from .logistic import Sparse, fit, sigmoid
 SAMPLE_ROWS, FEATURES, PAIRS = 3000, 6000, 4000
 #: A feature needs this many toxic texts and this log-likelihood ratio (1 degree of freedom).
 LEAST_TEXTS, LEAST_G2 = 3, 16.0
+#: Swap terms that are found at most, words that are looked at as their counterparts, words beside which they may stand, counterparts of a term.
+TERMS, PARTNERS, NEIGHBOURS, COUNTERPARTS = 100, 1000, 400, 2
+#: A found term is in this many texts of either class, and by these factors more common among toxic ones.
+LEAST_OTHERS, LIFT = 5, (1.2, 8.0)
 #: Lengths of the beginnings of words.
 BEGINNINGS = (4, 5, 6)
 #: Words for groups of people, by kind; a mention is swapped within its kind and for "people". Fixed values of ours, a parameter.
@@ -48,15 +56,56 @@ def features(text: str | None) -> set[str]:
     return found.union(*({w[:n] + "*" for w in found if len(w) > n} for n in BEGINNINGS))
 
 
-def swaps(text: str | None, kinds: tuple[tuple[str, ...], ...] = IDENTITY_TERMS) -> Iterator[tuple[str, str]]:
-    """Sentences that mention a group, each with every counterpart: all other groups of the kind, and the neutral word."""
-    kind = {w: ws for ws in kinds for w in ws}
+def by_kind(kinds: tuple[tuple[str, ...], ...] = IDENTITY_TERMS) -> dict[str, tuple[str, ...]]:
+    """Counterparts of each term: all others of its kind, and the neutral word."""
+    return {w: tuple(x for x in (*ws, NEUTRAL) if x != w) for ws in kinds for w in ws}
+
+
+def swaps(text: str | None, terms: Mapping[str, tuple[str, ...]]) -> Iterator[tuple[str, str]]:
+    """Sentences that hold a term, each with the term swapped for each of its counterparts."""
     for sentence in _SENTENCE.findall((text or "").lower()):
-        mentioned = [w for w in dict.fromkeys(_WORD.findall(sentence)) if w in kind]
-        for w in mentioned:
-            for other in (*kind[w], NEUTRAL):
-                if other != w:
-                    yield sentence, re.sub(rf"(?<![^\W\d_]){w}(?![^\W\d_])", other, sentence)
+        for w in dict.fromkeys(_WORD.findall(sentence)):
+            for other in terms.get(w, ()):
+                yield sentence, re.sub(rf"(?<![^\W\d_]){w}(?![^\W\d_])", other, sentence)
+
+
+def mention_terms(rows: DataFrame, counted: DataFrame, n0: int, n1: int) -> dict[str, tuple[str, ...]]:
+    """Swap terms that the learned rows (text, toxic) show, with their counterparts; counted: (feature, a, b, g2), texts of either class by feature.
+
+    A counterpart is no more common among toxic texts, and stands beside the same words: its neighbours' counts have the highest cosine.
+    """
+    word, lift = ~F.col("feature").endswith("*"), (F.col("a") * n0) / (F.col("b") * n1)
+    enough = counted.filter(word & (F.col("b") >= LEAST_OTHERS)).withColumn("lift", lift)
+    terms = enough.filter((F.col("a") >= LEAST_OTHERS) & F.col("lift").between(*LIFT)).orderBy(F.desc("g2"), "feature").limit(TERMS)
+    partners = enough.filter("lift <= 1").orderBy(F.desc("b"), "feature").limit(PARTNERS)
+    beside = counted.filter(word).orderBy(F.desc(F.col("a") + F.col("b")), "feature").limit(NEIGHBOURS)
+    terms, partners, beside = ([r["feature"] for r in x.select("feature").collect()] for x in (terms, partners, beside))
+    if not terms or not partners:
+        return {}
+
+    def neighbours(batches):
+        import pandas as pd
+
+        at, near = {w: i for i, w in enumerate([*terms, *partners])}, {w: i for i, w in enumerate(beside)}
+        for b in batches:
+            counts: dict[tuple[int, int], int] = {}
+            for text in b["text"]:
+                words = _WORD.findall((text or "").lower())
+                for i, w in enumerate(words):
+                    k = at.get(w)
+                    if k is not None:
+                        for x, side in ((words[i - 1] if i else None, 0), (words[i + 1] if i + 1 < len(words) else None, 1)):
+                            if x in near:
+                                counts[k, 2 * near[x] + side] = counts.get((k, 2 * near[x] + side), 0) + 1
+            yield pd.DataFrame([(*k, n) for k, n in counts.items()], columns=["word", "side", "n"])
+
+    # At most (TERMS + PARTNERS) * 2 * NEIGHBOURS counts.
+    counts = rows.select("text").mapInPandas(neighbours, "word int, side int, n long").groupBy("word", "side").agg(F.sum("n").alias("n")).toArrow()
+    m = np.zeros((len(terms) + len(partners), 2 * len(beside)))
+    m[counts.column("word").to_numpy(), counts.column("side").to_numpy()] = np.sqrt(counts.column("n").to_numpy())
+    m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
+    near = np.argsort(-(m[: len(terms)] @ m[len(terms) :].T), axis=1, kind="stable")[:, :COUNTERPARTS]
+    return {w: tuple(partners[j] for j in near[i]) for i, w in enumerate(terms)}
 
 
 def _exploded_features(rows: DataFrame) -> DataFrame:
@@ -82,9 +131,10 @@ def learned_rows(docs: DataFrame, labels: DataFrame, seed: int = 17, most: int =
 
 
 class Model:
-    """Feature weights and bias; what is sent to the tasks."""
+    """Feature weights and bias; what is sent to the tasks. terms and pairs: swap terms with their counterparts, sentence pairs learned from."""
 
-    def __init__(self, names: list[str], weights: np.ndarray, bias: float):
+    def __init__(self, names: list[str], weights: np.ndarray, bias: float, terms: Mapping[str, tuple[str, ...]] | None = None, pairs: int = 0):
+        self.terms, self.pairs = dict(terms or {}), pairs
         self.weights = {n: float(w) for n, w in zip(names, weights, strict=True) if w}
         self.bias = bias
         self.words = frozenset(n for n in self.weights if n[-1] != "*")
@@ -117,10 +167,12 @@ def trained(docs: DataFrame, labels: DataFrame, seed: int = 17, pair_weight: flo
     both, n = a + b, n0 + n1
     term = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
     g2 = 2 * (term(a, both * n1 / n) + term(b, both * n0 / n) + term(n1 - a, n1 * (n - both) / n) + term(n0 - b, n0 * (n - both) / n))
+    table = saved(table.filter(both >= LEAST_TEXTS).withColumn("g2", g2), "toxic-counts")
     # Words that speak for a toxic text only: what marks others (junk, say) must not hide insults.
-    chosen = table.filter((a >= LEAST_TEXTS) & (a * n0 > b * n1)).withColumn("g2", g2).filter(F.col("g2") >= LEAST_G2)
+    chosen = table.filter((a >= LEAST_TEXTS) & (a * n0 > b * n1) & (F.col("g2") >= LEAST_G2))
     names = [r["feature"] for r in chosen.orderBy(F.desc("g2"), "feature").limit(FEATURES).collect()]
-    names = sorted({*names, *(w for ws in kinds for w in ws), NEUTRAL})
+    terms = by_kind(kinds) | mention_terms(rows, table, n0, n1)
+    names = sorted({*names, *terms, *(w for ws in terms.values() for w in ws)})
 
     def ids(batches):
         import pandas as pd
@@ -131,17 +183,35 @@ def trained(docs: DataFrame, labels: DataFrame, seed: int = 17, pair_weight: flo
             out = []
             for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
                 out.append((0, toxic, ids_of(text), []))
-                out += [(1, toxic, ids_of(x), ids_of(y)) for x, y in swaps(text, kinds)]
+                pairs = ((ids_of(x), ids_of(y)) for x, y in swaps(text, terms))
+                out += [(1, toxic, x, y) for x, y in pairs if x != y]
             yield pd.DataFrame(out, columns=["pair", "toxic", "x", "y"])
 
     made = saved(rows.select("text", F.col("toxic").cast("int")).mapInPandas(ids, "pair int, toxic int, x array<int>, y array<int>"), "toxic-features")
-    single = made.filter("pair = 0").select("toxic", "x").orderBy("toxic", "x").collect()
+    # At most 2 * sample_rows rows; sums are rounded alike in any run if they are in order.
+    single = sorted((r["toxic"], r["x"]) for r in made.filter("pair = 0").select("toxic", "x").collect())
     pairs = made.filter("pair = 1").select("x", "y").orderBy(F.xxhash64(F.lit(seed), "x", "y"), "x", "y").limit(PAIRS).collect()
-    y = np.array([r["toxic"] for r in single], float)
+    if not pairs:
+        warnings.warn("no labelled sentence holds a swap term: the counterfactual penalty has no pairs to work on", stacklevel=2)
+    y = np.array([t for t, _ in single], float)
     weight = np.where(y == 1, share / n1, (1 - share) / n0)
-    x = Sparse([r["x"] for r in single], len(names))
+    x = Sparse([x for _, x in single], len(names))
     two = Sparse([r["x"] for r in pairs], len(names)), Sparse([r["y"] for r in pairs], len(names))
-    return Model(names, *fit(x, y, weight, l2=2e-5, pairs=two, pair_weight=pair_weight))
+    return Model(names, *fit(x, y, weight, l2=2e-5, pairs=two, pair_weight=pair_weight), terms=terms, pairs=len(pairs))
+
+
+def swap_changes(docs: DataFrame, model: Model, by: str) -> DataFrame:
+    """(by, mentions, mean_change, worst_change): how much swapping the model's terms changes the scores of the sentences of docs (text, by) that hold one."""
+
+    def change(batches):
+        import pandas as pd
+
+        for b in batches:
+            rows = [(g, abs(float(sigmoid(model.logit(x))) - float(sigmoid(model.logit(y))))) for t, g in zip(b["text"], b["by"], strict=True) for x, y in swaps(t, model.terms)]
+            yield pd.DataFrame(rows, columns=["by", "change"])
+
+    rows = docs.select("text", F.col(by).cast("string").alias("by")).mapInPandas(change, "by string, change double")
+    return rows.groupBy("by").agg(F.count(F.lit(1)).alias("mentions"), F.avg("change").alias("mean_change"), F.max("change").alias("worst_change"))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

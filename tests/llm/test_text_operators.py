@@ -353,3 +353,42 @@ def test_perturbed_values_are_gumbel():
         second = sum(q * p[x] / (1 - q) for y, q in p.items() if y != x)
         seen = sum(tuple(rows[1][0].tolist()) == x for rows in found) / n
         assert abs(seen - second) < 4.5 * np.sqrt(second * (1 - second) / n) + 1e-3
+
+
+def test_gradient_of_the_penalised_loss():
+    import numpy as np
+
+    from clademill.llm.logistic import Sparse, loss
+
+    r = np.random.default_rng(4)
+    draw = lambda n: Sparse([sorted(set(r.integers(0, 12, 4).tolist())) for _ in range(n)], 12)
+    x, y, two, w = draw(30), r.integers(0, 2, 30).astype(float), (draw(9), draw(9)), r.normal(size=13)
+    weight = r.random(30) / 15
+    value, g = loss(w, x, y, weight, 0.01, two, 0.7)
+    for k in range(13):
+        step = np.zeros(13)
+        step[k] = 1e-6
+        high, low = (loss(w + s, x, y, weight, 0.01, two, 0.7)[0] for s in (step, -step))
+        assert abs((high - low) / 2e-6 - g[k]) < 1e-6
+    assert value - loss(w, x, y, weight, 0.01, None, 0.0)[0] == pytest.approx(0.7 * np.mean((two[0].dot(w[:-1]) - two[1].dot(w[:-1])) ** 2))
+
+
+def test_swap_terms_are_found_in_the_texts(spark):
+    """Words that stand where others stand, but mostly in toxic texts, are found in two languages, and swapping them stops to count."""
+    groups = {"en": (["norbs", "talms", "vints"], "the {} went home early. {}"), "xx": (["zork", "lumm", "kiff"], "ja {} mora silo tepi. {}")}
+    rows = []
+    for i in range(600):
+        names, shape = groups["en" if i % 3 else "xx"]
+        toxic = i % 2
+        who = names[0] if (toxic and i % 5) or i % 4 == 0 else names[1 + i // 2 % 2]
+        rows.append((i, shape.format(who, "vilestword here" if toxic else f"calm number{i % 7} here"), "en" if i % 3 else "xx", toxic))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    docs, lab = df.drop("toxic"), df.select("doc_id", "toxic")
+    free, held = toxicity.trained(docs, lab, pair_weight=0.0), toxicity.trained(docs, lab, pair_weight=5.0)
+    assert {"norbs", "zork"} <= set(held.terms) and set(held.terms["norbs"]) <= {"talms", "vints"} and set(held.terms["zork"]) <= {"lumm", "kiff"} and held.pairs > 100
+    assert held.weights != free.weights
+    change = lambda m: {r.by: r.mean_change for r in toxicity.swap_changes(df, m, "lang").collect()}
+    loose, tight = change(free), change(held)
+    assert set(tight) == {"en", "xx"} and all(tight[g] < 0.2 * loose[g] for g in tight)
+    with pytest.warns(UserWarning, match="no pairs"):
+        toxicity.trained(docs.withColumn("text", F.when(F.col("doc_id") % 2 == 1, "vilestword").otherwise("calm")), lab)
