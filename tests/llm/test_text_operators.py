@@ -385,7 +385,7 @@ def test_swap_terms_are_found_in_the_texts(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
     docs, lab = df.drop("toxic"), df.select("doc_id", "toxic")
     free, held = toxicity.trained(docs, lab, pair_weight=0.0), toxicity.trained(docs, lab, pair_weight=5.0)
-    assert {"norbs", "zork"} <= set(held.terms) and set(held.terms["norbs"]) <= {"talms", "vints"} and set(held.terms["zork"]) <= {"lumm", "kiff"} and held.pairs > 100
+    assert {"norbs", "zork"} <= set(held.terms) and held.terms["norbs"][0] in {"talms", "vints"} and held.terms["zork"][0] in {"lumm", "kiff"} and held.pairs > 100
     assert held.weights != free.weights
     change = lambda m: {r.by: r.mean_change for r in toxicity.swap_changes(df, m, "lang").collect()}
     loose, tight = change(free), change(held)
