@@ -141,7 +141,8 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_repeats:
     joined = _passes(slots, block).join(pieces, ["src_null", "src", "block"])
     lo, hi = F.greatest("start", "from_word"), F.least("end", "to_word")
     mix = joined.filter(hi > lo).select("step", "src_null", "src", "rank", "epoch", "start", "doc_id", (lo - F.col("start")).alias("from_word"), (hi - lo).alias("words"))
-    return mix, where, sources.join(evenness, ["src_null", "src"], "left")
+    # Written out, so that its size is known when documents are joined to it.
+    return mix, where, saved(sources.join(evenness, ["src_null", "src"], "left"), "mix-sources")
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:
