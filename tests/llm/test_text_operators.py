@@ -297,7 +297,7 @@ def test_letters_of_large_alphabets_match():
     han = "".join(chr(0x4E00 + i) for i in range(600)) * 3
     texts = (("ka", "საქართველო ლამაზია"), ("zh", han), ("hy", "հայերեն լեզու"))
     model = langid.Automata(texts)
-    assert model.width < 600
+    assert model.rare.any() and len(model.keys)
     for text in ("საქართველო", "հայ ლამაზია", han[500:560], han[590:610], "latin"):
         for k, (_, known) in enumerate(texts):
             at = n = 0
@@ -392,3 +392,44 @@ def test_swap_terms_are_found_in_the_texts(spark):
     assert set(tight) == {"en", "xx"} and all(tight[g] < 0.2 * loose[g] for g in tight)
     with pytest.warns(UserWarning, match="no pairs"):
         toxicity.trained(docs.withColumn("text", F.when(F.col("doc_id") % 2 == 1, "vilestword").otherwise("calm")), lab)
+
+
+def _plain_phrases(text, known):
+    at = n = 0
+    while at < len(text):
+        m = 1
+        while at + m < len(text) and text[at : at + m + 1] in known:
+            m += 1
+        at, n = at + m, n + 1
+    return n
+
+
+def test_long_texts_and_large_alphabets_against_plain_parse(monkeypatch):
+    """Texts of 5000 characters and more, alphabets of 400 letters, repetitions that never fall into step, segments of several lengths."""
+    import random
+
+    r = random.Random(3)
+    many = "".join(r.choice([chr(0x4E00 + i) for i in range(400)]) for _ in range(3000))
+    other = "".join(r.choice([chr(0xAC00 + i) for i in range(400)]) for _ in range(3000))
+    latin = " ".join("".join(r.choice("abcde") for _ in range(r.randrange(1, 9))) for _ in range(900))
+    texts = (("a", many), ("b", other), ("c", latin), ("d", "ab" * 700 + "ba"))
+    model = langid.Automata(texts)
+    long = [
+        "".join(many[k : k + 40] for k in range(0, 2900, 23)), "".join(r.choice(many) for _ in range(5000)), other[700:] + many[:2500] + other,
+        " ".join("".join(r.choice("abcdx") for _ in range(r.randrange(1, 9))) for _ in range(1500)), "ab" * 3000, "aab" * 2000, "zz" * 2600, latin[5:] + latin[3:3000], "b",
+    ]
+    want = [[_plain_phrases(t, known) for _, known in texts] for t in long]
+    for segment_size in (1024, 100, 7):
+        monkeypatch.setattr(langid, "SEGMENT", segment_size)
+        got, chars = model.phrases(long)
+        assert got.tolist() == want and chars.tolist() == [len(t) for t in long]
+    # Each language's own characters tell: two languages of 400 letters.
+    assert langid.Automata(texts[:2]).predict(["".join(r.choice(many) for _ in range(300)), "".join(r.choice(other) for _ in range(300))])[0] == ["a", "b"]
+
+
+def test_learned_rows_are_whole(spark):
+    rows = [(1, "x" * 30_000, "long"), (2, "y" * 40_000, "long"), (3, "kurz und gut", "de"), (4, "z" * 23_990, "de"), (5, "noch ein text", "de"), (6, "q" * 50_000, "de"), (7, None, "xx"), (8, "...", "yy")]
+    texts = dict(langid.sampled_text(spark.createDataFrame(rows, "doc_id long, text string, lang string")))
+    assert texts["long"] == "x" * 30_000 and set(texts) == {"long", "de"}
+    assert set(texts["de"].split(chr(0x1E))) <= {t for _, t, _ in rows} and len(texts["de"]) <= 24_002
+    assert all(langid.model_bytes(t) < 1 << 27 for t in texts.values())
