@@ -93,6 +93,7 @@ class Automata:
                 raise ValueError("too many languages for one table: lower SAMPLE_CHARS")
         order = np.argsort(np.array(keys, np.int64))
         self.keys, self.goals = np.array(keys, np.int64)[order], np.array(goals, np.int32)[order]
+        self.sparse = dict(zip(keys, goals, strict=True))
         self.bits, self.roots, self.next = np.array(bits), np.array(roots, np.int32), np.concatenate([[np.int32(0)], *tables])
 
     def _add(self, rows: list[dict[int, int]], codes: list[int]) -> None:
@@ -144,22 +145,30 @@ class Automata:
 
     def _step(self, lang: np.ndarray, state: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """States one character on, and where a phrase begins with it."""
-        to = self.next[state + self.own[lang, c]]
+        cell = c + lang * np.int32(self.own.shape[1])
+        to = self.next.take(state + self.own.take(cell))
         if len(self.keys):
-            rare = self.rare[lang, c]
+            rare = self.rare.take(cell)
             if rare.any():
                 key = (state[rare].astype(np.int64) << 21) | np.broadcast_to(c, state.shape)[rare]
                 at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
                 to[rare] = np.where(self.keys[at] == key, self.goals[at], 0)
         lost = to == 0
-        return np.where(lost, self.start[lang, c], to), lost | (state == self.roots[lang])
+        begun = lost | (state == self.roots.take(lang))
+        again = np.flatnonzero(lost)
+        to.ravel()[again] = self.start.take(cell.ravel()[again])
+        return to, begun
 
     def _plainly(self, lang: int, codes: np.ndarray) -> int:
         """Phrases of a text, character by character."""
-        one, state, n = np.array([lang]), self.roots[lang : lang + 1], 0
-        for k in range(len(codes)):
-            state, begun = self._step(one, state, codes[k : k + 1])
-            n += int(begun[0])
+        own, start, root, to_next = self.own[lang].tolist(), self.start[lang].tolist(), int(self.roots[lang]), memoryview(self.next)
+        state, n = root, 0
+        for c in codes.tolist():
+            to = to_next[state + own[c]] if own[c] else self.sparse.get((state << 21) | c, 0)
+            if not to:
+                n, state = n + 1, start[c]
+            else:
+                n, state = n + (state == root), to
         return n
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -177,31 +186,29 @@ class Automata:
         lengths = np.minimum(chars[owner] - number * SEGMENT, SEGMENT)
         order = np.argsort(-lengths, kind="stable")
         active = np.searchsorted(-lengths[order], -np.arange(lengths.max()), side="left")
-        lang = np.arange(len(self.langs))[:, None]
+        lang = np.arange(len(self.langs), dtype=np.int32)[:, None]
         state = np.repeat(self.roots[:, None], len(owner), 1)  # of segments in order
         count = np.zeros(state.shape, np.int64)
-        later = number[order] > 0
-        marks = np.zeros((len(self.langs), len(flat)), bool) if later.any() else None
+        marks = np.zeros((len(active), *state.shape), bool) if number.any() else None  # where phrases begin, by place in the segment
+        first = begins[order]
         for j in range(len(active)):
             n = active[j]
-            at = begins[order[:n]] + j
-            state[:, :n], begun = self._step(lang, state[:, :n], flat[at])
+            state[:, :n], begun = self._step(lang, state[:, :n], flat[first[:n] + j])
             count[:, :n] += begun
             if marks is not None:
-                some = np.flatnonzero(later[:n])
-                marks[:, at[some]] = begun[:, some]
+                marks[j, :, :n] = begun
         back = np.argsort(order)
         state, count = state[:, back], count[:, back]
         if marks is not None:
-            self._carried_on(state, count, marks, flat, owner, number, begins, lengths, parts, coded)
+            self._carried_on(state, count, marks, back, flat, owner, number, begins, lengths, parts, coded)
         for k in range(len(self.langs)):
             total[:, k] = np.bincount(owner, weights=count[k], minlength=len(texts))
         return total, chars
 
-    def _carried_on(self, state, count, marks, flat, owner, number, begins, lengths, parts, coded) -> None:
+    def _carried_on(self, state, count, marks, back, flat, owner, number, begins, lengths, parts, coded) -> None:
         """Correct count, the phrases begun in each segment, as if every text were parsed in one piece."""
         front = np.flatnonzero(number + 1 < parts[owner])  # segments that another one of the text follows
-        lang, to = (x.ravel() for x in np.meshgrid(np.arange(len(self.langs)), front + 1, indexing="ij"))
+        lang, to = (x.ravel() for x in np.meshgrid(np.arange(len(self.langs), dtype=np.int32), front + 1, indexing="ij"))
         s, own, j = state[:, front].ravel(), np.zeros(len(to), np.int64), 0  # own: phrases begun here so far, less the segment's own ones
         failed = set()
         while len(to):
@@ -213,9 +220,8 @@ class Automata:
                 lang, to, s, own = (x[~over] for x in (lang, to, s, own))
                 if not len(to):
                     break
-            at = begins[to] + j
-            s, begun = self._step(lang, s, flat[at])
-            there = marks[lang, at]
+            s, begun = self._step(lang, s, flat[begins[to] + j])
+            there = marks[j, lang, back[to]]
             agree = begun & there
             own += begun.astype(np.int64) - there
             count[lang[agree], to[agree]] += own[agree]
