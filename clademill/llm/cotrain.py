@@ -1,186 +1,186 @@
 """Quality classifier by co-training on two views.
 
-The text view sees what the text is like (symbols, capitals, repetition, word lengths), the metadata view what is known
-about the document (language, source, length, layout). Both start from labelled rows; in each round each view scores all unlabelled
-rows, and the other view learns from those it is sure of: weights of bins from the surest rows of the whole table, more of them each round, weights of
-languages and sources from the counts of all sure rows by name. Each view is calibrated on
-labelled rows that neither has learned from, and the calibrated views are multiplied as independent evidence.
-
-Measures are built-in functions cut into bins learned from all rows, and a score is a sum of looked-up weights, so
-scoring all documents is one scan without Python. Measures of all rows are written once for the rounds. The driver holds every distinct language and
-source with a weight, and counts by name and up to 41 steps of the logit; names are joined to rows as a broadcast table.
-
-Cases: null and empty texts have zero for every measure; null languages and sources are values of their own, names that were in no row learned from weigh nothing; labels
-of null and rows with a null id are not learned from; with labels of one class only, or none, every score is the share of good labels (1/2 without
-labels); an empty table gives no rows; repeated rows score alike; extra columns are not carried.
+The text view sees the content: every word of the whole text, hashed into buckets, marks between words, and bins of shares (capitals, repetition,
+marks, distinct words). The metadata view knows only what is recorded about a document, its language and source, and nothing of the text. Both
+start from labelled rows; in each round each view scores all unlabelled rows, and the other view learns from those it is sure of: the text view from
+the surest rows of the whole table, more of them each round, the metadata view from the counts of all sure rows by language and by source. Each
+view is calibrated on labelled rows that neither has learned from, and the calibrated views are multiplied as independent evidence.
+
+The text is read once: features of all rows are written and every later step reads those. Weights of languages and sources are written tables that
+are joined to the rows; the driver holds the bounded sample, the buckets' weights and sums.
+
+Cases: null and empty texts have no words, which is a feature; null languages and sources are values of their own, names that were in no row learned from
+weigh nothing; labels of null and rows with a null id are not learned from; with labels of one class only, or none, every score is the share of good
+labels (1/2 without labels); ties among surest rows go by a hash; repeated rows score alike; very long texts are read whole; an empty table gives no rows;
+extra columns are not carried by scored(), and carried as they are, whatever their names, by filtered().
 """
 
 from __future__ import annotations
 
+import re
+import zlib
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .logistic import Sparse, fit, sigmoid
 from .store import saved
-from .text import WORD
 
 #: Bound of the learned sample: labelled rows of either class.
 LABELLED = 2000
 #: Rounds, surest rows of either class that are added a round, and how sure a view must be.
 ROUNDS, PER_ROUND, SURE = 5, 200, 0.95
-#: Rows of weight 1 that a name's prior counts as; logits are counted in steps of 1/2 up to this.
-PRIOR, MOST = 1.0, 10
-#: Bins of a measure; documents scoring below are rejected.
-BINS, LEAST_SCORE = 8, 0.15
-
-TEXT_VIEW = ("symbols", "capitals", "digits", "marks", "distinct", "same_next", "word_length", "bars")
-META_NUMBERS, META_NAMES = ("length", "lines", "line_length"), ("lang", "source")
-
-
-def measures(docs: DataFrame) -> DataFrame:
-    """(doc_id and any columns but those of documents, all measures) by built-in functions over the whole text."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    own = [c for c in docs.columns if c not in ("text", "lang", "source", "n_chars", *TEXT_VIEW, *META_NUMBERS)]
-    names = [(F.col(c) if c in docs.columns else F.lit(None)).cast("string").alias(c) for c in META_NAMES]
-    length = F.col("n_chars") if "n_chars" in docs.columns else F.length(text)
-    at_first = docs.select(*[F.col(f"`{c}`") for c in own], *names, text.alias("__t"), F.length(text).alias("__n"), F.coalesce(length, F.lit(0)).alias("length"), F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("__w"))
-    n, words = F.greatest("__n", F.lit(1)), F.greatest(F.size("__w"), F.lit(1))
-    share = lambda chars: (F.col("__n") - F.length(F.translate("__t", chars, ""))) / n
-    lines = F.col("__n") - F.length(F.translate("__t", "\n", "")) + 1
-    next_same = F.zip_with("__w", F.slice("__w", 2, F.greatest(F.size("__w"), F.lit(1))), lambda a, b: a == b)
-    return at_first.select(
-        *[F.col(f"`{c}`") for c in own], *META_NAMES,
-        share("#*$%&<>^~=@").alias("symbols"),
-        (F.length(F.regexp_replace("__t", r"\P{Lu}+", "")) / n).alias("capitals"),
-        share("0123456789").alias("digits"),
-        share("!?").alias("marks"),
-        (F.size(F.array_distinct("__w")) / words / (F.lit(1) / F.sqrt(words))).alias("distinct"),
-        (F.size(F.filter(next_same, lambda x: x)) / words).alias("same_next"),
-        (F.length(F.translate("__t", " \t\n\x0b\x0c\r", "")) / words).alias("word_length"),
-        share("|").alias("bars"),
-        F.log1p(F.col("length").cast("double")).alias("length"),
-        F.log1p(lines.cast("double")).alias("lines"),
-        (F.col("__n") / lines).alias("line_length"),
-    )
-
-
-class View:
-    """One view: bins of its numbers, values of its names, weights, calibration. A name's slots: unknown, each value, null."""
-
-    def __init__(self, numbers: tuple[str, ...], names: tuple[str, ...], rows: DataFrame):
-        self.numbers, self.names = numbers, names
-        self.edges = self._edges(rows, numbers)
-        self.values = {c: {v: i for i, v in enumerate(sorted(r[0] for r in rows.filter(F.col(c).isNotNull()).select(c).distinct().toLocalIterator()))} for c in names}
-        self.offset, at = {}, 0
-        for c in numbers:
-            self.offset[c], at = at, at + len(self.edges[c]) + 1
-        for c in names:
-            self.offset[c], at = at, at + len(self.values[c]) + 2
-        self.width = at
-        self.slope, self.shift = 1.0, 0.0
-
-    @staticmethod
-    def _edges(rows: DataFrame, numbers: tuple[str, ...]) -> dict[str, list[float]]:
-        """Quantiles of the values above the least one, which has a bin of its own, so that rare marks are not lost."""
-        least = rows.agg(*[F.min(c).alias(c) for c in numbers]).first()
-        if least is None or least[numbers[0]] is None:
-            return {c: [] for c in numbers}
-        more = {c: F.when(F.col(c) > least[c], F.col(c)) for c in numbers}
-        cuts = F.array(*[F.lit(i / BINS) for i in range(1, BINS)])
-        found = rows.agg(*[F.struct(F.min(x).alias("least"), F.percentile_approx(x, cuts, 10_000).alias("cuts")).alias(c) for c, x in more.items()]).first()
-        return {c: sorted({found[c]["least"], *found[c]["cuts"]}) if found[c]["least"] is not None else [] for c in numbers}
-
-    def slot(self, name: str, value: str | None) -> int:
-        values = self.values[name]
-        return self.offset[name] + (len(values) + 1 if value is None else values.get(value, -1) + 1)
-
-    def rows(self, rows: list) -> Sparse:
-        """Features of sampled rows: the bin of each number, the slot of each name."""
-        ids = [[self.offset[c] + int(np.searchsorted(self.edges[c], float(r[c]), side="right")) for c in self.numbers] + [self.slot(c, r[c]) for c in self.names] for r in rows]
-        return Sparse(ids, self.width)
+#: Rows of mean evidence that a name's counts are shrunk by; rejected are documents that score below this.
+PRIOR, LEAST_SCORE = 20.0, 0.3
+#: Buckets of words, before them those of shares in BINS bins and of marks; a bucket needs so many learned rows.
+WORDS, MARKS, BINS, LEAST_ROWS = 1 << 14, 1 << 10, 10, 4
+#: Shares of a text that are features in bins.
+SHARES = ("capitals", "same", "marks", "distinct", "digits", "lengths")
+#: Weight of words relative to a share, over the root of their number.
+WORD_SCALE = 0.3
+NAMES = ("lang", "source")
+#: Rows of a table of names that is broadcast at most; more are joined as the optimizer decides.
+BROADCAST_ROWS = 100_000
+
+_BASE = len(SHARES) * BINS
+_TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
+
+
+def features(text: str | None) -> list[int]:
+    """Sorted feature ids: bins of shares, buckets of marks, buckets of words."""
+    tokens = _TOKEN.findall(text or "")
+    words = [t for t in tokens if t[0].isalpha()]
+    n, lower = len(words), {w.lower() for w in words}
+    out = []
+    if n:
+        rest = {}
+        for t in tokens:
+            if not t[0].isalpha():
+                rest[t] = rest.get(t, 0) + 1
+        capitals = sum(map(str.isupper, words)) / n
+        same = sum(map(str.__eq__, words, words[1:])) / n
+        marks = sum(len(t) * k for t, k in rest.items() if not t[0].isdigit()) / n
+        digits = sum(k for t, k in rest.items() if t[0].isdigit()) / n
+        shares = (capitals, same, marks / 4, 1 - len(lower) / n if n > 20 else 0.0, digits, sum(map(len, words)) / n / 16)
+        out = [k * BINS + min(BINS - 1, int(x * BINS)) for k, x in enumerate(shares)]
+        out += {_BASE + zlib.crc32(t[:4].encode("utf-8", "replace")) % MARKS for t in rest if not t[0].isdigit()}
+    out += {_BASE + MARKS + zlib.crc32(w.encode("utf-8", "replace")) % WORDS for w in lower}
+    return sorted(out)
+
+
+def featured(docs: DataFrame, rows: bool = False) -> DataFrame:
+    """(doc_id, lang, source, features) of docs, names with null as a value of its own; with rows, whole documents come along as the column row. Written."""
+    import pandas as pd
+
+    def build(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.array(features(t), np.int32) for t in texts], dtype=object)
+
+    build.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+    # "v" + name, or "n" for null.
+    name = lambda c: F.concat(F.lit("v"), F.col(f"`{c}`").cast("string")) if c in docs.columns else F.lit(None)
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if rows else []
+    slim = docs.select(*row, "doc_id", *[F.coalesce(name(c), F.lit("n")).alias(c) for c in NAMES], F.pandas_udf(build, "array<int>")("text").alias("features"))
+    return saved(slim, "quality-features")
+
+
+class TextView:
+    """Weights of features; words count by WORD_SCALE over the root of their number."""
+
+    def __init__(self):
+        self.weights, self.bias, self.slope, self.shift = np.zeros(_BASE + MARKS + WORDS), 0.0, 1.0, 0.0
 
     def learn(self, rows: list, y: np.ndarray, l2: float = 3e-4) -> None:
         counts = np.maximum(np.bincount(y.astype(int), minlength=2), 1)
-        self.weights, self.bias = fit(self.rows(rows), y, 1 / counts[y.astype(int)], l2=l2, steps=300)
-
-    def learn_names(self, told: DataFrame) -> None:
-        """Weights of each name's slots from all rows (measures, y), beside the other features' logits: Newton's steps for every slot by itself.
-
-        Classes weigh the same in all; rows are counted by name and step of the logit.
-        """
-        for c in self.names:
-            rest = self.placed(told).withColumn("__o", self.column(calibrated=False, without=c))
-            step = F.round(F.greatest(F.least(F.col("__o"), F.lit(float(MOST))), F.lit(float(-MOST))) * 2)
-            cells = rest.groupBy(F.col(c).alias("name"), step.alias("step")).agg(F.avg("__o").alias("o"), F.sum("y").alias("n1"), F.sum(1 - F.col("y")).alias("n0")).toArrow()
-            n1, n0 = (cells.column(k).to_numpy().astype(float) for k in ("n1", "n0"))
-            if not n1.sum() or not n0.sum():
-                continue
-            o, slot = cells.column("o").to_numpy(), np.array([self.slot(c, v) for v in cells.column("name").to_pylist()])
-            own, at = np.unique(slot, return_inverse=True)
-            n1, n0 = n1 * (n1.sum() + n0.sum()) / (2 * n1.sum()), n0 * (n1.sum() + n0.sum()) / (2 * n0.sum())
-            w = np.zeros(len(own))
-            for _ in range(50):
-                p = sigmoid(o + w[at])
-                slope = np.bincount(at, weights=n1 - (n1 + n0) * p, minlength=len(own)) - PRIOR * w
-                w += np.clip(slope / (np.bincount(at, weights=(n1 + n0) * p * (1 - p), minlength=len(own)) + PRIOR), -1, 1)
-            self.weights[own] = w
+        many = np.bincount(np.concatenate([r for r in rows if len(r)] or [np.zeros(0, np.int64)]).astype(np.int64), minlength=len(self.weights)) >= LEAST_ROWS
+        ids = np.flatnonzero(many)
+        at = np.full(len(self.weights), -1)
+        at[ids] = np.arange(len(ids))
+        kept, values = [], []
+        for r in rows:
+            r = np.asarray(r, np.int64)
+            scale = np.where(r >= _BASE + MARKS, WORD_SCALE / np.sqrt(max(1, (r >= _BASE + MARKS).sum())), 1.0)
+            kept.append(at[r][at[r] >= 0]), values.append(scale[at[r] >= 0])
+        w, self.bias = fit(Sparse(kept, len(ids), values), y, 1 / counts[y.astype(int)], l2=l2, steps=200)
+        self.weights[:] = 0
+        self.weights[ids] = w
 
     def logits(self, rows: list) -> np.ndarray:
-        return self.rows(rows).dot(self.weights) + self.bias
-
-    def calibrate(self, rows: list, y: np.ndarray) -> None:
-        """Platt's sigmoid: slope and shift of the logits on rows not learned from; a slope below 0 says nothing and is 0."""
-        z, a, b = self.logits(rows), 1.0, 0.0
-        n1 = y.sum()
-        goal = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (len(y) - n1 + 2))
-        for _ in range(2000):
-            r = sigmoid(a * z + b) - goal
-            a, b = a - 0.05 * ((r * z).mean() + 1e-3 * (a - 1)), b - 0.5 * r.mean()
-        self.slope, self.shift = max(a, 0.0), b
+        flat = [np.asarray(r, np.int64) for r in rows]
+        sizes = np.array([len(r) for r in flat], np.int64)
+        if not sizes.sum():
+            return np.full(len(flat), self.bias)
+        ids, owner = np.concatenate(flat), np.repeat(np.arange(len(flat)), sizes)
+        word = ids >= _BASE + MARKS
+        w = self.weights[ids]
+        n = np.bincount(owner[word], minlength=len(flat))
+        return self.bias + np.bincount(owner[~word], weights=w[~word], minlength=len(flat)) + WORD_SCALE * np.bincount(owner[word], weights=w[word], minlength=len(flat)) / np.sqrt(np.maximum(n, 1))
+
+    def column(self) -> Column:
+        """The logit over the column features, not calibrated."""
+        import pandas as pd
+
+        def score(features: pd.Series) -> pd.Series:
+            return pd.Series(self.logits(list(features)))
+
+        score.__annotations__ = {"features": pd.Series, "return": pd.Series}
+        return F.pandas_udf(score, "double")("features")
+
+
+class MetaView:
+    """Log-odds of every language and source, shrunk by PRIOR rows: naive Bayes, classes weighing the same. Tables (name, weight) by column."""
+
+    def __init__(self):
+        self.tables: dict[str, DataFrame] = {}
+        self.slope, self.shift = 1.0, 0.0
+
+    def learn(self, told: DataFrame) -> None:
+        """told: (lang, source, y) of all rows to learn from."""
+        cells = saved(told.groupBy(*NAMES).agg(F.sum("y").alias("n1"), F.sum(1 - F.col("y")).alias("n0")), "quality-names")
+        n1, n0 = (float(x or 0) for x in cells.agg(F.sum("n1"), F.sum("n0")).first())
+        if not n1 or not n0:
+            return
+        for c in NAMES:
+            by = cells.groupBy(F.col(c).alias("name")).agg((F.sum("n1") / n1).alias("p"), (F.sum("n0") / n0).alias("q"), F.sum(F.col("n1") + F.col("n0")).alias("n"))
+            # Rates relative to the whole: PRIOR rows of log-odds 0 are added.
+            own = F.col("n") / (n1 + n0)
+            few = F.lit(PRIOR / (n1 + n0)) * F.when(own > 0, 1.0)
+            self.tables[c] = saved(by.select("name", F.log((F.col("p") + few) / (F.col("q") + few)).alias("weight")), "quality-weights")
 
     def placed(self, df: DataFrame) -> DataFrame:
-        """df with the weights of its names as columns."""
-        for c in self.names:
-            known = [(v, float(self.weights[self.slot(c, v)])) for v in self.values[c]]
-            table = df.sparkSession.createDataFrame(known, f"__name_{c} string, __weight_{c} double")
-            df = df.drop(f"__weight_{c}").join(F.broadcast(table), F.col(c) == F.col(f"__name_{c}"), "left").drop(f"__name_{c}")
-        return df
-
-    def column(self, calibrated: bool = True, without: str | None = None) -> Column:
-        """The logit over rows of placed() as an expression."""
-        total = F.lit(float(self.bias))
-        w = [float(x) for x in self.weights]
-        for c in self.numbers:
-            part = F.lit(w[self.offset[c]])
-            for i, edge in enumerate(self.edges[c]):
-                part = F.when(F.col(c) >= edge, F.lit(w[self.offset[c] + i + 1])).otherwise(part)
-            total = total + part
-        for c in self.names:
-            if c != without:
-                total = total + F.when(F.col(c).isNull(), F.lit(w[self.slot(c, None)])).otherwise(F.coalesce(f"__weight_{c}", F.lit(w[self.offset[c]])))
-        return total * float(self.slope) + float(self.shift) if calibrated else total
-
-
-def _needed(docs: DataFrame) -> DataFrame:
-    """The columns that measures() reads, and the id."""
-    return docs.select(*[c for c in ("doc_id", "text", *META_NAMES, "n_chars") if c in docs.columns])
-
-
-def _bounded(df: DataFrame, most: int, seed: int) -> list:
-    """Rows of smallest hash, at most `most`; the text must be gone by now."""
-    return df.orderBy(F.xxhash64(F.lit(seed), "doc_id"), *[c for c in df.columns if c != "doc_id"]).limit(most).collect()
-
-
-def _surest(scored: DataFrame, view: int, good: int, most: int, seed: int) -> list:
-    """Rows of a class that a view is surest of and sure enough, at most `most`; rows as sure come in order of a hash."""
-    z = F.col(f"__z{view}") if good else -F.col(f"__z{view}")
-    rows = scored.filter(z >= float(np.log(SURE / (1 - SURE))))
-    return rows.orderBy(z.desc(), F.xxhash64(F.lit(seed), "doc_id"), "doc_id", *TEXT_VIEW, *META_NUMBERS, *META_NAMES).limit(most).collect()
-
-
-def trained(docs: DataFrame, labels: DataFrame, seed: int = 17, labelled: int = LABELLED, rounds: int = ROUNDS) -> tuple[View, View, float] | float:
-    """Both views and the share of good labels, or the share alone if there is nothing to tell apart."""
+        """df with the column __meta, the logit, not calibrated."""
+        for c in NAMES:
+            if c in self.tables:
+                table = self.tables[c].select(F.col("name").alias(c), F.col("weight").alias(f"__weight_{c}"))
+                # The size is checked.
+                df = df.join(F.broadcast(table) if table.count() <= BROADCAST_ROWS else table, c, "left")
+        weights = [F.coalesce(F.col(f"__weight_{c}"), F.lit(0.0)) for c in NAMES if c in self.tables]
+        return df.withColumn("__meta", reduce(lambda a, b: a + b, weights, F.lit(0.0))).drop(*[f"__weight_{c}" for c in NAMES])
+
+
+def calibrated(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Platt's sigmoid: slope and shift of the logits on rows not learned from; a slope below 0 says nothing and is 0."""
+    a, b, n1 = 1.0, 0.0, y.sum()
+    goal = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (len(y) - n1 + 2))
+    for _ in range(2000):
+        r = sigmoid(a * z + b) - goal
+        a, b = a - 0.05 * ((r * z).mean() + 1e-3 * (a - 1)), b - 0.5 * r.mean()
+    return max(a, 0.0), b
+
+
+def _surest(scored_rows: DataFrame, good: int, most: int, seed: int) -> list:
+    """Features of the rows of a class that the metadata view is surest of and sure enough, at most `most`; rows as sure come in order of a hash."""
+    z = F.col("__meta") if good else -F.col("__meta")
+    rows = scored_rows.filter(z >= float(np.log(SURE / (1 - SURE))))
+    return [r["features"] for r in rows.orderBy(z.desc(), F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "features").limit(most).select("features").collect()]
+
+
+Model = tuple[TextView, MetaView, float] | float
+
+
+def trained(measured: DataFrame, labels: DataFrame, seed: int = 17, labelled: int = LABELLED, rounds: int = ROUNDS) -> Model:
+    """Both views and the share of good labels, from featured() rows and labels (doc_id, quality); or the share alone if there is nothing to tell apart."""
     labels = labels.select("doc_id", F.col("quality").cast("int").alias("y")).filter("doc_id IS NOT NULL AND quality IN (0, 1)")
     counts = {r["y"]: r["n"] for r in labels.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = counts.get(0, 0), counts.get(1, 0)
@@ -188,58 +188,53 @@ def trained(docs: DataFrame, labels: DataFrame, seed: int = 17, labelled: int =
         return n1 / (n0 + n1) if n0 + n1 else 0.5
     h = F.xxhash64(F.lit(seed), "doc_id")
     picked = labels.filter("y = 0").orderBy(h, "doc_id").limit(labelled).union(labels.filter("y = 1").orderBy(h, "doc_id").limit(labelled))
-    measured = saved(measures(_needed(docs).filter(F.col("doc_id").isNotNull())), "quality-measures")
+    picked = saved(picked, "quality-picked")
     # At most 2 * labelled rows: the bound of the broadcasts.
-    rows = _bounded(measured.join(F.broadcast(picked), "doc_id"), 4 * labelled, seed)
+    own = measured.select("doc_id", *NAMES, "features").join(F.broadcast(picked), "doc_id")
+    rows = own.orderBy(h, "doc_id", *NAMES, "features", "y").limit(4 * labelled).collect()
     y = np.array([r["y"] for r in rows], float)
     if len(set(y.tolist())) < 2:
         return n1 / (n0 + n1)
-    spare = measured.join(F.broadcast(picked.select("doc_id")), "doc_id", "left_anti")
     held = np.arange(len(rows)) % 4 == 3  # rows come in order of a hash
     if len(set(y[held].tolist())) < 2 or len(set(y[~held].tolist())) < 2:
         held = np.zeros(len(rows), bool)
     train = [r for r, k in zip(rows, held, strict=True) if not k]
-    text, meta = View(TEXT_VIEW, (), measured), View(META_NUMBERS, META_NAMES, measured)
-    columns = [*TEXT_VIEW, *META_NUMBERS, *META_NAMES]
-    kinds = ", ".join([f"{c} double" for c in (*TEXT_VIEW, *META_NUMBERS)] + [f"{c} string" for c in META_NAMES] + ["y int"])
-    own = docs.sparkSession.createDataFrame([(*[r[c] for c in columns], r["y"]) for r in train], kinds)
-    extra = {0: ([], []), 1: ([], [])}  # surest rows and their classes by the view that learns from them
-    views, sure = (text, meta), F.lit(float(np.log(SURE / (1 - SURE))))
-    for k in range(rounds + 1):
-        for v, view in enumerate(views):
-            view.learn(train + extra[v][0], np.append(y[~held], extra[v][1]))
-        if k:  # labelled rows and all unlabelled ones that the text view was sure of
-            meta.learn_names(told.unionByName(own))
-        if k == rounds:
-            break
-        scored_rows = meta.placed(spare).withColumns({"__z0": text.column(calibrated=False), "__z1": meta.column(calibrated=False)})
-        told = spare.withColumn("__z0", text.column(calibrated=False)).filter(F.abs("__z0") >= sure).select(*columns, (F.col("__z0") > 0).cast("int").alias("y"))
-        for v in range(2):
-            found = [(r, good) for good in (1, 0) for r in _surest(scored_rows, v, good, PER_ROUND * (k + 1), seed + 1)]
-            extra[1 - v] = ([r for r, _ in found], [good for _, good in found])
+    ids, known = [r["features"] for r in train], measured.sparkSession.createDataFrame([(*[r[c] for c in NAMES], r["y"]) for r in train], "lang string, source string, y int")
+    spare = measured.select("doc_id", *NAMES, "features").join(F.broadcast(picked.select("doc_id")), "doc_id", "left_anti")
+    text, meta, extra, sure = TextView(), MetaView(), ([], []), float(np.log(SURE / (1 - SURE)))
+    text.learn(ids, y[~held])
+    meta.learn(known)
+    for k in range(rounds):
+        z = saved(spare.select("doc_id", *NAMES, text.column().alias("z")), "quality-round")
+        found = [(f, good) for good in (1, 0) for f in _surest(meta.placed(spare), good, PER_ROUND * (k + 1), seed + 1)]
+        meta.learn(z.filter(F.abs("z") >= sure).select(*NAMES, (F.col("z") > 0).cast("int").alias("y")).unionByName(known))
+        if found or extra[0]:
+            extra = [f for f, _ in found], [good for _, good in found]
+            text.learn(ids + extra[0], np.append(y[~held], extra[1]))
     test = [r for r, k in zip(rows, held, strict=True) if k] or train
-    for view in views:
-        view.calibrate(test, y[held] if held.any() else y)
+    goal = y[held] if held.any() else y
+    text.slope, text.shift = calibrated(text.logits([r["features"] for r in test]), goal)
+    names = measured.sparkSession.createDataFrame([(i, *[r[c] for c in NAMES]) for i, r in enumerate(test)], "i int, lang string, source string")
+    z = {r["i"]: r["__meta"] for r in meta.placed(names).select("i", "__meta").collect()}
+    meta.slope, meta.shift = calibrated(np.array([z[i] for i in range(len(test))]), goal)
     return text, meta, float(np.clip(y.mean(), 1e-3, 1 - 1e-3))
 
 
-def scored(docs: DataFrame, model: tuple[View, View, float] | float, least: float = LEAST_SCORE) -> DataFrame:
-    """(doc_id and other columns that documents don't have, text_score, meta_score, score, kept)."""
-    m = measures(docs)
-    own = [c for c in m.columns if c not in (*TEXT_VIEW, *META_NUMBERS, *META_NAMES, "text_score", "meta_score", "score", "kept")]
-    p = lambda z: 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(40.0)), F.lit(-40.0))))
+def scored(measured: DataFrame, model: Model, least: float = LEAST_SCORE) -> DataFrame:
+    """(doc_id, row if there is one, text_score, meta_score, score, kept) of featured() rows."""
+    own = [c for c in ("doc_id", "row") if c in measured.columns]
     if isinstance(model, float | int):
         share = F.lit(float(model))
-        return m.select(*own, share.alias("text_score"), share.alias("meta_score"), share.alias("score"), F.lit(True).alias("kept"))
+        return measured.select(*own, share.alias("text_score"), share.alias("meta_score"), share.alias("score"), F.lit(True).alias("kept"))
     text, meta, good = model
-    z = meta.placed(m).select(*own, text.column().alias("a"), meta.column().alias("b"))
+    p = lambda z: 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(40.0)), F.lit(-40.0))))
+    z = meta.placed(measured).select(*own, (text.column() * float(text.slope) + float(text.shift)).alias("a"), (F.col("__meta") * float(meta.slope) + float(meta.shift)).alias("b"))
     both = F.col("a") + F.col("b") - float(np.log(good / (1 - good)))
     out = z.select(*own, p(F.col("a")).alias("text_score"), p(F.col("b")).alias("meta_score"), p(both).alias("score"))
     return out.withColumn("kept", F.col("score") >= least)
 
 
-def filtered(docs: DataFrame, model: tuple[View, View, float] | float, least: float = LEAST_SCORE) -> DataFrame:
-    """The rows of docs that are kept, all columns as they were."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *_needed(docs).columns)
-    # Written out first: a filter on the score would be pushed below the measures and compute them anew for every bin.
-    return saved(scored(rows, model, least).select("__row", "kept"), "quality-scores").filter("kept").select("__row.*")
+def filtered(docs: DataFrame, labels: DataFrame, least: float = LEAST_SCORE, **options) -> DataFrame:
+    """The rows of docs that are kept, all columns as they were, by a model trained on them and labels."""
+    measured = featured(docs, rows=True)
+    return scored(measured, trained(measured, labels, **options), least).filter("kept").select("row.*")

@@ -6,19 +6,21 @@ import numpy as np
 
 
 class Sparse:
-    """Rows as lists of feature ids below width."""
+    """Rows as lists of feature ids below width, each feature with the value 1 or the one given."""
 
-    def __init__(self, rows: list, width: int):
+    def __init__(self, rows: list, width: int, values: list | None = None):
         lengths = np.array([len(r) for r in rows], np.int64)
+        some = len(rows) and lengths.sum()
         self.row = np.repeat(np.arange(len(rows)), lengths)
-        self.col = np.concatenate([np.asarray(r, np.int64) for r in rows]) if len(rows) and lengths.sum() else np.zeros(0, np.int64)
+        self.col = np.concatenate([np.asarray(r, np.int64) for r in rows]) if some else np.zeros(0, np.int64)
+        self.value = np.concatenate(values) if values and some else np.ones(len(self.col))
         self.n, self.width = len(rows), width
 
     def dot(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, weights=w[self.col], minlength=self.n)
+        return np.bincount(self.row, weights=w[self.col] * self.value, minlength=self.n)
 
     def back(self, r: np.ndarray) -> np.ndarray:
-        return np.bincount(self.col, weights=r[self.row], minlength=self.width)
+        return np.bincount(self.col, weights=r[self.row] * self.value, minlength=self.width)
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:

@@ -53,6 +53,14 @@ def test_held_out_accuracy(run, docs):
     assert good[good.quality == 1].kept.mean() > 0.97 and good[good.quality == 0].kept.mean() < 0.3
 
 
+def test_quality_of_held_out_labels(spark):
+    """Labels that the model hasn't seen: at sf0.01, 59 good ones and 11 bad ones."""
+    sf_dir = "/root/testdata/sf0.01"
+    r = queries.op9_quality(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id").filter("held_out AND quality IS NOT NULL").toPandas()
+    good, bad = r[r.quality == 1].kept, r[r.quality == 0].kept
+    assert len(good) > 50 and len(bad) > 8 and good.mean() >= 0.97 and bad.mean() <= 0.3
+
+
 def test_segmentations_decode(run, docs):
     r = run("op3_segmentations")
     assert r.round_trip.all() and set(r.doc_id) == set(docs[docs.text.notna()].doc_id)

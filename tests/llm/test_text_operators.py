@@ -141,13 +141,22 @@ def test_host_rules(spark, odd):
 
 
 def test_quality(spark, odd, labels):
+    measured = cotrain.featured(odd)
     for lab in (labels, labels.limit(0), labels.filter("quality = 1")):
-        model = cotrain.trained(odd, lab)
-        r = cotrain.scored(odd, model).collect()
+        r = cotrain.scored(measured, cotrain.trained(measured, lab)).collect()
         assert len(r) == 11 and all(0 <= x.score <= 1 for x in r)
-        assert cotrain.filtered(odd, model).columns == odd.columns
-        assert cotrain.scored(odd.limit(0), model).count() == 0
-    assert isinstance(cotrain.trained(odd.limit(0), labels), float)
+        clash = odd.withColumns({"features": F.lit(1), "row": F.lit("r"), "kept": F.lit(2), "score": F.lit(3), "a.b": F.lit(4)})
+        kept = cotrain.filtered(clash, lab)
+        assert kept.columns == clash.columns and kept.count() <= 11
+        assert cotrain.scored(cotrain.featured(odd.limit(0)), 0.5).count() == 0
+    assert isinstance(cotrain.trained(cotrain.featured(odd.limit(0)), labels), float)
+    assert cotrain.filtered(odd.limit(0), labels).count() == 0 and cotrain.filtered(odd.drop("lang", "source"), labels).columns == odd.drop("lang", "source").columns
+    same = [x for x in r if x.doc_id in (4, 5)]
+    assert len(same) == 3 and len({x.text_score for x in same}) == 1
+
+
+def _weights(meta, name="source"):
+    return {r.name[1:] if r.name != "n" else None: r.weight for r in meta.tables[name].collect()}
 
 
 def test_views_teach_each_other(spark):
@@ -155,9 +164,42 @@ def test_views_teach_each_other(spark):
     rows = [(i, ("### $$$ " if i % 2 else "plain words ") * 10, None, f"s{i % 2}" if i >= 40 else "s", 100) for i in range(400)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     lab = spark.createDataFrame([(i, 1 - i % 2) for i in range(40)], "doc_id long, quality int")
-    _, meta, _ = cotrain.trained(df, lab)
-    w = dict(zip(meta.values["source"], meta.weights[meta.offset["source"] + 1 :], strict=False))
+    measured = cotrain.featured(df)
+    w = _weights(cotrain.trained(measured, lab)[1])
     assert w["s0"] > 0 > w["s1"]
+    assert set(_weights(cotrain.trained(measured, lab, rounds=0)[1])) == {"s"}
+
+
+def test_metadata_teaches_the_text(spark):
+    """Sources tell labelled rows apart; new words of their other documents are learned from that, and zero rounds know nothing of them."""
+    good, bad = "alder birch cedar", "kelp moss fern"
+    rows = [(i, good if i % 2 else bad, "en", f"s{i % 2}") for i in range(800)]
+    rows += [(1000 + i, "quartz topaz agate" if i % 2 else "basalt gneiss slate", "en", f"s{i % 2}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    lab = spark.createDataFrame([(i, i % 2) for i in range(800)], "doc_id long, quality int")
+    measured = cotrain.featured(df)
+    score = lambda model: {r.doc_id: r.text_score for r in cotrain.scored(measured, model).collect()}
+    none, some = score(cotrain.trained(measured, lab, rounds=0)), score(cotrain.trained(measured, lab))
+    assert abs(none[1001] - none[1000]) < 0.2 and some[1001] > 0.7 and some[1000] < 0.3
+
+
+def test_log_odds_of_names(spark):
+    """A name's weight is the log-ratio of its shares of either class, shrunk by PRIOR rows of the whole."""
+    told = [("en", f"s{k % 3}", int(k % 7 < 2 + k % 3)) for k in range(210)] + [("de", "x", 1)]
+    meta = cotrain.MetaView()
+    meta.learn(spark.createDataFrame(told, "lang string, source string, y int"))
+    n1, n0 = sum(y for *_, y in told), sum(1 - y for *_, y in told)
+    got = {r.name: r.weight for r in meta.tables["source"].collect()}
+    for s in {x for _, x, _ in told}:
+        a, b = sum(y for _, x, y in told if x == s), sum(1 - y for _, x, y in told if x == s)
+        assert got[s] == pytest.approx(math.log((a / n1 + cotrain.PRIOR / (n1 + n0)) / (b / n0 + cotrain.PRIOR / (n1 + n0))))
+
+
+def test_content_is_seen():
+    """Words of the whole text are features, whatever is around them."""
+    far = "x y z " * 50_000
+    assert set(cotrain.features(far + "needle")) - set(cotrain.features(far)) and cotrain.features(None) == cotrain.features("") == []
+    assert cotrain.features("one two") != cotrain.features("two three")
 
 
 def test_toxicity(spark, odd, labels):
@@ -244,15 +286,15 @@ def test_every_source_is_learned(spark):
     rows = [(i, ("### $$$ " if i % 2 or i % 12 == 0 else "plain words ") * 10, None, None if i % 12 == 0 else f"s{i % 6000}", 100) for i in range(n)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
     lab = spark.createDataFrame([(i, int(not (i % 2 or i % 12 == 0))) for i in range(60)], "doc_id long, quality int")
-    model = cotrain.trained(df, lab)
-    meta = model[1]
-    w = {s: meta.weights[meta.slot("source", s)] for s in {r[3] for r in rows}}
-    assert len(meta.values["source"]) == 5500 and w[None] < 0
+    measured = cotrain.featured(df)
+    model = cotrain.trained(measured, lab)
+    w = _weights(model[1])
+    assert len(w) == 5501 and w[None] < 0
     assert all((v > 0) == (int(s[1:]) % 2 == 0) for s, v in w.items() if s)
     # A source that was in no row has no weight of another's.
     new = spark.createDataFrame([(1, "plain words " * 10, None, "new", 100), (2, "plain words " * 10, None, None, 100)], df.schema)
-    got = {r.doc_id: r.meta_score for r in cotrain.scored(new, model).collect()}
-    assert got[1] > got[2] and meta.weights[meta.offset["source"]] == 0
+    got = {r.doc_id: r.meta_score for r in cotrain.scored(cotrain.featured(new), model).collect()}
+    assert got[1] > got[2] and "new" not in w
 
 
 def _all_segmentations(model, text):
