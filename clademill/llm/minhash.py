@@ -5,7 +5,8 @@ element falls into a hashed bin with value i plus a fraction, and a bin keeps it
 t + k gives an element to bin k outright, so every coordinate fills, each agrees with the probability of the sets' similarity, and the agreements
 are concentrated about their mean.
 
-1. Equal sets become one class with the smallest id as its representative; all further steps see representatives only.
+1. Equal sets, told by a 128-bit cryptographic digest of the whole sorted set, become one class; all further steps see one node for each class, named by its
+   smallest id. Ids that repeat with unlike texts belong to several classes: the others of them get hashed names of their own.
 2. Bands of coordinates are hashed, as long as banding() allows. In a bucket, every member is paired with one pivot, not with every other member.
 3. Pairs whose sketches agree well enough are verified on the full sets; verified links are merged into components.
 4. Members of a bucket whose component is not the pivot's are compared with the bucket's members in other components, in
@@ -13,14 +14,18 @@ are concentrated about their mean.
    blocks, each of which gives no more links than it takes to connect its components, and the components are merged again.
 
 Two texts that are linked but never compared are in one component already, or share no band, with a probability of at most MISS; a linked pair's
-sketches agree in so few coordinates that full sets are not looked at with 1e-6.
+sketches agree in so few coordinates that full sets are not looked at with 1e-6 or less (5 standard deviations, see margin()).
 
 Cases: null texts, texts without words and rows with a null id are linked with nothing (component: their own id); a text of fewer words than `size` is
-one run; repeated ids are one node of the graph; an empty table gives no rows; extra columns are not carried.
+one run; a similarity of just `percent` is a link; rows that repeat an id with unlike texts are judged each by its text; very long texts are read whole; an empty
+table gives no rows; extra columns are not carried by near_duplicates(), and carried as they are, whatever their names, by deduplicated().
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,8 +36,8 @@ from .text import words
 
 #: Coordinates of a sketch; how likely a pair at the threshold may share no band.
 BINS, MISS = 280, 1e-6
-#: So far below the threshold may sketches agree for a look at the full sets: 5 standard deviations.
-MARGIN = 0.11
+#: So many standard deviations below the threshold may sketches agree for a look at the full sets.
+DEVIATIONS = 5
 #: Members and elements of their sets in one block, about; bytes of ids that are broadcast at most, more are joined by a shuffle.
 BLOCK, ELEMENTS, BROADCAST_BYTES = 512, 2_000_000, 32 << 20
 
@@ -46,6 +51,12 @@ def banding(percent: int) -> tuple[int, int]:
     return BINS // max(fits, default=1), max(fits, default=1)
 
 
+def margin(percent: int) -> float:
+    """How far below the threshold the agreement of a linked pair's sketches may lie: DEVIATIONS of a binomial share over BINS."""
+    p = percent / 100
+    return DEVIATIONS * math.sqrt(p * (1 - p) / BINS)
+
+
 def shingles(text: Column, size: int) -> Column:
     """Distinct runs of `size` words, A-Z in lower case, as 64-bit hashes; the whole text if it has fewer words.
 
@@ -57,8 +68,14 @@ def shingles(text: Column, size: int) -> Column:
 
 
 def with_shingles(docs: DataFrame, size: int) -> DataFrame:
-    """docs (id, text) as (id, set)."""
-    return docs.select("id", words(F.translate("text", _UPPER, _LOWER)).alias("w")).select("id", shingles(F.col("w"), size).alias("set"))
+    """docs (id, text) as (id, th, set); th is a hash of the text, which with the id tells rows apart."""
+    return docs.select("id", F.xxhash64("text").alias("th"), words(F.translate("text", _UPPER, _LOWER)).alias("w")).select("id", "th", shingles(F.col("w"), size).alias("set"))
+
+
+def digest(elements: np.ndarray) -> tuple[int, int]:
+    """128 bits of a cryptographic digest of a whole set."""
+    b = hashlib.blake2b(np.sort(elements).tobytes(), digest_size=16).digest()
+    return int.from_bytes(b[:8], "little", signed=True), int.from_bytes(b[8:], "little", signed=True)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -97,23 +114,24 @@ def _sketches(batches, bands: int, rows: int):
             flat, ends = sets.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.cumsum(np.diff(sets.offsets.to_numpy()))
             n = len(ids)
             small, keys = np.zeros((n, BINS), np.uint8), np.zeros((n, bands), np.uint64)
-            marks = np.zeros((2, n), np.uint64)
+            marks = np.zeros((2, n), np.int64)
             for k in range(n):
                 e = flat[(ends[k - 1] if k else 0) : ends[k]]
                 s = sketch(e)
                 small[k] = (_mixed(s) >> np.uint64(56)).astype(np.uint8)
                 keys[k] = _mixed((s[: bands * rows].reshape(bands, rows) * odd).sum(1) ^ band)
-                marks[0, k], marks[1, k] = _mixed(e ^ _M1).sum(), np.bitwise_xor.reduce(_mixed(e + _M2))
+                marks[:, k] = digest(e)
             yield pa.RecordBatch.from_arrays(
                 [
                     ids,
+                    batch.column("th"),
                     pa.array(np.diff(ends, prepend=0), pa.int64()),
-                    pa.array(marks[0].view(np.int64)),
-                    pa.array(marks[1].view(np.int64)),
+                    pa.array(marks[0]),
+                    pa.array(marks[1]),
                     pa.array([r.tobytes() for r in small], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * bands, pa.int32()), pa.array(keys.view(np.int64).ravel())),
                 ],
-                names=["id", "n", "f1", "f2", "sketch", "bands"],
+                names=["id", "th", "n", "f1", "f2", "sketch", "bands"],
             )
 
 
@@ -138,18 +156,21 @@ def _agreeing(pairs: DataFrame, reps: DataFrame, least: float, percent: int) ->
     return rows.select("a", "b", "s_a", "s_b").mapInArrow(keep, "a long, b long")
 
 
-def _sets_of(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """(id, set) of the ids in a saved table."""
-    # The ids' size is checked: beyond the bound the documents are shuffled to them.
-    known = F.broadcast(ids) if ids.count() * 8 <= BROADCAST_BYTES else ids
-    sets = with_shingles(docs.join(known, "id", "left_semi"), size)
-    return saved(sets.groupBy("id").agg(F.first("set").alias("set")), "minhash-sets")
+def _sets_of(ids: DataFrame, reps: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(id, set) of the nodes in a saved table."""
+    texts = saved(reps.join(ids, "id", "left_semi").select(F.col("id").alias("node"), F.col("doc").alias("id"), F.col("th").alias("__th")), "minhash-texts")
+    # The texts' size is checked: beyond the bound the documents are shuffled to them.
+    known = F.broadcast(texts) if texts.count() * 24 <= BROADCAST_BYTES else texts
+    rows = docs.join(known, "id").filter(F.xxhash64("text") == F.col("__th")).select(F.col("node").alias("id"), "text")
+    sets = saved(with_shingles(rows, size).groupBy("id").agg(F.first("set").alias("set")), "minhash-sets")
+    drop_saved(texts)
+    return sets
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Those of pairs (a, b) whose full sets are linked: percent of the union is shared."""
     ids = saved(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "minhash-ids")
-    sets = _sets_of(ids, docs, size)
+    sets = _sets_of(ids, reps, docs, size)
     rows = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
     rows = rows.select("a", "b", shared.alias("i"), (F.size("x") + F.size("y")).alias("all"))
@@ -158,6 +179,16 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     return linked
 
 
+def _named(classes: DataFrame) -> DataFrame:
+    """classes (f1, f2, n, doc and others) with id, a name of its own for each: the smallest document id, doc, or a hash if an earlier class has that."""
+    repeated = classes.groupBy("doc").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("f1", "f2", "n")).alias("first")).filter("c > 1").drop("c")
+    repeated = saved(repeated, "minhash-repeated")
+    # The size is checked.
+    known = F.broadcast(repeated) if repeated.count() * 32 <= BROADCAST_BYTES else repeated
+    other = F.col("first").isNotNull() & (F.struct("f1", "f2", "n") != F.col("first"))
+    return classes.join(known, "doc", "left").withColumn("id", F.when(other, F.xxhash64("f1", "f2", "n", "doc").bitwiseOR(F.lit(-(1 << 63)))).otherwise(F.col("doc"))).drop("first")
+
+
 def _blocked(members: DataFrame, group: str, extra: list[str]) -> DataFrame:
     """members (group, id, component, main, c, e, n, sketch and extra) dealt to pairs of blocks (group, i, j) with the sides left and right.
 
@@ -277,27 +308,24 @@ def _links_of_families(families: DataFrame, least: float, percent: int) -> DataF
     return _compared(_blocked(families, "family", ["set"]), "family", link).distinct()
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, least: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept): documents linked at percent similarity or more, directly or by others.
+def _classes(docs: DataFrame, size: int, percent: int, least: float | None) -> tuple[DataFrame, DataFrame]:
+    """From docs (id, text) with ids and words: rows (id, th, n, f1, f2), and their classes (f1, f2, n, doc, th, component_id, first).
 
-    component_id is the smallest id reachable; kept is true for it. least (MARGIN below the threshold) is the
-    agreement of sketches below which full sets are not looked at.
+    doc is a class's smallest id; component_id the smallest one that it reaches; first marks one class of each component, one that has that id.
     """
-    least = percent / 100 - MARGIN if least is None else least
-    bands, rows = banding(percent)
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    # Filtered by the text, not by the set: a filter on the set would be pushed below the column of words and split them anew for each.
-    has_word = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    sets = with_shingles(docs.filter(F.col("id").isNotNull() & has_word), size)
-    all_rows = saved(sets.mapInArrow(lambda batches: _sketches(batches, bands, rows), "id long, n long, f1 long, f2 long, sketch binary, bands array<long>"), "minhash-sketches")
+    least = percent / 100 - margin(percent) if least is None else least
+    bands, width = banding(percent)
+    sets = with_shingles(docs, size)
+    all_rows = saved(sets.mapInArrow(lambda batches: _sketches(batches, bands, width), "id long, th long, n long, f1 long, f2 long, sketch binary, bands array<long>"), "minhash-sketches")
     same = ["f1", "f2", "n"]
-    reps = saved(all_rows.groupBy(*same).agg(F.min("id").alias("id"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "minhash-reps")
+    grouped = all_rows.groupBy(*same).agg(F.min(F.struct("id", "th")).alias("m"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
+    reps = saved(_named(grouped.select(*same, F.col("m.id").alias("doc"), F.col("m.th").alias("th"), "sketch", "bands")), "minhash-reps")
     banded = reps.select("id", "n", F.explode("bands").alias("key"))
     pivot = F.min_by("id", F.struct(F.xxhash64("id"), "id"))
     buckets = saved(banded.groupBy("key").agg(F.count(F.lit(1)).alias("c"), pivot.alias("pivot")).filter("c > 1"), "minhash-buckets")
     members = saved(banded.join(buckets, "key"), "minhash-members")
     tested = members.filter("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-    links = _verified(saved(_agreeing(tested, reps, least, percent), "minhash-pairs"), docs, size, percent)
+    links = _verified(saved(_agreeing(tested, reps, least, percent), "minhash-pairs"), reps, docs, size, percent)
     found = components(links)
     # Buckets of three or more whose members are not all in one component.
     own = lambda x: F.coalesce(F.col(x), F.col("id"))
@@ -308,23 +336,49 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, least: fl
     inside = families.join(found, "id", "left").select("id", "family", own("component").alias("component")).join(reps.select("id", "n", "sketch"), "id")
     per = inside.groupBy("family", "component").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("e"))
     per = per.groupBy("family").agg(F.sum("k").alias("c"), F.sum("e").alias("e"), F.max_by("component", F.struct("k", "component")).alias("main"))
-    inside = inside.join(per, "family").join(_sets_of(families.select("id"), docs, size), "id")
+    inside = inside.join(per, "family").join(_sets_of(families.select("id"), reps, docs, size), "id")
     more = saved(_links_of_families(inside, least, percent), "minhash-links")
     up = found.select(F.col("id").alias("a"), F.col("component").alias("x"))
     ends = more.join(up, "a", "left").select("b", F.coalesce("x", "a").alias("x"))
     ends = ends.join(up.select(F.col("a").alias("b"), F.col("x").alias("y")), "b", "left").select("x", F.coalesce("y", "b").alias("y"))
     joined = components(ends, "x", "y").select(F.col("id").alias("component"), F.col("component").alias("top"))
-    classes = reps.select(*same, "id").join(found, "id", "left").select(*same, own("component").alias("component"))
-    classes = classes.join(joined, "component", "left").select(*same, F.coalesce("top", "component").alias("component_id"))
-    # The least id may belong to a class whose representative is linked: representatives are least in their class already.
-    some = all_rows.select("id", *same).join(classes, same).select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
-    rest = docs.filter(F.col("id").isNull() | ~has_word)
-    alone = with_shingles(rest, size).select(F.col("id").alias("doc_id"), F.size("set").cast("long").alias("n_shingles"), F.col("id").alias("component_id"))
+    classes = reps.select(*same, "doc", "th", "id").join(found, "id", "left").select(*same, "doc", "th", own("component").alias("component"))
+    classes = saved(classes.join(joined, "component", "left").select(*same, "doc", "th", F.coalesce("top", "component").alias("component")), "minhash-classes")
+    firsts = classes.groupBy("component").agg(F.min(F.struct("doc", *same)).alias("m"))
+    classes = classes.join(firsts, "component")
+    first = F.struct("doc", *same) == F.col("m")
+    return all_rows.select("id", "th", *same), classes.select(*same, "doc", "th", F.col("m.doc").alias("component_id"), first.alias("first"))
+
+
+def _has_word(text: str) -> Column:
+    # Filtered by the text, not by the set: a filter on the set would be pushed below the column of words and split them anew for each.
+    return F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, least: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept): documents linked at percent similarity or more, directly or by others.
+
+    component_id is the smallest id reachable; kept is true for it. least (margin() below the threshold) is the
+    agreement of sketches below which full sets are not looked at.
+    """
+    docs = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    linkable = F.col("id").isNotNull() & _has_word("text")
+    rows, classes = _classes(docs.filter(linkable), size, percent, least)
+    some = rows.join(classes.drop("th"), ["f1", "f2", "n"]).select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+    alone = with_shingles(docs.filter(~linkable), size).select(F.col("id").alias("doc_id"), F.size("set").cast("long").alias("n_shingles"), F.col("id").alias("component_id"))
     return some.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80, **options) -> DataFrame:
-    """One row of docs for each class of near_duplicates(), all columns as they were; rows with a null id all stay."""
-    key = options.get("id_col", "doc_id")
-    kept = near_duplicates(docs, size, percent, **options).filter("kept").select(F.col("doc_id").alias(key)).filter(F.col(key).isNotNull()).distinct()
-    return docs.join(kept, key, "left_semi").dropDuplicates([key]).unionByName(docs.filter(F.col(key).isNull()))
+def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80, least: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of docs for each class of near_duplicates(), all columns as they were; rows with a null id and rows without words all stay.
+
+    Rows that repeat an id with unlike, unlinked texts all stay; of rows that repeat id and text one stays.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    linkable = F.col("id").isNotNull() & _has_word("text")
+    found, classes = _classes(rows.filter(linkable).select("id", "text"), size, percent, least)
+    kept = classes.filter("first").select(F.col("doc").alias("id"), "th")
+    kept = saved(found.groupBy("id", "th").agg(F.count(F.lit(1)).alias("copies")).join(kept, ["id", "th"]), "minhash-kept")
+    hit = rows.filter(linkable).withColumn("th", F.xxhash64("text")).join(kept, ["id", "th"])
+    one = hit.filter("copies = 1").select("row").unionByName(hit.filter("copies > 1").groupBy("id", "th").agg(F.first("row").alias("row")).select("row"))
+    return one.unionByName(rows.filter(~linkable).select("row")).select("row.*")

@@ -67,6 +67,8 @@ def test_cases(spark):
     assert got == [(0, None, True), (1, 1, True), (1, 1, True), (2, 2, True), (3, 3, True), (4, 1, False)]
     kept = minhash.deduplicated(df)
     assert kept.columns == df.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3]
+    clash = df.withColumnsRenamed({"key": "th"}).withColumns({"id": df.doc_id, "row": df.doc_id, "a.b": df.doc_id})
+    assert minhash.deduplicated(clash).columns == clash.columns and minhash.deduplicated(clash).count() == 4
     assert minhash.near_duplicates(df.limit(0)).count() == 0 and minhash.deduplicated(df.limit(0)).count() == 0
 
 
@@ -85,3 +87,23 @@ def test_components_of_a_path(spark):
     got = {r.id: r.component for r in graph.components(links).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 90, 90: 90}
     assert graph.components(links.limit(0)).count() == 0
+
+
+def test_repeated_ids_with_unlike_texts(spark):
+    """Rows are judged each by its text: six unlike texts of one id all stay, links of each of them are found, linked ones of one id leave one row."""
+    r = random.Random(8)
+    text = lambda n: [r.choice("abcdefghijklmnopqrstuvwxyz") + str(r.randrange(500)) for _ in range(n)]
+    bodies = [text(60) for _ in range(6)]
+    rows = [(7, " ".join(b), k) for k, b in enumerate(bodies)]
+    rows += [(20 + k, " ".join([*b, "end"]), 100 + k) for k, b in enumerate(bodies)]  # a near copy of each
+    twins = text(80)
+    rows += [(3, " ".join(twins), 200), (3, " ".join([*twins, "more"]), 201), (3, " ".join(twins), 202), (40, " ".join(["x", *twins]), 203)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n long").repartition(4)
+    got = minhash.near_duplicates(df).collect()
+    assert sorted((x.doc_id, x.component_id) for x in got) == sorted([(7, 7)] * 6 + [(20 + k, 7) for k in range(6)] + [(3, 3)] * 3 + [(40, 3)])
+    kept = minhash.deduplicated(df).collect()
+    assert sorted(x.n for x in kept if x.doc_id == 7) == list(range(6)) and sum(x.doc_id == 3 for x in kept) == 1 and len(kept) == 7
+
+
+def test_margin():
+    assert abs(minhash.margin(80) - 0.1195) < 1e-3 and abs(minhash.margin(85) - 0.1067) < 1e-3
