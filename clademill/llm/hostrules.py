@@ -5,8 +5,9 @@ host's failure rate is shrunk towards the corpus by a beta prior fitted to all h
 verdict is joined back. A host whose shrunk rate exceeds max_host_rate is rejected whole; in the others, a document
 goes that itself breaks a rule.
 
-Cases: null and empty texts have no words and fail; a null host is a host of its own; repeated rows count each; an
-empty table gives no rows; extra columns are not carried.
+Cases: null and empty texts have no words and fail; a null host is a host of its own; repeated rows count each; a rate or share of just the bound is
+kept; very long texts are measured whole; an empty table gives no rows; extra columns are not carried by judged(), and carried as they are, whatever their
+names, by filtered().
 """
 
 from __future__ import annotations

@@ -3,8 +3,9 @@
 Rows of a source are shuffled by a seeded hash and ranked; rank r of n stands at (r + 1/2) / n. All rows, sorted by
 that fraction, are cut into shards of equal count, so each shard holds every source in the mixture's proportion.
 
-Cases: a null source is a source of its own; null ids and texts are ordinary rows (size 8, CRC null); repeated rows
-are numbered one after another; an empty table gives no rows; extra columns are not carried.
+Cases: a null source is a source of its own; null ids and texts are ordinary rows (size 8, CRC null); repeated rows, and rows that repeat an id, are numbered one
+after another; very long texts are rows like others, as the law counts rows; an empty table gives no rows; extra columns are not carried by interleaved(), and
+carried as they are by write_shards(), but for columns named shard and slot, which are replaced.
 """
 
 from __future__ import annotations
@@ -17,22 +18,27 @@ from .store import saved
 from .text import utf8_crc32
 
 
-def interleaved(docs: DataFrame, n_shards: int = 24, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, size, text_crc32, source, shard, slot): row counts of shards are at most one apart, slots are gapless."""
-    text = F.col(text_col)
-    slim = saved(
-        docs.select(
-            F.col(id_col).alias("doc_id"),
-            F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("bytes"),
-            utf8_crc32(text).alias("text_crc32"),
-            F.coalesce(F.col(source_col), F.lit("")).alias("src"),
-            F.col(source_col).isNull().alias("src_null"),
-        ).withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "text_crc32", "src", "src_null")),
-        "shard-rows",
-    )
+def interleaved(docs: DataFrame, n_shards: int = 24, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", rows: bool = False) -> DataFrame:
+    """(doc_id, size, text_crc32, source, shard, slot): row counts of shards are at most one apart, slots are gapless.
+
+    With rows, whole documents come along as the column row.
+    """
+    text = F.col(f"`{text_col}`")
+    # Rows that repeat id, text and source are told apart by the rest of the row.
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if rows else []
+    slim = docs.select(
+        *row,
+        F.col(f"`{id_col}`").alias("doc_id"),
+        F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("bytes"),
+        utf8_crc32(text).alias("text_crc32"),
+        F.coalesce(F.col(f"`{source_col}`"), F.lit("")).alias("src"),
+        F.col(f"`{source_col}`").isNull().alias("src_null"),
+    ).withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "text_crc32", "src", "src_null"))
+    slim = slim.withColumn("rest", F.xxhash64("row") if rows else F.lit(0))
+    slim = slim if rows else saved(slim, "shard-rows")
     n = slim.count()
     cells = bucket_count(n)
-    placed = ranked(slim.withColumn("bucket", F.pmod("h", F.lit(cells))), ["src_null", "src"], "bucket", [F.col("h"), F.col("doc_id"), F.col("text_crc32")], "r", total="n_source")
+    placed = ranked(slim.withColumn("bucket", F.pmod("h", F.lit(cells))), ["src_null", "src"], "bucket", [F.col("h"), F.col("doc_id"), F.col("text_crc32"), F.col("rest")], "r", total="n_source")
     placed = (
         placed.withColumn("frac", (F.col("r") + 0.5) / F.col("n_source"))
         .withColumn("cell", F.floor(F.col("frac") * cells))
@@ -41,6 +47,7 @@ def interleaved(docs: DataFrame, n_shards: int = 24, seed: int = 17, id_col: str
     placed = ranked(placed, ["all"], "cell", [F.col("frac"), F.col("src_null"), F.col("src"), F.col("r")], "g")
     total, k = F.lit(max(n, 1)).cast("long"), F.lit(n_shards).cast("long")
     return placed.withColumn("shard", F.expr(f"int((g * {n_shards}) div {max(n, 1)})")).select(
+        *(["row"] if rows else []),
         "doc_id",
         (F.col("bytes") + 8).alias("size"),
         "text_crc32",
@@ -51,10 +58,8 @@ def interleaved(docs: DataFrame, n_shards: int = 24, seed: int = 17, id_col: str
 
 
 def write_shards(docs: DataFrame, path: str, **options) -> None:
-    """Write the documents as one folder a shard, rows in slot order within each file."""
-    placed = interleaved(docs, **options)
-    key = options.get("id_col", "doc_id")
-    where = placed.select(F.col("doc_id").alias("__id"), "shard", "slot").dropDuplicates(["__id"])
-    kept = docs.select(*[c for c in docs.columns if c not in ("shard", "slot")])
-    out = kept.join(where, kept[key].eqNullSafe(where["__id"])).drop("__id")
-    out.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    """Write the documents as one folder a shard, in files of consecutive slots, as many as Spark's shuffle partitions share out."""
+    placed = interleaved(docs, rows=True, **options).select("row", "shard", "slot")
+    out = placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("shard", "slot")]
+    out.select(*kept, "shard", "slot").write.partitionBy("shard").parquet(path)

@@ -128,6 +128,33 @@ def test_sharding(spark, odd, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/s").count() == 240
 
 
+def test_shards_keep_their_law_when_ids_repeat(spark, odd, tmp_path):
+    rows = spark.createDataFrame([(i % 50, f"text {i % 70}", f"s{i % 3}", i) for i in range(100)] + [(None, None, None, 100), (7, "same", "s1", 5), (7, "same", "s1", 5)], "doc_id long, text string, source string, slot long")
+    sharding.write_shards(rows.withColumn("row", F.lit("r")).withColumn("a.b", F.lit(1)), f"{tmp_path}/s", n_shards=4)
+    got = spark.read.parquet(f"{tmp_path}/s").toPandas()
+    counts = got.groupby("shard").slot.agg(["count", "nunique", "max"])
+    assert len(got) == 103 and counts["count"].max() - counts["count"].min() <= 1 and (counts["count"] == counts["nunique"]).all() and (counts["max"] + 1 == counts["count"]).all()
+    key = lambda df: sorted(map(repr, zip(df.doc_id.fillna(-1).astype(int), df.text, df.source, strict=True)))
+    assert key(got) == key(rows.toPandas()) and {"row", "a.b"} <= set(got.columns)
+    sharding.write_shards(odd.limit(0), f"{tmp_path}/none", n_shards=3)
+
+
+def test_sharding_against_plain_ranks(spark):
+    """Same shards and slots as by sorting all rows by their fractional rank."""
+    docs = spark.createDataFrame([(i, f"t{i % 90}", None if i % 11 == 0 else f"s{i * i % 4}") for i in range(300)], "doc_id long, text string, source string")
+    rows = docs.select("*", F.xxhash64(F.lit(17), "doc_id", F.crc32(F.col("text").cast("binary")), F.coalesce("source", F.lit("")), F.col("source").isNull()).alias("h")).toPandas()
+    rows["none"], rows["src"] = rows.source.isna(), rows.source.fillna("")
+    rows["bucket"] = rows.h % math.isqrt(len(rows))
+    rows = rows.sort_values(["none", "src", "bucket", "h"])
+    rows["r"] = rows.groupby(["none", "src"]).cumcount()
+    rows["frac"] = (rows.r + 0.5) / rows.groupby(["none", "src"]).r.transform("size")
+    rows = rows.sort_values(["frac", "none", "src", "r"]).reset_index(drop=True)
+    rows["shard"] = rows.index * 7 // len(rows)
+    rows["slot"] = rows.groupby("shard").cumcount()
+    got = {x.doc_id: (x.shard, x.slot) for x in sharding.interleaved(docs, 7).collect()}
+    assert got == {int(i): (s, t) for i, s, t in zip(rows.doc_id, rows.shard, rows.slot, strict=True)}
+
+
 def test_host_rules(spark, odd):
     r = {(x.doc_id, x.n_words): x for x in hostrules.judged(odd).collect()}
     assert r[0, 0].base_failed and r[4, 90].n_repeat_words == 90 and r[4, 90].base_failed and r[9, 6].n_dup_lines == 2 and r[7, 4].n_symbols == 8
