@@ -60,16 +60,19 @@ def distributions(rows: DataFrame, keys: list[str], metrics: dict[str, Column],
     return stats.groupBy(*keys).agg(*[F.max(F.when(F.col("_metric") == m, F.col(s))).alias(f"{m}_{s}") for m in metrics for s in STATISTICS])
 
 
+def pearson(x: Column, y: Column) -> Column:
+    """Pearson's r over pairs without nulls, as an aggregate; null unless both sides vary."""
+    both = x.isNotNull() & y.isNotNull()
+    a, b = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
+    spread = lambda c: F.max(c) - F.min(c) > SAME * F.greatest(F.abs(F.max(c)), F.abs(F.min(c)))
+    r = F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+    return F.when(spread(a) & spread(b), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))
+
+
 def correlations(rows: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
-    """(keys, n_pairs, r): Pearson's r over pairs without nulls; null unless both sides vary. Means are taken off first."""
+    """(keys, n_pairs, r): pearson() by group, of groups that have a pair."""
     pairs = rows.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    group = Window.partitionBy(*keys)
-    d = pairs.select(*keys, F.col(x).alias("_x"), F.col(y).alias("_y"), (F.col(x) - F.avg(x).over(group)).alias("_dx"), (F.col(y) - F.avg(y).over(group)).alias("_dy"))
-    xx, yy, xy = F.sum(F.col("_dx") * F.col("_dx")), F.sum(F.col("_dy") * F.col("_dy")), F.sum(F.col("_dx") * F.col("_dy"))
-    spread = lambda c: F.max(c) - F.min(c) > SAME * F.greatest(F.abs(F.max(c)), F.abs(F.min(c)))
-    varies = spread("_x") & spread("_y") & (xx * yy > 0)
-    r = F.when(varies, F.greatest(F.least(xy / F.sqrt(xx * yy), F.lit(1.0)), F.lit(-1.0)))
-    return d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_pairs"), r.alias("r"))
+    return pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_pairs"), pearson(F.col(x), F.col(y)).alias("r"))
 
 
 def correlation_p(r: Column, n: Column) -> Column:

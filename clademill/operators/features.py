@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.stats import correlation_p, correlations, distribution, distributions, ratio
+from ..functions.stats import correlation_p, distribution, distributions, pearson, ratio
+from ..shared import saved
 from .rollup import clade_sums
 from .taxonomy import FILTERED, ROOT, UNCLASSIFIED, common_depth, is_within
 
@@ -24,6 +25,11 @@ RATIOS = (
 CORRELATED_SAMPLES, OUTLIER_PERCENT, LEAST_OUTLIERS = 6, 1, 3
 
 
+#: Groups of features by scope, and the parts that can be asked for.
+SCOPES = {"global": ["t_id"], "sample": ["sample_id", "t_id"]}
+PARTS = ("counts", "stats", "top")
+
+
 def ratio_names(prefix: str) -> list[str]:
     return [f"{prefix}_{a}VS{b}_ratio" for a, b in RATIOS]
 
@@ -69,13 +75,9 @@ def kmer_counts_and_ratios(hits: DataFrame, keys: list[str], prefix: str) -> Dat
     return n.select(*keys, *[F.col(x).alias(f"{prefix}_{x}_count") for x in COUNTS], *[ratio(F.col(a), F.col(b)).alias(name) for (a, b), name in zip(RATIOS, ratio_names(prefix), strict=True)])
 
 
-def kmer_features(kmers: DataFrame, taxa: DataFrame, scope: str = "global", top: int | None = None) -> DataFrame:
-    """Counts, ratios, distances and top hits for every taxon (scope global) or sample and taxon (scope sample).
-
-    kmers: (t_id, kmer_tax_id, kmer_count, sample_id). The top 5 hits are kept globally, 3 by sample.
-    """
-    keys = {"global": ["t_id"], "sample": ["sample_id", "t_id"]}[scope]
-    top, prefix = top or {"global": 5, "sample": 3}[scope], f"kmers_{scope}"
+def kmer_hits(kmers: DataFrame, taxa: DataFrame, scope: str = "global") -> DataFrame:
+    """Hits of every taxon (scope global) or sample and taxon (scope sample), pooled and labelled."""
+    keys = SCOPES[scope]
     pooled = kmers.groupBy(*keys, "kmer_tax_id").agg(F.sum("kmer_count").alias("kmer_count"))
     if scope == "global":
         hits = labelled_hits(pooled, taxa)
@@ -83,21 +85,39 @@ def kmer_features(kmers: DataFrame, taxa: DataFrame, scope: str = "global", top:
         labels = labelled_hits(pooled.select("t_id", "kmer_tax_id").distinct(), taxa)
         labels = labels.withColumnsRenamed({"t_id": "_t", "kmer_tax_id": "_k"})
         hits = pooled.join(labels, (F.col("t_id") == F.col("_t")) & F.col("kmer_tax_id").eqNullSafe(F.col("_k"))).drop("_t", "_k")
+    return hits
+
+
+def kmer_features(kmers: DataFrame, taxa: DataFrame, scope: str = "global", top: int | None = None, parts: tuple[str, ...] = PARTS) -> DataFrame:
+    """Counts and ratios, statistics of distances, and top hits for every taxon (scope global) or sample and taxon (scope sample); parts of them if asked.
+
+    kmers: (t_id, kmer_tax_id, kmer_count, sample_id). The top 5 hits are kept globally, 3 by sample. Labelled hits are written once for all parts.
+    """
+    keys = SCOPES[scope]
+    top, prefix = top or {"global": 5, "sample": 3}[scope], f"kmers_{scope}"
+    hits = kmer_hits(kmers, taxa, scope)
+    if parts == ("counts",):
+        return kmer_counts_and_ratios(hits, keys, prefix)
+    hits = saved(hits, "hits")
     counts = kmer_counts_and_ratios(hits, keys, prefix)
+    out = counts if "counts" in parts else hits.select(*keys).distinct()
     outside = hits.filter(~F.col("in_clade") & (F.col("kmer_tax_id") > 0))
     wrong, above = ~F.col("in_lineage"), F.col("in_lineage")
-    stats = distributions(
-        outside, keys,
-        {
-            f"{prefix}_misclassified_dist": F.when(wrong, F.col("distance")),
-            f"{prefix}_misclassified_depth": F.when(wrong, F.col("hit_depth")),
-            f"{prefix}_misclassified_relative_lca_depth": F.when(wrong, F.col("relative_lca_depth")),
-            f"{prefix}_lineage_relative_depth": F.when(above, F.col("relative_depth")),
-        },
-        "kmer_count",
-    )
+    if "stats" in parts:
+        stats = distributions(
+            outside, keys,
+            {
+                f"{prefix}_misclassified_dist": F.when(wrong, F.col("distance")),
+                f"{prefix}_misclassified_depth": F.when(wrong, F.col("hit_depth")),
+                f"{prefix}_misclassified_relative_lca_depth": F.when(wrong, F.col("relative_lca_depth")),
+                f"{prefix}_lineage_relative_depth": F.when(above, F.col("relative_depth")),
+            },
+            "kmer_count",
+        )
+        out = out.join(stats, keys, "left")
+    if "top" not in parts:
+        return out
     names = taxa.select(F.col("t_id").alias("_id"), F.col("name").alias("_name"))
-    out = counts.join(stats, keys, "left")
     totals = counts.select(*keys, F.col(f"{prefix}_misclassified_count").alias("_m"), F.col(f"{prefix}_exclade_count").alias("_e"))
     measured = outside.join(totals, keys)
     for rows, kind, total in ((measured.filter(wrong), "misclassified", "_m"), (measured, "exclade", "_e")):
@@ -106,7 +126,8 @@ def kmer_features(kmers: DataFrame, taxa: DataFrame, scope: str = "global", top:
 
 
 def kmer_stability(samples: DataFrame) -> DataFrame:
-    """Occupancy, and statistics over samples of the ratios of kmer_features(scope="sample")."""
+    """Occupancy, and statistics over samples of the ratios of kmer_features(scope="sample"), whose part counts is enough."""
+    samples = saved(samples.select("sample_id", "t_id", *ratio_names("kmers_sample")), "ratios")
     n = samples.select("sample_id").distinct().count()
     present = samples.groupBy("t_id").agg((F.count(F.lit(1)) / F.lit(max(n, 1))).alias("kmers_stability_occupancy_ratio"))
     stats = distributions(samples, ["t_id"], {b: F.col(a) for a, b in zip(ratio_names("kmers_sample"), ratio_names("kmers_stability"), strict=True)})
@@ -161,16 +182,18 @@ def minimizer_samples(reports: DataFrame, inspect: DataFrame, taxa: DataFrame) -
 
 def minimizer_correlations(samples: DataFrame) -> DataFrame:
     """Correlation of observed and expected cover over samples, with and without the largest ones, and the distribution of the observed."""
+    rows = saved(samples.select("t_id", "sample_id", "mm_obs_cov", "mm_exp_cov"), "covers")
     n = F.count(F.lit(1)).over(Window.partitionBy("t_id"))
     place = F.row_number().over(Window.partitionBy("t_id").orderBy(F.desc_nulls_last("mm_obs_cov"), "sample_id"))
     most = F.round(F.greatest(n * OUTLIER_PERCENT / 100, F.lit(float(LEAST_OUTLIERS))))
-    rows = samples.withColumn("_n", n).withColumn("_in", (place > most) & F.col("mm_obs_cov").isNotNull())
-    sizes = rows.groupBy("t_id").agg(F.count(F.lit(1)).alias("mm_pearson_n"), F.count_if("_in").alias("mm_pearson_filtered_n"))
-    enough = rows.filter(F.col("_n") >= CORRELATED_SAMPLES)
-    whole = correlations(enough, ["t_id"], "mm_obs_cov", "mm_exp_cov").select("t_id", F.col("r").alias("mm_pearson_corr"))
-    rest = correlations(enough.filter("_in"), ["t_id"], "mm_obs_cov", "mm_exp_cov").select("t_id", F.col("r").alias("mm_pearson_filtered_corr"))
-    spread = distributions(samples, ["t_id"], {"mm_obs_cov": F.col("mm_obs_cov")})
-    out = sizes.join(whole, "t_id", "left").join(rest, "t_id", "left").join(spread, "t_id", "left")
+    placed = rows.withColumn("_in", (place > most) & F.col("mm_obs_cov").isNotNull())
+    enough, x, y = F.count(F.lit(1)) >= CORRELATED_SAMPLES, F.col("mm_obs_cov"), F.col("mm_exp_cov")
+    inside = lambda c: F.when(F.col("_in"), c)
+    out = placed.groupBy("t_id").agg(
+        F.count(F.lit(1)).alias("mm_pearson_n"), F.count_if("_in").alias("mm_pearson_filtered_n"),
+        F.when(enough, pearson(x, y)).alias("mm_pearson_corr"), F.when(enough, pearson(inside(x), inside(y))).alias("mm_pearson_filtered_corr"),
+    )
+    out = out.join(distributions(rows, ["t_id"], {"mm_obs_cov": x}), "t_id", "left")
     p = lambda kind: correlation_p(F.col(f"{kind}_corr"), F.col(f"{kind}_n")).alias(f"{kind}_p")
     named = lambda kind: [F.col(f"{kind}_corr"), p(kind), F.col(f"{kind}_n")]
     return out.select("t_id", *named("mm_pearson"), *named("mm_pearson_filtered"), *[c for c in out.columns if c.startswith("mm_obs_cov")])

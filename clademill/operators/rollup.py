@@ -2,8 +2,8 @@
 
 A count is lifted to all ancestors by exploding its path before one aggregation. Clade sums grow towards the root, so if a
 node passes a threshold on its clade, so do its ancestors: what failing nodes hold lands on their nearest passing ancestor-or-self,
-which is one lookup per taxon and needs no loop over levels. Canonical remainders don't grow that way; they are passed up rank by rank, in as
-many steps as there are ranks.
+which is one lookup per taxon and needs no loop over levels. Canonical remainders don't grow that way; they are passed up node by node, in as
+many steps as the longest route has nodes of a canonical rank, one for each rank unless ranks repeat on a path.
 
 Cases: ids without a path (0, unknown ones) are their own clade and exempt from thresholds; null ids or counts are left out; repeated rows
 add up; a table without rows gives none.
@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import saved
 from .taxonomy import CANONICAL_RANKS, ROOT, UNCLASSIFIED
 
 
@@ -76,7 +77,10 @@ def canonical_remainders(
     routes = taxa.select("t_id", F.concat(F.array(F.lit(top).cast("long")), canonical).alias("route"))
     state = pooled(reads).join(routes, "t_id").groupBy("route", "sample_id").agg(F.sum("taxon_reads").alias("value"))
     node = Window.partitionBy("route")
-    for level in range(len(ranks) + 1, 1, -1):
+    if min_reads > 0 or min_observed > 0:
+        state = saved(state, "remainders")
+    longest = state.agg(F.max(F.size("route"))).first()[0] or 1 if min_reads > 0 or min_observed > 0 else 1
+    for level in range(longest, 1, -1):
         few = (F.max("value").over(node) < min_reads) | (F.count_if(F.col("value") > 0).over(node) < min_observed)
         moved = state.withColumn("few", few).withColumn("route", F.when(F.col("few") & (F.size("route") == level), F.slice("route", 1, level - 1)).otherwise(F.col("route")))
         state = moved.groupBy("route", "sample_id").agg(F.sum("value").alias("value"))
@@ -95,6 +99,14 @@ def mass_balance(before: DataFrame, after: DataFrame, column: str = "value") ->
     return both.filter("before <> after")
 
 
+def read_migration(reads: DataFrame, cells: DataFrame, taxa: DataFrame) -> DataFrame:
+    """(rank, before, after, moved): reads by the rank of the taxon that they are assigned to, in reads and in a table's cells (t_id, sample_id, value)."""
+    before = rank_totals(pooled(reads), taxa, "taxon_reads").select("rank", F.col("total").alias("before"))
+    after = rank_totals(cells, taxa, "value").select("rank", F.col("total").alias("after"))
+    both = before.join(after, "rank", "full").select("rank", F.coalesce("before", F.lit(0)).alias("before"), F.coalesce("after", F.lit(0)).alias("after"))
+    return both.withColumn("moved", F.col("after") - F.col("before"))
+
+
 def rank_totals(cells: DataFrame, taxa: DataFrame, column: str = "clade_reads") -> DataFrame:
     """(rank, total, n_taxa) of a table's cells; ids without a node have the rank 'unknown', 0 has 'unclassified'."""
     per = cells.groupBy("t_id").agg(F.sum(column).alias("total")).join(taxa.select("t_id", "rank"), "t_id", "left")

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import period
-from .rollup import canonical_remainders, pooled, pushed_up, within
+from ..shared import saved
+from .rollup import canonical_remainders, pooled, pushed_up, read_migration, within
 from .taxonomy import CANONICAL_RANKS, FILTERED, ROOT, UNCLASSIFIED
 
 MODES = ("taxon", "clade", "canonical")
@@ -94,7 +95,9 @@ def abundance_table(
 
 def wide(cells: DataFrame, samples: list[str] | None = None) -> DataFrame:
     """Cells as a table with a column a sample, 0 where there is none; the samples are looked up unless given."""
-    samples = sorted(r[0] for r in cells.select("sample_id").distinct().collect()) if samples is None else samples
+    if samples is None:
+        cells = saved(cells, "cells")  # read for the samples' names, and again for the table
+        samples = sorted(r[0] for r in cells.select("sample_id").distinct().collect())
     return cells.groupBy("t_id").pivot("sample_id", samples).agg(F.sum("value")).na.fill(0)
 
 
@@ -104,8 +107,10 @@ def audit(reads: DataFrame, cells: DataFrame, taxa: DataFrame, mode: str) -> dic
     kept = sample_totals(cells, mode).agg(F.sum("total").alias("reads"), F.count(F.lit(1)).alias("samples")).first()
     per_rank = cells.select("t_id").distinct().join(taxa.select("t_id", "rank"), "t_id", "left").groupBy("rank").count().collect()
     ranks = {r["rank"] or "none": r["count"] for r in per_rank}
+    moved = {r["rank"]: [r["before"], r["after"]] for r in read_migration(reads, cells, taxa).collect()} if mode != "clade" else {}
     share = (kept["reads"] or 0) / base["reads"] if base["reads"] else 0.0
     return {
         "samples": base["samples"], "samples_kept": kept["samples"], "reads": base["reads"] or 0, "reads_kept": kept["reads"] or 0,
         "intact": share >= 0.999, "taxa": base["taxa"], "taxa_kept": sum(ranks.values()), "taxa_by_rank": ranks,
+        "reads_by_rank": moved,  # before and after; clade counts hold reads several times
     }

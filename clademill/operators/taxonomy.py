@@ -18,6 +18,8 @@ from ..shared import drop_saved, saved
 UNCLASSIFIED, ROOT, FILTERED = 0, 1, 100_000_000
 #: Ranks that canonical tables keep, top first; a parameter wherever it is used.
 CANONICAL_RANKS = ("superkingdom", "phylum", "class", "order", "family", "genus", "species")
+#: Ranks that a taxonomy may have at its top, in the place of the first canonical one or beside it.
+TOP_RANKS = ("domain", "superkingdom")
 #: Paths double in length each round, so this allows a depth of 2^16.
 _ROUNDS = 16
 
@@ -43,6 +45,12 @@ def with_paths(nodes: DataFrame) -> DataFrame:
     return nodes.join(paths, "t_id").select("t_id", "parent_id", "rank", "name", (F.size("up") - 1).alias("depth"), F.col("up.id").alias("path"), F.col("up.rank").alias("ranks"))
 
 
+def canonical_ranks(taxa: DataFrame) -> tuple[str, ...]:
+    """CANONICAL_RANKS with the top ranks that the taxonomy has."""
+    found = {r["rank"] for r in taxa.filter(F.col("rank").isin(*TOP_RANKS)).select("rank").distinct().collect()}  # two rows at most
+    return (*[r for r in TOP_RANKS if r in found or (not found and r in CANONICAL_RANKS)], *CANONICAL_RANKS[1:])
+
+
 def closure(taxa: DataFrame) -> DataFrame:
     """(t_id, ancestor_id, ancestor_depth, ancestor_rank) of every node and ancestor-or-self."""
     return taxa.select("t_id", F.posexplode(F.arrays_zip("path", "ranks")).alias("ancestor_depth", "a")).select("t_id", F.col("a.path").alias("ancestor_id"), "ancestor_depth", F.col("a.ranks").alias("ancestor_rank"))

@@ -199,7 +199,8 @@ t_{kind} AS (SELECT {keys}, string_agg(kmer_tax_id::VARCHAR, ';' ORDER BY rk) AS
 
 
 _YEARLY = "yearly AS (SELECT t_id, left(sample_id, 4) AS sample_id, sum(taxon_reads)::BIGINT AS taxon_reads FROM counts GROUP BY ALL),"
-_YEARS = [str(y) for y in range(1992, 1999)]
+#: The years of the orders in all given tables.
+_YEARS = [str(y) for y in range(1995, 2002)]
 _WIDE = (
     _YEARLY + _pushed("yearly") + "wide AS (SELECT t_id, "
     + ", ".join(f"coalesce(sum(clade_reads) FILTER (WHERE sample_id = '{y}'), 0)::BIGINT AS \"{y}\"" for y in _YEARS)
@@ -282,7 +283,7 @@ co AS (
         "annotate_lineage": _q("SELECT t_id, name AS t_scientific_name, rank AS t_rank, t_superkingdom, t_phylum, t_species FROM (SELECT DISTINCT t_id FROM reads WHERE t_id > 0) JOIN nodes USING (t_id) JOIN lin USING (t_id)", _LINEAGE),
         "report_merge": _q("FROM counts"),
         "report_files_read": _q("SELECT sample_id, t_id, taxon_reads, mm_tot, mm_uniq FROM rep JOIN counts USING (t_id, sample_id)", _MINIMIZERS),
-        "period_counts": _q("SELECT t_id, year || '_' || lpad(week::VARCHAR, 2, '0') AS sample_id, count(*) AS taxon_reads FROM reads WHERE sample_id NOT IN ('1992-01', '1998-07') GROUP BY ALL"),
+        "period_counts": _q("SELECT t_id, year || '_' || lpad(week::VARCHAR, 2, '0') AS sample_id, count(*) AS taxon_reads FROM reads WHERE sample_id NOT IN ('1995-01', '2001-07') GROUP BY ALL"),
         "clade_sum": _q("SELECT t_id, sample_id, taxon_reads, clade_reads FROM clades", _clades("counts")),
         "clade_pushup": _q("FROM pushed", _pushed("counts")),
         "mass_balance": _q("SELECT sample_id, sum(taxon_reads)::BIGINT AS reads, sum(taxon_reads)::BIGINT AS pushed_up, sum(taxon_reads)::BIGINT AS bubbled FROM counts WHERE t_id <> 0 GROUP BY 1"),
@@ -329,10 +330,14 @@ co AS (
         "sort_dfs": _q(dfs, _WIDE, weight(mean, "max")),
         "sort_dfs_unweighted": _q(dfs, _WIDE, weight("1.0", "sum")),
         "reads_by_clade": _q(f"SELECT read_id, anc AS target, sample_id || '_clade_' || anc || '_' || regexp_replace({name}, '[^A-Za-z0-9_.-]+', '_', 'g') AS set_name FROM reads JOIN clo USING (t_id) JOIN nodes n ON n.t_id = anc WHERE anc IN ({CLADE}, 100, 1000, 100001)"),
-        "temporal_filter": _q("SELECT read_id, year, week, year || '_' || lpad(week::VARCHAR, 2, '0') AS period FROM reads WHERE (year, week) >= (1993, 12) AND year <= 1995"),
-        "reads_in_period": _q(f"SELECT read_id, anc AS target FROM reads JOIN clo USING (t_id) WHERE anc = {CLADE} AND year >= 1993 AND (year, week) <= (1994, 20)"),
+        "temporal_filter": _q("SELECT read_id, year, week, year || '_' || lpad(week::VARCHAR, 2, '0') AS period FROM reads WHERE (year, week) >= (1996, 12) AND year <= 1998"),
+        "reads_in_period": _q(f"SELECT read_id, anc AS target FROM reads JOIN clo USING (t_id) WHERE anc = {CLADE} AND year >= 1996 AND (year, week) <= (1997, 20)"),
         "classified_files_read": _q("SELECT read_id::VARCHAR AS read_id, status, t_id, r1_len, r2_len, r1_len + r2_len AS total_len FROM reads"),
-        "fastq_matched": _q(
-            "SELECT read_id, t_id, CASE WHEN read_id % 3 <> 0 THEN repeat('A', (read_id % 7 + 1)::INT) END AS r1_seq, CASE WHEN read_id % 3 <> 0 THEN repeat('C', (read_id % 7 + 1)::INT) END AS r2_seq, CASE WHEN read_id % 3 <> 0 THEN repeat('@', (read_id % 7 + 1)::INT) END AS r1_qual FROM reads"
+        "fastq_matched": _q("SELECT read_id, t_id, repeat('A', (read_id % 7 + 1)::INT) AS r1_seq, repeat('C', (read_id % 7 + 1)::INT) AS r2_seq, repeat('@', (read_id % 7 + 1)::INT) AS r1_qual FROM reads"),
+        "canonical_domain": _q("FROM canonical", _BARE, _canonical("classified")),
+        "sort_domains": _q("SELECT w.t_id, CASE w.t_id WHEN 0 THEN 0 WHEN 100000000 THEN 1 WHEN 1 THEN 2 ELSE 3 END::INT AS first, lower(t_superkingdom) AS domain, lower(t_phylum) AS phylum, lower(t_species) AS species FROM wide w LEFT JOIN lin ON lin.t_id = w.t_id", _WIDE, _LINEAGE),
+        "read_migration": _q(
+            "SELECT rank, coalesce(max(x) FILTER (WHERE k = 0), 0)::BIGINT AS before, coalesce(max(x) FILTER (WHERE k = 1), 0)::BIGINT AS after, (coalesce(max(x) FILTER (WHERE k = 1), 0) - coalesce(max(x) FILTER (WHERE k = 0), 0))::BIGINT AS moved FROM ("
+            "SELECT k, CASE WHEN t_id = 0 THEN 'unclassified' ELSE coalesce(n.rank, 'unknown') END AS rank, sum(taxon_reads) AS x FROM (SELECT 0 AS k, t_id, taxon_reads FROM counts UNION ALL SELECT 1, t_id, taxon_reads FROM pushed WHERE taxon_reads > 0) LEFT JOIN nodes n USING (t_id) GROUP BY ALL) GROUP BY rank", _pushed("counts"),
         ),
     }

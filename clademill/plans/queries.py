@@ -83,7 +83,7 @@ def report_files_read(spark, sf_dir):
 
 def period_counts(spark, sf_dir):
     rows = kmers.read_counts(w.bare_reads(spark, sf_dir), ("sample_id", "year", "week"))
-    return rollup.pooled(tables.selected_reads(rows, ("1992-01", "1998-07"), by_period=True))
+    return rollup.pooled(tables.selected_reads(rows, ("1995-01", "2001-07"), by_period=True))
 
 
 def _table(mode: str, **options):
@@ -144,8 +144,9 @@ def read_length_aggregate(spark, sf_dir):
 
 def _kmer_features(scope: str, part: str):
     def query(spark, sf_dir):
-        out = features.kmer_features(_kmers(spark, sf_dir), w.taxa(spark, sf_dir), scope)
-        keys = ["t_id"] if scope == "global" else ["sample_id", "t_id"]
+        needed = (part,) if part in features.PARTS else ("counts",)
+        out = features.kmer_features(_kmers(spark, sf_dir), w.taxa(spark, sf_dir), scope, parts=needed)
+        keys = features.SCOPES[scope]
         parts = {
             "counts": [c for c in out.columns if c.endswith("_count")],
             "ratios": [c for c in out.columns if c.endswith("_ratio")],
@@ -158,7 +159,7 @@ def _kmer_features(scope: str, part: str):
 
 
 def kmer_stability(spark, sf_dir):
-    return _rounded(features.kmer_stability(features.kmer_features(_kmers(spark, sf_dir), w.taxa(spark, sf_dir), "sample")))
+    return _rounded(features.kmer_stability(features.kmer_features(_kmers(spark, sf_dir), w.taxa(spark, sf_dir), "sample", parts=("counts",))))
 
 
 def readlen_global(spark, sf_dir):
@@ -183,8 +184,8 @@ def chunk_union(spark, sf_dir):
 
 
 def _dense(spark, sf_dir) -> DataFrame:
-    """Yearly clade counts as a wide table."""
-    return wide_table(spark, sf_dir)
+    """Yearly clade counts as a wide table, written once for all that reads it."""
+    return saved(wide_table(spark, sf_dir), "wide")
 
 
 def abundance_stats(spark, sf_dir):
@@ -243,11 +244,11 @@ def reads_by_clade(spark, sf_dir):
 
 def temporal_filter(spark, sf_dir):
     rows = w.bare_reads(spark, sf_dir)
-    return rows.filter(scalar.in_period(F.col("year"), F.col("week"), 1993, 12, 1995, None)).select("read_id", "year", "week", scalar.period(F.col("year"), F.col("week")).alias("period"))
+    return rows.filter(scalar.in_period(F.col("year"), F.col("week"), 1996, 12, 1998, None)).select("read_id", "year", "week", scalar.period(F.col("year"), F.col("week")).alias("period"))
 
 
 def reads_in_period(spark, sf_dir):
-    rows = extract.wanted_reads(w.bare_reads(spark, sf_dir), w.taxa(spark, sf_dir), [CLADE], from_year=1993, to_year=1994, to_week=20)
+    rows = extract.wanted_reads(w.bare_reads(spark, sf_dir), w.taxa(spark, sf_dir), [CLADE], from_year=1996, to_year=1997, to_week=20)
     return rows.select("read_id", "target")
 
 
@@ -260,27 +261,58 @@ def classified_files_read(spark, sf_dir):
 
 
 def fastq_matched(spark, sf_dir):
-    """Reads with sequences from FASTQ files that leave every third one out."""
+    """Reads with the sequences of FASTQ files, each written as several files in order."""
     path = fresh_path(spark, "fastq")
     rows = w.bare_reads(spark, sf_dir)
     lines = F.concat_ws("\t", "status", F.col("read_id").cast("string"), F.col("t_id").cast("string"), "lengths")
-    ordered = saved(rows.select("read_id", lines.alias("value")).repartitionByRange(1, "read_id").sortWithinPartitions("read_id"), "fastq-rows").coalesce(1).sortWithinPartitions("read_id")
-    ordered.select("value").write.text(f"{path}/classified")
+    # Part files are numbered by range.
+    ordered = saved(rows.select("read_id", lines.alias("value")), "fastq-rows")
+    place = lambda df: df.repartitionByRange(8, "read_id").sortWithinPartitions("read_id").select("value")
+    place(ordered).write.text(f"{path}/classified")
     for mate, letter in ((1, "A"), (2, "C")):
         n = F.col("read_id")
         seq = F.repeat(F.lit(letter), F.pmod(n, F.lit(7)).cast("int") + 1)
         record = extract.fastq_lines(F.concat(n.cast("string"), F.lit(f"/{mate}")), seq, F.regexp_replace(seq, letter, "@"))
-        ordered.filter(n % 3 != 0).select(record.alias("value")).write.text(f"{path}/r{mate}")
+        place(ordered.select("read_id", record.alias("value"))).write.text(f"{path}/r{mate}")
     out = read_files.with_sequences(spark, f"{path}/classified", f"{path}/r1", f"{path}/r2")
     return out.select(F.col("read_id").cast("long").alias("read_id"), "t_id", "r1_seq", "r2_seq", "r1_qual")
 
 
+def _with_domains(spark, sf_dir) -> DataFrame:
+    """The taxonomy with domains at its top."""
+    named = lambda c: F.when(c == "superkingdom", F.lit("domain")).otherwise(c)
+    return w.taxa(spark, sf_dir).withColumns({"rank": named(F.col("rank")), "ranks": F.transform("ranks", named)})
+
+
+def canonical_domain(spark, sf_dir):
+    """canonical_bubbled of a taxonomy whose top rank is domain."""
+    taxa = _with_domains(spark, sf_dir)
+    return tables.abundance_table(_counts(spark, sf_dir), taxa, "canonical", MIN_READS, MIN_OBSERVED, ranks=taxonomy.canonical_ranks(taxa))
+
+
+def sort_domains(spark, sf_dir):
+    """sort_hierarchical of a taxonomy whose top rank is domain."""
+    taxa = _with_domains(spark, sf_dir)
+    ranks = tuple(r for r in taxonomy.canonical_ranks(taxa) if r in ("domain", "superkingdom", "phylum", "species"))
+    table = annotate.annotated(_dense(spark, sf_dir), taxa, ranks=ranks)
+    keys = annotate.alphabetical_keys(table, ranks)
+    return table.orderBy(*keys).select("t_id", keys[0].alias("first"), *[F.lower(f"t_{r}").alias(r) for r in ranks])
+
+
+def read_migration(spark, sf_dir):
+    """Reads by rank before and after push-up."""
+    taxa, counts = w.taxa(spark, sf_dir), saved(_counts(spark, sf_dir), "counts")
+    cells = saved(tables.abundance_table(counts, taxa, "taxon", MIN_READS, MIN_OBSERVED, keep_unclassified=True), "cells")
+    return rollup.read_migration(counts, cells, taxa)
+
+
 def queries() -> dict:
     names = (
         taxonomy_paths, nested_sets, taxonomy_closure, clade_members, lca_distance, annotate_lineage, report_merge, report_files_read, period_counts,
         clade_sum, clade_pushup, mass_balance, rank_totals, wide_table, species_rollup, kmer_aggregate, kmer_stream, read_length_aggregate, kmer_stability,
         readlen_global, readlen_sample, chunk_union, abundance_stats, abundance_norm, minimizer_cov, minimizer_corr, annotate_join, sort_hierarchical, sort_dfs,
         sort_dfs_unweighted, reads_by_clade, temporal_filter, reads_in_period, classified_files_read, fastq_matched,
+        canonical_domain, sort_domains, read_migration,
     )
     limits = {"min_reads": MIN_READS, "min_observed": MIN_OBSERVED}
     made = {

@@ -9,13 +9,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Splits whose offsets are broadcast at most; more are joined as Spark decides.
+BROADCAST_SPLITS = 50_000
 
-def numbered(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(file, line, value): lines count from 0 in each file."""
+
+def numbered(spark: SparkSession, paths: str | list[str], across: bool = False) -> DataFrame:
+    """(file, line, value): lines count from 0 in each file; with across, through all files in the order of their names."""
     raw = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("m"), "value")
     splits = raw.groupBy("file", "block").agg(F.min("m").alias("first"), F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # One row a split.
+    before = (Window.orderBy("file", "block") if across else Window.partitionBy("file").orderBy("block")).rowsBetween(Window.unboundedPreceding, -1)
     starts = splits.select("file", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    # One row for each split that Spark reads as a partition at most: lines stay where they were read.
+    starts = F.broadcast(starts) if raw.rdd.getNumPartitions() <= BROADCAST_SPLITS and len(raw.inputFiles()) <= BROADCAST_SPLITS else starts
     return raw.join(starts, ["file", "block"]).select("file", (F.col("m") + F.col("shift")).alias("line"), "value")
 
 

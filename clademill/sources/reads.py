@@ -34,16 +34,16 @@ def _read_id(header: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.get(F.split(header, r"\s"), F.lit(0)), "^@", ""), "/[12]$", "")
 
 
-def read_fastq(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(file, record, read_id, seq, qual), records counted from 0 in each file."""
-    rows = numbered(spark, paths).select("file", F.floor(F.col("line") / 4).alias("record"), (F.col("line") % 4).alias("k"), "value")
+def read_fastq(spark: SparkSession, paths: str | list[str], across: bool = False) -> DataFrame:
+    """(file, record, read_id, seq, qual), records counted from 0 in each file; with across, through all files in the order of their names."""
+    rows = numbered(spark, paths, across).select(F.lit("").alias("file") if across else "file", F.floor(F.col("line") / 4).alias("record"), (F.col("line") % 4).alias("k"), "value")
     at = lambda k: F.max(F.when(F.col("k") == k, F.col("value")))
     whole = rows.groupBy("file", "record").agg(at(0).alias("head"), at(1).alias("seq"), at(3).alias("qual"))
     return whole.filter("head IS NOT NULL AND qual IS NOT NULL AND head LIKE '@%'").select("file", "record", _read_id(F.col("head")).alias("read_id"), "seq", "qual")
 
 
 def with_sequences(spark: SparkSession, classified: str, first: str | None = None, second: str | None = None) -> DataFrame:
-    """Classified reads of one file, with r1_seq, r1_qual, r2_seq and r2_qual of its FASTQ files where they have the read.
+    """Classified reads of one file, with r1_seq, r1_qual, r2_seq and r2_qual of its FASTQ files where they have the read. A file may be a folder of parts in order.
 
     Both FASTQ files or none; their reads must all be classified ones, in the same order, and the second's must be in the first.
     """
@@ -51,9 +51,9 @@ def with_sequences(spark: SparkSession, classified: str, first: str | None = Non
         raise ValueError("give both FASTQ files or none")
     if first is None:
         return read_classified(spark, classified)
-    lines = numbered(spark, classified).select(sample_name(F.col("file")).alias("sample_id"), "line", "value")
+    lines = numbered(spark, classified, across=True).select(sample_name(F.col("file")).alias("sample_id"), "line", "value")
     reads = _parsed(lines, "line")
-    r1, r2 = (read_fastq(spark, p).select("record", "read_id", "seq", "qual") for p in (first, second))
+    r1, r2 = (read_fastq(spark, p, across=True).select("record", "read_id", "seq", "qual") for p in (first, second))
     for rows, what in ((reads, "classified reads"), (r1, "first FASTQ file"), (r2, "second FASTQ file")):
         if rows.groupBy("read_id").count().filter("count > 1").limit(1).count():
             raise ValueError(f"read ids repeat in the {what}")

@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from tree import NODES, SCHEMA, bubble, clades, path, push_up
+from tree import NODES, SCHEMA, bubble, clades, push_up
 
 from clademill.operators import rollup, tables, taxonomy
 
@@ -41,8 +41,27 @@ def test_against_slow_models(spark, seed):
     got = {(r.t_id, r.sample_id): r.value for r in rollup.canonical_remainders(df, taxa, 6, 2, ranks=RANKS, top=1).collect()}
     expected = bubble(parents, ranks, RANKS, reads, 6, 2)
     assert sum(got.values()) == sum(expected.values()) == sum(n for (t, _), n in reads.items() if t in parents)
-    if all(sum(ranks[a] in RANKS for a in path(parents, t)) <= len(RANKS) for t in parents):
-        assert got == expected
+    assert got == expected
+
+
+def test_routes_longer_than_the_ranks(spark):
+    """Eleven species in a chain: what fails at its end is passed up, however long the chain."""
+    nodes = [(1, 1, "no rank", "root"), *[(t, t - 1, "species", f"s{t}") for t in range(2, 13)]]
+    reads = {(12, "a"): 1, (2, "a"): 60, (7, "a"): 49}
+    df = spark.createDataFrame([(t, s, n) for (t, s), n in reads.items()], "t_id long, sample_id string, taxon_reads long")
+    got = {(r.t_id, r.sample_id): r.value for r in rollup.canonical_remainders(df, taxonomy.with_paths(spark.createDataFrame(nodes, SCHEMA)), 50, 1).collect()}
+    assert got == {(7, "a"): 50, (2, "a"): 60} == bubble({n[0]: n[1] for n in nodes}, {n[0]: n[2] for n in nodes}, RANKS, reads, 50, 1)
+
+
+def test_top_ranks(spark):
+    node = lambda rank: taxonomy.with_paths(spark.createDataFrame([(1, 1, "no rank", "root"), (2, 1, rank, "top"), (3, 2, "phylum", "p"), (4, 2, "clade", "c")], SCHEMA))
+    assert taxonomy.canonical_ranks(node("superkingdom")) == RANKS and taxonomy.canonical_ranks(node("clade")) == RANKS
+    taxa = node("domain")
+    assert taxonomy.canonical_ranks(taxa) == ("domain", *RANKS[1:])
+    reads = spark.createDataFrame([(4, "a", 7), (3, "a", 2)], "t_id long, sample_id string, taxon_reads long")
+    got = {r.t_id: r.value for r in tables.abundance_table(reads, taxa, "canonical", 0, 0, ranks=taxonomy.canonical_ranks(taxa)).collect()}
+    assert got == {2: 7, 3: 2}
+    assert {r["rank"]: (r.before, r.after, r.moved) for r in rollup.read_migration(reads, tables.abundance_table(reads, taxa, "taxon", 3, 1), taxa).collect()} == {"clade": (7, 7, 0), "phylum": (2, 0, -2), "domain": (0, 2, 2)}
 
 
 def test_nested_sets_contain_clades(spark, taxa):
