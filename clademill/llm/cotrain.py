@@ -44,6 +44,8 @@ NAMES = ("lang", "source")
 #: Rows of a table of names that is broadcast at most; more are joined as the optimizer decides.
 BROADCAST_ROWS = 100_000
 
+#: Texts in memory as Python strings at a time.
+_TOGETHER = 128
 _BASE = len(SHARES) * BINS
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 
@@ -72,16 +74,21 @@ def features(text: str | None) -> list[int]:
 
 def featured(docs: DataFrame, rows: bool = False) -> DataFrame:
     """(doc_id, lang, source, features) of docs, names with null as a value of its own; with rows, whole documents come along as the column row. Written."""
-    import pandas as pd
+    import pyarrow as pa
 
-    def build(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.array(features(t), np.int32) for t in texts], dtype=object)
+    def build(texts):
+        parts, sizes = [], []
+        for at in range(0, len(texts), _TOGETHER):  # few texts at a time are Python strings
+            found = [np.array(features(t), np.int32) for t in texts.slice(at, _TOGETHER).to_pylist()]
+            sizes += [len(f) for f in found]
+            parts.append(np.concatenate(found))
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *parts]), pa.int32()))
 
-    build.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+    build.__annotations__ = {"texts": pa.Array, "return": pa.Array}
     # "v" + name, or "n" for null.
     name = lambda c: F.concat(F.lit("v"), F.col(f"`{c}`").cast("string")) if c in docs.columns else F.lit(None)
     row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if rows else []
-    slim = docs.select(*row, "doc_id", *[F.coalesce(name(c), F.lit("n")).alias(c) for c in NAMES], F.pandas_udf(build, "array<int>")("text").alias("features"))
+    slim = docs.select(*row, "doc_id", *[F.coalesce(name(c), F.lit("n")).alias(c) for c in NAMES], F.arrow_udf(build, "array<int>")("text").alias("features"))
     return saved(slim, "quality-features")
 
 
@@ -107,25 +114,23 @@ class TextView:
         self.weights[ids] = w
 
     def logits(self, rows: list) -> np.ndarray:
-        flat = [np.asarray(r, np.int64) for r in rows]
-        sizes = np.array([len(r) for r in flat], np.int64)
-        if not sizes.sum():
-            return np.full(len(flat), self.bias)
-        ids, owner = np.concatenate(flat), np.repeat(np.arange(len(flat)), sizes)
-        word = ids >= _BASE + MARKS
-        w = self.weights[ids]
-        n = np.bincount(owner[word], minlength=len(flat))
-        return self.bias + np.bincount(owner[~word], weights=w[~word], minlength=len(flat)) + WORD_SCALE * np.bincount(owner[word], weights=w[word], minlength=len(flat)) / np.sqrt(np.maximum(n, 1))
+        return self._logits(np.concatenate([np.zeros(0, np.int32), *(np.asarray(r, np.int32) for r in rows)]), np.array([len(r) for r in rows], np.int64))
+
+    def _logits(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        word, w = ids >= _BASE + MARKS, self.weights[ids]
+        total = lambda at, w: np.bincount(owner[at], weights=w, minlength=len(sizes))
+        return self.bias + total(~word, w[~word]) + WORD_SCALE * total(word, w[word]) / np.sqrt(np.maximum(total(word, None), 1))
 
     def column(self) -> Column:
         """The logit over the column features, not calibrated."""
-        import pandas as pd
+        import pyarrow as pa
 
-        def score(features: pd.Series) -> pd.Series:
-            return pd.Series(self.logits(list(features)))
+        def score(features):
+            return pa.array(self._logits(features.flatten().to_numpy(), features.value_lengths().to_numpy()))
 
-        score.__annotations__ = {"features": pd.Series, "return": pd.Series}
-        return F.pandas_udf(score, "double")("features")
+        score.__annotations__ = {"features": pa.Array, "return": pa.Array}
+        return F.arrow_udf(score, "double")("features")
 
 
 class MetaView:
