@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,6 +32,15 @@ def is_dated(sample: Column) -> Column:
     return F.coalesce(sample.rlike(DATED_SAMPLE) & week.between(1, LAST_WEEK), F.lit(False))
 
 
+def name_in_period(name: str, from_year: int | None = None, from_week: int | None = None, to_year: int | None = None, to_week: int | None = None) -> bool:
+    """in_period() of a file's name, without reading the file; true for names without a date."""
+    found = re.match(DATED_SAMPLE, name.rstrip("/").rsplit("/", 1)[-1].split(".")[0])
+    if not found or not 1 <= int(found[3]) <= LAST_WEEK:
+        return True
+    at = int(found[2]), int(found[3])
+    return (from_year is None or at >= (from_year, from_week or 0)) and (to_year is None or at <= (to_year, 99 if to_week is None else to_week))
+
+
 def period(year: Column, week: Column) -> Column:
     """Year and two-digit week, such as 2013_07."""
     return F.concat_ws("_", year.cast("string"), F.lpad(week.cast("string"), 2, "0"))

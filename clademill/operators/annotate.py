@@ -6,6 +6,8 @@ repeats an id repeats the row; a column that is there already gets its table's n
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -39,13 +41,21 @@ def annotated(table: DataFrame, taxa: DataFrame, metadata: dict[str, DataFrame]
 
 
 def with_metadata(table: DataFrame, more: DataFrame, name: str) -> tuple[DataFrame, list[str]]:
-    """table joined with another by t_id, and the names that its columns got."""
+    """table joined with another by t_id, and the names that its columns got. Warns of a table that has nothing but t_id: its separator may be another one."""
     if "t_id" not in more.columns:
         raise ValueError(f"the metadata table {name} has no column t_id")
+    if len(more.columns) == 1:
+        warnings.warn(f"the metadata table {name} has no column but t_id", stacklevel=3)
     new = {c: f"{c}_{name}" if c in table.columns else c for c in more.columns if c != "t_id"}
     return table.join(more.withColumnsRenamed(new), "t_id", "left"), list(new.values())
 
 
+def matched(table: DataFrame, more: DataFrame) -> tuple[int, int]:
+    """Taxa of a table that a metadata table has, and taxa of the table."""
+    ids = table.select("t_id").distinct()
+    return ids.join(more.select("t_id").distinct(), "t_id", "left_semi").count(), ids.count()
+
+
 def _present(columns: list[str]) -> Column:
     return F.filter(F.array(*[F.col(f"`{c}`").cast("double") for c in columns]), lambda x: x.isNotNull())
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..operators import annotate as notes
 from ..operators import extract, features, kmers, rollup, tables
-from ..operators.taxonomy import CANONICAL_RANKS, UNCLASSIFIED, with_paths
+from ..functions.scalar import name_in_period
+from ..operators.taxonomy import FILTERED, UNCLASSIFIED, canonical_ranks, with_paths
 from ..shared import saved
 from ..sources import provenance, reads, reports
 from ..sources.tables import read_ids, read_inspect, read_table, read_taxonomy, write_table
@@ -26,7 +27,7 @@ def load_taxonomy(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _finish(spark: SparkSession, df: DataFrame, path: str, file_type: str, source: str, overwrite: bool, sorting: str = "", **more: str) -> str:
-    write_table(df, path, overwrite)
+    write_table(df, path, overwrite, quoted=file_type.endswith("FEATURE_TABLE"))
     provenance.write_provenance(spark, path, file_type, source, sorting, **more)
     return path
 
@@ -56,11 +57,21 @@ def collect_kmers(spark: SparkSession, classified: str, output: str, taxonomy: s
 
 
 def collect_chunks(spark: SparkSession, pattern: str, output: str, overwrite: bool = False) -> str:
-    """Feature tables that were made in parts, as one; their columns must be the same."""
+    """Feature tables that were made in parts, as one; their types, columns and versions are checked."""
     provenance.free(spark, output, overwrite)
-    rows = spark.read.parquet(pattern)
+    paths = sorted({f.rsplit("/", 1)[0] for f in spark.read.parquet(pattern).inputFiles()})
+    types = {provenance.read_provenance(spark, p).get("file_type") for p in paths}
+    if len(types) != 1 or not types <= {"FEATURE_TABLE", "LONG_FEATURE_TABLE"}:
+        raise ValueError(f"{pattern}: parts are feature tables of one type, not {sorted(map(str, types))}")
+    (file_type,) = types
+    columns = tuple(spark.read.parquet(paths[0]).columns)
+    for p in paths:
+        provenance.checked(spark, p, file_type, columns)
+        if set(spark.read.parquet(p).columns) != set(columns):
+            raise ValueError(f"{p} has other columns than {paths[0]}")
+    rows = spark.read.parquet(*paths)
     keys = [c for c in ("sample_id", "t_id") if c in rows.columns]
-    return _finish(spark, rows.orderBy(*keys), output, "FEATURE_TABLE" if keys == ["t_id"] else "LONG_FEATURE_TABLE", pattern, overwrite, ", ".join(keys))
+    return _finish(spark, rows.orderBy(*keys), output, file_type, pattern, overwrite, ", ".join(keys))
 
 
 def make_table(
@@ -75,12 +86,13 @@ def make_table(
     rows, taxa = spark.read.parquet(report), load_taxonomy(spark, taxonomy)
     out = tuple(read_ids(spark, exclude)) if exclude else ()
     chosen = tables.selected_reads(rows, out, facts["data_standard"] == "DATED")
-    cells = saved(tables.abundance_table(chosen, taxa, mode, min_reads, min_observed, clade, keep_unclassified, keep_filtered, as_proportions=False), "cells")
+    cells = saved(tables.abundance_table(chosen, taxa, mode, min_reads, min_observed, clade, keep_unclassified, keep_filtered, as_proportions=False, ranks=canonical_ranks(taxa)), "cells")
     if mode == "canonical":
         base = chosen if keep_unclassified else chosen.filter(F.col("t_id") != UNCLASSIFIED)
-        known = base.join(taxa.select("t_id"), "t_id", "left_semi") if clade is None else None
-        held = cells.filter(F.col("t_id") != UNCLASSIFIED)
-        if known is not None and rollup.mass_balance(known, held).limit(1).count():
+        scope = taxa if clade is None else taxa.filter(F.array_contains("path", clade))
+        known = base.join(scope.select("t_id"), "t_id", "left_semi")
+        held = cells.filter(~F.col("t_id").isin(UNCLASSIFIED, FILTERED))
+        if rollup.mass_balance(known, held).limit(1).count():
             raise RuntimeError("the canonical table does not hold all reads")
     audit = tables.audit(chosen, cells, taxa, mode) | {"absent": tables.absent_samples(rows, out), "many_needed": min_observed * 2 > chosen.select("sample_id").distinct().count()}
     if not dry_run:
@@ -127,33 +139,56 @@ def annotate(spark: SparkSession, source: str, output: str, taxonomy: str, metad
     facts = provenance.checked(spark, source, "RAW_TABLE", ("t_id",))
     taxa = load_taxonomy(spark, taxonomy)
     more = {p.rstrip("/").rsplit("/", 1)[-1].split(".")[0]: read_table(spark, p) for p in metadata}
-    table = notes.annotated(read_table(spark, source), taxa, more, add_stats)
+    rows, ranks = read_table(spark, source), canonical_ranks(taxa)
+    table = notes.annotated(rows, taxa, more, add_stats, ranks)
+    found = {f"matched_{name}": "{} of {}".format(*notes.matched(rows, m)) for name, m in more.items()}
     if order == "alphabetical":
-        table = table.orderBy(*notes.alphabetical_keys(table, CANONICAL_RANKS))
+        table = table.orderBy(*notes.alphabetical_keys(table, ranks))
     else:
         table = notes.depth_first(table, taxa, "sig_avg" if add_stats else None, facts.get("mode") == "clade").orderBy("dfs_key", "t_id").drop("dfs_key")
-    return _finish(spark, table, output, "ANNOTATED_TABLE", source, overwrite, order)
+    return _finish(spark, table, output, "ANNOTATED_TABLE", source, overwrite, order, **found)
 
 
 def extract_reads(
     spark: SparkSession, source: str, output: str, taxonomy: str, wanted: list[int], mode: str = "clade", combined: bool = False,
     from_year: int | None = None, from_week: int | None = None, to_year: int | None = None, to_week: int | None = None, overwrite: bool = False,
 ) -> str:
-    """Reads of wanted taxa, a folder set=<name> each, as gzipped FASTQ (mates apart) or lists of ids."""
+    """Reads of wanted taxa, a folder set=<name> each, as gzipped FASTQ (mates apart) or lists of ids; a set without reads gets an empty file.
+
+    source is a table of reads, or a folder of such tables; tables named for a week outside the period are not read.
+    """
     provenance.free(spark, output, overwrite)
-    facts, taxa = provenance.checked(spark, source, "KRAKEN_PARQUET", ("t_id", "read_id")), load_taxonomy(spark, taxonomy)
+    taxa = load_taxonomy(spark, taxonomy)
     between = {"from_year": from_year, "from_week": from_week, "to_year": to_year, "to_week": to_week}
-    rows = extract.wanted_reads(spark.read.parquet(source), taxa, wanted, mode, **between)
-    rows = rows.join(taxa.select(F.col("t_id").alias("target"), "name"), "target", "left")
+    paths = [p for p in provenance.tables_in(spark, source) if name_in_period(p, **between)]
+    facts = [provenance.checked(spark, p, "KRAKEN_PARQUET", ("sample_id", "t_id", "read_id", "year", "week")) for p in paths]
     week = lambda w: "" if w is None else f"W{w:02}"
     span = f"_{from_year or 'Start'}{week(from_week)}-to-{to_year or 'End'}{week(to_week)}" if from_year or to_year else ""
     name = extract.set_name(mode, combined, span)
-    if facts.get("has_fastq") == "True":
-        mates = [rows.filter(f"{p}_seq IS NOT NULL").select(F.concat(name, F.lit(f"_{p.upper()}")).alias("set"), extract.fastq_lines(F.col("read_id"), F.col(f"{p}_seq"), F.col(f"{p}_qual")).alias("value")) for p in ("r1", "r2")]
-        out = mates[0].unionByName(mates[1])
-    else:
-        out = rows.select(name.alias("set"), F.col("read_id").alias("value"))
+    wanted = [int(x) for x in dict.fromkeys(wanted)]
+    targets = spark.createDataFrame([(x,) for x in wanted], "target long").join(taxa.select(F.col("t_id").alias("target"), "name"), "target", "left")
+    out, sets = None, None
+    for with_mates in sorted({f.get("has_fastq") == "True" for f in facts}):
+        rows = spark.read.parquet(*[p for p, f in zip(paths, facts, strict=True) if (f.get("has_fastq") == "True") == with_mates])
+        samples = rows.select("sample_id").distinct()
+        rows = extract.wanted_reads(rows, taxa, wanted, mode, **between).join(targets, "target")
+        each = [F.concat(name, F.lit(f"_{m}")) for m in ("R1", "R2")] if with_mates else [name]
+        # Few names: samples times the ids that the user lists.
+        both = targets if combined or not wanted else samples.withColumn("target", F.explode(F.array(*[F.lit(x).cast("long") for x in wanted]))).join(targets, "target")
+        named = both.select(F.explode(F.array(*each)).alias("set"))
+        if with_mates:
+            parts = [rows.filter("r1_seq IS NOT NULL" if p == "r1" else "r1_seq IS NOT NULL AND r2_seq IS NOT NULL").select(x.alias("set"), extract.fastq_lines(F.col("read_id"), F.col(f"{p}_seq"), F.col(f"{p}_qual")).alias("value")) for p, x in zip(("r1", "r2"), each, strict=True)]
+        else:
+            parts = [rows.select(name.alias("set"), F.col("read_id").alias("value"))]
+        for part in parts:
+            out = part if out is None else out.unionByName(part)
+        sets = named if sets is None else sets.unionByName(named)
+    if out is None:
+        out = spark.createDataFrame([], "set string, value string")
     out.write.mode("overwrite" if overwrite else "errorifexists").partitionBy("set").option("compression", "gzip").text(output)
+    for r in sets.distinct().toLocalIterator() if sets is not None else ():
+        if not provenance.exists(spark, f"{output}/set={r['set']}"):
+            provenance.empty_text(spark, f"{output}/set={r['set']}/part-00000.txt.gz")
     return output
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gzip
 import json
 import sys
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 from .. import __version__
@@ -78,6 +80,39 @@ def checked(spark: SparkSession, path: str, file_type: str, columns: tuple[str,
 
 
 def free(spark: SparkSession, path: str, overwrite: bool) -> None:
-    """An error if something is at path already and may not be replaced."""
-    if not overwrite and exists(spark, path):
+    """An error if something is at path already and may not be replaced, or if path, or its nearest folder that exists, may not be written to."""
+    system, where = _file(spark, path)
+    there = system.exists(where)
+    if there and not overwrite:
         raise FileExistsError(f"{path} is there already")
+    while not system.exists(where) and where.getParent() is not None:
+        where = where.getParent()
+    try:
+        system.access(where, spark._jvm.org.apache.hadoop.fs.permission.FsAction.WRITE)
+    except Py4JJavaError as e:
+        if "AccessControlException" in str(e.java_exception):
+            raise PermissionError(f"{where.toString()} may not be written to") from e
+        raise
+
+
+def tables_in(spark: SparkSession, path: str) -> list[str]:
+    """path itself if it is a table with its facts, or else the Parquet tables with facts in the folder path, by name."""
+    if exists(spark, companion(path)):
+        return [path]
+    system, where = _file(spark, path)
+    names = sorted(s.getPath().toString() for s in system.listStatus(where)) if system.exists(where) else []
+    found = [p for p in names if p.rstrip("/").endswith(".parquet") and exists(spark, companion(p))]
+    if not found:
+        raise FileNotFoundError(f"{path} has no Parquet tables with the files that tell their provenance")
+    return found
+
+
+def empty_text(spark: SparkSession, path: str) -> None:
+    """An empty gzipped file."""
+    system, where = _file(spark, path)
+    if not system.exists(where):
+        stream = system.create(where)
+        try:
+            stream.write(bytearray(gzip.compress(b"")))
+        finally:
+            stream.close()

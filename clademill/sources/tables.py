@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 _TEXT = {".csv": ",", ".tsv": "\t"}
 
@@ -46,12 +46,25 @@ def plain_lists(df: DataFrame) -> DataFrame:
     return df.withColumns(out) if out else df
 
 
-def write_table(df: DataFrame, path: str, overwrite: bool = False) -> None:
+def _quoted(df: DataFrame, sep: str) -> DataFrame:
+    """Lines as one column, named by the header: text, and columns' names, in double quotes, so that only numbers are bare; line ends in text become blanks."""
+    quoted = lambda c: F.concat(F.lit('"'), F.regexp_replace(F.regexp_replace(c, r"\s*\n\s*", " "), '"', '""'), F.lit('"'))
+    cell = lambda f: quoted(F.col(f"`{f.name}`")) if isinstance(f.dataType, StringType) else F.col(f"`{f.name}`").cast("string")
+    header = sep.join('"' + c.replace('"', '""') + '"' for c in df.columns)
+    return df.select(F.concat_ws(sep, *[F.coalesce(cell(f), F.lit("")) for f in df.schema.fields]).alias(header))
+
+
+def write_table(df: DataFrame, path: str, overwrite: bool = False, quoted: bool = False) -> None:
+    """quoted: in CSV and TSV, all that isn't a number is put in quotes."""
     mode, kind = "overwrite" if overwrite else "errorifexists", extension(path)
     if kind == ".parquet":
         df.write.mode(mode).option("compression", "zstd").parquet(path)
     elif kind in _TEXT:
-        plain_lists(df).write.mode(mode).csv(path, sep=_TEXT[kind], header=True)
+        rows = plain_lists(df)
+        if quoted:  # a separator that is in no line
+            _quoted(rows, _TEXT[kind]).write.mode(mode).csv(path, sep="\1", quote="\0", header=True)
+        else:
+            rows.write.mode(mode).csv(path, sep=_TEXT[kind], header=True)
     else:
         raise ValueError(f"can't tell the format of {path}: .parquet, .csv or .tsv")
 

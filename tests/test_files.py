@@ -147,6 +147,67 @@ def test_whole_jobs(spark, tmp_path, taxonomy):
     assert read_taxonomy(spark, taxonomy).filter("t_id = 562").first().name == "Escherichia coli"
 
 
+def test_reads_of_a_folder_of_ingests(spark, tmp_path, taxonomy):
+    """Tables named for a week outside the period aren't read, sets without reads get an empty file, mates without the first sequence are left out."""
+    (tmp_path / "in").mkdir()
+    for name in ("Ki_2013_7_1", "Ki_2014_9_2", "Lj_2015_1_1"):
+        (tmp_path / f"{name}.kraken").write_text("C\tr1\t9606\t150|150\t10\t9606:10\nC\tr2\t562\t150\t1\t562:5\nU\tr3\t0\t90\t0\t\n")
+        commands.collect_classifications(spark, f"{tmp_path}/{name}.kraken", f"{tmp_path}/in/{name}.parquet")
+    (tmp_path / "in" / "Lj_2015_1_1.parquet.json").write_text("{}")  # would be an error if it were looked at
+    commands.extract_reads(spark, f"{tmp_path}/in", f"{tmp_path}/sets", taxonomy, [9606, 10090], to_year=2014, to_week=9)
+    got = {(r.set, r.value) for r in spark.read.text(f"{tmp_path}/sets").collect()}
+    assert got == {("Ki_2013_7_1_clade_9606_HomSap", "r1"), ("Ki_2014_9_2_clade_9606_HomSap", "r1")}
+    empty = list((tmp_path / "sets" / "set=Ki_2013_7_1_clade_10090_MusMus").glob("*.gz"))
+    assert len(empty) == 1 and gzip.open(empty[0]).read() == b"" and (tmp_path / "sets" / "set=Ki_2014_9_2_clade_10090_MusMus").exists()
+    commands.extract_reads(spark, f"{tmp_path}/in", f"{tmp_path}/one", taxonomy, [10090], combined=True, from_year=2013, to_year=2013)
+    assert [p.name for p in (tmp_path / "one").iterdir() if p.is_dir()] == ["set=combined_clade_10090_MusMus_2013-to-2013"]
+    with pytest.raises(FileNotFoundError):
+        commands.extract_reads(spark, f"{tmp_path}/nothing", f"{tmp_path}/two", taxonomy, [1])
+
+
+def test_canonical_clade_keeps_its_mass(spark, tmp_path, taxonomy):
+    (tmp_path / "in").mkdir()
+    _reports(tmp_path / "in")
+    report = commands.collect_reports(spark, f"{tmp_path}/in", f"{tmp_path}/reports.parquet")
+    audit = commands.make_table(spark, report, f"{tmp_path}/c.parquet", taxonomy, "canonical", 1, 1, clade=2, keep_filtered=True)
+    assert audit["reads_by_rank"]["superkingdom"] == [200, 200] and read_table(spark, f"{tmp_path}/c.parquet").count() == 2
+
+
+def test_quotes_permissions_and_metadata(spark, tmp_path):
+    import os
+
+    from clademill.operators import annotate
+
+    df = spark.createDataFrame([(1, 'a "b", c', 0.5, ["x", "y"]), (2, None, None, [])], "t_id long, name string, share double, ids array<string>")
+    write_table(df, f"{tmp_path}/q.csv", quoted=True)
+    text = "".join(p.read_text() for p in sorted((tmp_path / "q.csv").glob("part-*")))
+    assert text.splitlines()[0] == '"t_id","name","share","ids"' and '1,"a ""b"", c",0.5,"x;y"' in text and '2,,,""' in text and "\0" not in text
+    write_table(df, f"{tmp_path}/q.tsv", quoted=True)
+    assert read_table(spark, f"{tmp_path}/q.tsv").columns == df.columns
+    with pytest.warns(UserWarning, match="no column but t_id"):
+        annotate.with_metadata(df, df.select("t_id"), "bare")
+    assert annotate.matched(df, df.filter("t_id = 1")) == (1, 2)
+    shut = tmp_path / "shut"
+    shut.mkdir()
+    shut.chmod(0o500)
+    if os.geteuid():  # root may write anywhere
+        with pytest.raises(PermissionError):
+            provenance.free(spark, f"{shut}/deep/x.parquet", False)
+    provenance.free(spark, f"{tmp_path}/deep/er/x.parquet", False)
+    with pytest.raises(FileExistsError):
+        provenance.free(spark, f"{tmp_path}/q.csv", False)
+
+
+def test_chunks_are_checked(spark, tmp_path):
+    for name, kind in (("a", "FEATURE_TABLE"), ("b", "FEATURE_TABLE"), ("c", "RAW_TABLE")):
+        spark.createDataFrame([(ord(name), 1.0)], "t_id long, x double").write.parquet(f"{tmp_path}/{name}.parquet")
+        provenance.write_provenance(spark, f"{tmp_path}/{name}.parquet", kind)
+    commands.collect_chunks(spark, f"{tmp_path}/[ab].parquet", f"{tmp_path}/all.parquet")
+    assert [r.t_id for r in read_table(spark, f"{tmp_path}/all.parquet").collect()] == [97, 98]
+    with pytest.raises(ValueError, match="one type"):
+        commands.collect_chunks(spark, f"{tmp_path}/[bc].parquet", f"{tmp_path}/bad.parquet")
+
+
 def test_command_line():
     args = cli.parser().parse_args(["table", "a", "b", "tax", "--mode", "taxon", "--min-reads", "3", "--keep-unclassified"])
     assert (args.report, args.mode, args.min_reads, args.keep_unclassified, args.dry_run) == ("a", "taxon", 3, True, False)
