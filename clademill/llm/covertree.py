@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from .graph import components
 from .store import drop_saved, saved
 
-#: Points of a block at most, about; centres that a round draws for a node at most; rounds of splitting (what is still larger is cut into blocks by hash).
-LEAF, FANOUT, ROUNDS = 1024, 16, 24
+#: Points of a block at most, about; centres that a round draws for a node at most; rounds of splitting; points that a centre must gather on average, or its
+#: node's spread points are not split further. What is still larger than a block then is cut into blocks by hash, which are compared like others.
+LEAF, FANOUT, ROUNDS, WORTH = 1024, 32, 24, 16
 #: For rounding in distances, on the safe side.
 SLACK = 1e-6
 #: Points of a node that share a copy of its centres; nodes are broadcast up to so many rows.
@@ -220,6 +221,10 @@ def _split(members: DataFrame, nodes: DataFrame, total: int) -> tuple[DataFrame,
     left = nodes.select(F.col("node").alias("parent"), F.concat("node", F.lit("/r")).alias("node"), "level", F.lit(True).alias("rest"), "centre")
     # Points that no centre reached keep the parent's centre and radius.
     children = halved.unionByName(left).join(made, "node").withColumn("radius", F.when(F.col("rest"), F.col("level")).otherwise(F.col("far"))).drop("far")
+    children = saved(children, "cover-made")
+    gathered = children.filter("NOT rest").groupBy("parent").agg(F.avg("points").alias("gathered"))
+    spread = F.col("rest") & (F.coalesce("gathered", F.lit(0.0)) < WORTH)
+    children = children.join(gathered, "parent", "left").withColumn("done", (F.col("points") <= LEAF) | spread).drop("gathered")
     children = saved(children, "cover-nodes")
     drop_saved(drawn)
     return down.select("id", "points", "vec", "node"), children
@@ -332,7 +337,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec
         settled.append(members.join(_broadcast(nodes.filter("done").select("node")), "node", "left_semi"))
         members, made = _split(members.join(_broadcast(large.select("node")), "node", "left_semi"), large, total)
         blocks_stay = nodes.filter("done").withColumn("parent", F.col("node"))
-        nodes = saved(made.withColumn("done", done if k + 1 < ROUNDS else F.lit(True)).unionByName(blocks_stay), "cover-nodes")
+        nodes = saved((made if k + 1 < ROUNDS else made.withColumn("done", F.lit(True))).unionByName(blocks_stay), "cover-nodes")
         levels.append(nodes)
     for rows in settled:
         members = members.unionByName(rows)
