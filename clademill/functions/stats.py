@@ -1,6 +1,6 @@
 """Distribution statistics and correlation as plain aggregations and windows.
 
-Values are counted first, so a group's sort sees each distinct value once and spills like any other sort; nothing is gathered into arrays.
+Weighted values are counted first, so a group's sort sees each distinct value once; sorts spill like any other, and nothing is gathered into arrays.
 
 Cases: null values and null or zero weights are left out; a group without values has no row; NaN counts as null.
 """
@@ -30,7 +30,9 @@ def distribution(rows: DataFrame, keys: list[str], value: str = "value", weight:
     """
     x = F.col(value).cast("double")
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    counted = rows.select(*keys, F.when(~F.isnan(x), x).alias("_x"), w.alias("_w")).filter("_x IS NOT NULL AND _w > 0").groupBy(*keys, "_x").agg(F.sum("_w").alias("_w"))
+    counted = rows.select(*keys, F.when(~F.isnan(x), x).alias("_x"), w.alias("_w")).filter("_x IS NOT NULL AND _w > 0")
+    if weight:  # equal values are pooled before they are shuffled; without weights most values differ
+        counted = counted.groupBy(*keys, "_x").agg(F.sum("_w").alias("_w"))
     by_value = Window.partitionBy(*keys).orderBy("_x")
     whole = by_value.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     placed = counted.select(
@@ -52,7 +54,9 @@ def distribution(rows: DataFrame, keys: list[str], value: str = "value", weight:
 
 
 def distributions(rows: DataFrame, keys: list[str], metrics: dict[str, Column], weight: str | None = None) -> DataFrame:
-    """(keys, <metric>_mean, ..., <metric>_p95) for several values of the same rows, with one shuffle of the counted values."""
+    """(keys, <metric>_mean, ..., <metric>_p95) for several values of the same rows, with one shuffle: of the counted values, or without weight of the rows themselves."""
+    rows = rows if weight else rows.select(*keys, *[c.alias(f"_metric_{i}") for i, c in enumerate(metrics.values())]).repartition(*keys)
+    metrics = metrics if weight else {m: F.col(f"_metric_{i}") for i, m in enumerate(metrics)}
     each = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), c.cast("double").alias("value")) for m, c in metrics.items()]))
     kept = [*keys, *([weight] if weight else [])]
     long = rows.select(*kept, each.alias("_m")).select(*kept, F.col("_m.metric").alias("_metric"), F.col("_m.value").alias("_value"))
