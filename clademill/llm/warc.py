@@ -5,8 +5,8 @@ blocks by their Content-Length and verifies block and payload digests. Records o
 a response; the others are revisit records that hold the HTTP headers only and refer to it.
 
 Cases: a null html is an empty payload, a null url gives a record without target; of pages with equal payloads, the
-response is the one with the largest page_id, and rows that repeat that page_id are responses too; an empty table gives no archives
-and no rows; extra columns are not carried.
+response is the one with the largest page_id, and rows that repeat that page_id are responses too (so ties stay ties); very long payloads are
+inflated and digested chunk by chunk, but held whole as one row's text; an empty table gives no archives and no rows; extra columns are not carried.
 """
 
 from __future__ import annotations

@@ -33,3 +33,23 @@ def test_no_documents(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SMALL).count() == 0
+
+
+def test_odd_rows_in_every_stage(spark):
+    """Nulls in any column, empty and very long texts, repeated ids with like and unlike texts, clashing and odd column names."""
+    texts = [None, "", " \n ", "one", "a b c " * 30, "a b c " * 30, "word another thing " * 20_000, "### $$ | <>", *(" ".join(f"w{(i * k) % 97}x{k}" for i in range(80)) for k in range(1, 9))]
+    rows = [(None if i == 3 else i % 11, t, None if i % 4 == 0 else "en", None if i % 3 == 0 else f"s{i % 2}", None if i % 5 == 0 else len(t or ""), i, "k", 1.0) for i, t in enumerate(texts)]
+    rows += [rows[9], rows[10], rows[1]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, row long, kept string, `a.b` double")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, SMALL)
+        if k < len(corpus_pipeline.STAGES) - 1:
+            assert out.columns == docs.columns and out.count() <= 3 * len(rows)
+            known = {(r.doc_id, r.text, r.row) for r in docs.collect()}
+            assert {(r.doc_id, r.text, r.row) for r in out.collect()} <= known
+        else:
+            got = out.collect()
+            assert all(r.round_trip for r in got) and {r.doc_id for r in got} == {r[0] for r in rows if r[1] is not None}
+    # Rows that repeat an id with unlike texts all stay in de-duplication, and texts without words do.
+    left = [r.row for r in corpus_pipeline.near_duplicates(spark, docs, SMALL).collect()]
+    assert {0, 1, 2, 3, 6, 7, *range(8, 16)} <= set(left) and len({4, 5} & set(left)) == 1 and left.count(9) == left.count(10) == 1
