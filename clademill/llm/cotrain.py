@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .logistic import Sparse, fit, sigmoid
-from .store import saved
+from .store import saved, small_batches
 
 #: Bound of the learned sample: labelled rows of either class.
 LABELLED = 2000
@@ -89,7 +89,8 @@ def featured(docs: DataFrame, rows: bool = False) -> DataFrame:
     name = lambda c: F.concat(F.lit("v"), F.col(f"`{c}`").cast("string")) if c in docs.columns else F.lit(None)
     row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if rows else []
     slim = docs.select(*row, "doc_id", *[F.coalesce(name(c), F.lit("n")).alias(c) for c in NAMES], F.arrow_udf(build, "array<int>")("text").alias("features"))
-    return saved(slim, "quality-features")
+    with small_batches(docs.sparkSession):
+        return saved(slim, "quality-features")
 
 
 class TextView:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import components
-from .store import drop_saved, saved
+from .store import drop_saved, saved, small_batches
 from .text import words
 
 #: Coordinates of a sketch; how likely a pair at the threshold may share no band.
@@ -316,7 +316,8 @@ def _classes(docs: DataFrame, size: int, percent: int, least: float | None) -> t
     least = percent / 100 - margin(percent) if least is None else least
     bands, width = banding(percent)
     sets = with_shingles(docs, size)
-    all_rows = saved(sets.mapInArrow(lambda batches: _sketches(batches, bands, width), "id long, th long, n long, f1 long, f2 long, sketch binary, bands array<long>"), "minhash-sketches")
+    with small_batches(docs.sparkSession):
+        all_rows = saved(sets.mapInArrow(lambda batches: _sketches(batches, bands, width), "id long, th long, n long, f1 long, f2 long, sketch binary, bands array<long>"), "minhash-sketches")
     same = ["f1", "f2", "n"]
     grouped = all_rows.groupBy(*same).agg(F.min(F.struct("id", "th")).alias("m"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
     reps = saved(_named(grouped.select(*same, F.col("m.id").alias("doc"), F.col("m.th").alias("th"), "sketch", "bands")), "minhash-reps")

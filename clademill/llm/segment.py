@@ -25,6 +25,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import saved, small_batches
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Longer units are parted where no piece crosses; bytes of texts that are worked on together (a longer text by itself).
 UNIT, CHUNK = 48, 1_000_000
@@ -522,7 +524,7 @@ def decoded(samples: DataFrame, model_path: str = MODEL, ids_col: str = "ids") -
 
 
 def digested(docs: DataFrame, k: int = 2, seed: int = 17, model_path: str = MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, rank, n_pieces, ids_hash, log_prob, perturbed, log_inclusion, round_trip): sampled() and decoded() in one pass, whose pieces need not leave their task."""
+    """(doc_id, rank, n_pieces, ids_hash, log_prob, perturbed, log_inclusion, round_trip): sampled() and decoded() in one pass, whose pieces need not leave their task. Written."""
     proto, rows = _proto(model_path), _keyed(docs, seed, id_col, text_col)
 
     def digest(batches):
@@ -538,4 +540,6 @@ def digested(docs: DataFrame, k: int = 2, seed: int = 17, model_path: str = MODE
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "rank", "n_pieces", "ids_hash", "log_prob", "perturbed", "log_inclusion", "round_trip"])
 
     none = rows.filter("text = ''").select("doc_id", F.lit(0).alias("rank"), F.lit(0).alias("n_pieces"), F.lit(0).cast("long").alias("ids_hash"), *[F.lit(0.0).alias(c) for c in ("log_prob", "perturbed", "log_inclusion")], F.lit(True).alias("round_trip"))
-    return rows.filter("text <> ''").mapInArrow(digest, "doc_id long, rank int, n_pieces int, ids_hash long, log_prob double, perturbed double, log_inclusion double, round_trip boolean").unionByName(none)
+    some = rows.filter("text <> ''").mapInArrow(digest, "doc_id long, rank int, n_pieces int, ids_hash long, log_prob double, perturbed double, log_inclusion double, round_trip boolean")
+    with small_batches(docs.sparkSession):
+        return saved(some.unionByName(none), "segment-digests")

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 from ..shared import drop_saved, fresh_path, saved
 
-__all__ = ["drop_saved", "fresh_path", "importable", "saved"]
+__all__ = ["drop_saved", "fresh_path", "importable", "saved", "small_batches"]
+
+#: Rows of whole texts that go to a Python worker at once.
+TEXT_ROWS = 1000
 
 
 def importable(spark: SparkSession) -> None:
@@ -17,3 +22,15 @@ def importable(spark: SparkSession) -> None:
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in (paths := env.get("PYTHONPATH", "").split(os.pathsep)):
         env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> Iterator[None]:
+    """Fewer rows in an Arrow batch while a job over whole texts runs: buffers grow by doubling, on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
