@@ -160,9 +160,90 @@ FROM g
 """
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents."""
+    from .spelling import variants
+
+    return variants(_table(spark, sf_dir, "documents"))
+
+
+#: CRC-32 byte by byte over UTF-8: letters from \u00C0 on are two bytes. Near words share what is left when a letter at the same place goes, or one is what is left of the other.
+OP11_SQL = r"""
+WITH RECURSIVE tab AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(8), lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END, i) AS c FROM (SELECT unnest(range(256)) AS i))),
+occ AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]{7,}')) AS run FROM documents),
+runs AS (SELECT doc_id, run, count(*) AS k FROM occ GROUP BY ALL),
+bytes AS (
+  SELECT doc_id, run, k, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195, unicode(c)::BIGINT - 64] END)) AS b FROM runs),
+crc AS (SELECT doc_id, run, k, xor(list_reduce(b, lambda a, x: xor(a // 256, t[xor(a % 256, x) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) AS h FROM bytes, tab),
+made AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM crc),
+words AS (SELECT word, sum(k)::BIGINT AS n FROM made WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+less AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, encode(other)) AS form, max(m) AS form_n FROM near GROUP BY word),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * w.n THEN form END AS form, CASE WHEN form_n >= 10 * w.n THEN form_n END AS form_n FROM words w LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS here, 0 AS k FROM formed UNION ALL SELECT walk.word, f.form, k + 1 FROM walk JOIN formed f ON f.word = walk.here WHERE f.form IS NOT NULL)
+SELECT word, form, (SELECT arg_max(here, k) FROM walk WHERE walk.word = formed.word) AS root, n, n_near, form_n FROM formed
+"""
+
+
+def op12_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from all documents in each of their orders, by source."""
+    from .filteraudit import audited
+
+    return audited(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+lab AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 2 * length(text),
+          regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)] AS f
+  FROM d LEFT JOIN lab USING (doc_id)),
+l AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+p AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM l a, l b, l c, l d, l e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (SELECT o, array_to_string(list_transform(o, lambda i: 'ABCDE'[i]), '') AS filter_order, unnest([1, 2, 3, 4, 5]) AS step FROM p),
+c AS (SELECT part, f, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM m GROUP BY part, f),
+x AS (
+  SELECT part, filter_order, step, o[step] AS i, n, good, toxic, f[o[step]] AS fails, len(list_filter(o[:step - 1], lambda j: f[j])) > 0 AS gone, len(list_filter(f, lambda y: y)) = 1 AS once FROM c, s),
+r AS (
+  SELECT part, filter_order, step, i, coalesce(sum(n) FILTER (WHERE NOT fails AND NOT gone), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (WHERE fails AND NOT gone), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (WHERE fails AND gone), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (WHERE fails AND once), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE fails AND NOT gone), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (WHERE fails AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM x GROUP BY part, filter_order, step, i)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, i))::BIGINT AS shapley FROM r
+"""
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that are equal but for white space, and the one of each that stays."""
+    from .extendible import exact_duplicates
+
+    return exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS x FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY x) AS group_size, row_number() OVER w = 1 AS kept, sha256(x) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY x ORDER BY n DESC, doc_id)
+"""
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_host_rules": OP6_SQL, "op7_embeddings": OP7_SQL, "op10_warc": OP10_SQL}
+    return {
+        "op6_host_rules": OP6_SQL, "op7_embeddings": OP7_SQL, "op10_warc": OP10_SQL, "op11_spelling": OP11_SQL, "op12_filters": OP12_SQL, "op13_exact_dedup": OP13_SQL,
+    }
