@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from .taxonomy import CANONICAL_RANKS, FILTERED, ROOT, UNCLASSIFIED, closure, described
+from .taxonomy import CANONICAL_RANKS, FILTERED, ROOT, UNCLASSIFIED, child_code, child_places, closure, described
 
 #: Names of ids that are not in a taxonomy.
 SPECIAL_NAMES = {UNCLASSIFIED: "unclassified", FILTERED: "Filtered classified"}
@@ -86,7 +86,7 @@ def alphabetical_keys(table: DataFrame, ranks: tuple[str, ...] = CANONICAL_RANKS
 
 
 def depth_first(table: DataFrame, taxa: DataFrame, weight: str | None = None, largest: bool = False) -> DataFrame:
-    """table with dfs_key, an array to sort by: the tree's order with heavier clades first, ties by id.
+    """table with dfs_key, a code to sort by: the tree's order with heavier clades first, ties by id; dfs_places() has its numbers.
 
     A clade weighs the sum of its rows' weights (1 each without weight), or with largest, as in clade tables, the largest one.
     """
@@ -97,11 +97,17 @@ def depth_first(table: DataFrame, taxa: DataFrame, weight: str | None = None, la
     clades = links.join(own, "t_id").groupBy(F.col("ancestor_id").alias("node")).agg(total.alias("clade_weight"))
     clades = clades.join(taxa.select(F.col("t_id").alias("node"), F.when(F.size("path") > 1, F.col("parent_id")).alias("parent")), "node")
     order = Window.partitionBy("parent").orderBy(F.desc("clade_weight"), "node")
-    ranked = clades.select("node", F.row_number().over(order).alias("place"))
+    ranked = clades.select("node", child_code(F.row_number().over(order) - 1).alias("at"))
     # As long as the tree is deep.
-    path = F.transform(F.array_sort(F.collect_list(F.struct("ancestor_depth", "place"))), lambda x: x["place"])
-    keys = links.join(ranked, F.col("ancestor_id") == F.col("node")).groupBy("t_id").agg(path.alias("_path"))
+    code = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ancestor_depth", "at"))), lambda x: x["at"]), "")
+    keys = links.join(ranked, F.col("ancestor_id") == F.col("node")).groupBy("t_id").agg(code.alias("_code"))
     first = _special_first()
     # Unknown ids come last.
-    key = F.when(first < 3, F.array(first)).when(F.col("_path").isNotNull(), F.concat(F.array(F.lit(3)), "_path")).otherwise(F.array(F.lit(4)))
-    return table.join(keys, "t_id", "left").withColumn("dfs_key", key).drop("_path")
+    place = F.when(first < 3, first).when(F.col("_code").isNotNull(), F.lit(3)).otherwise(F.lit(4))
+    key = F.concat(child_code(place), F.when(place == 3, F.col("_code")).otherwise(F.lit("")))
+    return table.join(keys, "t_id", "left").withColumn("dfs_key", key).drop("_code")
+
+
+def dfs_places(key: Column) -> Column:
+    """0, 1 and 2 for ids that come first, 4 for unknown ones, or 3 and the places from the root down, counted from 1."""
+    return F.transform(child_places(key), lambda x, i: F.when(i == 0, x).otherwise(x + 1))

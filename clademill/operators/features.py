@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.stats import correlation_p, distribution, distributions, pearson, ratio
 from ..shared import saved
 from .rollup import clade_sums
-from .taxonomy import FILTERED, ROOT, UNCLASSIFIED, common_depth, is_within
+from .taxonomy import FILTERED, ROOT, UNCLASSIFIED, code_depth, coded, common_code
 
 COUNTS = ("total", "classified", "unclassified", "clade", "exclade", "lineage", "root", "misclassified")
 #: Numerator and denominator of each ratio.
@@ -36,15 +36,17 @@ def ratio_names(prefix: str) -> list[str]:
 
 def labelled_hits(pairs: DataFrame, taxa: DataFrame) -> DataFrame:
     """pairs (t_id, kmer_tax_id, ...) with in_clade, in_lineage, hit_depth, distance, relative_lca_depth and relative_depth."""
-    side = lambda x, p: taxa.select(F.col("t_id").alias(x), F.col("path").alias(p))
+    taxa = coded(taxa)
+    side = lambda x, p: taxa.select(F.col("t_id").alias(x), F.col("code").alias(p))
     p, q = F.col("_own"), F.col("_hit")
-    depth, hit_depth = F.size(p) - 1, F.size(q) - 1
-    both = pairs.join(side("t_id", "_own"), "t_id", "left").join(side("kmer_tax_id", "_hit"), "kmer_tax_id", "left").withColumn("_lca", common_depth(p, q))
+    depth, hit_depth = code_depth(p), code_depth(q)
+    both = pairs.join(side("t_id", "_own"), "t_id", "left").join(side("kmer_tax_id", "_hit"), "kmer_tax_id", "left").withColumn("_lca", code_depth(common_code(p, q)))
     below_root = F.when(depth > 1, (depth - 1).cast("double"))
+    within = lambda a, b: F.coalesce(F.startswith(a, b), F.lit(False))
     return both.select(
         *pairs.columns,
-        is_within(q, F.col("t_id"), depth).alias("in_clade"),
-        is_within(p, F.col("kmer_tax_id"), hit_depth).alias("in_lineage"),
+        within(q, p).alias("in_clade"),
+        within(p, q).alias("in_lineage"),
         F.when(q.isNotNull(), hit_depth).alias("hit_depth"),
         (depth + hit_depth - 2 * F.col("_lca")).alias("distance"),
         (F.col("_lca") / below_root).alias("relative_lca_depth"),
@@ -81,7 +83,8 @@ def kmer_hits(kmers: DataFrame, taxa: DataFrame, scope: str = "global") -> DataF
     pooled = kmers.groupBy(*keys, "kmer_tax_id").agg(F.sum("kmer_count").alias("kmer_count"))
     if scope == "global":
         hits = labelled_hits(pooled, taxa)
-    else:  # paths are compared once for each pair, not for each sample
+    else:  # codes are compared once for each pair, not for each sample; hits are pooled once for both sides of the join
+        pooled = saved(pooled, "pooled")
         labels = labelled_hits(pooled.select("t_id", "kmer_tax_id").distinct(), taxa)
         labels = labels.withColumnsRenamed({"t_id": "_t", "kmer_tax_id": "_k"})
         hits = pooled.join(labels, (F.col("t_id") == F.col("_t")) & F.col("kmer_tax_id").eqNullSafe(F.col("_k"))).drop("_t", "_k")

@@ -26,7 +26,7 @@ def pooled(reads: DataFrame) -> DataFrame:
 def within(taxa: DataFrame, top: int) -> DataFrame:
     """The clade of a node as a taxonomy of its own: paths start at the node."""
     from_top = lambda c: F.slice(c, F.array_position("path", top).cast("int"), F.size("path"))
-    return taxa.filter(F.array_contains("path", top)).select(*[c for c in taxa.columns if c not in ("path", "ranks", "depth")], (F.size(from_top("path")) - 1).alias("depth"), from_top("path").alias("path"), from_top("ranks").alias("ranks"))
+    return taxa.filter(F.array_contains("path", top)).select(*[c for c in taxa.columns if c not in ("path", "ranks", "depth", "entry", "exit", "code")], (F.size(from_top("path")) - 1).alias("depth"), from_top("path").alias("path"), from_top("ranks").alias("ranks"))
 
 
 def clade_sums(reads: DataFrame, taxa: DataFrame) -> DataFrame:

@@ -3,6 +3,9 @@
 With paths, containment is one array lookup (the ancestor of a node at depth d is element d of its path), a common
 ancestor is a common prefix, and a roll-up is an explode of the path before an ordinary aggregation. No operator here walks the tree node by node.
 
+prepared() adds to each node its nested-set interval, for filters that reach a scan, and its code: one character for each node of the path, which says the how-manieth child
+it is. Codes are short strings where paths are arrays of ids, a clade is a prefix, the common ancestor is the common prefix, and their order in bytes is the tree's preorder.
+
 Cases: a node whose parent is itself or null is a root; a node whose parent is not in the table starts a path of its own; ids that
 are not in the table match nothing; repeated node rows count once; a cycle of parents is an error; an empty table has no paths.
 """
@@ -56,21 +59,90 @@ def closure(taxa: DataFrame) -> DataFrame:
     return taxa.select("t_id", F.posexplode(F.arrays_zip("path", "ranks")).alias("ancestor_depth", "a")).select("t_id", F.col("a.path").alias("ancestor_id"), "ancestor_depth", F.col("a.ranks").alias("ancestor_rank"))
 
 
+#: Children of a node that one character counts; each further ESCAPE before it adds as many. Surrogates are no characters.
+_CHILDREN, _FIRST_SURROGATE, _SURROGATES = 1_000_000, 0xD800, 0x800
+ESCAPE = chr(0x10FFFF)
+
+
+def child_code(place: Column) -> Column:
+    """The characters of a node that is its parent's child number place, from 0; in the order of places."""
+    n = F.pmod(place, F.lit(_CHILDREN)) + 1
+    point = F.when(n < _FIRST_SURROGATE, n).otherwise(n + _SURROGATES)
+    return F.concat(F.repeat(F.lit(ESCAPE), F.floor(place / _CHILDREN).cast("int")), F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32"))
+
+
+def child_places(code: Column) -> Column:
+    """The places that a code was made of."""
+    n = lambda c: F.ascii(F.right(c, F.lit(1))).cast("long")
+    place = lambda c: (F.length(c) - 1) * _CHILDREN + F.when(n(c) < _FIRST_SURROGATE, n(c)).otherwise(n(c) - _SURROGATES) - 1
+    return F.transform(F.regexp_extract_all(code, F.lit(f"{ESCAPE}*[^{ESCAPE}]"), F.lit(0)), place)
+
+
+def code_depth(code: Column) -> Column:
+    """Depth of the node with this code, 0 for a root; -1 for an empty one."""
+    return F.length(F.translate(code, ESCAPE, "")) - 1
+
+
+def common_code(a: Column, b: Column) -> Column:
+    """Code of the lowest common ancestor; empty for nodes of different trees, null if either is unknown."""
+    same = F.regexp_extract(F.concat(a, F.lit("\0"), b), "^([^\0]*)[^\0]*\0\\1", 1)
+    return F.regexp_replace(same, f"{ESCAPE}+$", "")  # half a node
+
+
+def _siblings(taxa: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(t_id, n, place, step): sizes of clades, places among siblings, one and the sizes of the siblings before; and the closure."""
+    links = closure(taxa)
+    sizes = links.groupBy(F.col("ancestor_id").alias("t_id")).agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("parent_id").orderBy("t_id")
+    top = F.size("path") == 1
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = taxa.withColumn("parent_id", F.when(~top, F.col("parent_id"))).join(sizes, "t_id")
+    return own.select("t_id", "n", (F.row_number().over(order) - 1).alias("place"), (before + F.when(top, 0).otherwise(1)).alias("step")), links
+
+
 def nested_sets(taxa: DataFrame) -> DataFrame:
     """(t_id, depth, rank, entry, exit): preorder places; a clade is the half-open interval [entry, exit).
 
     A node's entry is the sum along its path of one and of the sizes of the siblings before it, so no task sorts the whole tree.
     """
-    links = closure(taxa)
-    sizes = links.groupBy(F.col("ancestor_id").alias("t_id")).agg(F.count(F.lit(1)).alias("n"))
-    siblings = Window.partitionBy("parent_id").orderBy("t_id").rowsBetween(Window.unboundedPreceding, -1)
-    top = F.size("path") == 1
-    parents = F.when(~top, F.col("parent_id"))
-    before = taxa.withColumn("parent_id", parents).join(sizes, "t_id").select("t_id", "n", (F.coalesce(F.sum("n").over(siblings), F.lit(0)) + F.when(top, 0).otherwise(1)).alias("step"))
+    before, links = _siblings(taxa)
     entry = links.join(before.select(F.col("t_id").alias("ancestor_id"), "step"), "ancestor_id").groupBy("t_id").agg(F.sum("step").alias("entry"))
     return taxa.select("t_id", "depth", "rank").join(entry, "t_id").join(before.select("t_id", "n"), "t_id").select("t_id", "depth", "rank", "entry", (F.col("entry") + F.col("n")).alias("exit"))
 
 
+def with_codes(taxa: DataFrame) -> DataFrame:
+    """taxa (with paths) with entry, exit (see nested_sets()) and code, in one pass over the closure."""
+    before, links = _siblings(taxa)
+    before = saved(before, "siblings")
+    steps = before.select(F.col("t_id").alias("ancestor_id"), "step", child_code(F.col("place")).alias("at"))
+    # As long as the tree is deep.
+    code = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ancestor_depth", "at"))), lambda x: x["at"]), "")
+    made = links.join(steps, "ancestor_id").groupBy("t_id").agg(F.sum("step").alias("entry"), code.alias("code"))
+    return taxa.join(made, "t_id").join(before.select("t_id", "n"), "t_id").withColumn("exit", F.col("entry") + F.col("n")).drop("n")
+
+
+def prepared(nodes: DataFrame) -> DataFrame:
+    """Paths, intervals and codes of nodes (t_id, parent_id, rank, name)."""
+    return with_codes(saved(with_paths(nodes), "paths"))
+
+
+def coded(taxa: DataFrame) -> DataFrame:
+    """taxa itself if it is prepared."""
+    return taxa if "code" in taxa.columns else with_codes(taxa)
+
+
+def signature(taxa: DataFrame) -> str:
+    """Names the intervals of a prepared taxonomy, so that tables which hold entries are used with no other."""
+    r = taxa.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.bit_xor(F.xxhash64("t_id", "entry", "exit")), F.lit(0)).alias("h")).first()
+    return f"{r['n']}-{r['h'] & (2**64 - 1):016x}"
+
+
+def clade_ranges(taxa: DataFrame, wanted: list[int]) -> list[tuple[int, int, int]]:
+    """(id, entry, exit) of the wanted ids that a prepared taxonomy has; wanted is a list that a user writes."""
+    ids = [int(x) for x in dict.fromkeys(wanted)]
+    return sorted((r["t_id"], r["entry"], r["exit"]) for r in taxa.filter(F.col("t_id").isin(*ids)).select("t_id", "entry", "exit").collect()) if ids else []
+
+
 def is_within(path: Column, ancestor: Column, ancestor_depth: Column) -> Column:
     """Whether the node with this path is the ancestor or lies below it; false if either is unknown."""
     return F.coalesce(F.get(path, ancestor_depth) == ancestor, F.lit(False))
@@ -82,12 +154,17 @@ def common_depth(path_a: Column, path_b: Column) -> Column:
 
 
 def lowest_common(pairs: DataFrame, taxa: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """pairs with lca_id, lca_depth and distance (steps up and down between the two nodes)."""
-    side = lambda x, p: taxa.select(F.col("t_id").alias(x), F.col("path").alias(p))
-    both = pairs.join(side(a, "_path_a"), a, "left").join(side(b, "_path_b"), b, "left")
-    d = common_depth(F.col("_path_a"), F.col("_path_b"))
-    both = both.withColumn("lca_depth", d).withColumn("lca_id", F.get("_path_a", F.col("lca_depth")))
-    return both.withColumn("distance", F.size("_path_a") + F.size("_path_b") - 2 - 2 * F.col("lca_depth")).select(*pairs.columns, "lca_id", "lca_depth", "distance")
+    """pairs with lca_id, lca_depth and distance (steps up and down between the two nodes).
+
+    Codes go with the pairs, not paths; the common code is looked up among the taxa, so only nodes that are a common ancestor are read twice.
+    """
+    taxa = coded(taxa)
+    side = lambda x, p: taxa.select(F.col("t_id").alias(x), F.col("code").alias(p))
+    both = pairs.join(side(a, "_code_a"), a, "left").join(side(b, "_code_b"), b, "left").withColumn("_lca", common_code(F.col("_code_a"), F.col("_code_b")))
+    lca = taxa.select(F.col("code").alias("_lca"), F.col("t_id").alias("lca_id"))
+    d = code_depth(F.col("_lca"))
+    steps = code_depth(F.col("_code_a")) + code_depth(F.col("_code_b")) - 2 * d
+    return both.join(lca, "_lca", "left").select(*pairs.columns, "lca_id", d.alias("lca_depth"), steps.alias("distance"))
 
 
 def clade_members(taxa: DataFrame, wanted: list[int]) -> DataFrame:

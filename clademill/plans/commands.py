@@ -12,23 +12,32 @@ from pyspark.sql import functions as F
 from ..operators import annotate as notes
 from ..operators import extract, features, kmers, rollup, tables
 from ..functions.scalar import name_in_period
-from ..operators.taxonomy import FILTERED, UNCLASSIFIED, canonical_ranks, with_paths
+from ..operators.taxonomy import FILTERED, UNCLASSIFIED, canonical_ranks, prepared, signature
 from ..shared import saved
-from ..sources import provenance, reads, reports
+from ..sources import provenance, reads, reports, single
 from ..sources.tables import read_ids, read_inspect, read_table, read_taxonomy, write_table
 
 
 def load_taxonomy(spark: SparkSession, path: str) -> DataFrame:
-    """Nodes with paths: a folder of dump files is prepared once into <folder>/paths.parquet, which is read after that."""
-    ready = f"{path.rstrip('/')}/paths.parquet"
-    if not provenance.exists(spark, ready):
-        with_paths(read_taxonomy(spark, path)).write.parquet(ready)
+    """Nodes with paths, intervals and codes: a folder of dump files is prepared once into <folder>/prepared.parquet, which is read after that."""
+    ready = f"{path.rstrip('/')}/prepared.parquet"
+    if not provenance.exists(spark, f"{ready}/_SUCCESS"):
+        prepared(read_taxonomy(spark, path)).write.mode("overwrite").parquet(ready)
     return spark.read.parquet(ready)
 
 
-def _finish(spark: SparkSession, df: DataFrame, path: str, file_type: str, source: str, overwrite: bool, sorting: str = "", **more: str) -> str:
-    write_table(df, path, overwrite, quoted=file_type.endswith("FEATURE_TABLE"))
-    provenance.write_provenance(spark, path, file_type, source, sorting, **more)
+def _finish(spark: SparkSession, df: DataFrame, path: str, file_type: str, source: str, overwrite: bool, sorting: str = "", single: bool = False, **more: str) -> str:
+    """The table and its facts are written aside and published together, so that a job that fails leaves what was there."""
+    staged = provenance.staging(path)
+    try:
+        write_table(df, staged, quoted=file_type.endswith("FEATURE_TABLE"), single=single)
+        provenance.write_provenance(spark, staged, file_type, source, sorting, **more)
+        if not overwrite:
+            provenance.free(spark, path, False)
+        provenance.publish(spark, staged, path)
+    except BaseException:
+        provenance.discard(spark, staged)
+        raise
     return path
 
 
@@ -38,10 +47,14 @@ def collect_reports(spark: SparkSession, folder: str, output: str, pattern: str
     return _finish(spark, reports.sorted_reports(rows), output, "REPORT_PARQUET", folder, overwrite, "year, week, sample_id, t_id" if dated else "sample_id, t_id", standard="DATED" if dated else "GENERIC", report_format=kind)
 
 
-def collect_classifications(spark: SparkSession, classified: str, output: str, first: str | None = None, second: str | None = None, overwrite: bool = False) -> str:
+def collect_classifications(spark: SparkSession, classified: str, output: str, first: str | None = None, second: str | None = None, overwrite: bool = False, taxonomy: str | None = None) -> str:
+    """With a taxonomy, reads are stored by their places in it, and extract_reads() with the same one reads little but the wanted clades."""
     provenance.free(spark, output, overwrite)
-    rows = reads.with_sequences(spark, classified, first, second)
-    return _finish(spark, reads.clustered(rows), output, "KRAKEN_PARQUET", classified, overwrite, "t_id", has_fastq=str(first is not None))
+    rows, more = reads.with_sequences(spark, classified, first, second), {}
+    if taxonomy:
+        taxa = load_taxonomy(spark, taxonomy)
+        rows, more = reads.placed(rows, taxa), {"taxonomy": signature(taxa)}
+    return _finish(spark, reads.clustered(rows), output, "KRAKEN_PARQUET", classified, overwrite, "entry" if taxonomy else "t_id", has_fastq=str(first is not None), **more)
 
 
 def collect_kmers(spark: SparkSession, classified: str, output: str, taxonomy: str, overwrite: bool = False) -> tuple[str, str]:
@@ -76,9 +89,9 @@ def collect_chunks(spark: SparkSession, pattern: str, output: str, overwrite: bo
 
 def make_table(
     spark: SparkSession, report: str, output: str, taxonomy: str, mode: str = "clade", min_reads: int = 50, min_observed: int = 25, clade: int | None = None, exclude: str | None = None,
-    keep_unclassified: bool = False, keep_filtered: bool = False, mass_balance: bool = False, as_proportions: bool = False, dry_run: bool = False, overwrite: bool = False,
+    keep_unclassified: bool = False, keep_filtered: bool = False, mass_balance: bool = False, as_proportions: bool = False, dry_run: bool = False, overwrite: bool = False, single: bool = False,
 ) -> dict:
-    """An abundance table with a column a sample (a column a week for dated samples), and its audit."""
+    """An abundance table with a column a sample (a column a week for dated samples), and its audit, which is observed while the table is made. single: CSV and TSV are one file."""
     if not dry_run:
         provenance.free(spark, output, overwrite)
     facts = provenance.checked(spark, report, "REPORT_PARQUET", ("sample_id", "t_id", "taxon_reads"))
@@ -86,22 +99,23 @@ def make_table(
     rows, taxa = spark.read.parquet(report), load_taxonomy(spark, taxonomy)
     out = tuple(read_ids(spark, exclude)) if exclude else ()
     chosen = tables.selected_reads(rows, out, facts["data_standard"] == "DATED")
-    cells = saved(tables.abundance_table(chosen, taxa, mode, min_reads, min_observed, clade, keep_unclassified, keep_filtered, as_proportions=False, ranks=canonical_ranks(taxa)), "cells")
+    base, cells, watch = tables.watched_table(chosen, taxa, mode, keep_unclassified, clade, min_reads=min_reads, min_observed=min_observed, keep_filtered=keep_filtered, ranks=canonical_ranks(taxa))
     if mode == "canonical":
-        base = chosen if keep_unclassified else chosen.filter(F.col("t_id") != UNCLASSIFIED)
+        kept = base if keep_unclassified else base.filter(F.col("t_id") != UNCLASSIFIED)
         scope = taxa if clade is None else taxa.filter(F.array_contains("path", clade))
-        known = base.join(scope.select("t_id"), "t_id", "left_semi")
+        known = kept.join(scope.select("t_id"), "t_id", "left_semi")
         held = cells.filter(~F.col("t_id").isin(UNCLASSIFIED, FILTERED))
         if rollup.mass_balance(known, held).limit(1).count():
             raise RuntimeError("the canonical table does not hold all reads")
-    audit = tables.audit(chosen, cells, taxa, mode) | {"absent": tables.absent_samples(rows, out), "many_needed": min_observed * 2 > chosen.select("sample_id").distinct().count()}
+    audit = tables.audit(base, cells, watch, mode) | {"absent": tables.absent_samples(rows, out)}
+    audit |= {"many_needed": min_observed * 2 > audit["samples"]}
     if not dry_run:
-        values = tables.proportions(cells, mode) if as_proportions else cells
-        _finish(spark, tables.wide(values).orderBy("t_id"), output, "RAW_TABLE", report, overwrite, "t_id", standard=facts["data_standard"], mode=mode)
+        values = tables.proportions(cells, mode) if as_proportions else cells.drop("own")
+        _finish(spark, tables.wide(values).orderBy("t_id"), output, "RAW_TABLE", report, overwrite, "t_id", single, standard=facts["data_standard"], mode=mode)
     return audit
 
 
-def make_features(spark: SparkSession, kind: str, source: str, output: str, taxonomy: str | None = None, inspect: str | None = None, exclude: str | None = None, min_reads: int = 50, long_output: str | None = None, overwrite: bool = False) -> str:
+def make_features(spark: SparkSession, kind: str, source: str, output: str, taxonomy: str | None = None, inspect: str | None = None, exclude: str | None = None, min_reads: int = 50, long_output: str | None = None, overwrite: bool = False, single: bool = False) -> str:
     """kind: kmer-global, kmer-sample, kmer-stability, read-lengths-global, read-lengths-sample, abundance or minimizers."""
     provenance.free(spark, output, overwrite)
     taxa = load_taxonomy(spark, taxonomy) if taxonomy else None
@@ -129,10 +143,11 @@ def make_features(spark: SparkSession, kind: str, source: str, output: str, taxo
         out = features.minimizer_correlations(rows)
     else:
         raise ValueError(f"no features of the kind {kind}")
-    return _finish(spark, out.orderBy(*keys), output, file_type, source, overwrite, ", ".join(keys))
+    return _finish(spark, out.orderBy(*keys), output, file_type, source, overwrite, ", ".join(keys), single)
 
 
-def annotate(spark: SparkSession, source: str, output: str, taxonomy: str, metadata: tuple[str, ...] = (), order: str = "alphabetical", add_stats: bool = False, overwrite: bool = False) -> str:
+def annotate(spark: SparkSession, source: str, output: str, taxonomy: str, metadata: tuple[str, ...] = (), order: str = "alphabetical", add_stats: bool = False, overwrite: bool = False, single: bool = False) -> str:
+    """A table with names, lineages and metadata, in the order of names or of the tree. single: CSV and TSV are one file."""
     if order not in ("alphabetical", "dfs"):
         raise ValueError("order is alphabetical or dfs")
     provenance.free(spark, output, overwrite)
@@ -146,16 +161,18 @@ def annotate(spark: SparkSession, source: str, output: str, taxonomy: str, metad
         table = table.orderBy(*notes.alphabetical_keys(table, ranks))
     else:
         table = notes.depth_first(table, taxa, "sig_avg" if add_stats else None, facts.get("mode") == "clade").orderBy("dfs_key", "t_id").drop("dfs_key")
-    return _finish(spark, table, output, "ANNOTATED_TABLE", source, overwrite, order, **found)
+    return _finish(spark, table, output, "ANNOTATED_TABLE", source, overwrite, order, single, **found)
 
 
 def extract_reads(
     spark: SparkSession, source: str, output: str, taxonomy: str, wanted: list[int], mode: str = "clade", combined: bool = False,
-    from_year: int | None = None, from_week: int | None = None, to_year: int | None = None, to_week: int | None = None, overwrite: bool = False,
+    from_year: int | None = None, from_week: int | None = None, to_year: int | None = None, to_week: int | None = None, overwrite: bool = False, files: bool = False,
 ) -> str:
     """Reads of wanted taxa, a folder set=<name> each, as gzipped FASTQ (mates apart) or lists of ids; a set without reads gets an empty file.
 
-    source is a table of reads, or a folder of such tables; tables named for a week outside the period are not read.
+    With files, each set is one file instead, <name>_R1.fastq.gz, <name>_R2.fastq.gz or <name>.txt. Reads come by sample, in the order of the classified file where the table
+    has it, or else of their ids. source is a table of reads, or a folder of such tables; tables named for a week outside the period are not read, and of
+    tables stored with the same taxonomy only the wanted clades.
     """
     provenance.free(spark, output, overwrite)
     taxa = load_taxonomy(spark, taxonomy)
@@ -167,28 +184,37 @@ def extract_reads(
     name = extract.set_name(mode, combined, span)
     wanted = [int(x) for x in dict.fromkeys(wanted)]
     targets = spark.createDataFrame([(x,) for x in wanted], "target long").join(taxa.select(F.col("t_id").alias("target"), "name"), "target", "left")
-    out, sets = None, None
-    for with_mates in sorted({f.get("has_fastq") == "True" for f in facts}):
-        rows = spark.read.parquet(*[p for p, f in zip(paths, facts, strict=True) if (f.get("has_fastq") == "True") == with_mates])
+    own, parts, sets = signature(taxa) if any("taxonomy" in f for f in facts) else None, [], []
+    kinds = [(f.get("has_fastq") == "True", own is not None and f.get("taxonomy") == own) for f in facts]
+    for with_mates, by_place in sorted(set(kinds)):
+        rows = spark.read.parquet(*[p for p, kind in zip(paths, kinds, strict=True) if kind == (with_mates, by_place)])
         samples = rows.select("sample_id").distinct()
-        rows = extract.wanted_reads(rows, taxa, wanted, mode, **between).join(targets, "target")
+        rows = extract.wanted_reads(rows, taxa, wanted, mode, by_place, **between).join(targets, "target")
         each = [F.concat(name, F.lit(f"_{m}")) for m in ("R1", "R2")] if with_mates else [name]
         # Few names: samples times the ids that the user lists.
         both = targets if combined or not wanted else samples.withColumn("target", F.explode(F.array(*[F.lit(x).cast("long") for x in wanted]))).join(targets, "target")
-        named = both.select(F.explode(F.array(*each)).alias("set"))
+        sets.append(both.select(F.explode(F.array(*each)).alias("set"), F.lit(".fastq.gz" if with_mates else ".txt").alias("ending")))
+        order = ["sample_id", (F.col("place") if "place" in rows.columns else F.lit(0)).cast("long").alias("place"), "read_id"]
         if with_mates:
-            parts = [rows.filter("r1_seq IS NOT NULL" if p == "r1" else "r1_seq IS NOT NULL AND r2_seq IS NOT NULL").select(x.alias("set"), extract.fastq_lines(F.col("read_id"), F.col(f"{p}_seq"), F.col(f"{p}_qual")).alias("value")) for p, x in zip(("r1", "r2"), each, strict=True)]
+            parts += [rows.filter("r1_seq IS NOT NULL" if p == "r1" else "r1_seq IS NOT NULL AND r2_seq IS NOT NULL").select(x.alias("set"), *order, extract.fastq_lines(F.col("read_id"), F.col(f"{p}_seq"), F.col(f"{p}_qual")).alias("value")) for p, x in zip(("r1", "r2"), each, strict=True)]
         else:
-            parts = [rows.select(name.alias("set"), F.col("read_id").alias("value"))]
-        for part in parts:
-            out = part if out is None else out.unionByName(part)
-        sets = named if sets is None else sets.unionByName(named)
-    if out is None:
-        out = spark.createDataFrame([], "set string, value string")
-    out.write.mode("overwrite" if overwrite else "errorifexists").partitionBy("set").option("compression", "gzip").text(output)
-    for r in sets.distinct().toLocalIterator() if sets is not None else ():
-        if not provenance.exists(spark, f"{output}/set={r['set']}"):
-            provenance.empty_text(spark, f"{output}/set={r['set']}/part-00000.txt.gz")
+            parts.append(rows.select(name.alias("set"), *order, F.col("read_id").alias("value")))
+    endings: dict[str, str] = {}
+    for s in sets:
+        endings |= {r["set"]: r["ending"] for r in s.distinct().toLocalIterator()}
+    staged = provenance.staging(output)
+    try:
+        extract.write_sets(spark, parts, staged)
+        if files:
+            single.named(spark, staged, f"{staged}.files", {f"set={n}": f"{n}{e}" for n, e in endings.items()})
+        else:
+            for n in endings:
+                if not provenance.exists(spark, f"{staged}/set={n}"):
+                    provenance.empty_text(spark, f"{staged}/set={n}/part-00000.txt.gz")
+        provenance.publish(spark, staged, output, f"{staged}.files" if files else staged)
+    except BaseException:
+        provenance.discard(spark, staged)
+        raise
     return output
 
 

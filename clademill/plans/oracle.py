@@ -267,6 +267,15 @@ co AS (
               THEN corr(mm_obs_cov, mm_exp_cov) FILTER (WHERE inside) END AS rf, PLAIN
   FROM fl GROUP BY t_id),
 """.replace("PLAIN", _plain("mm_obs_cov", "mm_obs_cov"))  # noqa: E501
+    # Own reads and taxa by rank: of clade sums before, of the table's cells after.
+    audit = lambda mode: _q(
+        "SELECT rank, coalesce(max(n) FILTER (WHERE k = 0), 0) AS taxa_before, coalesce(max(n) FILTER (WHERE k = 1), 0) AS taxa_after, coalesce(max(x) FILTER (WHERE k = 0), 0)::BIGINT AS reads_before, coalesce(max(x) FILTER (WHERE k = 1), 0)::BIGINT AS reads_after FROM ("
+        "SELECT k, CASE WHEN t_id = 0 THEN 'unclassified' ELSE coalesce(n.rank, 'unknown') END AS rank, count(DISTINCT t_id) AS n, sum(x) AS x FROM ("
+        "SELECT 0 AS k, t_id, taxon_reads AS x FROM clades UNION ALL "
+        + {"taxon": "SELECT 1, t_id, taxon_reads FROM pushed WHERE taxon_reads > 0 OR t_id = 0", "clade": "SELECT 1, t_id, taxon_reads FROM pushed", "canonical": "SELECT 1, t_id, value FROM canonical UNION ALL SELECT 1, t_id, taxon_reads FROM counts WHERE t_id = 0"}[mode]
+        + ") LEFT JOIN nodes n USING (t_id) GROUP BY ALL) GROUP BY rank",
+        _clades("counts"), "classified AS (SELECT * FROM counts WHERE t_id <> 0)," + _canonical("classified") if mode == "canonical" else _pushed("counts"),
+    )
     keep = lambda col, mode: _q("FROM full_cells", _PART, _pushed("part", CLADE, "clo_c"), _ALL, f"cells AS ({cells(col)}),", _filtered_row("cells", mode))
     return {
         "taxonomy_paths": _q("SELECT n.t_id, parent_id, rank, name, depth, path FROM nodes n JOIN dep USING (t_id) JOIN (SELECT t_id, string_agg(anc::VARCHAR, '/' ORDER BY d) AS path FROM clo GROUP BY 1) USING (t_id)"),
@@ -334,6 +343,14 @@ co AS (
         "reads_in_period": _q(f"SELECT read_id, anc AS target FROM reads JOIN clo USING (t_id) WHERE anc = {CLADE} AND year >= 1996 AND (year, week) <= (1997, 20)"),
         "classified_files_read": _q("SELECT read_id::VARCHAR AS read_id, status, t_id, r1_len, r2_len, r1_len + r2_len AS total_len FROM reads"),
         "fastq_matched": _q("SELECT read_id, t_id, repeat('A', (read_id % 7 + 1)::INT) AS r1_seq, repeat('C', (read_id % 7 + 1)::INT) AS r2_seq, repeat('@', (read_id % 7 + 1)::INT) AS r1_qual FROM reads"),
+        "fastq_repeated": _q(
+            "SELECT a.id AS read_id, a.t_id, a.lengths, repeat('A', (b.k % 7 + 1)::INT) AS r1_seq, CASE WHEN a.id % 4 <> 0 THEN repeat('C', (b.k % 7 + 1)::INT) END AS r2_seq FROM "
+            "(SELECT read_id AS k, read_id // 3 AS id, t_id, r1_len || '|' || r2_len AS lengths, row_number() OVER (PARTITION BY read_id // 3 ORDER BY read_id) AS n FROM reads) a LEFT JOIN "
+            "(SELECT read_id AS k, read_id // 3 AS id, row_number() OVER (PARTITION BY read_id // 3 ORDER BY read_id) AS n FROM reads WHERE read_id % 5 <> 0) b ON a.id = b.id AND a.n = b.n"
+        ),
+        "named_files": _q(f"SELECT sample_id || '_clade_' || anc || '_' || regexp_replace({name}, '[^A-Za-z0-9_.-]+', '_', 'g') AS set_name, row_number() OVER (PARTITION BY sample_id, anc ORDER BY read_id) - 1 AS line, read_id FROM reads JOIN clo USING (t_id) JOIN nodes n ON n.t_id = anc WHERE anc IN ({CLADE}, 1000)"),
+        "block_gzip_read": _q("SELECT read_id::VARCHAR AS read_id, status, t_id, r1_len, r2_len, r1_len + r2_len AS total_len FROM reads"),
+        **{f"audit_{mode}": audit(mode) for mode in ("taxon", "clade", "canonical")},
         "canonical_domain": _q("FROM canonical", _BARE, _canonical("classified")),
         "sort_domains": _q("SELECT w.t_id, CASE w.t_id WHEN 0 THEN 0 WHEN 100000000 THEN 1 WHEN 1 THEN 2 ELSE 3 END::INT AS first, lower(t_superkingdom) AS domain, lower(t_phylum) AS phylum, lower(t_species) AS species FROM wide w LEFT JOIN lin ON lin.t_id = w.t_id", _WIDE, _LINEAGE),
         "read_migration": _q(

@@ -9,6 +9,8 @@ from ..functions import scalar
 from ..functions.stats import STATISTICS
 from ..operators import annotate, extract, features, kmers, rollup, tables, taxonomy
 from ..shared import fresh_path, saved
+from ..sources import blocks, single
+from ..sources import lines as lines_of
 from ..sources import reads as read_files
 from ..sources import reports as report_files
 from ..streaming import kmers as streaming
@@ -227,17 +229,17 @@ def sort_dfs(spark, sf_dir):
     table = _dense(spark, sf_dir)
     table = table.select("t_id", annotate.row_mean(table.columns[1:]).alias("sig_avg"))
     rows = annotate.depth_first(table, w.taxa(spark, sf_dir), "sig_avg", largest=True)
-    return rows.orderBy("dfs_key").select("t_id", F.array_join(F.col("dfs_key").cast("array<string>"), "/").alias("dfs_key"))
+    return rows.orderBy("dfs_key").select("t_id", F.array_join(annotate.dfs_places(F.col("dfs_key")).cast("array<string>"), "/").alias("dfs_key"))
 
 
 def sort_dfs_unweighted(spark, sf_dir):
     rows = annotate.depth_first(_dense(spark, sf_dir).select("t_id"), w.taxa(spark, sf_dir))
-    return rows.orderBy("dfs_key").select("t_id", F.array_join(F.col("dfs_key").cast("array<string>"), "/").alias("dfs_key"))
+    return rows.orderBy("dfs_key").select("t_id", F.array_join(annotate.dfs_places(F.col("dfs_key")).cast("array<string>"), "/").alias("dfs_key"))
 
 
 def reads_by_clade(spark, sf_dir):
     taxa = w.taxa(spark, sf_dir)
-    rows = extract.wanted_reads(w.bare_reads(spark, sf_dir), taxa, [CLADE, 100, 1000, 100_001])
+    rows = extract.wanted_reads(w.placed_reads(spark, sf_dir), taxa, [CLADE, 100, 1000, 100_001], by_place=True)
     rows = rows.join(taxa.select(F.col("t_id").alias("target"), "name"), "target")
     return rows.select("read_id", "target", extract.set_name("clade", False).alias("set_name"))
 
@@ -248,7 +250,7 @@ def temporal_filter(spark, sf_dir):
 
 
 def reads_in_period(spark, sf_dir):
-    rows = extract.wanted_reads(w.bare_reads(spark, sf_dir), w.taxa(spark, sf_dir), [CLADE], from_year=1996, to_year=1997, to_week=20)
+    rows = extract.wanted_reads(w.placed_reads(spark, sf_dir), w.taxa(spark, sf_dir), [CLADE], by_place=True, from_year=1996, to_year=1997, to_week=20)
     return rows.select("read_id", "target")
 
 
@@ -278,6 +280,55 @@ def fastq_matched(spark, sf_dir):
     return out.select(F.col("read_id").cast("long").alias("read_id"), "t_id", "r1_seq", "r2_seq", "r1_qual")
 
 
+def fastq_repeated(spark, sf_dir):
+    """Reads whose ids repeat, three in a row, beside FASTQ files that lack some of each id: a sequence goes to the first read of its id that is left."""
+    path = fresh_path(spark, "repeated")
+    rows = saved(w.bare_reads(spark, sf_dir).select(F.col("read_id").alias("k"), F.floor(F.col("read_id") / 3).cast("long").alias("id"), "t_id", "lengths", "status"), "repeated-rows")
+    place = lambda df: df.repartitionByRange(8, "k").sortWithinPartitions("k").select("value")
+    place(rows.select("k", F.concat_ws("\t", "status", F.col("id").cast("string"), F.col("t_id").cast("string"), "lengths").alias("value"))).write.text(f"{path}/classified")
+    for mate, letter, left_out in ((1, "A", 5), (2, "C", 4)):
+        seq = F.repeat(F.lit(letter), F.pmod(F.col("k"), F.lit(7)).cast("int") + 1)
+        record = extract.fastq_lines(F.concat(F.col("id").cast("string"), F.lit(f"/{mate}")), seq, seq)
+        # The second file has no more reads of an id than the first: it lacks the same ones, and whole ids.
+        some = (F.col("k") % 5 != 0) if mate == 1 else (F.col("k") % 5 != 0) & (F.col("id") % left_out != 0)
+        place(rows.filter(some).select("k", record.alias("value"))).write.text(f"{path}/r{mate}")
+    out = read_files.with_sequences(spark, f"{path}/classified", f"{path}/r1", f"{path}/r2")
+    return out.select(F.col("read_id").cast("long").alias("read_id"), "t_id", "lengths", "r1_seq", "r2_seq")
+
+
+def named_files(spark, sf_dir):
+    """Ids of the reads of some clades, by sample and clade, from named files."""
+    path, taxa = fresh_path(spark, "named"), w.taxa(spark, sf_dir)
+    rows = extract.wanted_reads(w.placed_reads(spark, sf_dir), taxa, [CLADE, 1000], by_place=True).join(taxa.select(F.col("t_id").alias("target"), "name"), "target")
+    part = rows.select(extract.set_name("clade", False).alias("set"), "sample_id", F.lit(0).cast("long").alias("place"), F.lpad(F.col("read_id").cast("string"), 20, "0").alias("read_id"), F.col("read_id").cast("string").alias("value"))
+    part = saved(part, "named-rows")
+    extract.write_sets(spark, [part], f"{path}/parts")
+    names = [r["set"] for r in part.select("set").distinct().toLocalIterator()]  # samples times two clades
+    single.named(spark, f"{path}/parts", f"{path}/files", {f"set={n}": f"{n}.txt" for n in names})
+    lines = lines_of.numbered(spark, f"{path}/files")
+    return lines.select(F.regexp_replace(F.element_at(F.split("file", "/"), -1), r"\.txt$", "").alias("set_name"), "line", F.col("value").cast("long").alias("read_id"))
+
+
+def block_gzip_read(spark, sf_dir):
+    """Reads written as block-gzipped classifier output and read back, each file in eight splits."""
+    path = fresh_path(spark, "blocks")
+    rows = w.bare_reads(spark, sf_dir)
+    lines = rows.select("read_id", F.concat_ws("\t", "status", F.col("read_id").cast("string"), F.col("t_id").cast("string"), "lengths").alias("value"))
+    rows.limit(0).select("status").write.text(path)  # the folder
+    blocks.write_blocks(lines.repartitionByRange(2, "read_id").sortWithinPartitions("read_id").select("value"), path)
+    size = max(1, max(blocks.lengths(spark, path), default=0) // 8)
+    return read_files.read_classified(spark, f"{path}/*.gz", size).select("read_id", "status", "t_id", "r1_len", "r2_len", "total_len")
+
+
+def _audit(mode: str):
+    def query(spark, sf_dir):
+        """Taxa and own reads by rank before and after, as observed while the table was made."""
+        _, _, watch = tables.watched_table(_counts(spark, sf_dir), w.taxa(spark, sf_dir), mode, True, min_reads=MIN_READS, min_observed=MIN_OBSERVED)
+        return spark.createDataFrame(watch.figures(), "rank string, taxa_before long, taxa_after long, reads_before long, reads_after long")
+
+    return query
+
+
 def _with_domains(spark, sf_dir) -> DataFrame:
     """The taxonomy with domains at its top."""
     named = lambda c: F.when(c == "superkingdom", F.lit("domain")).otherwise(c)
@@ -311,7 +362,7 @@ def queries() -> dict:
         taxonomy_paths, nested_sets, taxonomy_closure, clade_members, lca_distance, annotate_lineage, report_merge, report_files_read, period_counts,
         clade_sum, clade_pushup, mass_balance, rank_totals, wide_table, species_rollup, kmer_aggregate, kmer_stream, read_length_aggregate, kmer_stability,
         readlen_global, readlen_sample, chunk_union, abundance_stats, abundance_norm, minimizer_cov, minimizer_corr, annotate_join, sort_hierarchical, sort_dfs,
-        sort_dfs_unweighted, reads_by_clade, temporal_filter, reads_in_period, classified_files_read, fastq_matched,
+        sort_dfs_unweighted, reads_by_clade, temporal_filter, reads_in_period, classified_files_read, fastq_matched, fastq_repeated, named_files, block_gzip_read,
         canonical_domain, sort_domains, read_migration,
     )
     limits = {"min_reads": MIN_READS, "min_observed": MIN_OBSERVED}
@@ -327,5 +378,6 @@ def queries() -> dict:
         "canonical_bubbled": _table("canonical", **limits),
         "canonical_clade": _table("canonical", **limits, clade=CLADE, keep_filtered=True),
     }
+    made |= {f"audit_{mode}": _audit(mode) for mode in tables.MODES}
     made |= {f"kmer_{scope}_{part}": _kmer_features(scope, part) for scope in ("global", "sample") for part in ("counts", "ratios", "stats", "top")}
     return {f.__name__: f for f in names} | made

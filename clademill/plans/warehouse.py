@@ -9,10 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.taxonomy import with_paths
+from ..operators.taxonomy import prepared
 from ..shared import saved
+from ..sources.reads import clustered, placed
 
 _taxonomies: dict[tuple[str, str], DataFrame] = {}
+_ingests: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,10 +67,10 @@ def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def taxa(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nodes() with paths, written once a session."""
+    """nodes(), prepared and written once a session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _taxonomies:
-        _taxonomies[key] = saved(with_paths(nodes(spark, sf_dir)), "taxonomy")
+        _taxonomies[key] = saved(prepared(nodes(spark, sf_dir)), "taxonomy")
     return _taxonomies[key]
 
 
@@ -83,6 +85,14 @@ def bare_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def placed_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """bare_reads() as an ingest stores them, clustered by their places in the taxonomy; written once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _ingests:
+        _ingests[key] = saved(clustered(placed(bare_reads(spark, sf_dir), taxa(spark, sf_dir))), "ingest")
+    return _ingests[key]
+
+
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """bare_reads() with kmer_string."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", F.col("l_quantity").cast("long").alias("q"))

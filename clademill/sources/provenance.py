@@ -1,10 +1,15 @@
-"""What a table was made of and by: a small JSON file beside it, checked before the table is used."""
+"""What a table was made of and by: a small JSON file beside it, checked before the table is used.
+
+Table and facts are written aside and renamed together once both are whole, so a job that fails leaves what was there before. Only renames can be cut short;
+the next job that is to write to the path, or recover(), puts back what they had moved.
+"""
 
 from __future__ import annotations
 
 import gzip
 import json
 import sys
+import uuid
 from datetime import datetime, timezone
 
 from py4j.protocol import Py4JJavaError
@@ -79,8 +84,71 @@ def checked(spark: SparkSession, path: str, file_type: str, columns: tuple[str,
     return facts
 
 
+def _split(path: str) -> tuple[str, str]:
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return folder or ("/" if path.startswith("/") else "."), name
+
+
+def staging(path: str) -> str:
+    """A new place for path's table, of the same name, in a hidden folder beside it."""
+    folder, name = _split(path)
+    return f"{folder}/.staged-{uuid.uuid4().hex}/{name}"
+
+
+def _replaced(path: str) -> str:
+    folder, name = _split(path)
+    return f"{folder}/.replaced-{name}"
+
+
+def _moved(spark: SparkSession, source: str, target: str) -> None:
+    system, where = _file(spark, source)
+    if not system.rename(where, _file(spark, target)[1]):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
+def discard(spark: SparkSession, staged: str) -> None:
+    """Delete a staging place and what was written to it."""
+    system, where = _file(spark, _split(staged)[0])
+    system.delete(where, True)
+
+
+def publish(spark: SparkSession, staged: str, path: str, table: str | None = None) -> None:
+    """Move a table (at staged, unless table says another place in its folder) and its facts to path, in place of what is there.
+
+    The old ones go aside first; the new table comes last, so a table at path is whole and has its facts.
+    """
+    recover(spark, path)
+    aside = _replaced(path)
+    system, where = _file(spark, aside)
+    system.mkdirs(where)
+    for p in (path.rstrip("/"), companion(path)):
+        if exists(spark, p):
+            _moved(spark, p, f"{aside}/{_split(p)[1]}")
+    for new, p in ((companion(staged), companion(path)), (table or staged, path.rstrip("/"))):
+        if exists(spark, new):
+            _moved(spark, new, p)
+    system.delete(where, True)
+    discard(spark, staged)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """End a publish() that was cut short: if the new table isn't at its place, the old one and its facts go back."""
+    aside = _replaced(path)
+    if not exists(spark, aside):
+        return
+    system, where = _file(spark, aside)
+    if not exists(spark, path):
+        for p in (companion(path), path.rstrip("/")):
+            old = f"{aside}/{_split(p)[1]}"
+            if exists(spark, old):
+                system.delete(_file(spark, p)[1], True)
+                _moved(spark, old, p)
+    system.delete(where, True)
+
+
 def free(spark: SparkSession, path: str, overwrite: bool) -> None:
     """An error if something is at path already and may not be replaced, or if path, or its nearest folder that exists, may not be written to."""
+    recover(spark, path)
     system, where = _file(spark, path)
     there = system.exists(where)
     if there and not overwrite:

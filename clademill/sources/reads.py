@@ -1,7 +1,8 @@
 """Reads: one line of classifier output each, with or without their sequences.
 
 Cases: a line without a hit string has an empty one, one without a valid number of minimizer hits has 0; lengths that aren't numbers are 0; a record of FASTQ
-that is cut off is left out; sequences must come in the order of the classified reads, and repeated read ids can't be matched.
+that is cut off is left out; sequences must come in the order of the classified reads, and where read ids repeat, each sequence goes to the first read of its id
+after the sequence before.
 """
 
 from __future__ import annotations
@@ -10,7 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import is_dated, sample_name, sample_week, sample_year
-from .lines import ascending, field, numbered
+from ..shared import saved
+from .lines import field, numbered, raw_lines
+from .matching import matched_places
 
 
 def _parsed(lines: DataFrame, *more: str) -> DataFrame:
@@ -25,9 +28,9 @@ def _parsed(lines: DataFrame, *more: str) -> DataFrame:
     return rows.withColumns({"total_len": F.col("r1_len") + F.col("r2_len"), "year": F.when(dated, sample_year(F.col("sample_id"))), "week": F.when(dated, sample_week(F.col("sample_id")))})
 
 
-def read_classified(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def read_classified(spark: SparkSession, paths: str | list[str], size: int | None = None) -> DataFrame:
     """(sample_id, status, read_id, t_id, mhg, r1_len, r2_len, lengths, kmer_string, total_len, year, week); year and week are null unless the file is named for them."""
-    return _parsed(spark.read.text(paths).select(sample_name(F.col("_metadata.file_path")).alias("sample_id"), "value"))
+    return _parsed(raw_lines(spark, paths, size).select(sample_name(F.col("file")).alias("sample_id"), "value"))
 
 
 def _read_id(header: Column) -> Column:
@@ -43,9 +46,9 @@ def read_fastq(spark: SparkSession, paths: str | list[str], across: bool = False
 
 
 def with_sequences(spark: SparkSession, classified: str, first: str | None = None, second: str | None = None) -> DataFrame:
-    """Classified reads of one file, with r1_seq, r1_qual, r2_seq and r2_qual of its FASTQ files where they have the read. A file may be a folder of parts in order.
+    """Classified reads of one file, with place, r1_seq, r1_qual, r2_seq and r2_qual of its FASTQ files where they have the read. A file may be a folder of parts in order.
 
-    Both FASTQ files or none; their reads must all be classified ones, in the same order, and the second's must be in the first.
+    Both FASTQ files or none; their reads must all be classified ones, in the same order, and the second's must be in the first. Read ids may repeat.
     """
     if (first is None) != (second is None):
         raise ValueError("give both FASTQ files or none")
@@ -53,19 +56,31 @@ def with_sequences(spark: SparkSession, classified: str, first: str | None = Non
         return read_classified(spark, classified)
     lines = numbered(spark, classified, across=True).select(sample_name(F.col("file")).alias("sample_id"), "line", "value")
     reads = _parsed(lines, "line")
-    r1, r2 = (read_fastq(spark, p, across=True).select("record", "read_id", "seq", "qual") for p in (first, second))
-    for rows, what in ((reads, "classified reads"), (r1, "first FASTQ file"), (r2, "second FASTQ file")):
-        if rows.groupBy("read_id").count().filter("count > 1").limit(1).count():
-            raise ValueError(f"read ids repeat in the {what}")
-    places = reads.select("read_id", "line")
-    for rows, base, what in ((r1, places, "first"), (r2, places.join(r1.select("read_id"), "read_id", "left_semi"), "second")):
-        matched = rows.join(base, "read_id", "left").select("record", "line")
-        if matched.filter("line IS NULL").limit(1).count() or not ascending(matched, "record", "line"):
-            raise RuntimeError(f"the {what} FASTQ file is out of sync with the classified reads")
-    one, two = (rows.select("read_id", F.col("seq").alias(f"{p}_seq"), F.col("qual").alias(f"{p}_qual")) for rows, p in ((r1, "r1"), (r2, "r2")))
-    return reads.drop("line").join(one, "read_id", "left").join(two, "read_id", "left")
+    mates = [read_fastq(spark, p, across=True).select("record", "read_id", "seq", "qual") for p in (first, second)]
+    # Ids and places are matched alone. Sequences then meet their reads by id, or by line where ids repeat: each is shuffled once, or twice.
+    places, unique = reads.select(F.col("read_id").alias("id"), "line"), True
+    for rows, what, p in zip(mates, ("first", "second"), ("r1", "r2"), strict=True):
+        match, alone = matched_places(places, rows.select(F.col("read_id").alias("id"), "record"), f"reads of the {what} FASTQ file")
+        match, unique = saved(match, "matched"), unique and alone
+        own = rows.select("read_id", "record", F.col("seq").alias(f"{p}_seq"), F.col("qual").alias(f"{p}_qual"))
+        reads = reads.join(own.drop("record"), "read_id", "left") if unique else reads.join(own.drop("read_id").join(match, "record").drop("record"), "line", "left")
+        places = places.join(match.select("line"), "line", "left_semi")
+    return reads.withColumnRenamed("line", "place")
+
+
+#: A taxonomy of so many nodes is sent to the tasks that read reads, as two numbers a node.
+SENT_NODES = 4_000_000
+
+
+def placed(reads: DataFrame, taxa: DataFrame) -> DataFrame:
+    """reads with entry, the preorder place of their taxon (see operators.taxonomy.nested_sets()); null for taxa that a prepared taxonomy hasn't."""
+    places = taxa.select("t_id", "entry")
+    # Checked; a larger taxonomy is joined as Spark decides.
+    small = places.limit(SENT_NODES + 1).count() <= SENT_NODES
+    return reads.drop("entry").join(F.broadcast(places) if small else places, "t_id", "left").select(*[c for c in reads.columns if c != "entry"], "entry")
 
 
 def clustered(reads: DataFrame) -> DataFrame:
-    """Reads ordered by taxon, so that a reader of few taxa skips most row groups; a frequent taxon spans several files."""
-    return reads.repartitionByRange("t_id", "read_id").sortWithinPartitions("t_id")
+    """Reads ordered by place if they are placed(), or else by taxon, so that a reader of few clades, or taxa, skips most row groups; a frequent taxon spans several files."""
+    by = "entry" if "entry" in reads.columns else "t_id"
+    return reads.repartitionByRange(by, "read_id").sortWithinPartitions(by, "read_id")

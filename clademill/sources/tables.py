@@ -1,6 +1,6 @@
 """Tables in files: Parquet, CSV and TSV by extension, taxonomy dumps, id lists; all through Spark's readers and writers.
 
-What is written is a folder of part files under the given name, as Spark writes it.
+What is written is a folder of part files under the given name, as Spark writes it, or with single, for CSV and TSV, one file of that name.
 
 Cases: unknown extensions and missing columns are errors; lists become strings in CSV and TSV; an empty table is written with its columns.
 """
@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType
 
+from .single import write_single
+
 _TEXT = {".csv": ",", ".tsv": "\t"}
 
 
@@ -24,7 +26,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     if kind == ".parquet":
         return spark.read.parquet(path)
     if kind in _TEXT:
-        return spark.read.csv(path, sep=_TEXT[kind], header=True, inferSchema=True)
+        return spark.read.csv(path, sep=_TEXT[kind], header=True, inferSchema=True, escape='"')
     raise ValueError(f"can't tell the format of {path}: .parquet, .csv or .tsv")
 
 
@@ -46,25 +48,37 @@ def plain_lists(df: DataFrame) -> DataFrame:
     return df.withColumns(out) if out else df
 
 
-def _quoted(df: DataFrame, sep: str) -> DataFrame:
-    """Lines as one column, named by the header: text, and columns' names, in double quotes, so that only numbers are bare; line ends in text become blanks."""
-    quoted = lambda c: F.concat(F.lit('"'), F.regexp_replace(F.regexp_replace(c, r"\s*\n\s*", " "), '"', '""'), F.lit('"'))
-    cell = lambda f: quoted(F.col(f"`{f.name}`")) if isinstance(f.dataType, StringType) else F.col(f"`{f.name}`").cast("string")
-    header = sep.join('"' + c.replace('"', '""') + '"' for c in df.columns)
-    return df.select(F.concat_ws(sep, *[F.coalesce(cell(f), F.lit("")) for f in df.schema.fields]).alias(header))
+def _lines(df: DataFrame, sep: str, quoted: bool = True) -> tuple[DataFrame, str]:
+    """Lines as one column, and the header. quoted: text, and columns' names, are in double quotes, so that only numbers are bare; else only where they must be.
+
+    Line ends in text become blanks.
+    """
+    marks = lambda c: F.concat(F.lit('"'), F.regexp_replace(c, '"', '""'), F.lit('"'))
+
+    def text(c: Column) -> Column:
+        flat = F.regexp_replace(c, r"\s*\n\s*", " ")
+        return marks(flat) if quoted else F.when(flat.contains(sep) | flat.contains('"') | (flat == ""), marks(flat)).otherwise(flat)
+
+    cell = lambda f: text(F.col(f"`{f.name}`")) if isinstance(f.dataType, StringType) else F.col(f"`{f.name}`").cast("string")
+    name = lambda c: '"' + c.replace('"', '""') + '"' if quoted or sep in c or '"' in c else c
+    return df.select(F.concat_ws(sep, *[F.coalesce(cell(f), F.lit("")) for f in df.schema.fields]).alias("line")), sep.join(map(name, df.columns))
 
 
-def write_table(df: DataFrame, path: str, overwrite: bool = False, quoted: bool = False) -> None:
-    """quoted: in CSV and TSV, all that isn't a number is put in quotes."""
+def write_table(df: DataFrame, path: str, overwrite: bool = False, quoted: bool = False, single: bool = False) -> None:
+    """quoted: in CSV and TSV, all that isn't a number is put in quotes. single: CSV and TSV are one file, in the rows' order."""
     mode, kind = "overwrite" if overwrite else "errorifexists", extension(path)
     if kind == ".parquet":
         df.write.mode(mode).option("compression", "zstd").parquet(path)
     elif kind in _TEXT:
         rows = plain_lists(df)
-        if quoted:  # a separator that is in no line
-            _quoted(rows, _TEXT[kind]).write.mode(mode).csv(path, sep="\1", quote="\0", header=True)
+        if single:
+            lines, header = _lines(rows, _TEXT[kind], quoted)
+            write_single(lines, f"{path.rstrip('/')}.parts", path, f"{header}\n".encode(), "gzip" if path.endswith(".gz") else None)
+        elif quoted:  # a separator that is in no line
+            lines, header = _lines(rows, _TEXT[kind])
+            lines.toDF(header).write.mode(mode).csv(path, sep="\1", quote="\0", header=True)
         else:
-            rows.write.mode(mode).csv(path, sep=_TEXT[kind], header=True)
+            rows.write.mode(mode).csv(path, sep=_TEXT[kind], header=True, escape='"')
     else:
         raise ValueError(f"can't tell the format of {path}: .parquet, .csv or .tsv")
 
