@@ -5,7 +5,7 @@ unpivoted against the steps of every order. A running bit-or over a cell's steps
 whether a step removes it; sums by step, and windows over a filter's steps in all orders, give the figures.
 
 Cases: null texts are empty, a null part is the empty string; labels of an id that repeats count once, as 1 if any is 1; documents without labels are neither good nor
-toxic; a null id equals no smaller one's text and is smaller than none; rows that repeat an id are rows of their own, and none of them a copy of the other; very long
+toxic; a null id has no labels, equals no smaller one's text and is smaller than none; rows that repeat an id are rows of their own, and none of them a copy of the other; very long
 texts are measured whole; an empty table gives no rows; extra columns are not read.
 """
 
