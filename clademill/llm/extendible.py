@@ -95,7 +95,7 @@ def pages(entries: DataFrame, docs: DataFrame, text: Column, bits: int = BITS, c
     # At most SENT_KEYS keys; else every text is compared, and those of keys of their own fall out below.
     links = _compared(whole.join(F.broadcast(shared), "key", "left_semi") if few else whole)
     stays = F.min(F.struct((-F.col("n_chars")).alias("size"), F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
-    best = entries.join(shared, "key", "left_semi").groupBy("key", "sha").agg(stays.alias("best"))
+    best = entries.groupBy("key", "sha").agg(stays.alias("best")).join(shared, "key", "left_semi")
     records = best.join(links, ["key", "sha"]).withColumn("slot", _slot(depth, bits)).join(slots, "slot")
     owned = records.repartitionByRange("bucket", "key")
     chain = Window.partitionBy("bucket", "key")
