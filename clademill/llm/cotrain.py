@@ -2,16 +2,18 @@
 
 The text view sees the content: every word of the whole text, hashed into buckets, marks between words, and bins of shares (capitals, repetition,
 marks, distinct words). The metadata view knows only what is recorded about a document, its language and source, and nothing of the text. Both
-start from labelled rows; in each round each view scores all unlabelled rows, and the other view learns from those it is sure of: the text view from
-the surest rows of the whole table, more of them each round, the metadata view from the counts of all sure rows by language and by source. Each
-view is calibrated on labelled rows that neither has learned from, and the calibrated views are multiplied as independent evidence.
+start from labelled rows. In each round each view, calibrated on labelled rows that neither has learned from, scores all unlabelled rows, and labels those that it is
+surest of for the other view: all that it is SURE of, and a share of the rows at either end, classes in the proportion of the labels, which grows with the rounds. There
+is no bound on their number. A pseudo-label is a probability, so a view that knows little teaches little: the metadata view learns sums of them by
+language and source, the text view sums by feature, whose log-odds are logits that rows are fitted on top of: the labelled ones, and a bounded sample of the
+pseudo-labelled ones, which weigh as much as they are sure. In the end the calibrated views are multiplied as independent evidence.
 
 The text is read once: features of all rows are written and every later step reads those. Weights of languages and sources are written tables that
-are joined to the rows; the driver holds the bounded sample, the buckets' weights and sums.
+are joined to the rows; the driver holds the bounded sample, the buckets' weights and sums, and counts of scores in STEPS steps.
 
 Cases: null and empty texts have no words, which is a feature; null languages and sources are values of their own, names that were in no row learned from
 weigh nothing; labels of null and rows with a null id are not learned from; with labels of one class only, or none, every score is the share of good
-labels (1/2 without labels); ties among surest rows go by a hash; repeated rows score alike; very long texts are read whole; an empty table gives no rows;
+labels (1/2 without labels); rows as sure as the last of a share are all labelled; repeated rows score alike; very long texts are read whole; an empty table gives no rows;
 extra columns are not carried by scored(), and carried as they are, whatever their names, by filtered().
 """
 
@@ -28,10 +30,12 @@ from pyspark.sql import functions as F
 from .logistic import Sparse, fit, sigmoid
 from .store import saved, small_batches
 
-#: Bound of the learned sample: labelled rows of either class.
-LABELLED = 2000
-#: Rounds, surest rows of either class that are added a round, and how sure a view must be.
-ROUNDS, PER_ROUND, SURE = 5, 200, 0.95
+#: Bounds of the rows that weights are fitted to: labelled ones of either class, pseudo-labelled ones of either class.
+LABELLED, PSEUDO = 2000, 1000
+#: Rounds, the share of all rows that a view labels more in each, and how sure it must be of others; steps that scores are counted in.
+ROUNDS, GROWTH, SURE, STEPS = 5, 0.1, 0.95, 1000
+#: Rows of either class that a feature's pseudo-labels are shrunk by.
+FEATURE_PRIOR = 2.0
 #: Rows of mean evidence that a name's counts are shrunk by; rejected are documents that score below this.
 PRIOR, LEAST_SCORE = 20.0, 0.3
 #: Buckets of words, before them those of shares in BINS bins and of marks; a bucket needs so many learned rows.
@@ -99,8 +103,11 @@ class TextView:
     def __init__(self):
         self.weights, self.bias, self.slope, self.shift = np.zeros(_BASE + MARKS + WORDS), 0.0, 1.0, 0.0
 
-    def learn(self, rows: list, y: np.ndarray, l2: float = 3e-4) -> None:
-        counts = np.maximum(np.bincount(y.astype(int), minlength=2), 1)
+    def learn(self, rows: list, y: np.ndarray, told: np.ndarray | None = None, l2: float = 3e-4) -> None:
+        """y: 0, 1 or probabilities, whose rows weigh as much as they are sure; both classes weigh the same. told: log-odds of features that the other view's labels say, which
+        are weights that the rows' own are added to."""
+        sure, good = np.abs(2 * y - 1), (y >= 0.5).astype(int)
+        counts = np.maximum(np.bincount(good, weights=sure, minlength=2), 1e-9)
         many = np.bincount(np.concatenate([r for r in rows if len(r)] or [np.zeros(0, np.int64)]).astype(np.int64), minlength=len(self.weights)) >= LEAST_ROWS
         ids = np.flatnonzero(many)
         at = np.full(len(self.weights), -1)
@@ -110,9 +117,9 @@ class TextView:
             r = np.asarray(r, np.int64)
             scale = np.where(r >= _BASE + MARKS, WORD_SCALE / np.sqrt(max(1, (r >= _BASE + MARKS).sum())), 1.0)
             kept.append(at[r][at[r] >= 0]), values.append(scale[at[r] >= 0])
-        w, self.bias = fit(Sparse(kept, len(ids), values), y, 1 / counts[y.astype(int)], l2=l2, steps=200)
-        self.weights[:] = 0
-        self.weights[ids] = w
+        self.weights, self.bias = np.zeros(len(self.weights)) if told is None else told.copy(), 0.0
+        w, self.bias = fit(Sparse(kept, len(ids), values), y, sure / counts[good], l2=l2, steps=200, offset=self.logits(rows))
+        self.weights[ids] += w
 
     def logits(self, rows: list) -> np.ndarray:
         return self._logits(np.concatenate([np.zeros(0, np.int32), *(np.asarray(r, np.int32) for r in rows)]), np.array([len(r) for r in rows], np.int64))
@@ -142,7 +149,7 @@ class MetaView:
         self.slope, self.shift = 1.0, 0.0
 
     def learn(self, told: DataFrame) -> None:
-        """told: (lang, source, y) of all rows to learn from."""
+        """told: (lang, source, y) of all rows to learn from; y is 0, 1 or a probability."""
         cells = saved(told.groupBy(*NAMES).agg(F.sum("y").alias("n1"), F.sum(1 - F.col("y")).alias("n0")), "quality-names")
         n1, n0 = (float(x or 0) for x in cells.agg(F.sum("n1"), F.sum("n0")).first())
         if not n1 or not n0:
@@ -175,11 +182,66 @@ def calibrated(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(a, 0.0), b
 
 
-def _surest(scored_rows: DataFrame, good: int, most: int, seed: int) -> list:
-    """Features of the rows of a class that the metadata view is surest of and sure enough, at most `most`; rows as sure come in order of a hash."""
-    z = F.col("__meta") if good else -F.col("__meta")
-    rows = scored_rows.filter(z >= float(np.log(SURE / (1 - SURE))))
-    return [r["features"] for r in rows.orderBy(z.desc(), F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "features").limit(most).select("features").collect()]
+def soft(z: Column, view, mix: float) -> Column:
+    """Probability of a good row by a view's logits, were both classes as frequent; mix is the share of good ones that the view is calibrated with."""
+    x = z * float(view.slope) + float(view.shift - np.log(mix / (1 - mix)))
+    return 1 / (1 + F.exp(-F.greatest(F.least(x, F.lit(40.0)), F.lit(-40.0))))
+
+
+def ends(counts: dict[int, int], share: float, good: float) -> tuple[int, int]:
+    """Steps of scores up to which rows are labelled bad, and from which good: the surest share of all, of which the share good are good. Steps on either side of the middle."""
+    n, low, high = sum(counts.values()), -1, STEPS + 1
+    for wanted, steps, is_good in ((share * good * n, sorted(counts, reverse=True), True), (share * (1 - good) * n, sorted(counts), False)):
+        taken = 0
+        for k in steps:
+            if taken >= wanted or (k < STEPS / 2 if is_good else k >= STEPS / 2):
+                break
+            taken += counts[k]
+            low, high = (low, k) if is_good else (k, high)
+    return low, high
+
+
+def _labelled(rows: DataFrame, p: str, share: float, good: float) -> Column:
+    """Whether a row is among those that a view (column p) labels; counts of all rows by steps are the bound of what comes to the driver."""
+    step = F.least(F.floor(F.col(p) * STEPS), F.lit(STEPS - 1)).cast("int")
+    low, high = ends({r["k"]: r["n"] for r in rows.groupBy(step.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}, share, good)
+    return (step <= low) | (step >= high) | (F.col(p) >= SURE) | (F.col(p) <= 1 - SURE)
+
+
+def log_odds(sums: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Of features, from sums (2 x features) of bad and good pseudo-labels and their totals rows (2)."""
+    p = (sums + FEATURE_PRIOR) / (rows[:, None] + 2 * FEATURE_PRIOR)
+    return np.where(sums.sum(0) >= LEAST_ROWS, np.log(p[1] / p[0]), 0.0)
+
+
+def _told(rows: DataFrame) -> np.ndarray:
+    """log_odds() of features by the column p of rows (features, p): sums in the tasks, one row a feature and task."""
+
+    def add(batches):
+        import pyarrow as pa
+
+        n = _BASE + MARKS + WORDS
+        sums = np.zeros((2, n + 1))  # rows are counted at the end
+        for b in batches:
+            lists, p = b.column("features"), b.column("p").to_numpy(zero_copy_only=False)
+            ids, each = lists.flatten().to_numpy(), np.repeat(p, lists.value_lengths().to_numpy())
+            sums[1, :n] += np.bincount(ids, weights=each, minlength=n)
+            sums[0, :n] += np.bincount(ids, weights=1 - each, minlength=n)
+            sums[:, n] += [(1 - p).sum(), p.sum()]
+        some = np.flatnonzero(sums.sum(0))
+        yield pa.RecordBatch.from_pydict({"f": pa.array(some, pa.int32()), "bad": pa.array(sums[0, some]), "good": pa.array(sums[1, some])})
+
+    found = rows.select("features", "p").mapInArrow(add, "f int, bad double, good double").groupBy("f").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).toArrow()
+    sums = np.zeros((2, _BASE + MARKS + WORDS + 1))
+    sums[:, found.column("f").to_numpy()] = np.round([found.column("bad").to_numpy(), found.column("good").to_numpy()], 6)
+    return log_odds(sums[:, :-1], sums[:, -1])
+
+
+def _sampled(rows: DataFrame, seed: int) -> list[tuple[list[int], float]]:
+    """(features, p) of at most PSEUDO rows of either class, by a hash of their ids."""
+    h = F.xxhash64(F.lit(seed + 1), "doc_id")
+    side = lambda c: rows.filter(c).orderBy(h, "doc_id", "features").limit(PSEUDO).select("features", F.round("p", 6).alias("p")).collect()
+    return [(r["features"], r["p"]) for c in ("p >= 0.5", "p < 0.5") for r in side(c)]
 
 
 Model = tuple[TextView, MetaView, float] | float
@@ -206,24 +268,30 @@ def trained(measured: DataFrame, labels: DataFrame, seed: int = 17, labelled: in
         held = np.zeros(len(rows), bool)
     train = [r for r, k in zip(rows, held, strict=True) if not k]
     ids, known = [r["features"] for r in train], measured.sparkSession.createDataFrame([(*[r[c] for c in NAMES], r["y"]) for r in train], "lang string, source string, y int")
-    spare = measured.select("doc_id", *NAMES, "features").join(F.broadcast(picked.select("doc_id")), "doc_id", "left_anti")
-    text, meta, extra, sure = TextView(), MetaView(), ([], []), float(np.log(SURE / (1 - SURE)))
+    spare = measured.select(*NAMES, "doc_id", "features").join(F.broadcast(picked.select("doc_id")), "doc_id", "left_anti")
+    text, meta, spark = TextView(), MetaView(), measured.sparkSession
+    test = [r for r, k in zip(rows, held, strict=True) if k] or train
+    goal, mix = y[held] if held.any() else y, float(np.clip(y.mean(), 1e-3, 1 - 1e-3))
+    names = spark.createDataFrame([(i, *[r[c] for c in NAMES]) for i, r in enumerate(test)], "i int, lang string, source string")
+
+    def calibrate() -> None:
+        text.slope, text.shift = calibrated(text.logits([r["features"] for r in test]), goal)
+        z = {r["i"]: r["__meta"] for r in meta.placed(names).select("i", "__meta").collect()}
+        meta.slope, meta.shift = calibrated(np.array([z[i] for i in range(len(test))]), goal)
+
     text.learn(ids, y[~held])
     meta.learn(known)
+    calibrate()
     for k in range(rounds):
-        z = saved(spare.select("doc_id", *NAMES, text.column().alias("z")), "quality-round")
-        found = [(f, good) for good in (1, 0) for f in _surest(meta.placed(spare), good, PER_ROUND * (k + 1), seed + 1)]
-        meta.learn(z.filter(F.abs("z") >= sure).select(*NAMES, (F.col("z") > 0).cast("int").alias("y")).unionByName(known))
-        if found or extra[0]:
-            extra = [f for f, _ in found], [good for _, good in found]
-            text.learn(ids + extra[0], np.append(y[~held], extra[1]))
-    test = [r for r, k in zip(rows, held, strict=True) if k] or train
-    goal = y[held] if held.any() else y
-    text.slope, text.shift = calibrated(text.logits([r["features"] for r in test]), goal)
-    names = measured.sparkSession.createDataFrame([(i, *[r[c] for c in NAMES]) for i, r in enumerate(test)], "i int, lang string, source string")
-    z = {r["i"]: r["__meta"] for r in meta.placed(names).select("i", "__meta").collect()}
-    meta.slope, meta.shift = calibrated(np.array([z[i] for i in range(len(test))]), goal)
-    return text, meta, float(np.clip(y.mean(), 1e-3, 1 - 1e-3))
+        share, good = GROWTH * (k + 1), n1 / (n0 + n1)
+        z = saved(spare.select(*NAMES, soft(text.column(), text, mix).alias("p")), "quality-round")
+        by_meta = meta.placed(spare).select("doc_id", "features", soft(F.col("__meta"), meta, mix).alias("p"))
+        by_meta = by_meta.filter(_labelled(by_meta.select("p"), "p", share, good))
+        told, extra = _told(by_meta), _sampled(by_meta, seed)
+        meta.learn(z.filter(_labelled(z, "p", share, good)).select(*NAMES, F.round("p", 6).alias("y")).unionByName(known.withColumn("y", F.col("y").cast("double"))))
+        text.learn(ids + [f for f, _ in extra], np.append(y[~held], [p for _, p in extra]), told)
+        calibrate()
+    return text, meta, mix
 
 
 def scored(measured: DataFrame, model: Model, least: float = LEAST_SCORE) -> DataFrame:

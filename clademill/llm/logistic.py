@@ -27,9 +27,9 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def loss(w: np.ndarray, x: Sparse, y: np.ndarray, weight: np.ndarray, l2: float, pairs: tuple[Sparse, Sparse] | None, pair_weight: float) -> tuple[float, np.ndarray]:
-    """Weighted log-loss of w (the bias last), l2/2 times the squared weights and pair_weight times the mean squared difference of the pairs' logits; and the gradient."""
-    z = x.dot(w[:-1]) + w[-1]
+def loss(w: np.ndarray, x: Sparse, y: np.ndarray, weight: np.ndarray, l2: float, pairs: tuple[Sparse, Sparse] | None, pair_weight: float, offset: np.ndarray | float = 0.0) -> tuple[float, np.ndarray]:
+    """Weighted log-loss of w (the bias last) on top of the logits offset, l2/2 times the squared weights and pair_weight times the mean squared difference of the pairs' logits; and the gradient."""
+    z = x.dot(w[:-1]) + w[-1] + offset
     r = weight * (sigmoid(z) - y)
     value = float((weight * (np.logaddexp(0, z) - y * z)).sum() + l2 / 2 * (w[:-1] ** 2).sum())
     g = np.append(x.back(r) + l2 * w[:-1], r.sum())
@@ -40,13 +40,13 @@ def loss(w: np.ndarray, x: Sparse, y: np.ndarray, weight: np.ndarray, l2: float,
     return value, g
 
 
-def fit(x: Sparse, y: np.ndarray, weight: np.ndarray | None = None, l2: float = 1e-3, pairs: tuple[Sparse, Sparse] | None = None, pair_weight: float = 1.0, steps: int = 300, rate: float = 0.2) -> tuple[np.ndarray, float]:
+def fit(x: Sparse, y: np.ndarray, weight: np.ndarray | None = None, l2: float = 1e-3, pairs: tuple[Sparse, Sparse] | None = None, pair_weight: float = 1.0, steps: int = 300, rate: float = 0.2, offset: np.ndarray | float = 0.0) -> tuple[np.ndarray, float]:
     """Weights and bias that lower loss() by Adam over all rows."""
     weight = np.ones(x.n) if weight is None else weight
     weight = weight / max(weight.sum(), 1e-12)
     w, mean, square = np.zeros(x.width + 1), np.zeros(x.width + 1), np.zeros(x.width + 1)
     for t in range(1, steps + 1):
-        _, g = loss(w, x, y, weight, l2, pairs, pair_weight)
+        _, g = loss(w, x, y, weight, l2, pairs, pair_weight, offset)
         mean, square = 0.9 * mean + 0.1 * g, 0.999 * square + 0.001 * g * g
         w -= rate * (mean / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.999**t)) + 1e-8) / (1 + t / steps)
     return w[:-1], float(w[-1])
