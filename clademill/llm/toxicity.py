@@ -1,9 +1,9 @@
 """Toxicity by a counterfactually regularised classifier.
 
 Features are the distinct words of a text and their beginnings, the ones that tell labelled toxic texts from others, and the swap terms.
-Swap terms are words that may be mentioned neutrally and must not raise the score by themselves: words for groups of people, given by kind, and
-words that the labelled texts of whatever language show to be like them, more common in toxic texts but no strangers to others
-(mention_terms()). Sentences of labelled texts that hold a term are copied with the term swapped for a counterpart (another group of the kind, or the
+Swap terms are words that may be mentioned neutrally and must not raise the score by themselves: words for groups of people, given by language and kind, and
+words that the labelled texts show to be like them: no function words, more common in toxic texts but no strangers to others, that choose a counterpart
+which chooses them (mention_terms()). Sentences of labelled texts that hold a term are copied with the term swapped for a counterpart (another group of the kind, or the
 words of other texts that stand beside the same words most), and training penalises the squared change of the score's logit. A neutral mention then
 can't raise the score, however often labelled toxic texts hold it. If no sentence holds a term, trained() warns: the regulariser had no pairs.
 
@@ -35,16 +35,24 @@ TERMS, PARTNERS, NEIGHBOURS, COUNTERPARTS = 100, 1000, 400, 2
 LEAST_OTHERS, LIFT = 5, (1.2, 8.0)
 #: Lengths of the beginnings of words.
 BEGINNINGS = (4, 5, 6)
-#: Words for groups of people, by kind; a mention is swapped within its kind and for "people". Fixed values of ours, a parameter.
-IDENTITY_TERMS = (
-    ("women", "men", "girls", "boys", "trans"),
-    ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"),
-    ("gay", "lesbian", "bisexual", "straight", "queer"),
-    ("black", "white", "asian", "latino", "african", "european"),
-    ("immigrants", "refugees", "natives", "foreigners"),
-    ("disabled", "blind", "deaf", "autistic"),
+#: Words for groups of people, by language and kind; a mention is swapped within its kind and for the language's neutral word. Fixed values of ours, a parameter.
+IDENTITY_TERMS = {
+    "en": (
+        ("women", "men", "girls", "boys", "trans"), ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"), ("gay", "lesbian", "bisexual", "straight", "queer"),
+        ("black", "white", "asian", "latino", "african", "european"), ("immigrants", "refugees", "natives", "foreigners"), ("disabled", "blind", "deaf", "autistic"),
+    ),
+    "de": (("frauen", "männer", "mädchen", "jungen"), ("muslime", "christen", "juden", "atheisten"), ("schwule", "lesben", "queere"), ("schwarze", "weiße", "asiaten"), ("einwanderer", "flüchtlinge", "ausländer"), ("behinderte", "blinde", "gehörlose")),
+    "fr": (("femmes", "hommes", "filles", "garçons"), ("musulmans", "chrétiens", "juifs", "athées"), ("gays", "lesbiennes", "bisexuels"), ("noirs", "blancs", "asiatiques"), ("immigrés", "réfugiés", "étrangers"), ("handicapés", "aveugles", "sourds")),
+    "es": (("mujeres", "hombres", "chicas", "chicos"), ("musulmanes", "cristianos", "judíos", "ateos"), ("gais", "lesbianas", "bisexuales"), ("negros", "blancos", "asiáticos"), ("inmigrantes", "refugiados", "extranjeros"), ("discapacitados", "ciegos", "sordos")),
+}
+NEUTRAL = {"en": "people", "de": "menschen", "fr": "gens", "es": "personas"}
+#: Words that mention nobody and are no found terms, whatever their counts. Fixed values of ours, a parameter.
+FUNCTION_WORDS = frozenset(
+    "a an and are as at be but by for from had has have he her here his i if in is it its no not of on or our out she so some than that the their then there these they this those to up was we were what when which who will with would you your "
+    "aber als am an auch auf aus bei bin bis da das dass dem den der des die doch durch ein eine einen einer er es für hat ich ihr im in ist ja mit nach nicht noch nur oder sein sich sie sind so um und uns von vor war wenn wie wir zu zum zur "
+    "au aux avec ce ces dans de des du elle en est et il ils je la le les leur mais ne nous on ou par pas plus pour qui que sa se ses son sur un une vous "
+    "al como con del el ella ellos era esta este ha hay las lo los más me mi muy o para pero por se si sin sobre su sus también te tiene una uno y ya".split()
 )
-NEUTRAL = "people"
 
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[^.!?\n]+")
@@ -56,9 +64,14 @@ def features(text: str | None) -> set[str]:
     return found.union(*({w[:n] + "*" for w in found if len(w) > n} for n in BEGINNINGS))
 
 
-def by_kind(kinds: tuple[tuple[str, ...], ...] = IDENTITY_TERMS) -> dict[str, tuple[str, ...]]:
-    """Counterparts of each term: all others of its kind, and the neutral word."""
-    return {w: tuple(x for x in (*ws, NEUTRAL) if x != w) for ws in kinds for w in ws}
+def by_kind(terms: Mapping[str, tuple[tuple[str, ...], ...]] = IDENTITY_TERMS, neutral: Mapping[str, str] = NEUTRAL) -> dict[str, tuple[str, ...]]:
+    """Counterparts of each term: all others of its kind, and its language's neutral word. A word of several languages has those of each."""
+    out: dict[str, tuple[str, ...]] = {}
+    for lang, kinds in terms.items():
+        for ws in kinds:
+            for w in ws:
+                out[w] = tuple(dict.fromkeys((*out.get(w, ()), *(x for x in (*ws, *([neutral[lang]] if lang in neutral else [])) if x != w))))
+    return out
 
 
 def swaps(text: str | None, terms: Mapping[str, tuple[str, ...]]) -> Iterator[tuple[str, str]]:
@@ -72,13 +85,15 @@ def swaps(text: str | None, terms: Mapping[str, tuple[str, ...]]) -> Iterator[tu
 def mention_terms(rows: DataFrame, counted: DataFrame, n0: int, n1: int) -> dict[str, tuple[str, ...]]:
     """Swap terms that the learned rows (text, toxic) show, with their counterparts; counted: (feature, a, b, g2), texts of either class by feature.
 
-    A counterpart is no more common among toxic texts, and stands beside the same words: its neighbours' counts have the highest cosine.
+    A counterpart is no more common among toxic texts, and stands beside the same words: its neighbours' counts have the highest cosine. The two must choose each other: of all
+    terms, this one stands most like its counterpart. Function words and words without a counterpart are no terms.
     """
-    word, lift = ~F.col("feature").endswith("*"), (F.col("a") * n0) / (F.col("b") * n1)
+    word = ~F.col("feature").endswith("*") & ~F.col("feature").isin(*FUNCTION_WORDS)
+    lift = (F.col("a") * n0) / (F.col("b") * n1)
     enough = counted.filter(word & (F.col("b") >= LEAST_OTHERS)).withColumn("lift", lift)
     terms = enough.filter((F.col("a") >= LEAST_OTHERS) & F.col("lift").between(*LIFT)).orderBy(F.desc("g2"), "feature").limit(TERMS)
     partners = enough.filter("lift <= 1").orderBy(F.desc("b"), "feature").limit(PARTNERS)
-    beside = counted.filter(word).orderBy(F.desc(F.col("a") + F.col("b")), "feature").limit(NEIGHBOURS)
+    beside = counted.filter(~F.col("feature").endswith("*")).orderBy(F.desc(F.col("a") + F.col("b")), "feature").limit(NEIGHBOURS)
     terms, partners, beside = ([r["feature"] for r in x.select("feature").collect()] for x in (terms, partners, beside))
     if not terms or not partners:
         return {}
@@ -104,8 +119,10 @@ def mention_terms(rows: DataFrame, counted: DataFrame, n0: int, n1: int) -> dict
     m = np.zeros((len(terms) + len(partners), 2 * len(beside)))
     m[counts.column("word").to_numpy(), counts.column("side").to_numpy()] = np.sqrt(counts.column("n").to_numpy())
     m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
-    near = np.argsort(-(m[: len(terms)] @ m[len(terms) :].T), axis=1, kind="stable")[:, :COUNTERPARTS]
-    return {w: tuple(partners[j] for j in near[i]) for i, w in enumerate(terms)}
+    like = m[: len(terms)] @ m[len(terms) :].T
+    near, chosen = np.argsort(-like, axis=1, kind="stable")[:, :COUNTERPARTS], like.argmax(0)
+    found = {w: tuple(partners[j] for j in near[i] if chosen[j] == i and like[i, j] > 0) for i, w in enumerate(terms)}
+    return {w: ws for w, ws in found.items() if ws}
 
 
 def _exploded_features(rows: DataFrame) -> DataFrame:
@@ -150,7 +167,7 @@ class Model:
         return z
 
 
-def trained(docs: DataFrame, labels: DataFrame, seed: int = 17, pair_weight: float = 1.0, kinds: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, sample_rows: int = SAMPLE_ROWS) -> Model:
+def trained(docs: DataFrame, labels: DataFrame, seed: int = 17, pair_weight: float = 1.0, kinds: Mapping[str, tuple[tuple[str, ...], ...]] = IDENTITY_TERMS, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learn from docs (doc_id, text) with labels (doc_id, toxic)."""
     from .store import saved
 
@@ -223,6 +240,6 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             yield pd.Series(sigmoid(np.array([model.logit(t) for t in texts], float)))
 
     score.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    keep = [c for c in docs.columns if c not in ("text", "score", "predicted")]
+    keep = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "score", "predicted")]
     out = docs.select(*keep, F.pandas_udf(score, "double")("text").alias("score"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
