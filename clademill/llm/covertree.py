@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .store import drop_saved, saved
+from .store import drop_saved, saved, whole_ids
 
 #: Points of a block at most, about; centres that a round draws for a node at most; rounds of splitting; points that a centre must gather on average, or its
 #: node's spread points are not split further. What is still larger than a block then is cut into blocks by hash, which are compared like others.
@@ -48,7 +48,8 @@ def _chord(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 class Tree:
     """Cover tree of a block: points in depth-first order; nodes as (start, end, centre, radius, first child, children), the root first.
 
-    Measured radii stand for the levels' radii; nodes whose points are all within `near` of each other are not split.
+    Measured radii stand for the levels' radii; nodes whose points are all within `near` of each other, or
+    at one place but for rounding, are not split.
     """
 
     def __init__(self, x: np.ndarray, near: float):
@@ -60,7 +61,7 @@ class Tree:
             idx, centre, level, node = todo.pop()
             d = _chord(x[idx], x[centre : centre + 1])[:, 0]
             radius = float(d.max()) if len(idx) > 1 else 0.0
-            if len(idx) == 1 or 2 * radius <= near:
+            if len(idx) == 1 or radius <= SLACK or 2 * radius <= near:
                 spans[node] = [len(self.order), len(self.order) + len(idx)]
                 self.order.extend(idx.tolist())
                 self.nodes[node] = [0, 0, centre, radius, 0, 0]
@@ -318,6 +319,7 @@ def _fit(id_: Column, label: Column, v: Column) -> Column:
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """(vec_id, n_links, component_id, kept): vectors of equal label linked at a cosine of threshold or more."""
+    whole_ids(vectors, id_col)
     v = F.col(vector_col).cast("array<double>")
     # Labels are put in hexadecimal, so that names of nodes have no other slashes.
     space = F.concat_ws(":", F.hex(F.col(label_col).cast("string")), F.size(v).cast("string"))

@@ -7,11 +7,11 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ..shared import drop_saved, fresh_path, saved
 
-__all__ = ["drop_saved", "fresh_path", "importable", "saved", "small_batches"]
+__all__ = ["drop_saved", "fresh_path", "importable", "saved", "small_batches", "unused", "whole_ids"]
 
 #: Rows of whole texts that go to a Python worker at once.
 TEXT_ROWS = 1000
@@ -34,3 +34,16 @@ def small_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(key, before)
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """name, or else name with a number, that no column has."""
+    taken = {c.lower() for c in columns}
+    return next(n for n in (name, *(f"{name}_{k}" for k in range(len(columns)))) if n.lower() not in taken)
+
+
+def whole_ids(docs: DataFrame, id_col: str) -> None:
+    """An error that names the type if ids are not whole numbers of up to 64 bits."""
+    kind = docs.select(f"`{id_col}`").schema[0].dataType.simpleString()
+    if kind not in ("tinyint", "smallint", "int", "bigint", "void"):
+        raise TypeError(f"ids in {id_col} are {kind}; whole numbers are needed")
