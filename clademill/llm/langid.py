@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import saved
+from .store import saved, unused
 
 #: Bound of the learned sample for each language: whole rows in order of a hash that together have so many characters (or the shortest row, if none fits), at
 #: most so many rows.
@@ -277,7 +277,7 @@ def sampled_text(docs: DataFrame, seed: int = 17) -> tuple[tuple[str, str], ...]
 def identified(docs: DataFrame, learn_from: DataFrame, seed: int = 17) -> DataFrame:
     """docs (doc_id, text and any other columns) without the text, with lang_pred and score."""
     texts = sampled_text(learn_from, seed)
-    keep = [c for c in docs.columns if c not in ("text", "lang_pred", "score")]
+    keep = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "lang_pred", "score")]
     rows = docs.select(*keep, F.when(F.col("text").rlike(r"\p{L}"), F.col("text")).alias("text"))
     if not texts:
         return rows.select(*keep, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
@@ -304,4 +304,5 @@ def identified(docs: DataFrame, learn_from: DataFrame, seed: int = 17) -> DataFr
 
     predict.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     found = F.pandas_udf(predict, "lang_pred string, score double")
-    return rows.withColumn("__found", found("text")).select(*keep, "__found.lang_pred", "__found.score")
+    name = unused("found", docs.columns)
+    return rows.select(*keep, found("text").alias(name)).select(*keep, F.col(name).getField("lang_pred").alias("lang_pred"), F.col(name).getField("score").alias("score"))

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import components
-from .store import drop_saved, saved, small_batches
+from .store import drop_saved, saved, small_batches, whole_ids
 from .text import words
 
 #: Coordinates of a sketch; how likely a pair at the threshold may share no band.
@@ -362,6 +362,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, least: fl
     component_id is the smallest id reachable; kept is true for it. least (margin() below the threshold) is the
     agreement of sketches below which full sets are not looked at.
     """
+    whole_ids(docs, id_col)
     docs = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     linkable = F.col("id").isNotNull() & _has_word("text")
     rows, classes = _classes(docs.filter(linkable), size, percent, least)
@@ -375,6 +376,7 @@ def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80, least: float
 
     Rows that repeat an id with unlike, unlinked texts all stay; of rows that repeat id and text one stays.
     """
+    whole_ids(docs, id_col)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     linkable = F.col("id").isNotNull() & _has_word("text")
     found, classes = _classes(rows.filter(linkable).select("id", "text"), size, percent, least)

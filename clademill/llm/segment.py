@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import saved, small_batches
+from .store import saved, small_batches, whole_ids
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Longer units are parted where no piece crosses; bytes of texts that are worked on together (a longer text by itself).
@@ -486,7 +486,8 @@ def _sample(batches, proto: bytes, k: int):
 
 
 def _keyed(docs: DataFrame, seed: int, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("key"), F.col(text_col).alias("text"))
+    whole_ids(docs, id_col)
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(F.lit(seed), F.col(f"`{id_col}`")).alias("key"), F.col(f"`{text_col}`").alias("text"))
 
 
 def sampled(docs: DataFrame, k: int = 2, seed: int = 17, model_path: str = MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
