@@ -1,6 +1,8 @@
 """Distribution statistics and correlation as plain aggregations and windows.
 
 Weighted values are counted first, so a group's sort sees each distinct value once; sorts spill like any other, and nothing is gathered into arrays.
+A group with more different values than one task should sort is split: its values are counted by intervals, and only the interval that holds a quantile's place is looked
+into, until it is small.
 
 Cases: null values and null or zero weights are left out; a group without values has no row; NaN counts as null.
 """
@@ -12,6 +14,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import saved
+
 #: Values that differ by less than this share of their size count as equal.
 SAME = 1e-12
 STATISTICS = ("mean", "median", "stdev", "cv", "p05", "p95")
@@ -22,17 +26,83 @@ def ratio(a: Column, b: Column) -> Column:
     return F.when(b > 0, a.cast("double") / b)
 
 
-def distribution(rows: DataFrame, keys: list[str], value: str = "value", weight: str | None = None) -> DataFrame:
+#: Intervals that a large group's values are counted by, at a time.
+INTERVALS = 1024
+
+
+def _places(n: Column, weight: bool) -> dict[str, Column]:
+    """Running weights at which the quantiles of a group of weight n are: with weights, shares of it; without, places in the order."""
+    if weight:
+        return {"m1": n * 0.5, "m2": n * 0.5, "p05": n * 0.05, "p95": n * 0.95}
+    return {"m1": F.floor((n + 1) / 2), "m2": F.ceil((n + 1) / 2), "p05": F.round((n - 1) * 0.05) + 1, "p95": F.round((n - 1) * 0.95) + 1}
+
+
+def _statistics(mean: Column, median: Column, stdev: Column, p05: Column, p95: Column) -> list[Column]:
+    return [mean.alias("mean"), median.alias("median"), stdev.alias("stdev"), F.when(mean != 0, stdev / mean).alias("cv"), p05.alias("p05"), p95.alias("p95")]
+
+
+def _split(counted: DataFrame, keys: list[str], weight: bool, most: int) -> DataFrame:
+    """distribution() of counted values (keys, _x, _w), each once a group, for groups of any size.
+
+    A group's places start with the interval from its least to its largest value. Each round counts the values of every place's interval by INTERVALS parts, in partial sums,
+    and goes on with the part that holds the place; parts of at most `most` values are sorted.
+    """
+    whole = counted.groupBy(*keys).agg(F.sum("_w").alias("_n"), F.sum(F.col("_x") * F.col("_w")).alias("_sum"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.count(F.lit(1)).alias("_rows"))
+    whole = saved(whole.withColumn("_mean", F.col("_sum") / F.col("_n")), "groups")
+    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), p.cast("double").alias("place")) for k, p in _places(F.col("_n"), weight).items()])).alias("_p")
+    open_ = whole.select(*keys, "_lo", "_hi", "_rows", kinds).select(*keys, "_lo", "_hi", "_rows", F.col("_p.kind").alias("_kind"), F.col("_p.place").alias("_place"), F.lit(0.0).alias("_before"))
+    open_, found = saved(open_, "places"), []
+    inside = lambda spans: counted.join(spans, keys).filter(F.col("_x").between(F.col("_lo"), F.col("_hi")))
+    group = Window.partitionBy(*keys, "_kind")
+    while True:
+        found.append(open_.filter("_rows = 1").select(*keys, "_kind", F.col("_lo").alias("_value")))
+        small = inside(open_.filter((F.col("_rows") > 1) & (F.col("_rows") <= most)))
+        upto = F.col("_before") + F.sum("_w").over(group.orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        found.append(small.withColumn("_upto", upto).filter(F.col("_upto") >= F.col("_place")).groupBy(*keys, "_kind").agg(F.min("_x").alias("_value")))
+        large = open_.filter(F.col("_rows") > most)
+        if not large.limit(1).count():
+            break
+        part = F.least(F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * INTERVALS), F.lit(INTERVALS - 1))
+        parts = inside(large).groupBy(*keys, "_kind", "_place", "_before", part.alias("_part")).agg(F.sum("_w").alias("_w"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.count(F.lit(1)).alias("_rows"))
+        # INTERVALS rows a place.
+        parts = parts.withColumn("_upto", F.col("_before") + F.sum("_w").over(group.orderBy("_part")))
+        first = parts.filter(F.col("_upto") >= F.col("_place")).groupBy(*keys, "_kind", "_place").agg(F.min_by(F.struct("_lo", "_hi", "_rows", (F.col("_upto") - F.col("_w")).alias("_before")), "_part").alias("_s"))
+        open_ = saved(first.select(*keys, "_s._lo", "_s._hi", "_s._rows", "_kind", "_place", "_s._before"), "places")
+    values = found[0]
+    for f in found[1:]:
+        values = values.unionByName(f)
+    at = lambda k: F.max(F.when(F.col("_kind") == k, F.col("_value")))
+    quantiles = values.groupBy(*keys).agg(((at("m1") + at("m2")) / 2).alias("_median"), at("p05").alias("_p05"), at("p95").alias("_p95"))
+    away = F.col("_x") - F.col("_mean")
+    spread = counted.join(whole.select(*keys, "_mean"), keys).groupBy(*keys).agg(F.sum(F.col("_w") * away * away).alias("_spread"))
+    out = whole.select(*keys, "_n", "_mean").join(quantiles, keys).join(spread, keys)
+    stdev = F.when(F.col("_n") > 1, F.sqrt(F.col("_spread") / (F.col("_n") - 1)))
+    return out.select(*keys, *_statistics(F.col("_mean"), F.col("_median"), stdev, F.col("_p05"), F.col("_p95")))
+
+
+def distribution(rows: DataFrame, keys: list[str], value: str = "value", weight: str | None = None, most: int | None = None) -> DataFrame:
     """(keys, mean, median, stdev, cv, p05, p95) of values, one row a group.
 
     With weight, a quantile is the least value at which the running weight reaches that share of all, and stdev divides by the
-    weight less one. Without, the median is the usual one, p05 and p95 are the values nearest to that place.
+    weight less one. Without, the median is the usual one, p05 and p95 are the values nearest to that place. With most, values are counted and written first,
+    and groups of more different values are split, so that no task sorts more; keys are then not null.
     """
     x = F.col(value).cast("double")
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     counted = rows.select(*keys, F.when(~F.isnan(x), x).alias("_x"), w.alias("_w")).filter("_x IS NOT NULL AND _w > 0")
-    if weight:  # equal values are pooled before they are shuffled; without weights most values differ
+    if weight or most:  # equal values are pooled before they are shuffled; without weights most values differ
         counted = counted.groupBy(*keys, "_x").agg(F.sum("_w").alias("_w"))
+    if most:
+        counted = saved(counted, "counted")
+        large = saved(counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > most).select(*keys), "large")
+        if large.limit(1).count():
+            rest = _sorted_distribution(counted.join(large, keys, "left_anti"), keys, bool(weight))
+            return _split(counted.join(large, keys, "left_semi"), keys, bool(weight), most).unionByName(rest)
+    return _sorted_distribution(counted, keys, bool(weight))
+
+
+def _sorted_distribution(counted: DataFrame, keys: list[str], weight: bool) -> DataFrame:
+    """distribution() of (keys, _x, _w) by one sort a group."""
     by_value = Window.partitionBy(*keys).orderBy("_x")
     whole = by_value.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     placed = counted.select(
@@ -41,16 +111,11 @@ def distribution(rows: DataFrame, keys: list[str], value: str = "value", weight:
         F.sum(F.col("_x") * F.col("_w")).over(whole).alias("_sum"),
         F.sum("_w").over(by_value.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_upto"),
     ).withColumn("_mean", F.col("_sum") / F.col("_n"))
-    n = F.col("_n")
-    reaching = lambda place: F.min(F.when(F.col("_upto") >= place, F.col("_x")))
-    if weight:
-        median, p05, p95 = (reaching(n * q) for q in (0.5, 0.05, 0.95))
-    else:
-        nearest = lambda q: reaching(F.round((n - 1) * q) + 1)
-        median, p05, p95 = (reaching(F.floor((n + 1) / 2)) + reaching(F.ceil((n + 1) / 2))) / 2, nearest(0.05), nearest(0.95)
+    reaching = {k: F.min(F.when(F.col("_upto") >= p, F.col("_x"))) for k, p in _places(F.col("_n"), weight).items()}
     spread = F.sum(F.col("_w") * (F.col("_x") - F.col("_mean")) * (F.col("_x") - F.col("_mean")))
-    out = placed.groupBy(*keys).agg(F.first("_mean").alias("mean"), median.alias("median"), F.when(F.first("_n") > 1, F.sqrt(spread / (F.first("_n") - 1))).alias("stdev"), p05.alias("p05"), p95.alias("p95"))
-    return out.select(*keys, "mean", "median", "stdev", F.when(F.col("mean") != 0, F.col("stdev") / F.col("mean")).alias("cv"), "p05", "p95")
+    stdev = F.when(F.first("_n") > 1, F.sqrt(spread / (F.first("_n") - 1)))
+    out = placed.groupBy(*keys).agg(F.first("_mean").alias("mean"), ((reaching["m1"] + reaching["m2"]) / 2).alias("median"), stdev.alias("stdev"), reaching["p05"].alias("p05"), reaching["p95"].alias("p95"))
+    return out.select(*keys, *_statistics(*[F.col(c) for c in ("mean", "median", "stdev", "p05", "p95")]))
 
 
 def distributions(rows: DataFrame, keys: list[str], metrics: dict[str, Column], weight: str | None = None) -> DataFrame:

@@ -350,6 +350,12 @@ co AS (
         ),
         "named_files": _q(f"SELECT sample_id || '_clade_' || anc || '_' || regexp_replace({name}, '[^A-Za-z0-9_.-]+', '_', 'g') AS set_name, row_number() OVER (PARTITION BY sample_id, anc ORDER BY read_id) - 1 AS line, read_id FROM reads JOIN clo USING (t_id) JOIN nodes n ON n.t_id = anc WHERE anc IN ({CLADE}, 1000)"),
         "block_gzip_read": _q("SELECT read_id::VARCHAR AS read_id, status, t_id, r1_len, r2_len, r1_len + r2_len AS total_len FROM reads"),
+        "kmer_bucketed_counts": _kmer_sql("global")["kmer_global_counts"],
+        "price_quantiles": f"""
+WITH r AS (SELECT l_returnflag, l_extendedprice::DOUBLE AS x, l_quantity::DOUBLE AS q FROM lineitem),
+p AS (SELECT l_returnflag, {", ".join(f"round({e}, 4) AS price_{s}" for e, s in zip(("avg(x)", "median(x)", "stddev_samp(x)", "stddev_samp(x) / avg(x)", _nearest("x", 0.05), _nearest("x", 0.95)), STATISTICS, strict=True))} FROM r GROUP BY 1),
+{_weighted("r", "l_returnflag", "x", "q", "wq").strip().rstrip(",")}
+SELECT p.*, {", ".join(f"round({s}, 4) AS by_quantity_{s}" for s in STATISTICS)} FROM p JOIN wq USING (l_returnflag)""",
         **{f"audit_{mode}": audit(mode) for mode in ("taxon", "clade", "canonical")},
         "canonical_domain": _q("FROM canonical", _BARE, _canonical("classified")),
         "sort_domains": _q("SELECT w.t_id, CASE w.t_id WHEN 0 THEN 0 WHEN 100000000 THEN 1 WHEN 1 THEN 2 ELSE 3 END::INT AS first, lower(t_superkingdom) AS domain, lower(t_phylum) AS phylum, lower(t_species) AS species FROM wide w LEFT JOIN lin ON lin.t_id = w.t_id", _WIDE, _LINEAGE),

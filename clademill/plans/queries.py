@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar
-from ..functions.stats import STATISTICS
+from ..functions.stats import STATISTICS, distribution
 from ..operators import annotate, extract, features, kmers, rollup, tables, taxonomy
 from ..shared import fresh_path, saved
 from ..sources import blocks, single
@@ -160,6 +160,21 @@ def _kmer_features(scope: str, part: str):
     return query
 
 
+def kmer_bucketed_counts(spark, sf_dir):
+    """kmer_global_counts of a stored table in buckets: no row of it moves by taxon."""
+    out = features.kmer_features(w.bucketed_kmers(spark, sf_dir), w.taxa(spark, sf_dir), "global", parts=("counts",))
+    return out.select("t_id", *[c for c in out.columns if c.endswith("_count")])
+
+
+def price_quantiles(spark, sf_dir):
+    """Statistics of the extended prices of line items by return flag: three groups of a third of all rows, split into intervals of values."""
+    rows = w.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice", F.col("l_quantity").cast("double").alias("quantity"))
+    plain = distribution(rows, ["l_returnflag"], "l_extendedprice", most=1000)
+    weighted = distribution(rows, ["l_returnflag"], "l_extendedprice", "quantity", most=1000)
+    named = lambda df, p: df.select("l_returnflag", *[F.round(s, 4).alias(f"{p}_{s}") for s in STATISTICS])
+    return named(plain, "price").join(named(weighted, "by_quantity"), "l_returnflag")
+
+
 def kmer_stability(spark, sf_dir):
     return _rounded(features.kmer_stability(features.kmer_features(_kmers(spark, sf_dir), w.taxa(spark, sf_dir), "sample", parts=("counts",))))
 
@@ -362,7 +377,7 @@ def queries() -> dict:
         taxonomy_paths, nested_sets, taxonomy_closure, clade_members, lca_distance, annotate_lineage, report_merge, report_files_read, period_counts,
         clade_sum, clade_pushup, mass_balance, rank_totals, wide_table, species_rollup, kmer_aggregate, kmer_stream, read_length_aggregate, kmer_stability,
         readlen_global, readlen_sample, chunk_union, abundance_stats, abundance_norm, minimizer_cov, minimizer_corr, annotate_join, sort_hierarchical, sort_dfs,
-        sort_dfs_unweighted, reads_by_clade, temporal_filter, reads_in_period, classified_files_read, fastq_matched, fastq_repeated, named_files, block_gzip_read,
+        sort_dfs_unweighted, reads_by_clade, temporal_filter, reads_in_period, classified_files_read, fastq_matched, fastq_repeated, named_files, block_gzip_read, kmer_bucketed_counts, price_quantiles,
         canonical_domain, sort_domains, read_migration,
     )
     limits = {"min_reads": MIN_READS, "min_observed": MIN_OBSERVED}

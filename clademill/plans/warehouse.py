@@ -6,15 +6,19 @@ customer and order priority (strain). An order is a read of one of these, a line
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.kmers import kmer_counts
 from ..operators.taxonomy import prepared
-from ..shared import saved
+from ..shared import bucketed, saved
 from ..sources.reads import clustered, placed
 
 _taxonomies: dict[tuple[str, str], DataFrame] = {}
 _ingests: dict[tuple[str, str], DataFrame] = {}
+_tables: dict[tuple[str, str], str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,6 +108,15 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bare_reads(spark, sf_dir).join(strings, "read_id", "left").withColumn("kmer_string", F.coalesce("kmer_string", F.lit("")))
 
 
+def bucketed_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """k-mer counts as a table in buckets of taxa; written once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _tables:
+        _tables[key] = f"clademill_kmers_{uuid.uuid4().hex}"
+        bucketed(kmer_counts(reads(spark, sf_dir), taxa(spark, sf_dir)), _tables[key], ["t_id"], int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return spark.table(_tables[key])
+
+
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(t_id, sample_id, taxon_reads, mm_tot, mm_uniq): one row a taxon and sample."""
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("read_id"), F.col("l_quantity").cast("long").alias("q"), "l_partkey")

@@ -43,6 +43,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, path: str | None = None) -> DataFrame:
+    """Write df once as the table name of the session's catalog, dealt to buckets by keys and sorted by them, and read it back.
+
+    Joins and aggregates by keys (or more columns) then move no row of it, in this session or a later one. path: a new folder in the shared one by default.
+    """
+    spark = df.sparkSession
+    df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", path or fresh_path(spark, name)).saveAsTable(name)
+    return spark.table(name)
+
+
 def drop_saved(df: DataFrame) -> None:
     """Delete the files behind a frame that saved() returned, once nothing reads it any more."""
     jvm = df.sparkSession._jvm
