@@ -201,12 +201,22 @@ t_{kind} AS (SELECT {keys}, string_agg(kmer_tax_id::VARCHAR, ';' ORDER BY rk) AS
 _YEARLY = "yearly AS (SELECT t_id, left(sample_id, 4) AS sample_id, sum(taxon_reads)::BIGINT AS taxon_reads FROM counts GROUP BY ALL),"
 #: The years of the orders in all given tables.
 _YEARS = [str(y) for y in range(1995, 2002)]
-_WIDE = (
-    _YEARLY + _pushed("yearly") + "wide AS (SELECT t_id, "
-    + ", ".join(f"coalesce(sum(clade_reads) FILTER (WHERE sample_id = '{y}'), 0)::BIGINT AS \"{y}\"" for y in _YEARS)
-    + " FROM pushed GROUP BY t_id),"
-)
-_LONG = "long AS (" + " UNION ALL ".join(f"SELECT t_id, '{y}' AS sample_id, \"{y}\"::DOUBLE AS value FROM wide" for y in _YEARS) + "),"
+#: Their months, up to August of the last year.
+_MONTHS = [f"{y}-{m:02}" for y in range(1995, 2002) for m in range(1, 13) if (y, m) <= (2001, 8)]
+
+
+def _wide(samples: list[str]) -> str:
+    """pushed as a table with a column a sample."""
+    return "wide AS (SELECT t_id, " + ", ".join(f"coalesce(sum(clade_reads) FILTER (WHERE sample_id = '{s}'), 0)::BIGINT AS \"{s}\"" for s in samples) + " FROM pushed GROUP BY t_id),"
+
+
+def _long(samples: list[str]) -> str:
+    return "long AS (" + " UNION ALL ".join(f"SELECT t_id, '{s}' AS sample_id, \"{s}\"::DOUBLE AS value FROM wide" for s in samples) + "),"
+
+
+_WIDE = _YEARLY + _pushed("yearly") + _wide(_YEARS)
+_LONG = _long(_YEARS)
+_MONTHLY = _pushed("counts") + _wide(_MONTHS)
 _LINEAGE = """
 lin AS (SELECT t_id, max(n) FILTER (WHERE r = 'superkingdom') AS t_superkingdom, max(n) FILTER (WHERE r = 'phylum') AS t_phylum, max(n) FILTER (WHERE r = 'species') AS t_species FROM clo GROUP BY t_id),
 """
@@ -310,6 +320,8 @@ co AS (
             "FROM full_cells", _PART, "totals_all AS (SELECT sample_id, sum(taxon_reads)::BIGINT AS n FROM classified GROUP BY 1),", _canonical("part_c", "clo_c", CLADE), _filtered_row("canonical", "taxon")
         ),
         "wide_table": _q("FROM wide", _WIDE),
+        "wide_monthly": _q("FROM wide", _MONTHLY),
+        "abundance_monthly": _q(f"SELECT t_id, {_plain('value', 'abund_global')} FROM long GROUP BY t_id", _MONTHLY, _long(_MONTHS)),
         "species_rollup": _q("SELECT read_id, t_id, species_id FROM reads JOIN sp USING (t_id)"),
         "kmer_aggregate": kmer_rows,
         "kmer_stream": _q("SELECT t_id, kmer_tax_id, sum(kmer_count)::BIGINT AS kmer_count FROM kmers GROUP BY ALL", _KMERS),

@@ -121,6 +121,17 @@ def wide_table(spark, sf_dir):
     return tables.wide(cells)
 
 
+def wide_monthly(spark, sf_dir):
+    """wide_table with a column a month."""
+    cells = tables.abundance_table(_counts(spark, sf_dir), w.taxa(spark, sf_dir), "clade", MIN_READS, MIN_OBSERVED, keep_unclassified=True)
+    return tables.wide(cells)
+
+
+def abundance_monthly(spark, sf_dir):
+    """abundance_stats over months."""
+    return _rounded(features.abundance_features(features.unpivoted(saved(wide_monthly(spark, sf_dir), "monthly"))))
+
+
 def species_rollup(spark, sf_dir):
     return w.bare_reads(spark, sf_dir).select("read_id", "t_id").join(kmers.species_of(w.taxa(spark, sf_dir)), "t_id")
 
@@ -377,7 +388,7 @@ def queries() -> dict:
         taxonomy_paths, nested_sets, taxonomy_closure, clade_members, lca_distance, annotate_lineage, report_merge, report_files_read, period_counts,
         clade_sum, clade_pushup, mass_balance, rank_totals, wide_table, species_rollup, kmer_aggregate, kmer_stream, read_length_aggregate, kmer_stability,
         readlen_global, readlen_sample, chunk_union, abundance_stats, abundance_norm, minimizer_cov, minimizer_corr, annotate_join, sort_hierarchical, sort_dfs,
-        sort_dfs_unweighted, reads_by_clade, temporal_filter, reads_in_period, classified_files_read, fastq_matched, fastq_repeated, named_files, block_gzip_read, kmer_bucketed_counts, price_quantiles,
+        sort_dfs_unweighted, reads_by_clade, temporal_filter, reads_in_period, classified_files_read, fastq_matched, fastq_repeated, named_files, block_gzip_read, kmer_bucketed_counts, price_quantiles, wide_monthly, abundance_monthly,
         canonical_domain, sort_domains, read_migration,
     )
     limits = {"min_reads": MIN_READS, "min_observed": MIN_OBSERVED}
