@@ -85,8 +85,9 @@ def checked(spark: SparkSession, path: str, file_type: str, columns: tuple[str,
 
 
 def _split(path: str) -> tuple[str, str]:
-    folder, _, name = path.rstrip("/").rpartition("/")
-    return folder or ("/" if path.startswith("/") else "."), name
+    """The folder that a table is in, without a last slash (empty for the root), and its name."""
+    folder, slash, name = path.rstrip("/").rpartition("/")
+    return folder if slash else ".", name
 
 
 def staging(path: str) -> str:
