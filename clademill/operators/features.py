@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.stats import correlation_p, distribution, distributions, pearson, ratio
 from ..shared import saved
 from .rollup import clade_sums
-from .taxonomy import FILTERED, ROOT, UNCLASSIFIED, code_depth, coded, common_code
+from .taxonomy import FILTERED, ROOT, UNCLASSIFIED, code_depth, coded, common_code, is_within
 
 COUNTS = ("total", "classified", "unclassified", "clade", "exclade", "lineage", "root", "misclassified")
 #: Numerator and denominator of each ratio.
@@ -42,11 +42,10 @@ def labelled_hits(pairs: DataFrame, taxa: DataFrame) -> DataFrame:
     depth, hit_depth = code_depth(p), code_depth(q)
     both = pairs.join(side("t_id", "_own"), "t_id", "left").join(side("kmer_tax_id", "_hit"), "kmer_tax_id", "left").withColumn("_lca", code_depth(common_code(p, q)))
     below_root = F.when(depth > 1, (depth - 1).cast("double"))
-    within = lambda a, b: F.coalesce(F.startswith(a, b), F.lit(False))
     return both.select(
         *pairs.columns,
-        within(q, p).alias("in_clade"),
-        within(p, q).alias("in_lineage"),
+        is_within(q, p).alias("in_clade"),
+        is_within(p, q).alias("in_lineage"),
         F.when(q.isNotNull(), hit_depth).alias("hit_depth"),
         (depth + hit_depth - 2 * F.col("_lca")).alias("distance"),
         (F.col("_lca") / below_root).alias("relative_lca_depth"),

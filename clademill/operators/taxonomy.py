@@ -143,14 +143,9 @@ def clade_ranges(taxa: DataFrame, wanted: list[int]) -> list[tuple[int, int, int
     return sorted((r["t_id"], r["entry"], r["exit"]) for r in taxa.filter(F.col("t_id").isin(*ids)).select("t_id", "entry", "exit").collect()) if ids else []
 
 
-def is_within(path: Column, ancestor: Column, ancestor_depth: Column) -> Column:
-    """Whether the node with this path is the ancestor or lies below it; false if either is unknown."""
-    return F.coalesce(F.get(path, ancestor_depth) == ancestor, F.lit(False))
-
-
-def common_depth(path_a: Column, path_b: Column) -> Column:
-    """Depth of the lowest common ancestor; null if either node is unknown, -1 for nodes of different trees."""
-    return F.when(path_a.isNotNull() & path_b.isNotNull(), F.size(F.array_intersect(path_a, path_b)) - 1)
+def is_within(code: Column, ancestor: Column) -> Column:
+    """Whether the node with this code is the one with the other code or lies below it; false if either is unknown."""
+    return F.coalesce(F.startswith(code, ancestor), F.lit(False))
 
 
 def lowest_common(pairs: DataFrame, taxa: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
