@@ -201,11 +201,14 @@ def ends(counts: dict[int, int], share: float, good: float) -> tuple[int, int]:
     return low, high
 
 
-def _labelled(rows: DataFrame, p: str, share: float, good: float) -> Column:
-    """Whether a row is among those that a view (column p) labels; counts of all rows by steps are the bound of what comes to the driver."""
+def _labelled(rows: DataFrame, p: str, share: float, good: float) -> tuple[Column, int, int]:
+    """Whether a row is among those that a view (column p) labels, and how many bad and good ones there are; counts of all rows by steps are the bound of what comes to the driver."""
     step = F.least(F.floor(F.col(p) * STEPS), F.lit(STEPS - 1)).cast("int")
-    low, high = ends({r["k"]: r["n"] for r in rows.groupBy(step.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}, share, good)
-    return (step <= low) | (step >= high) | (F.col(p) >= SURE) | (F.col(p) <= 1 - SURE)
+    counts = {r["k"]: r["n"] for r in rows.groupBy(step.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    low, high = ends(counts, share, good)
+    sure = int(SURE * STEPS)
+    n0, n1 = sum(n for k, n in counts.items() if k <= max(low, STEPS - sure)), sum(n for k, n in counts.items() if k >= min(high, sure))
+    return (step <= low) | (step >= high) | (F.col(p) >= SURE) | (F.col(p) <= 1 - SURE), n0, n1
 
 
 def log_odds(sums: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -237,11 +240,12 @@ def _told(rows: DataFrame) -> np.ndarray:
     return log_odds(sums[:, :-1], sums[:, -1])
 
 
-def _sampled(rows: DataFrame, seed: int) -> list[tuple[list[int], float]]:
-    """(features, p) of at most PSEUDO rows of either class, by a hash of their ids."""
+def _sampled(rows: DataFrame, seed: int, n0: int, n1: int) -> list[tuple[list[int], float]]:
+    """(features, p) of at most PSEUDO rows of either class, by a hash of their ids; n0 and n1 are about their numbers, so that few more leave the tasks."""
     h = F.xxhash64(F.lit(seed + 1), "doc_id")
-    side = lambda c: rows.filter(c).orderBy(h, "doc_id", "features").limit(PSEUDO).select("features", F.round("p", 6).alias("p")).collect()
-    return [(r["features"], r["p"]) for c in ("p >= 0.5", "p < 0.5") for r in side(c)]
+    few = lambda n: F.pmod(h, F.lit(1 << 30)) < int(min(1.0, 2 * PSEUDO / max(n, 1)) * (1 << 30)) if n > 2 * PSEUDO else F.lit(True)
+    side = lambda c, n: rows.filter(F.expr(c) & few(n)).orderBy(h, "doc_id", "features").limit(PSEUDO).select("features", F.round("p", 6).alias("p")).collect()
+    return [(r["features"], r["p"]) for c, n in (("p >= 0.5", n1), ("p < 0.5", n0)) for r in side(c, n)]
 
 
 Model = tuple[TextView, MetaView, float] | float
@@ -286,9 +290,10 @@ def trained(measured: DataFrame, labels: DataFrame, seed: int = 17, labelled: in
         share, good = GROWTH * (k + 1), n1 / (n0 + n1)
         z = saved(spare.select(*NAMES, soft(text.column(), text, mix).alias("p")), "quality-round")
         by_meta = meta.placed(spare).select("doc_id", "features", soft(F.col("__meta"), meta, mix).alias("p"))
-        by_meta = by_meta.filter(_labelled(by_meta.select("p"), "p", share, good))
-        told, extra = _told(by_meta), _sampled(by_meta, seed)
-        meta.learn(z.filter(_labelled(z, "p", share, good)).select(*NAMES, F.round("p", 6).alias("y")).unionByName(known.withColumn("y", F.col("y").cast("double"))))
+        chosen, *sizes = _labelled(by_meta.select("p"), "p", share, good)
+        by_meta = by_meta.filter(chosen)
+        told, extra = _told(by_meta), _sampled(by_meta, seed, *sizes)
+        meta.learn(z.filter(_labelled(z, "p", share, good)[0]).select(*NAMES, F.round("p", 6).alias("y")).unionByName(known.withColumn("y", F.col("y").cast("double"))))
         text.learn(ids + [f for f, _ in extra], np.append(y[~held], [p for _, p in extra]), told)
         calibrate()
     return text, meta, mix
