@@ -61,7 +61,8 @@ def measured(docs: DataFrame, conditions: dict[str, Column], copies: str, id_col
         mask = mask.bitwiseOR(b)
     slim = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{part_col}`"), F.lit("")).alias("part"), mask.alias("mask"), F.sha2(text, 256).alias("sha"))
     slim = saved(slim, "masks")
-    repeated = slim.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("sha", "first")
+    # Written, so that both sides of the join are plain scans, of which Spark can split a text that very many rows have.
+    repeated = saved(slim.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("sha", "first"), "repeated")
     copy = F.when(F.col("doc_id") > F.col("first"), F.lit(1 << len(conditions))).otherwise(F.lit(0))
     return slim.join(repeated, "sha", "left").select("doc_id", "part", F.col("mask").bitwiseOR(copy).alias("mask"))
 
