@@ -108,17 +108,16 @@ class TextView:
         are weights that the rows' own are added to."""
         sure, good = np.abs(2 * y - 1), (y >= 0.5).astype(int)
         counts = np.maximum(np.bincount(good, weights=sure, minlength=2), 1e-9)
-        many = np.bincount(np.concatenate([r for r in rows if len(r)] or [np.zeros(0, np.int64)]).astype(np.int64), minlength=len(self.weights)) >= LEAST_ROWS
-        ids = np.flatnonzero(many)
-        at = np.full(len(self.weights), -1)
+        flat, sizes = np.concatenate([np.zeros(0, np.int32), *(np.asarray(r, np.int32) for r in rows)]), np.array([len(r) for r in rows], np.int64)
+        ids = np.flatnonzero(np.bincount(flat, minlength=len(self.weights)) >= LEAST_ROWS)
+        at = np.full(len(self.weights), -1, np.int32)
         at[ids] = np.arange(len(ids))
-        kept, values = [], []
-        for r in rows:
-            r = np.asarray(r, np.int64)
-            scale = np.where(r >= _BASE + MARKS, WORD_SCALE / np.sqrt(max(1, (r >= _BASE + MARKS).sum())), 1.0)
-            kept.append(at[r][at[r] >= 0]), values.append(scale[at[r] >= 0])
+        owner, word = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), flat >= _BASE + MARKS
+        scale = WORD_SCALE / np.sqrt(np.maximum(np.bincount(owner[word], minlength=len(sizes)), 1))
+        known = at[flat] >= 0
+        cells = Sparse.of(owner[known], at[flat[known]], np.where(word, scale[owner], 1.0)[known], len(sizes), len(ids))
         self.weights, self.bias = np.zeros(len(self.weights)) if told is None else told.copy(), 0.0
-        w, self.bias = fit(Sparse(kept, len(ids), values), y, sure / counts[good], l2=l2, steps=200, offset=self.logits(rows))
+        w, self.bias = fit(cells, y, sure / counts[good], l2=l2, steps=200, offset=self.logits(rows))
         self.weights[ids] += w
 
     def logits(self, rows: list) -> np.ndarray:
@@ -240,12 +239,20 @@ def _told(rows: DataFrame) -> np.ndarray:
     return log_odds(sums[:, :-1], sums[:, -1])
 
 
-def _sampled(rows: DataFrame, seed: int, n0: int, n1: int) -> list[tuple[list[int], float]]:
+def _sampled(rows: DataFrame, seed: int, n0: int, n1: int) -> list[tuple[np.ndarray, float]]:
     """(features, p) of at most PSEUDO rows of either class, by a hash of their ids; n0 and n1 are about their numbers, so that few more leave the tasks."""
     h = F.xxhash64(F.lit(seed + 1), "doc_id")
     few = lambda n: F.pmod(h, F.lit(1 << 30)) < int(min(1.0, 2 * PSEUDO / max(n, 1)) * (1 << 30)) if n > 2 * PSEUDO else F.lit(True)
-    side = lambda c, n: rows.filter(F.expr(c) & few(n)).orderBy(h, "doc_id", "features").limit(PSEUDO).select("features", F.round("p", 6).alias("p")).collect()
-    return [(r["features"], r["p"]) for c, n in (("p >= 0.5", n1), ("p < 0.5", n0)) for r in side(c, n)]
+    side = lambda c, n: rows.filter(F.expr(c) & few(n)).orderBy(h, "doc_id", "features").limit(PSEUDO).select("features", F.round("p", 6).alias("p")).toArrow()
+    both = [side(c, n) for c, n in (("p >= 0.5", n1), ("p < 0.5", n0))]
+    return [x for t in both for x in zip(_lists(t), t.column("p").to_pylist(), strict=True)]
+
+
+def _lists(table) -> list[np.ndarray]:
+    """The column features of an Arrow table, which holds them in a tenth of what lists of Python take."""
+    column = table.column("features").combine_chunks()
+    ends, flat = column.offsets.to_numpy(), column.values.to_numpy()
+    return [flat[i:j] for i, j in zip(ends[:-1], ends[1:], strict=True)]
 
 
 Model = tuple[TextView, MetaView, float] | float
@@ -263,23 +270,24 @@ def trained(measured: DataFrame, labels: DataFrame, seed: int = 17, labelled: in
     picked = saved(picked, "quality-picked")
     # At most 2 * labelled rows: the bound of the broadcasts.
     own = measured.select("doc_id", *NAMES, "features").join(F.broadcast(picked), "doc_id")
-    rows = own.orderBy(h, "doc_id", *NAMES, "features", "y").limit(4 * labelled).collect()
-    y = np.array([r["y"] for r in rows], float)
+    table = own.orderBy(h, "doc_id", *NAMES, "features", "y").limit(4 * labelled).toArrow()
+    y = table.column("y").to_numpy().astype(float)
     if len(set(y.tolist())) < 2:
         return n1 / (n0 + n1)
+    rows = list(zip(_lists(table), *[table.column(c).to_pylist() for c in NAMES], strict=True))
     held = np.arange(len(rows)) % 4 == 3  # rows come in order of a hash
     if len(set(y[held].tolist())) < 2 or len(set(y[~held].tolist())) < 2:
         held = np.zeros(len(rows), bool)
     train = [r for r, k in zip(rows, held, strict=True) if not k]
-    ids, known = [r["features"] for r in train], measured.sparkSession.createDataFrame([(*[r[c] for c in NAMES], r["y"]) for r in train], "lang string, source string, y int")
+    ids, known = [r[0] for r in train], measured.sparkSession.createDataFrame([(*r[1:], int(k)) for r, k in zip(train, y[~held], strict=True)], "lang string, source string, y int")
     spare = measured.select(*NAMES, "doc_id", "features").join(F.broadcast(picked.select("doc_id")), "doc_id", "left_anti")
     text, meta, spark = TextView(), MetaView(), measured.sparkSession
     test = [r for r, k in zip(rows, held, strict=True) if k] or train
     goal, mix = y[held] if held.any() else y, float(np.clip(y.mean(), 1e-3, 1 - 1e-3))
-    names = spark.createDataFrame([(i, *[r[c] for c in NAMES]) for i, r in enumerate(test)], "i int, lang string, source string")
+    names = spark.createDataFrame([(i, *r[1:]) for i, r in enumerate(test)], "i int, lang string, source string")
 
     def calibrate() -> None:
-        text.slope, text.shift = calibrated(text.logits([r["features"] for r in test]), goal)
+        text.slope, text.shift = calibrated(text.logits([r[0] for r in test]), goal)
         z = {r["i"]: r["__meta"] for r in meta.placed(names).select("i", "__meta").collect()}
         meta.slope, meta.shift = calibrated(np.array([z[i] for i in range(len(test))]), goal)
 

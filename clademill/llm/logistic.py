@@ -16,6 +16,13 @@ class Sparse:
         self.value = np.concatenate(values) if values and some else np.ones(len(self.col))
         self.n, self.width = len(rows), width
 
+    @classmethod
+    def of(cls, row: np.ndarray, col: np.ndarray, value: np.ndarray, n: int, width: int) -> Sparse:
+        """From cells, without lists of rows."""
+        out = cls([], width)
+        out.row, out.col, out.value, out.n = row, col, value, n
+        return out
+
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, weights=w[self.col] * self.value, minlength=self.n)
 
