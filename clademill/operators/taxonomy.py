@@ -30,11 +30,13 @@ _ROUNDS = 16
 def with_paths(nodes: DataFrame) -> DataFrame:
     """nodes (t_id, parent_id, rank, name) with path and ranks (arrays from the root to the node itself) and depth (0 for a root).
 
-    Each round joins what is known of a node's path to the path of its topmost node; the number of rounds is the logarithm of the depth.
+    Paths are found for nodes that have children, a small part of most taxonomies; every node then adds itself to its parent's. Each round joins what is known of a
+    node's path to the path of its topmost node; the number of rounds is the logarithm of the depth.
     """
-    nodes = nodes.select("t_id", "parent_id", "rank", "name").filter("t_id IS NOT NULL").dropDuplicates(["t_id"])
+    nodes = saved(nodes.select("t_id", "parent_id", "rank", "name").filter("t_id IS NOT NULL").dropDuplicates(["t_id"]), "nodes")
     parents = F.when(F.col("parent_id") != F.col("t_id"), F.col("parent_id"))
-    known = saved(nodes.select("t_id", parents.alias("top"), F.array(F.struct(F.col("t_id").alias("id"), "rank")).alias("up")), "paths")
+    inner = nodes.join(nodes.select(parents.alias("t_id")).filter("t_id IS NOT NULL").distinct(), "t_id", "left_semi")
+    known = saved(inner.select("t_id", parents.alias("top"), F.array(F.struct(F.col("t_id").alias("id"), "rank")).alias("up")), "paths")
     for _ in range(_ROUNDS):
         if not known.filter("top IS NOT NULL").limit(1).count():
             break
@@ -44,8 +46,10 @@ def with_paths(nodes: DataFrame) -> DataFrame:
         drop_saved(before)
     else:
         raise ValueError("the parents of the taxonomy form a cycle")
-    paths = known.select("t_id", F.reverse("up").alias("up"))
-    return nodes.join(paths, "t_id").select("t_id", "parent_id", "rank", "name", (F.size("up") - 1).alias("depth"), F.col("up.id").alias("path"), F.col("up.rank").alias("ranks"))
+    above = known.select(F.col("t_id").alias("_parent"), F.reverse("up").alias("_above"))
+    own = lambda up, c: F.concat(F.coalesce(F.col(up), F.array().cast(f"array<{nodes.schema[c].dataType.simpleString()}>")), F.array(c))
+    paths = nodes.withColumn("_parent", parents).join(above, "_parent", "left")
+    return paths.select("t_id", "parent_id", "rank", "name", F.coalesce(F.size("_above"), F.lit(0)).alias("depth"), own("_above.id", "t_id").alias("path"), own("_above.rank", "rank").alias("ranks"))
 
 
 def canonical_ranks(taxa: DataFrame) -> tuple[str, ...]:
@@ -89,36 +93,39 @@ def common_code(a: Column, b: Column) -> Column:
     return F.regexp_replace(same, f"{ESCAPE}+$", "")  # half a node
 
 
-def _siblings(taxa: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(t_id, n, place, step): sizes of clades, places among siblings, one and the sizes of the siblings before; and the closure."""
-    links = closure(taxa)
-    sizes = links.groupBy(F.col("ancestor_id").alias("t_id")).agg(F.count(F.lit(1)).alias("n"))
-    order = Window.partitionBy("parent_id").orderBy("t_id")
-    top = F.size("path") == 1
+def _places(taxa: DataFrame) -> DataFrame:
+    """(t_id, entry, exit, code) of taxa (with paths).
+
+    A node's entry is the sum along its path of one and of the sizes of the siblings before it, so no task sorts the whole tree. Only nodes with children have their
+    paths walked: sizes are sums of their numbers of children, and every node adds its step and its character to its parent's entry and code.
+    """
+    narrow = taxa.select("t_id", F.try_element_at("path", F.lit(-2)).alias("_parent"))
+    children = narrow.filter("_parent IS NOT NULL").groupBy(F.col("_parent").alias("t_id")).agg(F.count(F.lit(1)).alias("_children"))
+    inner = saved(taxa.select("t_id", "path").join(children, "t_id"), "inner")
+    sizes = inner.select(F.explode("path").alias("t_id"), "_children").groupBy("t_id").agg((F.sum("_children") + 1).alias("_size"))
+    order = Window.partitionBy("_parent").orderBy("t_id")
     before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    own = taxa.withColumn("parent_id", F.when(~top, F.col("parent_id"))).join(sizes, "t_id")
-    return own.select("t_id", "n", (F.row_number().over(order) - 1).alias("place"), (before + F.when(top, 0).otherwise(1)).alias("step")), links
+    own = narrow.join(sizes, "t_id", "left").select("t_id", "_parent", F.coalesce("_size", F.lit(1)).alias("n"))
+    step = before + F.when(F.col("_parent").isNull(), 0).otherwise(1)
+    # One number a node, in the order of siblings; parents are looked up in it, and it is joined to their codes.
+    steps = saved(own.select("t_id", "_parent", "n", step.alias("step"), child_code(F.row_number().over(order) - 1).alias("at")), "siblings")
+    links = inner.select("t_id", F.posexplode("path").alias("_depth", "_parent"))
+    # As long as the tree is deep.
+    code = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_depth", "at"))), lambda x: x["at"]), "")
+    above = steps.join(inner.select("t_id"), "t_id", "left_semi").select(F.col("t_id").alias("_parent"), "step", "at")
+    made = links.join(above, "_parent").groupBy(F.col("t_id").alias("_parent")).agg(F.sum("step").alias("_entry"), code.alias("_code"))
+    entry = F.coalesce("_entry", F.lit(0)) + F.col("step")
+    return steps.join(made, "_parent", "left").select("t_id", entry.alias("entry"), (entry + F.col("n")).alias("exit"), F.concat(F.coalesce("_code", F.lit("")), "at").alias("code"))
 
 
 def nested_sets(taxa: DataFrame) -> DataFrame:
-    """(t_id, depth, rank, entry, exit): preorder places; a clade is the half-open interval [entry, exit).
-
-    A node's entry is the sum along its path of one and of the sizes of the siblings before it, so no task sorts the whole tree.
-    """
-    before, links = _siblings(taxa)
-    entry = links.join(before.select(F.col("t_id").alias("ancestor_id"), "step"), "ancestor_id").groupBy("t_id").agg(F.sum("step").alias("entry"))
-    return taxa.select("t_id", "depth", "rank").join(entry, "t_id").join(before.select("t_id", "n"), "t_id").select("t_id", "depth", "rank", "entry", (F.col("entry") + F.col("n")).alias("exit"))
+    """(t_id, depth, rank, entry, exit): preorder places; a clade is the half-open interval [entry, exit). A prepared taxonomy has them."""
+    return coded(taxa).select("t_id", "depth", "rank", "entry", "exit")
 
 
 def with_codes(taxa: DataFrame) -> DataFrame:
-    """taxa (with paths) with entry, exit (see nested_sets()) and code, in one pass over the closure."""
-    before, links = _siblings(taxa)
-    before = saved(before, "siblings")
-    steps = before.select(F.col("t_id").alias("ancestor_id"), "step", child_code(F.col("place")).alias("at"))
-    # As long as the tree is deep.
-    code = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ancestor_depth", "at"))), lambda x: x["at"]), "")
-    made = links.join(steps, "ancestor_id").groupBy("t_id").agg(F.sum("step").alias("entry"), code.alias("code"))
-    return taxa.join(made, "t_id").join(before.select("t_id", "n"), "t_id").withColumn("exit", F.col("entry") + F.col("n")).drop("n")
+    """taxa (with paths) with entry, exit (see nested_sets()) and code."""
+    return taxa.join(_places(taxa), "t_id").select(*taxa.columns, "entry", "code", "exit")
 
 
 def prepared(nodes: DataFrame) -> DataFrame:

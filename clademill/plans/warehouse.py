@@ -55,14 +55,16 @@ def _strain():
 
 def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = lambda df, t, p, rank, name: df.select(t.cast("long").alias("t_id"), p.cast("long").alias("parent_id"), F.lit(rank).alias("rank"), name.alias("name"))
-    customers, orders = _customers(spark, sf_dir), _orders(spark, sf_dir)
+    customers = _customers(spark, sf_dir)
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderpriority")
+    strains = orders.join(customers.select("c_custkey"), "c_custkey", "left_semi").distinct()
     parts = [
         row(spark.range(1), F.lit(1), F.lit(1), "no rank", F.lit("root")),
         row(table(spark, sf_dir, "region"), 10 + F.col("r_regionkey"), F.lit(1), "superkingdom", F.col("r_name")),
         row(table(spark, sf_dir, "nation"), _nation("n_nationkey"), 10 + F.col("n_regionkey"), "phylum", F.col("n_name")),
         row(customers, _clade(), _nation(), "clade", F.concat_ws(" ", "c_mktsegment", F.col("c_nationkey").cast("string"))).distinct(),
         row(customers, _species(), _clade(), "species", F.col("c_name")),
-        row(orders, _strain(), _species(), "strain", F.concat(F.lit("strain "), _strain().cast("string"))).distinct(),
+        row(strains, _strain(), _species(), "strain", F.concat(F.lit("strain "), _strain().cast("string"))),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -128,4 +130,4 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(t_id, clade_minimizers)."""
-    return nodes(spark, sf_dir).select("t_id", (1000 + F.col("t_id") % 9000).alias("clade_minimizers"))
+    return taxa(spark, sf_dir).select("t_id", (1000 + F.col("t_id") % 9000).alias("clade_minimizers"))

@@ -56,3 +56,25 @@ def test_buckets_move_no_rows(spark, tmp_path):
     plan = features.kmer_features(table, taxa, "global", parts=("counts",))._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in plan and "Exchange hashpartitioning(t_id" not in plan and "Exchange hashpartitioning" not in plan
     spark.sql("DROP TABLE kmers_in_buckets")
+
+
+def test_prepared_taxa_have_their_places(spark):
+    """Nothing is shuffled for what a prepared taxonomy holds, and only nodes with children have their paths walked."""
+    r = random.Random(6)
+    nodes = [(1, 1, "no rank", "root"), (900, 901, "clade", "its parent is not there"), (902, None, "clade", None)]
+    for t in range(2, 120):
+        nodes.append((t, r.choice([n[0] for n in nodes]), r.choice(["clade", None]), f"n{t}"))
+    up = {t: p for t, p, _, _ in nodes}
+    taxa = taxonomy.prepared(spark.createDataFrame(nodes + nodes[:5], SCHEMA))
+    rows = {x.t_id: x for x in taxa.collect()}
+    assert len(rows) == len(nodes)
+    for t, _, rank, name in nodes:
+        want = [t]
+        while up[want[0]] in up and up[want[0]] != want[0]:
+            want.insert(0, up[want[0]])
+        assert (rows[t].path, rows[t].depth, rows[t].ranks[-1], rows[t]["rank"], rows[t].name) == (want, len(want) - 1, rank, rank, name)
+        assert rows[t].exit - rows[t].entry == sum(t in x.path for x in rows.values())
+    sets = taxonomy.nested_sets(taxa)
+    assert "Exchange" not in sets._jdf.queryExecution().executedPlan().toString()
+    bare = taxonomy.nested_sets(taxa.drop("entry", "exit", "code"))
+    assert sorted(map(tuple, sets.collect())) == sorted(map(tuple, bare.collect()))
