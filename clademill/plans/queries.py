@@ -288,6 +288,16 @@ def classified_files_read(spark, sf_dir):
     return read_files.read_classified(spark, path).select("read_id", "status", "t_id", "r1_len", "r2_len", "total_len")
 
 
+#: Lines of a file of several that make up one input, beyond eight files.
+FILE_LINES = 500_000
+
+
+def _in_files(rows: DataFrame, key: str):
+    """Deals frames of rows' key and value to files in the key's order: eight, or more for many rows."""
+    files = max(8, -(-rows.count() // FILE_LINES))
+    return lambda df: df.repartitionByRange(files, key).sortWithinPartitions(key).select("value")
+
+
 def fastq_matched(spark, sf_dir):
     """Reads with the sequences of FASTQ files, each written as several files in order."""
     path = fresh_path(spark, "fastq")
@@ -295,7 +305,7 @@ def fastq_matched(spark, sf_dir):
     lines = F.concat_ws("\t", "status", F.col("read_id").cast("string"), F.col("t_id").cast("string"), "lengths")
     # Part files are numbered by range.
     ordered = saved(rows.select("read_id", lines.alias("value")), "fastq-rows")
-    place = lambda df: df.repartitionByRange(8, "read_id").sortWithinPartitions("read_id").select("value")
+    place = _in_files(ordered, "read_id")
     place(ordered).write.text(f"{path}/classified")
     for mate, letter in ((1, "A"), (2, "C")):
         n = F.col("read_id")
@@ -310,7 +320,7 @@ def fastq_repeated(spark, sf_dir):
     """Reads whose ids repeat, three in a row, beside FASTQ files that lack some of each id: a sequence goes to the first read of its id that is left."""
     path = fresh_path(spark, "repeated")
     rows = saved(w.bare_reads(spark, sf_dir).select(F.col("read_id").alias("k"), F.floor(F.col("read_id") / 3).cast("long").alias("id"), "t_id", "lengths", "status"), "repeated-rows")
-    place = lambda df: df.repartitionByRange(8, "k").sortWithinPartitions("k").select("value")
+    place = _in_files(rows, "k")
     place(rows.select("k", F.concat_ws("\t", "status", F.col("id").cast("string"), F.col("t_id").cast("string"), "lengths").alias("value"))).write.text(f"{path}/classified")
     for mate, letter, left_out in ((1, "A", 5), (2, "C", 4)):
         seq = F.repeat(F.lit(letter), F.pmod(F.col("k"), F.lit(7)).cast("int") + 1)

@@ -56,15 +56,17 @@ def with_sequences(spark: SparkSession, classified: str, first: str | None = Non
         return read_classified(spark, classified)
     lines = numbered(spark, classified, across=True).select(sample_name(F.col("file")).alias("sample_id"), "line", "value")
     reads = _parsed(lines, "line")
-    mates = [read_fastq(spark, p, across=True).select("record", "read_id", "seq", "qual") for p in (first, second)]
+    # Read as text once: records, ids and places are asked for several times.
+    mates = [saved(read_fastq(spark, p, across=True).select("record", "read_id", "seq", "qual"), "records") for p in (first, second)]
     # Ids and places are matched alone. Sequences then meet their reads by id, or by line where ids repeat: each is shuffled once, or twice.
-    places, unique = reads.select(F.col("read_id").alias("id"), "line"), True
+    places, unique = saved(reads.select(F.col("read_id").alias("id"), "line"), "places"), True
     for rows, what, p in zip(mates, ("first", "second"), ("r1", "r2"), strict=True):
         match, alone = matched_places(places, rows.select(F.col("read_id").alias("id"), "record"), f"reads of the {what} FASTQ file")
         match, unique = saved(match, "matched"), unique and alone
         own = rows.select("read_id", "record", F.col("seq").alias(f"{p}_seq"), F.col("qual").alias(f"{p}_qual"))
         reads = reads.join(own.drop("record"), "read_id", "left") if unique else reads.join(own.drop("read_id").join(match, "record").drop("record"), "line", "left")
-        places = places.join(match.select("line"), "line", "left_semi")
+        if what == "first":
+            places = saved(places.join(match.select("line"), "line", "left_semi"), "places")
     return reads.withColumnRenamed("line", "place")
 
 

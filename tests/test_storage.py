@@ -280,3 +280,28 @@ def test_observed_audit(spark, taxa):
     assert found["species"][:2] == (2, 1) and found["superkingdom"][:2] == (1, 1)
     _, _, watch = tables.watched_table(rows.limit(0), taxa, "taxon")
     assert watch.figures() == []
+
+
+@pytest.mark.parametrize("large", [3, 1000])
+def test_short_stretches_are_walked_together(spark, monkeypatch, large):
+    """Many stretches between anchors are a few bundles, each walked as if by itself; large ones are alone."""
+    monkeypatch.setattr(matching, "TOGETHER", 16)
+    monkeypatch.setattr(matching, "LARGE", large)
+    r = random.Random(large)
+    lines, records, want = [], [], []
+    for k in range(100):
+        block = [f"a{k}"] + [r.choice(["x", "y"]) for _ in range(4)]  # ids that repeat between anchors
+        kept = [0, *sorted(r.sample(range(1, 5), 2))]
+        at, taken = 0, []
+        for i in kept[1:]:  # a record goes to the first line of its id that is left
+            at = block.index(block[i], at + 1)
+            taken.append(at)
+        want += [(len(records) + n, len(lines) + i) for n, i in enumerate([0, *taken])]
+        records += [block[i] for i in kept]
+        lines += block
+    frame = lambda ids, c: spark.createDataFrame(list(enumerate(ids)), f"{c} long, id string")
+    out, alone = matching.matched_places(frame(lines, "line"), frame(records, "record"))
+    assert sorted(map(tuple, out.select("record", "line").collect())) == want and not alone
+    rows = spark.createDataFrame([("x", 5 * i, i) for i in range(100)], "id string, at long, stretch long")
+    of = matching._bundled(rows, spark.createDataFrame([(7, True)], "stretch long, alone boolean")).select("stretch", "bundle").distinct()
+    assert {x.bundle for x in of.collect()} == {-8, *range(7)}
