@@ -118,10 +118,21 @@ def _sorted_distribution(counted: DataFrame, keys: list[str], weight: bool) -> D
     return out.select(*keys, *_statistics(*[F.col(c) for c in ("mean", "median", "stdev", "p05", "p95")]))
 
 
-def distributions(rows: DataFrame, keys: list[str], metrics: dict[str, Column], weight: str | None = None) -> DataFrame:
-    """(keys, <metric>_mean, ..., <metric>_p95) for several values of the same rows, with one shuffle: of the counted values, or without weight of the rows themselves."""
-    rows = rows if weight else rows.select(*keys, *[c.alias(f"_metric_{i}") for i, c in enumerate(metrics.values())]).repartition(*keys)
-    metrics = metrics if weight else {m: F.col(f"_metric_{i}") for i, m in enumerate(metrics)}
+#: Values that a task of distributions() sorts, if the number of rows is known.
+TASK_VALUES = 1_000_000
+
+
+def distributions(rows: DataFrame, keys: list[str], metrics: dict[str, Column], weight: str | None = None, n_rows: int | None = None) -> DataFrame:
+    """(keys, <metric>_mean, ..., <metric>_p95) for several values of the same rows, with one shuffle: of the counted values, or without weight of the rows themselves.
+
+    A row is a value for each metric in its task, which the bytes that are shuffled don't tell. With n_rows, the number of rows at most, rows go to as many
+    tasks as hold TASK_VALUES values each.
+    """
+    tasks = -(-(n_rows or 0) * len(metrics) // TASK_VALUES)
+    if not weight or tasks > 1:
+        rows = rows.select(*keys, *([weight] if weight else []), *[c.alias(f"_metric_{i}") for i, c in enumerate(metrics.values())])
+        rows = rows.repartition(tasks, *keys) if tasks > 1 else rows.repartition(*keys)
+        metrics = {m: F.col(f"_metric_{i}") for i, m in enumerate(metrics)}
     each = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), c.cast("double").alias("value")) for m, c in metrics.items()]))
     kept = [*keys, *([weight] if weight else [])]
     long = rows.select(*kept, each.alias("_m")).select(*kept, F.col("_m.metric").alias("_metric"), F.col("_m.value").alias("_value"))

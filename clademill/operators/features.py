@@ -114,7 +114,7 @@ def kmer_features(kmers: DataFrame, taxa: DataFrame, scope: str = "global", top:
                 f"{prefix}_misclassified_relative_lca_depth": F.when(wrong, F.col("relative_lca_depth")),
                 f"{prefix}_lineage_relative_depth": F.when(above, F.col("relative_depth")),
             },
-            "kmer_count",
+            "kmer_count", hits.count() if scope == "sample" else None,  # a taxon of all samples may have most of the hits
         )
         out = out.join(stats, keys, "left")
     if "top" not in parts:
@@ -132,7 +132,7 @@ def kmer_stability(samples: DataFrame) -> DataFrame:
     samples = saved(samples.select("sample_id", "t_id", *ratio_names("kmers_sample")), "ratios")
     n = samples.select("sample_id").distinct().count()
     present = samples.groupBy("t_id").agg((F.count(F.lit(1)) / F.lit(max(n, 1))).alias("kmers_stability_occupancy_ratio"))
-    stats = distributions(samples, ["t_id"], {b: F.col(a) for a, b in zip(ratio_names("kmers_sample"), ratio_names("kmers_stability"), strict=True)})
+    stats = distributions(samples, ["t_id"], {b: F.col(a) for a, b in zip(ratio_names("kmers_sample"), ratio_names("kmers_stability"), strict=True)}, n_rows=samples.count())
     return present.join(stats, "t_id", "left")
 
 

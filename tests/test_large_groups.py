@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 from tree import NODES, SCHEMA
 
-from clademill.functions.stats import STATISTICS, distribution
-from clademill.operators import features, taxonomy
+from clademill.functions import stats
+from clademill.functions.stats import STATISTICS, distribution, distributions
+from clademill.operators import features, tables, taxonomy
 from clademill.shared import bucketed, saved
 
 
@@ -65,7 +66,7 @@ def test_prepared_taxa_have_their_places(spark):
     for t in range(2, 120):
         nodes.append((t, r.choice([n[0] for n in nodes]), r.choice(["clade", None]), f"n{t}"))
     up = {t: p for t, p, _, _ in nodes}
-    taxa = taxonomy.prepared(spark.createDataFrame(nodes + nodes[:5], SCHEMA))
+    taxa = saved(taxonomy.prepared(spark.createDataFrame(nodes + nodes[:5], SCHEMA)), "taxa")
     rows = {x.t_id: x for x in taxa.collect()}
     assert len(rows) == len(nodes)
     for t, _, rank, name in nodes:
@@ -78,3 +79,17 @@ def test_prepared_taxa_have_their_places(spark):
     assert "Exchange" not in sets._jdf.queryExecution().executedPlan().toString()
     bare = taxonomy.nested_sets(taxa.drop("entry", "exit", "code"))
     assert sorted(map(tuple, sets.collect())) == sorted(map(tuple, bare.collect()))
+
+
+@pytest.mark.parametrize("weight", [None, "w"])
+def test_tasks_grow_with_the_values(spark, monkeypatch, weight):
+    """Values that come of a row are dealt by their number, with the same statistics."""
+    r = random.Random(9)
+    df = spark.createDataFrame([(r.randrange(60), float(r.randrange(9)), r.uniform(0, 1), r.randrange(1, 4)) for _ in range(600)], "g long, a double, b double, w long")
+    metrics = {"a": F.col("a"), "b": F.col("b")}
+    want = distributions(df, ["g"], metrics, weight)
+    monkeypatch.setattr(stats, "TASK_VALUES", 100)
+    got = distributions(df, ["g"], metrics, weight, df.count())
+    assert "hashpartitioning(g#" in (plan := got._jdf.queryExecution().executedPlan().toString()) and ", 12), REPARTITION_BY_NUM" in plan
+    at = lambda out: sorted(tuple(x if x is None else round(x, 9) for x in row) for row in out.collect())
+    assert at(got) == at(want)
