@@ -78,6 +78,8 @@ def table_cells(
     rows = pooled(reads if keep_unclassified else reads.filter(F.col("t_id") != UNCLASSIFIED))
     before, top = rows, ROOT
     if clade is not None:
+        if keep_filtered:  # counted once for the clade and for what it leaves out
+            rows = before = saved(rows, "pooled")
         if mode == "canonical":
             rank = taxa.filter(F.col("t_id") == clade).select("rank").first()
             if rank is None or rank["rank"] not in ranks:
@@ -92,6 +94,7 @@ def table_cells(
         cells = cells.filter((F.col("value") > 0) | (F.col("t_id") == UNCLASSIFIED))
     if keep_filtered and clade is not None:
         all_reads = before.groupBy("sample_id").agg(F.sum("taxon_reads").alias("all"))
+        cells = saved(cells, "cells")
         # Only samples that the table has get such a cell.
         lost = sample_totals(cells, mode).join(all_reads, "sample_id").select(F.lit(FILTERED).cast("long").alias("t_id"), "sample_id", F.greatest(F.col("all") - F.col("total"), F.lit(0)).alias("value")).withColumn("own", F.col("value"))
         cells = cells.unionByName(lost.filter("value > 0"))

@@ -93,3 +93,13 @@ def test_tasks_grow_with_the_values(spark, monkeypatch, weight):
     assert "hashpartitioning(g#" in (plan := got._jdf.queryExecution().executedPlan().toString()) and ", 12), REPARTITION_BY_NUM" in plan
     at = lambda out: sorted(tuple(x if x is None else round(x, 9) for x in row) for row in out.collect())
     assert at(got) == at(want)
+
+
+def test_filtered_cells_are_made_once(spark):
+    """What a clade leaves out is told from written cells: the table's plan reads no read twice."""
+    taxa = saved(taxonomy.prepared(spark.createDataFrame(NODES, SCHEMA)), "taxa")
+    reads = saved(spark.createDataFrame([(t, s, 3) for t in (0, 562, 9606, 10090) for s in ("a", "b")], "t_id long, sample_id string, taxon_reads long"), "only-reads")
+    for mode in tables.MODES:
+        cells = tables.table_cells(reads, taxa, mode, 1, 1, clade=2, keep_filtered=True)
+        assert "only-reads" not in cells._jdf.queryExecution().executedPlan().toString()
+        assert {x.sample_id: x.value for x in cells.filter("t_id = 100000000").collect()} == {"a": 6, "b": 6}
