@@ -27,16 +27,23 @@ TOP_RANKS = ("domain", "superkingdom")
 _ROUNDS = 16
 
 
-def with_paths(nodes: DataFrame) -> DataFrame:
-    """nodes (t_id, parent_id, rank, name) with path and ranks (arrays from the root to the node itself) and depth (0 for a root).
+def _levels(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Repeated rows of nodes counted once, with _parent (null for roots and where the parent isn't in the table); those that have children (t_id, _parent, rank, _children), and of them those
+    that have grandchildren (t_id, path, ranks).
 
-    Paths are found for nodes that have children, a small part of most taxonomies; every node then adds itself to its parent's. Each round joins what is known of a
-    node's path to the path of its topmost node; the number of rounds is the logarithm of the depth.
+    Only the last have their paths walked. Each round joins what is known of a node's path to the path of its topmost node; the number of rounds is the logarithm of the depth.
     """
-    nodes = saved(nodes.select("t_id", "parent_id", "rank", "name").filter("t_id IS NOT NULL").dropDuplicates(["t_id"]), "nodes")
-    parents = F.when(F.col("parent_id") != F.col("t_id"), F.col("parent_id"))
-    inner = nodes.join(nodes.select(parents.alias("t_id")).filter("t_id IS NOT NULL").distinct(), "t_id", "left_semi")
-    known = saved(inner.select("t_id", parents.alias("top"), F.array(F.struct(F.col("t_id").alias("id"), "rank")).alias("up")), "paths")
+    # Rows meet before repeated ones are left out: names are sorted once.
+    rows = nodes.select("t_id", "parent_id", "rank", "name").filter("t_id IS NOT NULL").repartition("t_id").dropDuplicates(["t_id"])
+    nodes = saved(rows, "nodes").withColumn("_parent", F.when(F.col("parent_id") != F.col("t_id"), F.col("parent_id")))
+    children = saved(_children(nodes), "children")
+    inner = saved(nodes.select("t_id", "_parent", "rank").join(children, "t_id"), "inner")
+    gone = children.join(inner, "t_id", "left_anti").select(F.col("t_id").alias("_parent"), F.lit(True).alias("_gone"))
+    if gone.limit(1).count():
+        rooted = lambda df: df.join(gone, "_parent", "left").withColumn("_parent", F.when(F.col("_gone").isNull(), F.col("_parent"))).drop("_gone")
+        nodes, inner = rooted(nodes), saved(rooted(inner), "inner")
+    known = inner.select("t_id", F.col("_parent").alias("top"), F.array(F.struct(F.col("t_id").alias("id"), "rank")).alias("up"))
+    known = saved(known.join(inner.select(F.col("_parent").alias("t_id")).distinct(), "t_id", "left_semi"), "paths")
     for _ in range(_ROUNDS):
         if not known.filter("top IS NOT NULL").limit(1).count():
             break
@@ -46,10 +53,32 @@ def with_paths(nodes: DataFrame) -> DataFrame:
         drop_saved(before)
     else:
         raise ValueError("the parents of the taxonomy form a cycle")
-    above = known.select(F.col("t_id").alias("_parent"), F.reverse("up").alias("_above"))
-    own = lambda up, c: F.concat(F.coalesce(F.col(up), F.array().cast(f"array<{nodes.schema[c].dataType.simpleString()}>")), F.array(c))
-    paths = nodes.withColumn("_parent", parents).join(above, "_parent", "left")
-    return paths.select("t_id", "parent_id", "rank", "name", F.coalesce(F.size("_above"), F.lit(0)).alias("depth"), own("_above.id", "t_id").alias("path"), own("_above.rank", "rank").alias("ranks"))
+    return nodes, inner, known.select("t_id", F.reverse("up.id").alias("path"), F.reverse("up.rank").alias("ranks"))
+
+
+def _children(nodes: DataFrame) -> DataFrame:
+    return nodes.filter("_parent IS NOT NULL").groupBy(F.col("_parent").alias("t_id")).agg(F.count(F.lit(1)).alias("_children"))
+
+
+def _own(above: str, column: str, df: DataFrame) -> Column:
+    """What is above a node, null for a root, and the node's own."""
+    return F.concat(F.coalesce(F.col(above), F.array().cast(f"array<{df.schema[column].dataType.simpleString()}>")), F.array(column))
+
+
+def with_paths(nodes: DataFrame) -> DataFrame:
+    """nodes (t_id, parent_id, rank, name) with path and ranks (arrays from the root to the node itself) and depth (0 for a root).
+
+    Paths are found for nodes that have grandchildren, a small part of most taxonomies; nodes with children, and then all, add themselves to their parent's.
+    """
+    nodes, inner, deep = _levels(nodes)
+    deep = deep.select(F.col("t_id").alias("_parent"), F.col("path").alias("_path"), F.col("ranks").alias("_ranks"))
+    above = inner.join(deep, "_parent", "left").select(F.col("t_id").alias("_parent"), _own("_path", "t_id", inner).alias("_path"), _own("_ranks", "rank", inner).alias("_ranks"))
+    return _described(nodes.join(above, "_parent", "left"))
+
+
+def _described(paths: DataFrame, *more: Column | str) -> DataFrame:
+    depth = F.coalesce(F.size("_path"), F.lit(0)).alias("depth")
+    return paths.select("t_id", "parent_id", "rank", "name", depth, _own("_path", "t_id", paths).alias("path"), _own("_ranks", "rank", paths).alias("ranks"), *more)
 
 
 def canonical_ranks(taxa: DataFrame) -> tuple[str, ...]:
@@ -93,29 +122,43 @@ def common_code(a: Column, b: Column) -> Column:
     return F.regexp_replace(same, f"{ESCAPE}+$", "")  # half a node
 
 
-def _places(taxa: DataFrame) -> DataFrame:
-    """(t_id, entry, exit, code) of taxa (with paths).
+def _places(nodes: DataFrame, inner: DataFrame, deep: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """nodes (t_id, _parent, ...) with n (the nodes of its clade), step and at; and inner ones (_parent, _entry, _code) for their children to be joined to, with the other columns of deep.
 
-    A node's entry is the sum along its path of one and of the sizes of the siblings before it, so no task sorts the whole tree. Only nodes with children have their
-    paths walked: sizes are sums of their numbers of children, and every node adds its step and its character to its parent's entry and code.
+    inner: nodes that have children (t_id, _parent, _children); deep: those that have grandchildren (t_id, path, ...), which alone have their paths walked. A node's entry is
+    the sum along its path of one and of the sizes of the siblings before it, so no task sorts the whole tree. Sizes are sums of numbers of children; a node with
+    children has a second row among its siblings for what its clade holds more than itself, so nodes need not be joined to their sizes.
     """
-    narrow = taxa.select("t_id", F.try_element_at("path", F.lit(-2)).alias("_parent"))
-    children = narrow.filter("_parent IS NOT NULL").groupBy(F.col("_parent").alias("t_id")).agg(F.count(F.lit(1)).alias("_children"))
-    inner = saved(taxa.select("t_id", "path").join(children, "t_id"), "inner")
-    sizes = inner.select(F.explode("path").alias("t_id"), "_children").groupBy("t_id").agg((F.sum("_children") + 1).alias("_size"))
-    order = Window.partitionBy("_parent").orderBy("t_id")
-    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    own = narrow.join(sizes, "t_id", "left").select("t_id", "_parent", F.coalesce("_size", F.lit(1)).alias("n"))
-    step = before + F.when(F.col("_parent").isNull(), 0).otherwise(1)
-    # One number a node, in the order of siblings; parents are looked up in it, and it is joined to their codes.
-    steps = saved(own.select("t_id", "_parent", "n", step.alias("step"), child_code(F.row_number().over(order) - 1).alias("at")), "siblings")
-    links = inner.select("t_id", F.posexplode("path").alias("_depth", "_parent"))
+    below = inner.groupBy(F.col("_parent").alias("t_id")).agg(F.sum("_children").alias("_below"))
+    below = deep.select("t_id", "path").join(below, "t_id").select(F.explode("path").alias("t_id"), "_below").groupBy("t_id").agg(F.sum("_below").alias("_below"))
+    more = inner.join(below, "t_id", "left").select("t_id", "_parent", (F.col("_children") + F.coalesce("_below", F.lit(0))).alias("_n"), F.lit(1).alias("_second"))
+    rows = nodes.withColumns({"_n": F.lit(1).cast("long"), "_second": F.lit(0)}).unionByName(more, allowMissingColumns=True)
+    order = Window.partitionBy("_parent").orderBy("t_id", "_second")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))
+    step = so_far(F.col("_n")) + F.when(F.col("_parent").isNull(), 0).otherwise(1)
+    rows = rows.withColumns({"step": step, "_place": so_far(1 - F.col("_second")), "_more": F.when(F.lead("_second").over(order) == 1, F.lead("_n").over(order))}).filter("_second = 0")
+    # One number a node, in the order of siblings; parents are looked up in it.
+    steps = saved(rows.select(*nodes.columns, (1 + F.coalesce("_more", F.lit(0))).alias("n"), "step", child_code(F.col("_place")).alias("at")), "siblings")
+    marked = steps.filter("n > 1")
+    links = deep.select(F.col("t_id").alias("_deep"), F.posexplode("path").alias("_depth", "t_id"))
     # As long as the tree is deep.
     code = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_depth", "at"))), lambda x: x["at"]), "")
-    above = steps.join(inner.select("t_id"), "t_id", "left_semi").select(F.col("t_id").alias("_parent"), "step", "at")
-    made = links.join(above, "_parent").groupBy(F.col("t_id").alias("_parent")).agg(F.sum("step").alias("_entry"), code.alias("_code"))
-    entry = F.coalesce("_entry", F.lit(0)) + F.col("step")
-    return steps.join(made, "_parent", "left").select("t_id", entry.alias("entry"), (entry + F.col("n")).alias("exit"), F.concat(F.coalesce("_code", F.lit("")), "at").alias("code"))
+    made = links.join(marked.select("t_id", "step", "at"), "t_id").groupBy(F.col("_deep").alias("t_id")).agg(F.sum("step").alias("_entry"), code.alias("_code"))
+    made = made.join(deep.withColumnsRenamed({c: f"_{c}" for c in deep.columns if c != "t_id"}), "t_id").withColumnRenamed("t_id", "_parent")
+    return steps, marked.join(made, "_parent", "left").withColumns({"_entry": _entry(), "_code": _code()}).drop("_parent", "n", "step", "at").withColumnRenamed("t_id", "_parent")
+
+
+def _entry() -> Column:
+    return F.coalesce("_entry", F.lit(0)) + F.col("step")
+
+
+def _code() -> Column:
+    return F.concat(F.coalesce("_code", F.lit("")), "at")
+
+
+def _intervals() -> list[Column]:
+    return [_entry().alias("entry"), _code().alias("code"), (_entry() + F.col("n")).alias("exit")]
 
 
 def nested_sets(taxa: DataFrame) -> DataFrame:
@@ -125,12 +168,22 @@ def nested_sets(taxa: DataFrame) -> DataFrame:
 
 def with_codes(taxa: DataFrame) -> DataFrame:
     """taxa (with paths) with entry, exit (see nested_sets()) and code."""
-    return taxa.join(_places(taxa), "t_id").select(*taxa.columns, "entry", "code", "exit")
+    narrow = taxa.select("t_id", F.try_element_at("path", F.lit(-2)).alias("_parent"))
+    inner = saved(narrow.join(_children(narrow), "t_id"), "inner")
+    deep = saved(taxa.select("t_id", "path").join(inner.select(F.col("_parent").alias("t_id")).distinct(), "t_id", "left_semi"), "paths")
+    steps, above = _places(narrow, inner, deep)
+    return taxa.join(steps.join(above.drop("_path"), "_parent", "left").select("t_id", *_intervals()), "t_id").select(*taxa.columns, "entry", "code", "exit")
 
 
 def prepared(nodes: DataFrame) -> DataFrame:
-    """Paths, intervals and codes of nodes (t_id, parent_id, rank, name)."""
-    return with_codes(saved(with_paths(nodes), "paths"))
+    """Paths, intervals and codes of nodes (t_id, parent_id, rank, name).
+
+    All nodes move to drop repeated ones, to find those that have children, to their siblings, and to their parent's path, interval and code; wide rows are only written.
+    """
+    nodes, inner, deep = _levels(nodes)
+    steps, above = _places(nodes, inner.drop("rank"), deep)
+    above = above.select("_parent", "_entry", "_code", _own("_path", "_parent", above).alias("_path"), _own("_ranks", "rank", above).alias("_ranks"))
+    return _described(steps.join(above, "_parent", "left"), *_intervals())
 
 
 def coded(taxa: DataFrame) -> DataFrame:

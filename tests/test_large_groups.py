@@ -103,3 +103,24 @@ def test_filtered_cells_are_made_once(spark):
         cells = tables.table_cells(reads, taxa, mode, 1, 1, clade=2, keep_filtered=True)
         assert "only-reads" not in cells._jdf.queryExecution().executedPlan().toString()
         assert {x.sample_id: x.value for x in cells.filter("t_id = 100000000").collect()} == {"a": 6, "b": 6}
+
+
+def test_only_nodes_with_grandchildren_are_walked(spark, monkeypatch):
+    """Paths are looked up for nodes with grandchildren alone, and wide rows aren't written before the end."""
+    r, up = random.Random(4), {1: 1, 500: 501, 502: 500, 503: 502}
+    for t in range(2, 200):
+        up[t] = r.choice([x for x in up if x < t])
+    inner = {p for t, p in up.items() if p != t and p in up}
+    deep = {up[t] for t in inner if up[t] != t and up[t] in up}
+    written = []
+    monkeypatch.setattr(taxonomy, "saved", lambda df, name: written.append((name, out := saved(df, name))) or out)
+    monkeypatch.setattr(taxonomy, "drop_saved", lambda df: None)
+    taxa = taxonomy.prepared(spark.createDataFrame([(t, p, "clade", f"n{t}") for t, p in up.items()], SCHEMA))
+    walked = [out for name, out in written if any(kind.startswith("array") for _, kind in out.dtypes)]
+    assert walked and all({x.t_id for x in out.collect()} == deep for out in walked)
+    rows = {x.t_id: x for x in taxa.collect()}
+    assert len(rows) == len(up) and sorted(x.entry for x in rows.values()) == list(range(len(up)))
+    for t, x in rows.items():
+        assert x.path == ([*rows[up[t]].path, t] if up[t] != t and up[t] in up else [t])
+        assert {y.t_id for y in rows.values() if x.entry <= y.entry < x.exit} == {y.t_id for y in rows.values() if t in y.path}
+        assert all(y.code.startswith(x.code) == (t in y.path) for y in rows.values())
