@@ -120,12 +120,20 @@ def bucketed_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(t_id, sample_id, taxon_reads, mm_tot, mm_uniq): one row a taxon and sample."""
+    """(t_id, sample_id, taxon_reads, mm_tot, mm_uniq): one row a taxon and sample.
+
+    Reads are made once. A read carries its stretches to its cell, where they are told apart: they are pooled in a cell's task alone.
+    """
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("read_id"), F.col("l_quantity").cast("long").alias("q"), "l_partkey")
-    own = bare_reads(spark, sf_dir)
-    counts = own.groupBy("t_id", "sample_id").agg(F.count(F.lit(1)).alias("taxon_reads"))
-    seen = own.join(lines, "read_id").groupBy("t_id", "sample_id").agg(F.sum("q").alias("mm_tot"), F.count_distinct("l_partkey").alias("mm_uniq"))
-    return counts.join(seen, ["t_id", "sample_id"], "left").select("t_id", "sample_id", "taxon_reads", F.coalesce("mm_tot", F.lit(0)).alias("mm_tot"), F.coalesce("mm_uniq", F.lit(0)).alias("mm_uniq"))
+    # The stretches of a read.
+    lines = lines.groupBy("read_id").agg(F.sum("q").alias("q"), F.collect_list("l_partkey").alias("parts"))
+    rows = bare_reads(spark, sf_dir).select("read_id", "t_id", "sample_id").join(lines, "read_id", "left").select("t_id", "sample_id", "q", "parts").repartition("t_id", "sample_id")
+    rows = rows.select("t_id", "sample_id", "q", F.posexplode_outer("parts").alias("at", "part"))
+    first = lambda c: F.when(F.coalesce("at", F.lit(0)) == 0, c)
+    rows = rows.groupBy("t_id", "sample_id", "part").agg(F.count(first(F.lit(1))).alias("reads"), F.sum(first(F.col("q"))).alias("q"))
+    cells = rows.groupBy("t_id", "sample_id").agg(F.sum("reads").alias("taxon_reads"), F.sum("q").alias("q"), F.count("part").alias("uniq"))
+    known = F.col("t_id").isNotNull() & F.col("sample_id").isNotNull()
+    return cells.select("t_id", "sample_id", "taxon_reads", F.coalesce(F.when(known, F.col("q")), F.lit(0)).alias("mm_tot"), F.when(known, F.col("uniq")).otherwise(0).cast("long").alias("mm_uniq"))
 
 
 def inspect(spark: SparkSession, sf_dir: str) -> DataFrame:

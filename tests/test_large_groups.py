@@ -124,3 +124,27 @@ def test_only_nodes_with_grandchildren_are_walked(spark, monkeypatch):
         assert x.path == ([*rows[up[t]].path, t] if up[t] != t and up[t] in up else [t])
         assert {y.t_id for y in rows.values() if x.entry <= y.entry < x.exit} == {y.t_id for y in rows.values() if t in y.path}
         assert all(y.code.startswith(x.code) == (t in y.path) for y in rows.values())
+
+
+def _reads_of(df, column: str) -> int:
+    """How often a plan reads the table that has the column first."""
+    return df._jdf.queryExecution().optimizedPlan().toString().count(f"Relation [{column}#")
+
+
+def test_reports_make_their_reads_once(spark, tmp_path):
+    """Cells count reads without stretches, and a stretch that several reads of a cell have once."""
+    from datetime import datetime
+
+    from clademill.plans import warehouse
+
+    table = lambda rows, schema, name: spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    table([(1, "a", 3, "X"), (2, "b", 4, "Y")], "c_custkey long, c_name string, c_nationkey int, c_mktsegment string", "customer")
+    orders = [(3, 1, "1"), (4, 1, "1"), (5, 1, None), (8, 2, "1"), (9, 2, None), (10, 2, "2"), (20, 1, "2"), (33, 77, "1")]
+    table([(k, c, datetime(1995, 1, 1 + k % 20), p) for k, c, p in orders], "o_orderkey long, o_custkey long, o_orderdate timestamp, o_orderpriority string", "orders")
+    lines = [(3, 7, 2.0), (3, 7, 1.0), (4, 7, 5.0), (4, 8, 1.0), (8, 7, 3.0), (9, 7, 3.0), (10, None, 4.0), (10, 2, None), (33, 1, 1.0)]
+    table([(k, p, q) for k, p, q in lines], "l_orderkey long, l_partkey long, l_quantity double", "lineitem")
+    got = warehouse.reports(spark, str(tmp_path))
+    assert _reads_of(got, "o_orderkey") == 1
+    want = {(100_001, 3, 9, 2), (10_000_021, 1, 3, 1), (None, 1, 0, 0), (0, 2, 4, 1)}
+    assert {(x.t_id, x.taxon_reads, x.mm_tot, x.mm_uniq) for x in got.collect()} == want
+    assert dict(got.dtypes) == {"t_id": "bigint", "sample_id": "string", "taxon_reads": "bigint", "mm_tot": "bigint", "mm_uniq": "bigint"}
