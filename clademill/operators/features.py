@@ -173,8 +173,7 @@ def minimizer_samples(reports: DataFrame, inspect: DataFrame, taxa: DataFrame) -
     reports: (t_id, sample_id, taxon_reads, mm_tot, mm_uniq), one row a cell; inspect: (t_id, clade_minimizers). Reads are
     clade sums. The expected cover of R reads is 1 - (1 - 1/M)^R, with M the minimizers known over the taxon's median yield of a read.
     """
-    seen = reports.groupBy("t_id", "sample_id").agg(F.sum("mm_tot").alias("mm_tot"), F.sum("mm_uniq").alias("mm_uniq"))
-    rows = clade_sums(reports, taxa).filter(~F.col("t_id").isin(UNCLASSIFIED, FILTERED)).join(seen, ["t_id", "sample_id"], "left")
+    rows = clade_sums(reports, taxa, ("mm_tot", "mm_uniq")).filter(~F.col("t_id").isin(UNCLASSIFIED, FILTERED))
     rows = rows.join(inspect.select("t_id", F.col("clade_minimizers").alias("_db")), "t_id", "left")
     rows = rows.select("t_id", "sample_id", F.col("clade_reads").alias("reads_tot"), "mm_tot", "mm_uniq", ratio(F.col("mm_uniq"), F.col("clade_reads")).alias("mm_uniq_per_read"), ratio(F.col("mm_uniq"), F.col("mm_tot")).alias("mm_uniq_prop"), ratio(F.col("mm_uniq"), F.col("_db")).alias("mm_obs_cov"), "_db")
     usual = F.median("mm_uniq_per_read").over(Window.partitionBy("t_id"))

@@ -29,11 +29,20 @@ def within(taxa: DataFrame, top: int) -> DataFrame:
     return taxa.filter(F.array_contains("path", top)).select(*[c for c in taxa.columns if c not in ("path", "ranks", "depth", "entry", "exit", "code")], (F.size(from_top("path")) - 1).alias("depth"), from_top("path").alias("path"), from_top("ranks").alias("ranks"))
 
 
-def clade_sums(reads: DataFrame, taxa: DataFrame) -> DataFrame:
-    """(t_id, sample_id, taxon_reads, clade_reads) of every node with reads in its clade, in the samples where it has them."""
-    lifted = pooled(reads).join(taxa.select("t_id", "path"), "t_id", "left").select("sample_id", "taxon_reads", F.col("t_id").alias("own"), F.explode(F.coalesce("path", F.array("t_id"))).alias("t_id"))
-    here = F.when(F.col("own") == F.col("t_id"), F.col("taxon_reads")).otherwise(F.lit(0))
-    sums = lifted.groupBy("t_id", "sample_id").agg(F.sum(here).alias("taxon_reads"), F.sum("taxon_reads").alias("clade_reads"))
+def clade_sums(reads: DataFrame, taxa: DataFrame, own: tuple[str, ...] = ()) -> DataFrame:
+    """(t_id, sample_id, taxon_reads, clade_reads, *own) of every node with reads in its clade, in the samples where it has them.
+
+    own: numbers of reads that are summed up for a node's own rows, without its clade; null where it has none.
+    """
+    if own:  # rows without a count have these numbers too
+        cells = reads.filter("t_id IS NOT NULL").groupBy("t_id", "sample_id").agg(F.sum(F.col("taxon_reads").cast("long")).alias("taxon_reads"), *[F.sum(c).alias(c) for c in own])
+    else:
+        cells = pooled(reads)
+    lifted = cells.join(taxa.select("t_id", "path"), "t_id", "left").select("sample_id", "taxon_reads", *own, F.col("t_id").alias("own"), F.explode(F.coalesce("path", F.array("t_id"))).alias("t_id"))
+    itself = F.col("own") == F.col("t_id")
+    here = F.when(itself, F.col("taxon_reads")).otherwise(F.lit(0))
+    more = [F.sum(F.when(itself & F.col("sample_id").isNotNull(), F.col(c))).alias(c) for c in own]
+    sums = lifted.groupBy("t_id", "sample_id").agg(F.sum(here).alias("taxon_reads"), F.sum("taxon_reads").alias("clade_reads"), *more)
     return sums.filter((F.col("clade_reads") > 0) | (F.col("t_id") == UNCLASSIFIED))
 
 
