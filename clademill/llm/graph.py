@@ -27,4 +27,5 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         drop_saved(labels), drop_saved(lower)
         labels = jumped.select("id", "component")
         if not changed:
+            drop_saved(both)
             return labels

@@ -7,12 +7,14 @@ are concentrated about their mean.
 
 1. Equal sets, told by a 128-bit cryptographic digest of the whole sorted set, become one class; all further steps see one node for each class, named by its
    smallest id. Ids that repeat with unlike texts belong to several classes: the others of them get hashed names of their own.
-2. Bands of coordinates are hashed, as long as banding() allows. In a bucket, every member is paired with one pivot, not with every other member.
+2. Bands of coordinates, eight bits of each, are hashed, as long as banding() allows. In a bucket, every member is paired with one pivot, not with every other member.
 3. Pairs whose sketches agree well enough are verified on the full sets; verified links are merged into components.
 4. Members of a bucket whose component is not the pivot's are compared with the bucket's members in other components, in
    blocks and by sketches; those that agree, directly or by others, are a family. Inside a family, full sets are compared in pairs of
    blocks, each of which gives no more links than it takes to connect its components, and the components are merged again.
 
+Written tables are deleted once the next ones are there; rows (id, th and their set's marks) and classes are all that stays.
+
 Two texts that are linked but never compared are in one component already, or share no band, with a probability of at most MISS; a linked pair's
 sketches agree in so few coordinates that full sets are not looked at with 1e-6 or less (5 standard deviations, see margin()).
 
@@ -103,23 +105,18 @@ def sketch(elements: np.ndarray, bins: int = BINS) -> np.ndarray:
     return out
 
 
-def _sketches(batches, bands: int, rows: int):
+def _sketches(batches):
     import pyarrow as pa
 
-    odd = _mixed(np.arange(1, rows + 1, dtype=np.uint64)) | np.uint64(1)
-    band = _mixed(np.arange(1, bands + 1, dtype=np.uint64) * _GOLDEN)
     with np.errstate(over="ignore"):
         for batch in batches:
             ids, sets = batch.column("id"), batch.column("set")
             flat, ends = sets.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.cumsum(np.diff(sets.offsets.to_numpy()))
             n = len(ids)
-            small, keys = np.zeros((n, BINS), np.uint8), np.zeros((n, bands), np.uint64)
-            marks = np.zeros((2, n), np.int64)
+            small, marks = np.zeros((n, BINS), np.uint8), np.zeros((2, n), np.int64)
             for k in range(n):
                 e = flat[(ends[k - 1] if k else 0) : ends[k]]
-                s = sketch(e)
-                small[k] = (_mixed(s) >> np.uint64(56)).astype(np.uint8)
-                keys[k] = _mixed((s[: bands * rows].reshape(bands, rows) * odd).sum(1) ^ band)
+                small[k] = (_mixed(sketch(e)) >> np.uint64(56)).astype(np.uint8)
                 marks[:, k] = digest(e)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -129,12 +126,20 @@ def _sketches(batches, bands: int, rows: int):
                     pa.array(marks[0]),
                     pa.array(marks[1]),
                     pa.array([r.tobytes() for r in small], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * bands, pa.int32()), pa.array(keys.view(np.int64).ravel())),
                 ],
-                names=["id", "th", "n", "f1", "f2", "sketch", "bands"],
+                names=["id", "th", "n", "f1", "f2", "sketch"],
             )
 
 
+def _members(reps: DataFrame, percent: int) -> DataFrame:
+    """(key, id, c, pivot): nodes by the bands that they share with others, the number of those and one of them. Keys are made of the sketches and moved once."""
+    bands, width = banding(percent)
+    key = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda k: F.xxhash64(k, F.substring("sketch", k * width + 1, F.lit(width))))
+    banded = reps.select("id", F.explode(key).alias("key")).repartition("key")
+    pivot = F.min_by("id", F.struct(F.xxhash64("id"), "id"))
+    return banded.join(banded.groupBy("key").agg(F.count(F.lit(1)).alias("c"), pivot.alias("pivot")).filter("c > 1"), "key")
+
+
 def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Estimated similarity from rows of 8-bit coordinates, chance agreements of 1 in 256 taken off."""
     return ((a == b).mean(-1) - 1 / 256) / (1 - 1 / 256)
@@ -275,7 +280,9 @@ def _families(members: DataFrame, least: float, percent: int) -> DataFrame:
 
     stars = _compared(_blocked(members, "key", []), "key", connect).distinct().withColumn("m", F.min("a").over(Window.partitionBy("b")))
     edges = stars.select(F.explode(F.array(F.struct("m", "b"), F.struct("m", F.col("a").alias("b")))).alias("e")).select(F.col("e.m").alias("a"), F.col("e.b").alias("b")).filter("a <> b").distinct()
-    return components(saved(edges, "minhash-edges")).withColumnRenamed("component", "family")
+    found = components(edges := saved(edges, "minhash-edges"))
+    drop_saved(edges)
+    return found.withColumnRenamed("component", "family")
 
 
 def _links_of_families(families: DataFrame, least: float, percent: int) -> DataFrame:
@@ -314,41 +321,44 @@ def _classes(docs: DataFrame, size: int, percent: int, least: float | None) -> t
     doc is a class's smallest id; component_id the smallest one that it reaches; first marks one class of each component, one that has that id.
     """
     least = percent / 100 - margin(percent) if least is None else least
-    bands, width = banding(percent)
     sets = with_shingles(docs, size)
     with small_batches(docs.sparkSession):
-        all_rows = saved(sets.mapInArrow(lambda batches: _sketches(batches, bands, width), "id long, th long, n long, f1 long, f2 long, sketch binary, bands array<long>"), "minhash-sketches")
+        sketches = saved(sets.mapInArrow(_sketches, "id long, th long, n long, f1 long, f2 long, sketch binary"), "minhash-sketches")
     same = ["f1", "f2", "n"]
-    grouped = all_rows.groupBy(*same).agg(F.min(F.struct("id", "th")).alias("m"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
-    reps = saved(_named(grouped.select(*same, F.col("m.id").alias("doc"), F.col("m.th").alias("th"), "sketch", "bands")), "minhash-reps")
-    banded = reps.select("id", "n", F.explode("bands").alias("key"))
-    pivot = F.min_by("id", F.struct(F.xxhash64("id"), "id"))
-    buckets = saved(banded.groupBy("key").agg(F.count(F.lit(1)).alias("c"), pivot.alias("pivot")).filter("c > 1"), "minhash-buckets")
-    members = saved(banded.join(buckets, "key"), "minhash-members")
+    grouped = sketches.groupBy(*same).agg(F.min(F.struct("id", "th")).alias("m"), F.first("sketch").alias("sketch"))
+    reps = saved(_named(grouped.select(*same, F.col("m.id").alias("doc"), F.col("m.th").alias("th"), "sketch")), "minhash-reps")
+    rows = saved(sketches.select("id", "th", *same), "minhash-rows")
+    drop_saved(sketches)
+    members = saved(_members(reps, percent), "minhash-members")
     tested = members.filter("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-    links = _verified(saved(_agreeing(tested, reps, least, percent), "minhash-pairs"), reps, docs, size, percent)
+    pairs = saved(_agreeing(tested, reps, least, percent), "minhash-pairs")
+    links = _verified(pairs, reps, docs, size, percent)
     found = components(links)
+    drop_saved(pairs), drop_saved(links)
     # Buckets of three or more whose members are not all in one component.
     own = lambda x: F.coalesce(F.col(x), F.col("id"))
-    label = members.filter("c > 2").join(found, "id", "left").select("key", "c", "id", "n", "pivot", own("component").alias("component"))
+    label = members.filter("c > 2").join(found, "id", "left").select("key", "c", "id", "pivot", own("component").alias("component"))
     split = label.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.max(F.when(F.col("id") == F.col("pivot"), F.col("component"))).alias("main"))
-    open_rows = label.join(split.filter("least <> most").select("key", "main"), "key").join(reps.select("id", "sketch"), "id").withColumn("e", F.lit(0))
+    open_rows = label.join(split.filter("least <> most").select("key", "main"), "key").join(reps.select("id", "n", "sketch"), "id").withColumn("e", F.lit(0))
     families = saved(_families(open_rows, least, percent), "minhash-families")
+    drop_saved(members)
     inside = families.join(found, "id", "left").select("id", "family", own("component").alias("component")).join(reps.select("id", "n", "sketch"), "id")
     per = inside.groupBy("family", "component").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("e"))
     per = per.groupBy("family").agg(F.sum("k").alias("c"), F.sum("e").alias("e"), F.max_by("component", F.struct("k", "component")).alias("main"))
-    inside = inside.join(per, "family").join(_sets_of(families.select("id"), reps, docs, size), "id")
-    more = saved(_links_of_families(inside, least, percent), "minhash-links")
+    sets = _sets_of(families.select("id"), reps, docs, size)
+    more = saved(_links_of_families(inside.join(per, "family").join(sets, "id"), least, percent), "minhash-links")
+    drop_saved(sets), drop_saved(families)
     up = found.select(F.col("id").alias("a"), F.col("component").alias("x"))
     ends = more.join(up, "a", "left").select("b", F.coalesce("x", "a").alias("x"))
     ends = ends.join(up.select(F.col("a").alias("b"), F.col("x").alias("y")), "b", "left").select("x", F.coalesce("y", "b").alias("y"))
     joined = components(ends, "x", "y").select(F.col("id").alias("component"), F.col("component").alias("top"))
     classes = reps.select(*same, "doc", "th", "id").join(found, "id", "left").select(*same, "doc", "th", own("component").alias("component"))
     classes = saved(classes.join(joined, "component", "left").select(*same, "doc", "th", F.coalesce("top", "component").alias("component")), "minhash-classes")
+    drop_saved(reps), drop_saved(more), drop_saved(found), drop_saved(joined)
     firsts = classes.groupBy("component").agg(F.min(F.struct("doc", *same)).alias("m"))
     classes = classes.join(firsts, "component")
     first = F.struct("doc", *same) == F.col("m")
-    return all_rows.select("id", "th", *same), classes.select(*same, "doc", "th", F.col("m.doc").alias("component_id"), first.alias("first"))
+    return rows, classes.select(*same, "doc", "th", F.col("m.doc").alias("component_id"), first.alias("first"))
 
 
 def _has_word(text: str) -> Column:
@@ -382,6 +392,7 @@ def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80, least: float
     found, classes = _classes(rows.filter(linkable).select("id", "text"), size, percent, least)
     kept = classes.filter("first").select(F.col("doc").alias("id"), "th")
     kept = saved(found.groupBy("id", "th").agg(F.count(F.lit(1)).alias("copies")).join(kept, ["id", "th"]), "minhash-kept")
+    drop_saved(found), drop_saved(classes)
     hit = rows.filter(linkable).withColumn("th", F.xxhash64("text")).join(kept, ["id", "th"])
     one = hit.filter("copies = 1").select("row").unionByName(hit.filter("copies > 1").groupBy("id", "th").agg(F.first("row").alias("row")).select("row"))
     return one.unionByName(rows.filter(~linkable).select("row")).select("row.*")

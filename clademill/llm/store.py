@@ -9,7 +9,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..shared import drop_saved, fresh_path, saved
+from .. import shared
+from ..shared import drop_saved, fresh_path
 
 __all__ = ["drop_saved", "fresh_path", "importable", "saved", "small_batches", "unused", "whole_ids"]
 
@@ -17,6 +18,17 @@ __all__ = ["drop_saved", "fresh_path", "importable", "saved", "small_batches", "
 TEXT_ROWS = 1000
 
 
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Write df once in the shared folder and read it back; the shuffle files of the write go with its end, not when the driver happens to collect its garbage."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        return shared.saved(df, name)
+    finally:
+        conf.set(key, before)
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers on this machine import the package wherever the driver was started; a cluster ships it (--py-files)."""
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment

@@ -53,3 +53,40 @@ def test_odd_rows_in_every_stage(spark):
     # Rows that repeat an id with unlike texts all stay in de-duplication, and texts without words do.
     left = [r.row for r in corpus_pipeline.near_duplicates(spark, docs, SMALL).collect()]
     assert {0, 1, 2, 3, 6, 7, *range(8, 16)} <= set(left) and len({4, 5} & set(left)) == 1 and left.count(9) == left.count(10) == 1
+
+
+def test_rules_and_near_dedup_leave_little_behind(spark, monkeypatch):
+    """Neither documents nor sketches stay in the shared folder beside the results of rules and near-dedup, and a written table's shuffle files go with its write."""
+    import random
+    import time
+    from pathlib import Path
+
+    from clademill.llm import hostrules
+    from clademill.llm.store import saved
+    from clademill.shared import shared_dir
+
+    r = random.Random(2)
+    texts = [" ".join(f"{r.getrandbits(40):x}" for _ in range(200)) for _ in range(150)]
+    rows = [(i, t, f"s{i % 3}") for i, t in enumerate([*texts, *(f"{t} end" for t in texts[:20]), *(t[:200] for t in texts[:10]), None])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    left = corpus_pipeline.quality_rules(spark, docs, SMALL)
+    assert sorted(x.doc_id for x in left.collect()) == list(range(170))
+    assert sorted(x.doc_id for x in corpus_pipeline.near_duplicates(spark, left, SMALL).collect()) == list(range(150))
+    tables = set(folder.iterdir()) - before
+    assert not [t.name for t in tables if t.name.startswith(("minhash-sketches", "minhash-reps", "minhash-members", "minhash-sets"))]
+    assert 10 * sum(f.stat().st_size for t in tables for f in t.rglob("*.parquet")) < sum(len(t) for t in texts)
+    monkeypatch.setattr(hostrules, "MARKS_BYTES", -1)  # documents are shuffled to the marks
+    assert sorted(x.doc_id for x in hostrules.filtered(docs).collect()) == list(range(170))
+
+    files = lambda: spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString(" ").count("shuffle_")
+    had, key = files(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(key)
+    saved(docs.groupBy("doc_id").count(), "test-groups")
+    assert spark.conf.get(key) == setting
+    for _ in range(50):
+        if files() <= had:
+            break
+        time.sleep(0.1)
+    assert files() <= had
